@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import text
+from . import accounts, rollup, text
 
-_MODULES = (text,)
+_MODULES = (text, accounts, rollup)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}

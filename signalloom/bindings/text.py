@@ -205,8 +205,8 @@ def pay_labels(spark, sf):
     o = table(spark, sf, "orders")
     low = F.floor(F.col("o_totalprice")).cast("double")
     yearly = F.col("o_orderstatus") == "F"
-    label = X.pay_label(low, low * 2, F.when(yearly, "yearly"))
-    return o.where(yearly).select("o_orderkey", label.alias("pay"))
+    label = X.pay_label(low, low * 2, F.when(yearly, "yearly").otherwise("monthly"))
+    return o.select("o_orderkey", label.alias("pay"))
 
 
 def json_project(spark, sf):
@@ -369,9 +369,11 @@ SELECT p_partkey, CASE WHEN p_size < 20 THEN p_brand ELSE p_name END AS chosen,
     AS sorted_list,
   '{"p_name":"' || p_name || '","p_size":' || p_size || '}' AS as_json FROM part""",
     "pay_labels": """
-SELECT o_orderkey, '$' || CAST(floor(floor(o_totalprice) / 1000) AS BIGINT) || 'k–$' ||
-  CAST(floor(floor(o_totalprice) * 2 / 1000) AS BIGINT) || 'k' AS pay
-FROM orders WHERE o_orderstatus = 'F'""",
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN
+    '$' || CAST(floor(floor(o_totalprice) / 1000) AS BIGINT) || 'k–$' ||
+    CAST(floor(floor(o_totalprice) * 2 / 1000) AS BIGINT) || 'k'
+  ELSE '$' || floor(o_totalprice) || '–$' || floor(o_totalprice) * 2 || ' monthly' END AS pay
+FROM orders""",
     "json_project": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k "
                     "FROM events",
     "primary_keywords": "SELECT p_partkey, CASE WHEN contains(p_name, 'red') OR "
@@ -379,10 +381,10 @@ FROM orders WHERE o_orderstatus = 'F'""",
     "market_of_location": f"""
 WITH {Q.DOCS} SELECT doc_id, CASE lang WHEN 'en' THEN 'Austin' WHEN 'fr' THEN 'New York'
   WHEN 'de' THEN CASE WHEN starts_with(title, 'role 9') THEN 'Dallas' ELSE 'Other' END
-  ELSE CASE WHEN starts_with(title, 'role 9') THEN 'Boston' ELSE 'Boston_' END END AS market,
+  ELSE 'Boston' END AS market,
   CASE WHEN {Q.any_contains('lower(text)', ('license', 'ungen'))} THEN 'A'
     WHEN {Q.any_contains('lower(text)', ('ouble', 'reau'))} THEN 'B'
     WHEN contains(lower(text), 'thing') THEN 'C' ELSE 'Other' END AS word_market
-FROM docs""".replace("'Boston_'", "'Boston'"),
+FROM docs""",
     "city_market_rules": _city_sql(),
 }

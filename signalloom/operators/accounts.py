@@ -53,7 +53,8 @@ def all_tiers(accounts: DataFrame, tier2_sample: int = 1000, tier3_sample: int =
     parts = [tiered.where("tier = '1'")]
     samples = [("2", tier2_sample)] + ([("3", tier3_sample)] if include_tier3 else [])
     for tier, n in samples:
-        parts.append(hash_sample(tiered.where(F.col("tier") == tier), n, "domain_key", seed))
+        parts.append(hash_sample(tiered.where(F.col("tier") == tier), n, "domain_key", seed,
+                                 "row_no"))
     union = reduce(lambda a, b: a.unionByName(b), parts)
     return first_wins(union, ["domain_key"], F.struct("tier", "row_no"))
 

@@ -24,12 +24,15 @@ def last_wins(df: DataFrame, keys: list[str], order: str | Column) -> DataFrame:
     return _pick(df, keys, lambda row: F.max_by(row, order))
 
 
-def hash_sample(df: DataFrame, n: int, key: str, seed: str = "") -> DataFrame:
+def hash_sample(df: DataFrame, n: int, key: str, seed: str = "",
+                tie: str | None = None) -> DataFrame:
     """A repeatable random sample of n rows without replacement, seeded by text.
 
     Ordering by a hash of the key makes this a top-n, which Spark computes per task first.
+    ``tie`` orders rows with equal keys.
     """
-    return df.orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), key).limit(n)
+    order = [F.md5(F.concat(F.lit(seed), F.col(key).cast("string"))), F.col(key)]
+    return df.orderBy(*order, *([F.col(tie)] if tie else [])).limit(n)
 
 
 def hashed_rank(df: DataFrame, key: str, out: str = "rank", digits: int = 3) -> DataFrame:
