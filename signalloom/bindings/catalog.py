@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import accounts, rollup, text
+from . import accounts, rollup, state, text
 
-_MODULES = (text, accounts, rollup)
+_MODULES = (text, accounts, rollup, state)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}

@@ -138,5 +138,5 @@ CUSTOMERS = """accounts AS (
   FROM customer)"""
 
 WEEKLY = f"""weekly AS (
-  SELECT user_id AS company_name, {iso_week('ts')} AS week, count(*) AS signal_count,
+  SELECT user_id AS company_name, {iso_week("(CAST(ts AS DATE) - 2)")} AS week, count(*) AS signal_count,
     max(event_type) AS keyword_set FROM events GROUP BY ALL)"""
