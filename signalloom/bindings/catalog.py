@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import accounts, rollup, state, text, views
+from . import accounts, ingest, rollup, state, text, views
 
-_MODULES = (text, accounts, rollup, state, views)
+_MODULES = (text, accounts, rollup, state, views, ingest)
 QUERIES = {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in _MODULES for name, sql in m.SQL.items()}

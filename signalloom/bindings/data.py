@@ -54,7 +54,8 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
 
 def postings(spark: SparkSession, sf: str, lexicon: Lexicon = LEXICON) -> DataFrame:
     """Matched postings with the 11 columns, from documents."""
-    d = X.matched_only(X.with_hits(documents(spark, sf), "text", lexicon))
+    d = X.matched_only(X.with_hits(documents(spark, sf), "text", lexicon).withColumn(
+        "snippet", X.excerpt(F.col("text"), F.get("kw", F.lit(0)))).drop("text"))
     return d.select(
         F.when(F.col("lang") == "en", "Board").when(F.col("lang") == "de", "Feed")
         .otherwise("Crawl").alias("source"),
@@ -62,7 +63,7 @@ def postings(spark: SparkSession, sf: str, lexicon: Lexicon = LEXICON) -> DataFr
         F.lit("On-site").alias("remote"), X.join_list(F.col("kw")).alias(
             "food_keywords_matched"),
         F.size("kw").alias("keyword_count"),
-        X.excerpt(F.col("text"), F.get("kw", F.lit(0))).alias("perk_excerpt"),
+        F.col("snippet").alias("perk_excerpt"),
         F.col("day").alias("date_posted"), "url",
         F.when(F.col("title").startswith("role 5"),
                F.concat("slug", F.lit("-jobs.com"))).otherwise("").alias("_domain"),

@@ -12,13 +12,15 @@ from .data import LEXICON, PLAIN, RUBRIC, WEIGHTS, documents, table
 
 
 def lexicon_match(spark, sf):
-    d = X.matched_only(X.with_hits(table(spark, sf, "documents"), "text", PLAIN))
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = X.matched_only(X.with_hits(d, "text", PLAIN).drop("text"))
     return d.select("doc_id", X.join_list(F.col("kw")).alias("kws"),
                     F.size("kw").cast("long").alias("n_kw"))
 
 
 def lexicon_context_match(spark, sf):
-    d = X.matched_only(X.with_hits(table(spark, sf, "documents"), "text", LEXICON))
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = X.matched_only(X.with_hits(d, "text", LEXICON).drop("text"))
     return d.select("doc_id", X.join_list(F.col("kw")).alias("kws"),
                     F.size("kw").cast("long").alias("n_kw"))
 
@@ -29,7 +31,7 @@ def term_fallback(spark, sf):
     term = F.when(F.col("lang") == "en", "ering").otherwise("rien")
     held = F.contains(F.lower("text"), term)
     kw = F.when(F.size("kw") > 0, F.col("kw")).when(held, F.array(term))
-    return d.withColumn("kw", kw).where(F.size("kw") > 0).select(
+    return X.matched_only(d.select("doc_id", kw.alias("kw"))).select(
         "doc_id", X.join_list(F.col("kw")).alias("kws"))
 
 
@@ -46,8 +48,8 @@ def location_filter(spark, sf):
 
 
 def html_clean(spark, sf):
-    p = table(spark, sf, "pages")
-    return p.select("page_id", X.clean_text(F.col("html")).alias("clean"))
+    p = table(spark, sf, "pages").select("page_id", "html")
+    return X.with_clean_text(p, "html", "clean").select("page_id", "clean")
 
 
 def display_excerpt(spark, sf):

@@ -50,7 +50,10 @@ def strip(col: Column) -> Column:
 
 
 def collapse(col: Column) -> Column:
-    return F.trim(F.regexp_replace(col, f"{SPACE}+", " "))
+    """White space runs as one blank. Single blanks, the common case, are not rewritten."""
+    other = SPACE.replace(r"\s", r"\t\n\x{0b}\f\r")
+    # The lookahead lets visible ASCII fail on one range test.
+    return F.trim(F.regexp_replace(col, f"(?=[^!-~])(?: *{other}{SPACE}*| {{2,}})", " "))
 
 
 @F.pandas_udf(T.StringType())
@@ -58,22 +61,34 @@ def _decode_all(texts: pd.Series) -> pd.Series:
     return texts.map(html.unescape, na_action="ignore")
 
 
-def decode_entities(col: Column, full: bool = True) -> Column:
+def strip_tags(col: Column) -> Column:
+    return F.when(F.contains(col, F.lit("<")),
+                  F.regexp_replace(col, "<[^>]+>", " ")).otherwise(col)
+
+
+def _decode_common(col: Column) -> Column:
     common = col
     for name in COMMON_ENTITIES:
         common = F.replace(common, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
-    common = F.regexp_replace(common, _AMP, "&")
-    common = F.when(F.contains(col, F.lit("&")), common).otherwise(col)
-    if not full:
-        return common
-    rare = col.rlike(_UNCOMMON)
-    return F.when(rare, _decode_all(F.when(rare, col))).otherwise(common)
+    return F.when(F.contains(col, F.lit("&")),
+                  F.regexp_replace(common, _AMP, "&")).otherwise(col)
+
 
+def with_clean_text(df: DataFrame, text: str, out: str, full_entities: bool = True) -> DataFrame:
+    """Add ``out``: tags dropped, then entities decoded, then white space collapsed.
 
-def clean_text(col: Column, full_entities: bool = True) -> Column:
-    """Drop tags, then decode entities, then collapse white space (escaped markup stays)."""
-    col = F.regexp_replace(F.coalesce(col, F.lit("")), "<[^>]+>", " ")
-    return collapse(decode_entities(col, full_entities))
+    Escaped markup therefore stays. Each step is its own projection, so that no step
+    repeats the one before it; without ``full_entities`` only the common ones are decoded.
+    """
+    df = df.withColumn("_t", strip_tags(F.coalesce(text, F.lit(""))))
+    decoded = _decode_common(F.col("_t"))
+    if full_entities:
+        rare = F.contains("_t", F.lit("&")) & F.col("_t").rlike(_UNCOMMON)
+        df = df.withColumn("_r", F.when(rare, F.col("_t")))
+        df = df.withColumn("_d", _decode_all(F.col("_r")))
+        decoded = F.when(F.col("_r").isNull(), decoded).otherwise(F.col("_d"))
+    df = df.withColumn("_t", decoded)
+    return df.withColumn(out, collapse(F.col("_t"))).drop("_t", "_r", "_d")
 
 
 def display_excerpt(col: Column, length: int = 160) -> Column:
@@ -122,14 +137,34 @@ def term_condition(text_lc: Column, term: str, lexicon: Lexicon) -> Column:
     if term in lexicon.needs_context:
         pattern = context_pattern(term, lexicon.context, lexicon.window)
         if pattern:
-            hit = hit & text_lc.rlike(pattern)
+            some = any_of([F.contains(text_lc, F.lit(w)) for w in lexicon.context])
+            hit = hit & some & text_lc.rlike(pattern)
     return hit
 
 
+def gate_words(terms: tuple[str, ...]) -> list[str]:
+    """A small set of words such that every term holds one of them (greedy cover)."""
+    left, gates = list(dict.fromkeys(terms)), []
+    while left:
+        words = {w for t in left for w in (*t.split(), t)}
+        best = max(sorted(words), key=lambda w: (sum(w in t for t in left), len(w)))
+        gates.append(best)
+        left = [t for t in left if best not in t]
+    return gates
+
+
 def term_hits(text_lc: Column, lexicon: Lexicon) -> Column:
-    """Lexicon terms found in lower-cased text, in lexicon order."""
+    """Lexicon terms found in lower-cased text, in lexicon order.
+
+    Most texts hold no term: a few words shared by the terms are looked for first.
+    """
     found = [F.when(term_condition(text_lc, t, lexicon), F.lit(t)) for t in lexicon.terms]
-    return F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
+    hits = F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
+    gates = gate_words(lexicon.terms)
+    if len(gates) > len(lexicon.terms) * 2 // 3:
+        return hits
+    gate = any_of([F.contains(text_lc, F.lit(w)) for w in gates])
+    return F.when(gate, hits).otherwise(F.array().cast("array<string>"))
 
 
 def substring_hits(text_lc: Column, terms: tuple[str, ...]) -> Column:
@@ -142,8 +177,18 @@ def with_hits(df: DataFrame, text: str, lexicon: Lexicon, out: str = "kw") -> Da
             .withColumn(out, term_hits(F.col("_lc"), lexicon)).drop("_lc"))
 
 
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows where a costly computed condition holds.
+
+    A plain filter would be pushed below the projections it reads, which repeats their
+    expressions (here whole-text scans) in the filter. A generator is never pushed. All
+    columns are carried along, so select the needed ones first.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*df.columns)))))
+
+
 def matched_only(df: DataFrame, kw: str = "kw") -> DataFrame:
-    return df.where(F.size(kw) > 0)
+    return keep(df, F.size(kw) > 0)
 
 
 def in_location(text: Column, wanted: tuple[str, ...] | None) -> Column:

@@ -62,9 +62,8 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
 
     ``remote``, ``placed`` (text of the location test), ``searched`` (text of the match) and
     ``fallback`` (array of keywords if the lexicon finds none) are functions of the cleaned
-    body column. dedup: "first" keeps the first row of a url before matching and drops blank
-    urls; "after" does so among matches and keeps blank urls; "none" keeps all. Bodies are
-    reduced to their excerpt before any shuffle.
+    body column. dedup: "first" keeps the first row of a url, matched or not, and drops
+    blank urls; "none" keeps all. Bodies are reduced to their excerpt before any shuffle.
     """
     blank = F.lit("")
     def value(c: Column | None) -> Column:
@@ -81,7 +80,7 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
          else value(remote)).alias("remote"),
         (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("keep"),
         value(when_empty).alias("empty_excerpt"), seq.alias("ingest_seq"))
-    full = raw.withColumn("full_text", X.clean_text(F.col("body"))).drop("body")
+    full = X.with_clean_text(raw, "body", "full_text").drop("body")
     text = F.col("full_text")
     full = full.withColumn("text_lc", F.lower(text if searched is None else searched(text)))
     full = full.withColumn("kw", X.term_hits(F.col("text_lc"), lexicon))
@@ -104,11 +103,8 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
         "date_posted", "url", "_domain", "ingest_seq", matched.alias("matched"))
     if dedup == "first":
         narrow = first_wins(narrow.where(F.trim("url") != ""), ["url"], "ingest_seq")
-    matches = narrow.where("matched")
-    if dedup == "after":
-        named = first_wins(matches.where("url <> ''"), ["url"], "ingest_seq")
-        matches = named.unionByName(matches.where("url = ''"))
-    return matches.select(*JOB_COLUMNS, "ingest_seq")
+        return narrow.where("matched").select(*JOB_COLUMNS, "ingest_seq")
+    return X.keep(narrow, F.col("matched")).select(*JOB_COLUMNS, "ingest_seq")
 
 
 def preview(jobs: DataFrame, per_source: int = 5, shown: int = 15) -> DataFrame:

@@ -42,8 +42,9 @@ def benefit_employers(landed: DataFrame, labels=BENEFIT_LABELS) -> DataFrame:
     href = F.regexp_extract("a", 'href="([^"]*)"', 1)
     linked = links.select(
         F.regexp_extract(href, r"-E(\d+)\.htm", 1).alias("employer_id"),
-        X.clean_text(F.col("a")).alias("name"), F.col("search_term").alias("benefit_label"),
+        F.col("a").alias("name"), F.col("search_term").alias("benefit_label"),
         F.concat(F.lit(_REVIEWS), href).alias("detail_url"), "seq", "pos")
+    linked = X.with_clean_text(linked, "name", "name")
     rank = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in labels]),
                                        F.col("benefit_label")), F.lit(0))
     found = (stated.unionByName(linked).where("employer_id <> ''")
