@@ -17,12 +17,14 @@ def weekly_counts(stream: DataFrame, key: str, event_time: str, delay: str) -> D
 
 def weekly_distinct(stream: DataFrame, key: str, value: str, event_time: str,
                     delay: str) -> DataFrame:
-    """Distinct values per key and week: deduplicated first, so append mode only."""
+    """Distinct values per key and closed week, in append mode.
+
+    The window is part of the deduplication key, so its state ends with the week.
+    """
     week = F.window(event_time, "7 days", startTime=MONDAY)
-    once = (stream.withWatermark(event_time, delay).withColumn("_start", week["start"])
-            .dropDuplicatesWithinWatermark([key, "_start", value]))
-    return (once.groupBy(F.window(event_time, "7 days", startTime=MONDAY).alias("week"), key)
-            .agg(F.count("*").alias("signal_count")))
+    once = (stream.withWatermark(event_time, delay).withColumn("week", week)
+            .select("week", key, value).dropDuplicates(["week", key, value]))
+    return once.groupBy("week", key).agg(F.count("*").alias("signal_count"))
 
 
 def week_start(window: str = "week") -> Column:
