@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scoring as S
 from ..operators import markets as M, rollup as R
 from ..operators.dedup import first_wins
+from ..session import stored
 from . import sql as Q
 from .data import RUBRIC, postings, supplier_accounts, table
 
@@ -89,7 +90,8 @@ def first_domain(spark, sf):
 
 def company_rollup(spark, sf):
     """All 30 company columns from matched documents and supplier accounts."""
-    return R.rollup(postings(spark, sf), supplier_accounts(spark, sf), RUBRIC)
+    jobs = stored(postings(spark, sf), "postings")
+    return R.rollup(jobs, supplier_accounts(spark, sf), RUBRIC)
 
 
 def top_companies(spark, sf):

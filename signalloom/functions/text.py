@@ -20,14 +20,17 @@ from ..lexicon import Lexicon
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# Unicode white space as one Java character class (plain \s is ASCII only).
-SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Unicode white space as one Java character class (plain \s is ASCII only). The inner
+# intersection lets other characters fail on one range test.
+_WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\x{1680}-\x{3000}&&[" + _WIDE + "]]]"
 
 # Entities decoded without leaving the JVM. '&amp;' is handled last and in one pass, so
 # that doubly escaped text is decoded once.
 COMMON_ENTITIES = ("lt", "gt", "quot", "apos", "nbsp", "#39", "#x27", "copy", "reg", "middot",
                    "bull", "hellip", "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo")
 _AMP = "&(?:amp|#38|#x26);"
+_NOT_AMP = "&(?!amp;)(?:#|[A-Za-z])"
 _UNCOMMON = "&(?!(?:amp|#38|#x26|" + "|".join(COMMON_ENTITIES) + ");)(?:#|[A-Za-z])"
 
 
@@ -50,10 +53,7 @@ def strip(col: Column) -> Column:
 
 
 def collapse(col: Column) -> Column:
-    """White space runs as one blank. Single blanks, the common case, are not rewritten."""
-    other = SPACE.replace(r"\s", r"\t\n\x{0b}\f\r")
-    # The lookahead lets visible ASCII fail on one range test.
-    return F.trim(F.regexp_replace(col, f"(?=[^!-~])(?: *{other}{SPACE}*| {{2,}})", " "))
+    return F.trim(F.regexp_replace(col, f"{SPACE}+", " "))
 
 
 @F.pandas_udf(T.StringType())
@@ -66,12 +66,12 @@ def strip_tags(col: Column) -> Column:
                   F.regexp_replace(col, "<[^>]+>", " ")).otherwise(col)
 
 
-def _decode_common(col: Column) -> Column:
+def _decode_common(col: Column, only_amp: Column) -> Column:
     common = col
     for name in COMMON_ENTITIES:
         common = F.replace(common, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
-    return F.when(F.contains(col, F.lit("&")),
-                  F.regexp_replace(common, _AMP, "&")).otherwise(col)
+    return (F.when(only_amp, F.replace(col, F.lit("&amp;"), F.lit("&")))
+            .otherwise(F.regexp_replace(common, _AMP, "&")))
 
 
 def with_clean_text(df: DataFrame, text: str, out: str, full_entities: bool = True) -> DataFrame:
@@ -80,15 +80,16 @@ def with_clean_text(df: DataFrame, text: str, out: str, full_entities: bool = Tr
     Escaped markup therefore stays. Each step is its own projection, so that no step
     repeats the one before it; without ``full_entities`` only the common ones are decoded.
     """
+    t = F.col("_t")
     df = df.withColumn("_t", strip_tags(F.coalesce(text, F.lit(""))))
-    decoded = _decode_common(F.col("_t"))
+    df = df.withColumn("_a", ~(F.contains(t, F.lit("&")) & t.rlike(_NOT_AMP)))
+    decoded = _decode_common(t, F.col("_a"))
     if full_entities:
-        rare = F.contains("_t", F.lit("&")) & F.col("_t").rlike(_UNCOMMON)
-        df = df.withColumn("_r", F.when(rare, F.col("_t")))
+        df = df.withColumn("_r", F.when(~F.col("_a") & t.rlike(_UNCOMMON), t))
         df = df.withColumn("_d", _decode_all(F.col("_r")))
         decoded = F.when(F.col("_r").isNull(), decoded).otherwise(F.col("_d"))
     df = df.withColumn("_t", decoded)
-    return df.withColumn(out, collapse(F.col("_t"))).drop("_t", "_r", "_d")
+    return df.withColumn(out, collapse(F.col("_t"))).drop("_t", "_a", "_r", "_d")
 
 
 def display_excerpt(col: Column, length: int = 160) -> Column:
@@ -129,7 +130,9 @@ def context_pattern(term: str, context: tuple[str, ...], window: int) -> str | N
     for gap, words in before.items():
         group = "(?:" + "|".join(words) + ")"
         parts += [quoted + _gap(gap) + group, group + _gap(gap) + quoted]
-    return "|".join(parts + joined)
+    # The lookahead rejects most positions on their first character.
+    heads = "".join(re.escape(c) for c in sorted({w[0] for w in (term, *context)}))
+    return f"(?=[{heads}])(?:{'|'.join(parts + joined)})"
 
 
 def term_condition(text_lc: Column, term: str, lexicon: Lexicon) -> Column:

@@ -54,8 +54,8 @@ class Run:
     def _old(self, table: str, schema: str) -> DataFrame:
         return self.store.read(table, self.base, schema)
 
-    def _save(self, table: str, df: DataFrame) -> DataFrame:
-        return self.store.write(table, df, self.version)
+    def _save(self, table: str, df: DataFrame, by: str | None = None) -> DataFrame:
+        return self.store.write(table, df, self.version, by)
 
     def _day(self):
         return F.lit(self.today).cast("date")
@@ -85,7 +85,7 @@ class Run:
         log = velocity.recent_weeks(self._old("velocity_log", _VELOCITY), self._day(),
                                     self.velocity_weeks)
         log = self._save("velocity_log", velocity.add_run(
-            log, velocity.contributions(batch, self._day(), self.run_id)))
+            log, velocity.contributions(batch, self._day(), self.run_id)), by="week")
         weekly = velocity.weekly(log)
 
         if ats_cache is not None:

@@ -87,24 +87,26 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
     if fallback is not None:
         full = full.withColumn("kw", F.when(F.size("kw") > 0, F.col("kw"))
                                .otherwise(fallback(F.col("text_lc"))))
-    if callable(remote):
-        full = full.withColumn("remote", remote(text))
-    else:
-        full = full.withColumn("remote", F.coalesce("remote", blank))
     where = text if placed is None else placed(text)
     matched = (F.col("keep") & (F.size("kw") > 0) & X.in_location(where, wanted)
                & ((text != "") if need_text else F.lit(True)))
+    flagged = full.drop("text_lc").withColumn("matched", F.coalesce(matched, F.lit(False)))
+    if dedup == "none":
+        flagged = X.keep(flagged, F.col("matched"))
+
+    # Rows without a match only hold their url's place: nothing else of them is computed.
+    remote_text = remote(text) if callable(remote) else F.coalesce("remote", blank)
     snippet = F.when(text == "", F.col("empty_excerpt")).otherwise(
         X.excerpt(text, F.get("kw", F.lit(0))))
-    narrow = full.select(
-        "source", "company", "title", "location", "remote",
-        X.join_list(F.col("kw")).alias("food_keywords_matched"),
-        F.size("kw").alias("keyword_count"), F.coalesce(snippet, blank).alias("perk_excerpt"),
-        "date_posted", "url", "_domain", "ingest_seq", matched.alias("matched"))
+    computed = {"food_keywords_matched": X.join_list(F.col("kw")), "keyword_count": F.size("kw"),
+                "perk_excerpt": F.coalesce(snippet, blank), "remote": remote_text}
+    values = [F.when(F.col("matched"), computed[c] if c in computed else F.col(c)).alias(c)
+              for c in JOB_COLUMNS if c != "url"]
+    narrow = flagged.select("url", *values, "ingest_seq", "matched")
     if dedup == "first":
-        narrow = first_wins(narrow.where(F.trim("url") != ""), ["url"], "ingest_seq")
-        return narrow.where("matched").select(*JOB_COLUMNS, "ingest_seq")
-    return X.keep(narrow, F.col("matched")).select(*JOB_COLUMNS, "ingest_seq")
+        narrow = first_wins(narrow.where(F.trim("url") != ""), ["url"],
+                            "ingest_seq").where("matched")
+    return narrow.select(*JOB_COLUMNS, "ingest_seq")
 
 
 def preview(jobs: DataFrame, per_source: int = 5, shown: int = 15) -> DataFrame:

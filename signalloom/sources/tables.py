@@ -104,10 +104,18 @@ class Snapshots:
             return self.spark.createDataFrame([], empty)
         return self.spark.read.parquet(f"{self.root}/{table}/version={version}")
 
-    def write(self, table: str, df: DataFrame, version: int) -> DataFrame:
+    def write(self, table: str, df: DataFrame, version: int,
+              by: str | None = None) -> DataFrame:
+        """Write and read back; ``by`` partitions the files of the table by a column.
+
+        The rebalance hint gives each value few files and splits values that are large.
+        """
         path = f"{self.root}/{table}/version={version}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        if by is None:
+            df.write.mode("overwrite").parquet(path)
+        else:
+            df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def commit(self, ran_at: str, version: int, run_id: str) -> None:
         row = self.spark.createDataFrame([(ran_at, version, run_id)], self._COMMITS)
