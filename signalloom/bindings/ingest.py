@@ -434,7 +434,7 @@ _EX = dict(source="'Exa'", location="''", remote="'Unknown'", body=_PLAIN_TEXT,
                "'https://boards.bamboohr.com/' || id ELSE 'https://jobs.ashbyhq.com/My_' || "
                "slug || '/' || id END",
            company="CASE lang WHEN 'en' THEN upper(slug[1]) || substring(slug, 2) WHEN 'es' "
-                   "THEN 'My ' || upper(slug[1]) || substring(slug, 2) ELSE 'Https://boards' "
+                   "THEN 'My ' || upper(slug[1]) || substring(slug, 2) ELSE 'Https://Boards' "
                    "END", kept="lang <> 'fr'")
 _TS = dict(source="'TheirStack-Discovery'",
            company="CASE WHEN lang = 'fr' THEN slug || '.com' ELSE slug END",

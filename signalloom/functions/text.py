@@ -241,8 +241,17 @@ def iso_week(col: Column) -> Column:
                     F.lpad(F.weekofyear(col).cast("string"), 2, "0"))
 
 
+def title_case(col: Column) -> Column:
+    """Upper case for every letter that follows no letter ("2u" gives "2U").
+
+    initcap starts words at blanks only, so other starts get a marked blank for a moment.
+    """
+    marked = F.regexp_replace(col, r"([^\p{L}])(?=\p{L})", "$1\x01 ")
+    return F.replace(F.initcap(marked), F.lit("\x01 "), F.lit(""))
+
+
 def prettify_slug(col: Column) -> Column:
-    return F.initcap(F.translate(col, "-_", "  "))
+    return title_case(F.translate(col, "-_", "  "))
 
 
 def page_title(col: Column, default: str = "Unknown Role") -> Column:

@@ -13,7 +13,7 @@ from .base import items, or_blank, to_jobs
 
 
 def _slug_name() -> Column:
-    return F.initcap(F.replace(or_blank("slug"), F.lit("-"), F.lit(" ")))
+    return X.title_case(F.replace(or_blank("slug"), F.lit("-"), F.lit(" ")))
 
 
 def _location_and(text: Column) -> Column:

@@ -20,7 +20,7 @@ def job_board(frame: DataFrame, number: int = 6, lexicon: Lexicon = PERK_LEXICON
     site = X.first_nonblank("site", default="JobSpy")
     frame = frame.withColumn("pos", F.lit(0))
     return to_jobs(
-        frame, number, source=F.concat(F.lit("JobSpy/"), F.initcap(site)),
+        frame, number, source=F.concat(F.lit("JobSpy/"), X.title_case(site)),
         company=F.col("company_name"), title=F.col("title"), body=F.col("description"),
         url=F.col("job_url"), location=F.concat_ws(", ", known("city"), known("state")),
         date_posted=F.when(~or_blank("date_posted").isin("nan", "None"),
