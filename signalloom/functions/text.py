@@ -214,8 +214,8 @@ def excerpt(text: Column, keyword: Column, window: int = 120) -> Column:
 
 def split_list(col: Column) -> Column:
     """A ", " list as an array of trimmed, non-blank entries."""
-    parts = F.transform(F.split(F.coalesce(col, F.lit("")), ", ", -1), F.trim)
-    return F.filter(parts, lambda p: p != "")
+    ended = F.concat(F.ltrim(F.coalesce(col, F.lit(""))), F.lit(", "))
+    return F.array_remove(F.split(ended, " *, +"), "")
 
 
 def join_list(col: Column) -> Column:

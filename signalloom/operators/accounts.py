@@ -128,22 +128,30 @@ def _names_by_list(names: DataFrame) -> DataFrame:
     return names.groupBy("nn").agg(*_per_list(F.max_by, F.col("first_row")))
 
 
+def _signature(tokens: str) -> Column:
+    """64-bit set signature: a subset's bits are part of its superset's bits."""
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("long"),
+                        F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
+
+
 def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000) -> DataFrame:
     """nn -> first account of each list whose name holds every token of nn (two at least).
 
     Equal token sets are merged on both sides first. A query then meets only the accounts
-    that share its rarest token; the containment test is part of the join condition, and the
-    first account is kept by a combining aggregate, so pairs are never stored. Tokens with
-    more than ``hot_rows`` accounts are spread over salts.
+    that share its rarest token; the containment test (a bit test before the exact one) is
+    part of the join condition, and the first row is kept by a combining aggregate, so pairs
+    are never stored. Tokens with more than ``hot_rows`` accounts are spread over salts.
     """
     asked = (queries.select("nn").distinct().withColumn("tokens", name_tokens(F.col("nn")))
              .where(F.size("tokens") >= 2))
     asked_sets = asked.select(F.array_join("tokens", " ").alias("qkey"), "tokens").distinct()
+    asked_sets = asked_sets.withColumn("qbits", _signature("tokens"))
 
     known = names.withColumn("tokens", name_tokens(F.col("nn")))
     known = known.groupBy("list", F.array_join("tokens", " ").alias("akey")).agg(
-        F.first("tokens").alias("atokens"), F.min("first_row").alias("first_row"),
-        F.min_by("account", "first_row").alias("account"))
+        F.first("tokens").alias("atokens"), F.min("first_row").alias("first_row"))
+    known = known.withColumn("abits", _signature("atokens"))
 
     tokens = known.select(F.explode("atokens").alias("token"))
     frequency = tokens.groupBy("token").agg(F.count("*").alias("n"))
@@ -153,13 +161,13 @@ def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000)
         "token", F.ceil(F.col("n") / hot_rows).cast("int").alias("salts"))
 
     # Every token must be known, else no account can hold them all.
-    rarest = (asked_sets.select("qkey", "tokens", F.explode("tokens").alias("token"))
+    rarest = (asked_sets.select("qkey", "qbits", "tokens", F.explode("tokens").alias("token"))
               .join(frequency, "token")
-              .groupBy("qkey").agg(F.first("tokens").alias("tokens"),
-                                   F.count("*").alias("found"),
-                                   F.min(F.struct("n", "token")).alias("rarest"))
+              .groupBy("qkey", "qbits").agg(F.first("tokens").alias("tokens"),
+                                            F.count("*").alias("found"),
+                                            F.min(F.struct("n", "token")).alias("rarest"))
               .where(F.col("found") == F.size("tokens"))
-              .select("qkey", "tokens", F.col("rarest.token").alias("token")))
+              .select("qkey", "qbits", "tokens", F.col("rarest.token").alias("token")))
     one = F.coalesce(F.col("salts"), F.lit(1))
     left = (rarest.join(F.broadcast(hot), "token", "left")
             .withColumn("salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("salts"))
@@ -167,10 +175,18 @@ def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000)
              .join(F.broadcast(hot), "token", "left")
              .withColumn("salt", F.pmod(F.hash("akey"), one)).drop("salts"))
 
-    contained = F.size(F.array_except("tokens", "atokens")) == 0
+    contained = ((F.col("qbits").bitwiseAND(F.col("abits")) == F.col("qbits"))
+                 & (F.size(F.array_except("tokens", "atokens")) == 0))
+    first = [F.min(F.when(F.col("list") == x, F.col("first_row"))).alias(f"{x}_row")
+             for x in LISTS]
     hits = (left.alias("q").join(right.alias("a"), (F.col("q.token") == F.col("a.token"))
                                  & (F.col("q.salt") == F.col("a.salt")) & contained)
-            .groupBy("qkey").agg(*_per_list(F.min_by, F.col("first_row"))))
+            .groupBy("qkey").agg(*first))
+    # Only row numbers went through the join; the winners' accounts are attached here.
+    for x in LISTS:
+        rows = names.where(F.col("list") == x).select(
+            F.col("first_row").alias(f"{x}_row"), F.col("account").alias(x))
+        hits = hits.join(rows, f"{x}_row", "left")
     return (asked.select("nn", F.array_join("tokens", " ").alias("qkey"))
             .join(hits, "qkey").select("nn", *LISTS))
 

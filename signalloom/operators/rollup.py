@@ -83,15 +83,14 @@ def company_sets(scored: DataFrame, rubric: Rubric = PERK_RUBRIC) -> DataFrame:
     Titles are counted after a distinct over (company, kind, value), so a company's titles
     never meet in one task; keyword and source sets are bounded by their vocabularies.
     """
-    def tagged(kind: str, values: Column) -> Column:
-        return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"),
-                                                      v.alias("value")))
-    title = F.array_compact(F.array(nonblank(F.lower(F.trim("title")))))
-    values = F.concat(tagged("title", title),
-                      tagged("kw", split_list(F.col("food_keywords_matched"))),
-                      tagged("source", F.array(F.coalesce("source", F.lit("")))))
-    distinct = (scored.select("company_norm", F.explode(values).alias("v"))
-                .select("company_norm", "v.kind", "v.value").distinct())
+    # Places in the array tell the kinds apart: title, source, then keywords.
+    values = F.concat(F.array(nonblank(F.lower(F.trim("title"))),
+                              F.coalesce("source", F.lit(""))),
+                      split_list(F.col("food_keywords_matched")))
+    kind = F.when(F.col("pos") == 0, "title").when(F.col("pos") == 1, "source").otherwise("kw")
+    distinct = (scored.select("company_norm", F.posexplode(values).alias("pos", "value"))
+                .select("company_norm", kind.alias("kind"), "value")
+                .where("value is not null").distinct())
     ranks = F.lit(len(rubric.source))
     for rank, name in reversed(list(enumerate(rubric.source))):
         ranks = F.when(F.col("value") == name, F.lit(rank)).otherwise(ranks)
