@@ -53,8 +53,9 @@ def clean(text: str) -> str:
     """Tags out, entities of the corpus decoded, white space collapsed."""
     out = f"regexp_replace({text}, '<[^>]+>', ' ', 'g')"
     for entity, char in (("&middot;", "·"), ("&copy;", "©"), ("&quot;", '"'), ("&lt;", "<"),
-                         ("&gt;", ">"), ("&#39;", "'"), ("&amp;", "&")):
+                         ("&gt;", ">"), ("&#39;", "'")):
         out = f"replace({out}, {lit(entity)}, {lit(char)})"
+    out = f"regexp_replace({out}, '&amp;?', '&', 'g')"
     return f"trim(regexp_replace({out}, '\\s+', ' ', 'g'))"
 
 
