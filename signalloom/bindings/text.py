@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import names as N, scoring as S, text as X
 from ..lexicon import PLATFORM_SLUGS, city_rules
 from ..operators import ats, liveness, markets as M
+from ..operators.rollup import with_scores
 from . import sql as Q
 from .data import LEXICON, PLAIN, RUBRIC, WEIGHTS, documents, table
 
@@ -117,8 +118,8 @@ def ats_fingerprint(spark, sf):
 
 def keyword_score(spark, sf):
     d = table(spark, sf, "documents")
-    return d.select("doc_id", S.weighted_hits(F.lower("text"), WEIGHTS).cast("long").alias(
-        "score"))
+    d = d.select("doc_id", F.lower("text").alias("lc"))
+    return d.select("doc_id", S.weighted_hits("lc", WEIGHTS).cast("long").alias("score"))
 
 
 _PART_RUBRIC = type(RUBRIC)(
@@ -129,10 +130,12 @@ _PART_RUBRIC = type(RUBRIC)(
 
 def row_score(spark, sf):
     p = table(spark, sf, "part")
-    score = S.posting_score(F.col("p_brand"), F.col("p_name"), F.col("p_type"),
-                            F.col("p_name"), F.size(F.split("p_name", " ")), F.col("p_type"),
-                            _PART_RUBRIC)
-    return p.select("p_partkey", score.alias("score"))
+    rows = p.select("p_partkey", F.col("p_brand").alias("company"), F.col("p_name").alias("title"),
+                    F.col("p_type").alias("perk_excerpt"),
+                    F.col("p_name").alias("food_keywords_matched"),
+                    F.size(F.split("p_name", " ")).alias("keyword_count"),
+                    F.col("p_type").alias("source"), F.lit("").alias("location"))
+    return with_scores(rows, _PART_RUBRIC).select("p_partkey", F.col("gtm_score").alias("score"))
 
 
 def score_tiers(spark, sf):
@@ -227,8 +230,9 @@ def market_of_location(spark, sf):
     d = documents(spark, sf)
     where = F.concat_ws(" ", F.col("place"), F.when(F.col("title").startswith("role 9"),
                                                     F.lit(", Dallas")))
-    return d.select("doc_id", M.location_market(where).alias("market"),
-                    M.location_market(F.col("text"), _WORD_MARKETS).alias("word_market"))
+    d = d.select("doc_id", F.lower(where).alias("place"), F.lower("text").alias("lc"))
+    return d.select("doc_id", M.location_market("place").alias("market"),
+                    M.location_market("lc", _WORD_MARKETS).alias("word_market"))
 
 
 _WORD_MARKETS = (("A", ("license", "ungen")), ("B", ("ouble", "reau")), ("C", ("thing",)))
@@ -242,7 +246,7 @@ def city_market_rules(spark, sf):
     n = F.lit(len(city_rules()))
     c = c.withColumn("city", F.get(cities, F.pmod(F.col("c_custkey"), n).cast("int")))
     c = c.withColumn("state", F.get(states, F.pmod(F.floor(F.col("c_acctbal")), n).cast("int")))
-    return c.select("c_custkey", M.city_market(F.col("city"), F.col("state")).alias("market"))
+    return c.select("c_custkey", M.city_market("city", "state").alias("market"))
 
 
 def _city_sql() -> str:

@@ -2,44 +2,35 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from ..lexicon import PERK_RUBRIC, Rubric
-from .text import any_of
+from .text import any_of, sql_text
 
 
-def weighted_hits(text_lc: Column, weights: dict[str, int]) -> Column:
-    """Sum of the weights of all terms contained in the text (overlaps add up)."""
-    terms = [F.when(F.contains(text_lc, F.lit(t)), F.lit(w)).otherwise(F.lit(0))
+def weighted_hits(text_lc: str, weights: dict[str, int]) -> Column:
+    """Sum of the weights of all terms in the named column (overlapping terms add up)."""
+    terms = [f"CASE WHEN contains({text_lc}, {sql_text(t)}) THEN {w} ELSE 0 END"
              for t, w in weights.items()]
-    return reduce(lambda a, b: a + b, terms, F.lit(0))
-
+    return F.expr(" + ".join(terms) or "0")
 
-def keyword_score(keywords: Column, rubric: Rubric = PERK_RUBRIC) -> Column:
-    return weighted_hits(F.lower(F.coalesce(keywords, F.lit(""))), rubric.keyword)
 
+def source_score(source: str, rubric: Rubric = PERK_RUBRIC) -> Column:
+    cases = " ".join(f"WHEN {sql_text(n)} THEN {w}" for n, w in rubric.source.items())
+    return F.expr(f"CASE {source} {cases} ELSE 0 END" if cases else "0")
 
-def source_score(source: Column, rubric: Rubric = PERK_RUBRIC) -> Column:
-    chain = F.when(F.lit(False), F.lit(0))
-    for name, weight in rubric.source.items():
-        chain = chain.when(source == name, F.lit(weight))
-    return chain.otherwise(F.lit(0))
 
+def posting_score(keywords_lc: str, text_lc: str, title_lc: str, keyword_count: str,
+                  source: str, rubric: Rubric = PERK_RUBRIC) -> Column:
+    """Keyword + count + source + vertical + size + persona points of one posting.
 
-def posting_score(company: Column, title: Column, snippet: Column, keywords: Column,
-                  keyword_count: Column, source: Column,
-                  rubric: Rubric = PERK_RUBRIC) -> Column:
-    """Keyword + count + source + vertical + size + persona points of one posting."""
-    parts = [F.coalesce(c, F.lit("")) for c in (company, title, snippet)]
-    combined = F.lower(F.concat_ws(" ", *parts))
-    return (keyword_score(keywords, rubric)
+    Takes column names; ``text_lc`` is company, title and excerpt together.
+    """
+    return (weighted_hits(keywords_lc, rubric.keyword)
             + F.coalesce(keyword_count, F.lit(1)) * rubric.per_keyword
             + source_score(source, rubric)
-            + weighted_hits(combined, rubric.vertical)
-            + weighted_hits(combined, rubric.size)
-            + weighted_hits(F.lower(parts[1]), rubric.persona)).cast("long")
+            + weighted_hits(text_lc, rubric.vertical) + weighted_hits(text_lc, rubric.size)
+            + weighted_hits(title_lc, rubric.persona)).cast("long")
 
 
 def confidence(score: Column) -> Column:

@@ -38,6 +38,20 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions) if conditions else F.lit(False)
 
 
+def sql_text(text: str) -> str:
+    """A string literal for F.expr.
+
+    Long generated conditions are built as one SQL text over named columns: as Column
+    objects each of their hundreds of parts would be a call to the JVM.
+    """
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def contains_any(name: str, terms) -> str:
+    """SQL text: the named column contains any of the terms."""
+    return "(" + " OR ".join(f"contains({name}, {sql_text(t)})" for t in terms) + ")"
+
+
 def nonblank(col: Column | str) -> Column:
     """The value, or null where it is null or only white space."""
     col = F.col(col) if isinstance(col, str) else col
@@ -135,13 +149,14 @@ def context_pattern(term: str, context: tuple[str, ...], window: int) -> str | N
     return f"(?=[{heads}])(?:{'|'.join(parts + joined)})"
 
 
-def term_condition(text_lc: Column, term: str, lexicon: Lexicon) -> Column:
-    hit = F.contains(text_lc, F.lit(term))
+def term_condition(text_lc: str, term: str, lexicon: Lexicon) -> str:
+    """SQL text of the test of one term on the named lower-cased column."""
+    hit = f"contains({text_lc}, {sql_text(term)})"
     if term in lexicon.needs_context:
         pattern = context_pattern(term, lexicon.context, lexicon.window)
         if pattern:
-            some = any_of([F.contains(text_lc, F.lit(w)) for w in lexicon.context])
-            hit = hit & some & text_lc.rlike(pattern)
+            hit += (f" AND {contains_any(text_lc, lexicon.context)} "
+                    f"AND {text_lc} RLIKE {sql_text(pattern)}")
     return hit
 
 
@@ -156,28 +171,29 @@ def gate_words(terms: tuple[str, ...]) -> list[str]:
     return gates
 
 
-def term_hits(text_lc: Column, lexicon: Lexicon) -> Column:
-    """Lexicon terms found in lower-cased text, in lexicon order.
+def term_hits(text_lc: str, lexicon: Lexicon) -> Column:
+    """Lexicon terms found in the named lower-cased column, in lexicon order.
 
     Most texts hold no term: a few words shared by the terms are looked for first.
     """
-    found = [F.when(term_condition(text_lc, t, lexicon), F.lit(t)) for t in lexicon.terms]
-    hits = F.array_except(F.array(*found), F.array(F.lit(None).cast("string")))
+    found = ", ".join(f"CASE WHEN {term_condition(text_lc, t, lexicon)} THEN {sql_text(t)} END"
+                      for t in lexicon.terms)
+    hits = f"array_except(array({found}), array(CAST(NULL AS STRING)))"
     gates = gate_words(lexicon.terms)
-    if len(gates) > len(lexicon.terms) * 2 // 3:
-        return hits
-    gate = any_of([F.contains(text_lc, F.lit(w)) for w in gates])
-    return F.when(gate, hits).otherwise(F.array().cast("array<string>"))
+    if len(gates) <= len(lexicon.terms) * 2 // 3:
+        hits = (f"CASE WHEN {contains_any(text_lc, gates)} THEN {hits} "
+                "ELSE CAST(array() AS ARRAY<STRING>) END")
+    return F.expr(hits)
 
 
-def substring_hits(text_lc: Column, terms: tuple[str, ...]) -> Column:
+def substring_hits(text_lc: str, terms: tuple[str, ...]) -> Column:
     return term_hits(text_lc, Lexicon(tuple(terms)))
 
 
 def with_hits(df: DataFrame, text: str, lexicon: Lexicon, out: str = "kw") -> DataFrame:
     """Add the array of hits; the text is lower-cased once."""
     return (df.withColumn("_lc", F.lower(F.coalesce(F.col(text), F.lit(""))))
-            .withColumn(out, term_hits(F.col("_lc"), lexicon)).drop("_lc"))
+            .withColumn(out, term_hits("_lc", lexicon)).drop("_lc"))
 
 
 def keep(df: DataFrame, condition: Column) -> DataFrame:

@@ -5,33 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import normalise_domain
-from ..functions.text import any_of
+from ..functions.text import contains_any, sql_text
 from ..lexicon import LOCATION_MARKETS, city_rules
 
 OTHER = "Other"
 
 
-def location_market(location: Column, rules=LOCATION_MARKETS) -> Column:
-    """First market with a signal inside the location text, else Other."""
-    text = F.lower(F.coalesce(location, F.lit("")))
-    chain = F.when(F.lit(False), F.lit(OTHER))
-    for market, signals in rules:
-        chain = chain.when(any_of([F.contains(text, F.lit(s)) for s in signals]),
-                           F.lit(market))
-    return chain.otherwise(F.lit(OTHER))
+def location_market(place_lc: str, rules=LOCATION_MARKETS) -> Column:
+    """First market with a signal inside the named lower-cased text, else Other."""
+    cases = " ".join(f"WHEN {contains_any(place_lc, signals)} THEN {sql_text(market)}"
+                     for market, signals in rules)
+    return F.expr(f"CASE {cases} ELSE '{OTHER}' END")
 
 
-def city_market(city: Column, state: Column, rules=None) -> Column:
+def city_market(city: str, state: str, rules=None) -> Column:
     """First rule whose city equals and whose state, if any, is part of the given state."""
-    city = F.lower(F.trim(F.coalesce(city, F.lit(""))))
-    state = F.lower(F.trim(F.coalesce(state, F.lit(""))))
-    chain = F.when(F.lit(False), F.lit(OTHER))
+    city, state = (f"lower(trim(coalesce({c}, '')))" for c in (city, state))
+    cases = []
     for rule_city, rule_state, market in (city_rules() if rules is None else rules):
-        match = city == rule_city
+        match = f"{city} = {sql_text(rule_city)}"
         if rule_state is not None:
-            match = match & F.contains(state, F.lit(rule_state))
-        chain = chain.when(match, F.lit(market))
-    return chain.otherwise(F.lit(OTHER))
+            match += f" AND contains({state}, {sql_text(rule_state)})"
+        cases.append(f"WHEN {match} THEN {sql_text(market)}")
+    return F.expr(f"CASE {' '.join(cases)} ELSE '{OTHER}' END")
 
 
 def with_office(accounts: DataFrame, rules=None) -> DataFrame:
@@ -41,7 +37,7 @@ def with_office(accounts: DataFrame, rules=None) -> DataFrame:
     return (accounts.select(normalise_domain(F.col("domain")).alias("domain"),
                             city.alias("city"), state.alias("state"), "row_no")
             .where((F.col("domain") != "") & (F.col("city") != ""))
-            .withColumn("market", city_market(F.col("city"), F.col("state"), rules)))
+            .withColumn("market", city_market("city", "state", rules)))
 
 
 def office_counts(offices: DataFrame) -> DataFrame:

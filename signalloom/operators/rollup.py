@@ -21,15 +21,18 @@ from .markets import OTHER, fallback_market, location_market, office_index
 def with_scores(jobs: DataFrame, rubric: Rubric = PERK_RUBRIC,
                 markets=LOCATION_MARKETS) -> DataFrame:
     """Postings with a company: company_norm, market, kw_score and gtm_score added."""
-    return (jobs.withColumn("company_norm", F.lower(F.trim(F.coalesce("company", F.lit("")))))
-            .where("company_norm <> ''")
-            .withColumn("market", location_market(F.col("location"), markets))
-            .withColumn("kw_score", S.keyword_score(
-                F.col("food_keywords_matched"), rubric).cast("long"))
-            .withColumn("gtm_score", S.posting_score(
-                F.col("company"), F.col("title"), F.col("perk_excerpt"),
-                F.col("food_keywords_matched"), F.col("keyword_count"), F.col("source"),
-                rubric)))
+    def lower(*names: str) -> Column:
+        return F.lower(F.concat_ws(" ", *[F.coalesce(n, F.lit("")) for n in names]))
+    texts = jobs.withColumns({
+        "company_norm": F.lower(F.trim(F.coalesce("company", F.lit("")))),
+        "_kws": lower("food_keywords_matched"), "_title": lower("title"),
+        "_text": lower("company", "title", "perk_excerpt"), "_place": lower("location"),
+    }).where("company_norm <> ''")
+    return texts.withColumns({
+        "market": location_market("_place", markets),
+        "kw_score": S.weighted_hits("_kws", rubric.keyword).cast("long"),
+        "gtm_score": S.posting_score("_kws", "_text", "_title", "keyword_count", "source",
+                                     rubric)}).drop("_kws", "_title", "_text", "_place")
 
 
 def quality_counts(rubric: Rubric = PERK_RUBRIC) -> list[Column]:
@@ -143,20 +146,17 @@ def _with_locations(df: DataFrame, rubric: Rubric) -> DataFrame:
         return F.array_join(F.transform(mine, lambda s: s["market"]), ", ")
 
     df = df.withColumn("detail", F.transform("stats", flag))
-    for kind, level in rubric.boost:
-        df = df.withColumn(f"{kind}_{level}", markets(kind, level))
     points = F.aggregate("detail", F.lit(0), lambda acc, s: acc + S.location_boost(
         s["loc_type"], s["signal_strength"], rubric))
+    postings = F.aggregate("detail", F.lit(0).cast("long"), lambda acc, s: acc + s["jd_count"])
     ordered = F.array_sort("detail", lambda a, b: F.when(a["jd_count"] > b["jd_count"], -1)
                            .when(a["jd_count"] < b["jd_count"], 1)
                            .when(a["market"] < b["market"], -1)
                            .when(a["market"] > b["market"], 1).otherwise(0))
-    return (df.withColumn("boost", points)
-            .withColumn("location_jd_count", F.aggregate(
-                "detail", F.lit(0).cast("long"), lambda acc, s: acc + s["jd_count"]))
-            .withColumn("location_detail", F.to_json(ordered))
-            .withColumn("loc_signal_strength", S.overall_signal(
-                *[F.col(f"{k}_{level}") for k, level in rubric.boost])))
+    return df.withColumns({
+        **{f"{kind}_{level}": markets(kind, level) for kind, level in rubric.boost},
+        "boost": points, "location_jd_count": postings,
+        "location_detail": F.to_json(ordered)})
 
 
 def rollup(jobs: DataFrame, accounts: DataFrame, rubric: Rubric = PERK_RUBRIC,
@@ -186,29 +186,31 @@ def rollup(jobs: DataFrame, accounts: DataFrame, rubric: Rubric = PERK_RUBRIC,
     companies = _with_locations(companies, rubric)
 
     self_ref = S.self_referential(F.col("company_norm"), F.col("top_keywords"), rubric)
-    score = S.company_score(F.col("best.gtm_score"), self_ref, F.col("pick.segment"),
-                            F.col("boost"), rubric)
-    inferred = location_market(F.col("best.location"), markets)
+    companies = companies.withColumns({
+        "gtm_score": S.company_score(F.col("best.gtm_score"), self_ref, F.col("pick.segment"),
+                                     F.col("boost"), rubric),
+        "loc_signal_strength": S.overall_signal(
+            *[F.col(f"{k}_{level}") for k, level in rubric.boost])})
+    companies = companies.withColumn("_place", F.lower(F.coalesce("best.location", F.lit(""))))
+    inferred = location_market("_place", markets)
     blank = F.lit("")
-    return (companies.withColumn("gtm_score", score)
-            .withColumn("confidence", S.confidence(F.col("gtm_score")))
-            .withColumn("icp_tier", S.icp_tier(F.col("gtm_score")))
-            .withColumn("segment", F.col("pick.segment"))
-            .withColumn("market", fallback_market(F.col("primary_market"), inferred))
-            .withColumn("known_markets", F.array_join("known_markets", ", "))
-            .withColumn("office_cities", F.coalesce(F.to_json("office_cities"), F.lit("[]")))
-            .withColumn("ezcater_vertical", F.coalesce("pick.account.vertical", blank))
-            .withColumn("zi_industry", F.coalesce("pick.account.zi_industry", blank))
-            .withColumn("role_count", F.col("unique_roles_with_perk"))
-            .withColumn("location", F.coalesce("best.location", blank))
-            .withColumn("remote", F.coalesce("best.remote", blank))
-            .withColumn("sample_title", F.coalesce("best.title", blank))
-            .withColumn("sample_url", F.coalesce("best.url", blank))
-            .withColumn("perk_excerpt", F.substring(
-                F.coalesce("best.perk_excerpt", blank), 1, 200))
-            .withColumn("date_first_seen", F.coalesce("best.date_posted", blank))
-            .withColumn("is_new", F.lit(1))
-            .select(*COMPANY_COLUMNS))
+    shown = {
+        "confidence": S.confidence(F.col("gtm_score")),
+        "icp_tier": S.icp_tier(F.col("gtm_score")), "segment": F.col("pick.segment"),
+        "market": fallback_market(F.col("primary_market"), inferred),
+        "known_markets": F.array_join("known_markets", ", "),
+        "office_cities": F.coalesce(F.to_json("office_cities"), F.lit("[]")),
+        "ezcater_vertical": F.coalesce("pick.account.vertical", blank),
+        "zi_industry": F.coalesce("pick.account.zi_industry", blank),
+        "role_count": F.col("unique_roles_with_perk"),
+        "location": F.coalesce("best.location", blank),
+        "remote": F.coalesce("best.remote", blank),
+        "sample_title": F.coalesce("best.title", blank),
+        "sample_url": F.coalesce("best.url", blank),
+        "perk_excerpt": F.substring(F.coalesce("best.perk_excerpt", blank), 1, 200),
+        "date_first_seen": F.coalesce("best.date_posted", blank), "is_new": F.lit(1)}
+    return companies.select(*[shown[c].alias(c) if c in shown else F.col(c)
+                              for c in COMPANY_COLUMNS])
 
 
 def by_score(companies: DataFrame) -> DataFrame:

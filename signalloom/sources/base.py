@@ -83,7 +83,7 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
     full = X.with_clean_text(raw, "body", "full_text").drop("body")
     text = F.col("full_text")
     full = full.withColumn("text_lc", F.lower(text if searched is None else searched(text)))
-    full = full.withColumn("kw", X.term_hits(F.col("text_lc"), lexicon))
+    full = full.withColumn("kw", X.term_hits("text_lc", lexicon))
     if fallback is not None:
         full = full.withColumn("kw", F.when(F.size("kw") > 0, F.col("kw"))
                                .otherwise(fallback(F.col("text_lc"))))

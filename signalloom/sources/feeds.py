@@ -129,7 +129,7 @@ def job_feed(landed: DataFrame, domains: DataFrame | None = None, number: int =
         date_posted=X.iso_prefix(F.col("day")),
         remote=F.when(F.col("job.remote"), "Remote"), domain=F.col("job_domain"),
         searched=lambda text: F.concat_ws(" ", "title", text),
-        fallback=lambda text: X.substring_hits(text, patterns), lexicon=lexicon)
+        fallback=lambda _: X.substring_hits("text_lc", patterns), lexicon=lexicon)
 
 
 def organisation_feed(landed: DataFrame, domains: DataFrame | None = None, number: int = 12,

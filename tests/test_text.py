@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from signalloom.functions import names as N, scoring as S, text as X
 from signalloom.lexicon import PERK_CONTEXT, PERK_LEXICON, PERK_RUBRIC, PERK_TERMS
 from signalloom.operators import liveness, markets as M
+from signalloom.operators.rollup import with_scores
 
 
 def texts(spark, values):
@@ -76,11 +77,14 @@ def test_excerpt_matches_slicing(spark):
 
 def test_scores_add_overlapping_terms(spark):
     df = texts(spark, ["fully stocked kitchen", "catered lunch, doordash", ""])
-    got = [r.s for r in df.orderBy("i").select(S.keyword_score(F.col("t")).alias("s")).collect()]
+    got = [r.s for r in df.orderBy("i").select(S.weighted_hits("t", PERK_RUBRIC.keyword).alias("s")).collect()]
     assert got == [7, 17, 0]
-    one = df.limit(1).select(S.posting_score(
-        F.lit("Acme Biotechnology"), F.lit("Senior Facilities Director"), F.lit(None),
-        F.lit("free lunch"), F.lit(1), F.lit("Greenhouse")).alias("s")).first().s
+    job = spark.createDataFrame([("Acme Biotechnology", "Senior Facilities Director", None,
+                                  "free lunch", 1, "Greenhouse", "NYC")],
+                                "company string, title string, perk_excerpt string, "
+                                "food_keywords_matched string, keyword_count int, "
+                                "source string, location string")
+    one = with_scores(job).first().gtm_score
     # 7 keyword + 2 count + 2 source + (8 + 8 + 5) vertical + (3 + 1) size + 5 persona
     assert one == 7 + 2 + 2 + 21 + 4 + 5
 
@@ -104,13 +108,13 @@ def test_self_reference_needs_brand_in_both(spark):
 
 
 def test_markets_take_the_first_rule(spark):
-    df = texts(spark, ["Dallas, TX, USA", "Manhattan Beach", "San Diego", "", "Boston, MA "])
+    df = texts(spark, ["dallas, tx, usa", "manhattan beach", "san diego", "", "boston, ma "])
     got = [r.m for r in df.orderBy("i").select(
-        M.location_market(F.col("t")).alias("m")).collect()]
+        M.location_market("t").alias("m")).collect()]
     assert got == ["Austin", "New York", "Other", "Other", "Boston"]
     rows = spark.createDataFrame([("Arlington", "Texas"), ("arlington ", "Virginia"),
                                   ("Cambridge", ""), ("San Diego", None)], "c string, s string")
-    got = [r.m for r in rows.select(M.city_market(F.col("c"), F.col("s")).alias("m")).collect()]
+    got = [r.m for r in rows.select(M.city_market("c", "s").alias("m")).collect()]
     assert got == ["Dallas", "Washington DC", "Other", "San Diego"]
 
 
