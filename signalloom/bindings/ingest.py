@@ -557,4 +557,8 @@ FROM d JOIN employers ON employer_id = '7' || substring(slug, 4)""",
                           "source, location, keyword_count")
     + " SELECT source, location, count(*) AS postings, CAST(sum(keyword_count) AS BIGINT) AS "
       "keywords FROM u GROUP BY ALL",
+    "source_preview": _union([p for p in _PREVIEW_PARTS if p[0] < 3],
+                             "source, company, title, url, food_keywords_matched")
+    + " SELECT u.source, u.company, u.title, u.url, u.food_keywords_matched FROM u JOIN d "
+      "ON d.url = u.url QUALIFY row_number() OVER (PARTITION BY source_no ORDER BY doc_id) <= 5",
 }

@@ -9,7 +9,6 @@ from ..plans.runs import Run
 from ..session import shared_folder
 from ..sources import boards
 from ..streaming import ingest as I, velocity as SV
-from . import sql as Q
 from .data import LEXICON, RUBRIC, documents, postings, supplier_accounts, table
 from .ingest import _boards, _json, _landed, _list, _select, _BASE, _BOARD_KIND, _BOARD_URL
 from .rollup import ROLLUP_SQL

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.text import nonblank
 from ..lexicon import DEFAULT_CHANNELS, SOURCE_LABELS
 from .dedup import last_wins
-from .markets import OTHER, fallback_market
+from .markets import OTHER
 from .state import name_key
 
 

@@ -69,9 +69,11 @@ def _batch(spark, *rows):
 
 
 def test_company_merge_rules(spark):
+    longs, ints = ("times_seen", "gtm_score", "role_count", "location_jd_count"), (
+        "is_new", "notified")
+    kinds = {**dict.fromkeys(longs, "long"), **dict.fromkeys(ints, "int")}
     empty = spark.createDataFrame([], ", ".join(
-        f"{c} {'long' if c in ('times_seen', 'gtm_score', 'role_count', 'location_jd_count') else 'int' if c in ('is_new', 'notified') else 'string'}"
-        for c in HISTORY_COLUMNS))
+        f"{c} {kinds.get(c, 'string')}" for c in HISTORY_COLUMNS))
     first = ST.merge_companies(empty, _batch(spark, ("Acme", 30), ("acme ", 10), ("Beta", 5)),
                                "2026-05-01")
     got = {r.name: r for r in first.collect()}
