@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import decontaminate, exact_dedup, mixing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -64,5 +64,40 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-QUERIES = {"op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing}
-SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL}
+def op9_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.report(decontaminate.contamination(
+        _table(spark, sf, "documents"), _table(spark, sf, "benchmark")))
+
+
+OP9_SQL = fr"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(10, len(w)) AS n, w[k : k + least(10, len(w)) - 1] AS win
+  FROM items, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS u(k) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, n, k, w[k : k + n - 1] AS win
+  FROM words, sizes, unnest(generate_series(1, len(w) - n + 1)) AS u(k)),
+hits AS (SELECT p.doc_id, p.k, p.n, i.item_id FROM places p JOIN windows i ON p.n = i.n AND p.win = i.win),
+n_hit AS (
+  SELECT doc_id, count(DISTINCT x) AS n_hit
+  FROM (SELECT DISTINCT doc_id, k, n FROM hits), unnest(generate_series(k, k + n - 1)) AS u(x) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+         string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY doc_id)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(f.n_items, 0) AS n_items,
+       sha256(coalesce(f.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN n_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
+"""
+
+QUERIES = {"op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
+           "op9_decontamination": op9_decontamination}
+SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
