@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, mixing
+from . import decontaminate, exact_dedup, language_id, mixing
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -13,6 +14,17 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _fold(n: int):
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    model = language_id.train(docs.where(~held_out))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf, "documents"), keep="largest").drop("row")
 
@@ -98,6 +110,6 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(f.
 FROM words w LEFT JOIN n_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
-QUERIES = {"op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
+QUERIES = {"op1_language_id": op1_language_id, "op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination}
 SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
