@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, mixing
+from . import decontaminate, exact_dedup, language_id, mixing, quality
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +25,14 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    weights = quality.train(docs, labels.where(~held_out))
+    return quality.score(docs, weights).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf, "documents"), keep="largest").drop("row")
 
@@ -110,6 +118,7 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(f.
 FROM words w LEFT JOIN n_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
-QUERIES = {"op1_language_id": op1_language_id, "op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
+QUERIES = {"op1_language_id": op1_language_id, "op4_quality": op4_quality,
+           "op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination}
 SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
