@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, mixing, quality
+from . import decontaminate, exact_dedup, html_text, language_id, mixing, quality
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -118,7 +118,13 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(f.
 FROM words w LEFT JOIN n_hit h USING (doc_id) LEFT JOIN found f USING (doc_id)
 """
 
+def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf, "pages")).withColumn(
+        "n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {"op1_language_id": op1_language_id, "op4_quality": op4_quality,
            "op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
-           "op9_decontamination": op9_decontamination}
+           "op9_decontamination": op9_decontamination,
+           "op10_html_extraction": op10_html_extraction}
 SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
