@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, language_id, mixing, quality
+from . import decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, quality
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -47,6 +47,11 @@ FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+def op7_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.near_groups(_table(spark, sf, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op8_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.mix(_table(spark, sf, "documents"))[1].select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -124,7 +129,7 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"op1_language_id": op1_language_id, "op4_quality": op4_quality,
-           "op6_exact_dedup": op6_exact_dedup, "op8_mixing": op8_mixing,
+           "op6_exact_dedup": op6_exact_dedup, "op7_ngram_join": op7_ngram_join, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination,
            "op10_html_extraction": op10_html_extraction}
 SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
