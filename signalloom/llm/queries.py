@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, language_id, mixing, ngram_join, quality
+from . import decontaminate, exact_dedup, html_text, language_id, line_dedup, mixing, ngram_join, quality, repeats
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,6 +25,33 @@ def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.repeated_passages(_table(spark, sf, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.without_boilerplate(_table(spark, sf, "documents"), min_sites=10)
+
+
+OP3_SQL = r"""
+WITH docs AS (SELECT *, row_number() OVER () AS row FROM documents),
+lines AS (
+  SELECT row, source, generate_subscripts(string_split(text, chr(10)), 1) AS place,
+         unnest(string_split(text, chr(10))) AS line
+  FROM docs WHERE text IS NOT NULL),
+trimmed AS (SELECT *, trim(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS bare FROM lines),
+boilerplate AS (
+  SELECT bare FROM trimmed WHERE bare != '' GROUP BY bare HAVING count(DISTINCT source) >= 10),
+marked AS (SELECT t.*, b.bare IS NOT NULL AS gone FROM trimmed t LEFT JOIN boilerplate b USING (bare)),
+texts AS (
+  SELECT row, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text
+  FROM marked GROUP BY row)
+SELECT d.doc_id, coalesce(t.n_lines, 0) AS n_lines, coalesce(t.n_removed, 0) AS n_removed, t.text
+FROM docs d LEFT JOIN texts t USING (row)
+"""
+
+
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
@@ -128,8 +155,9 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
         "n_chars", F.length("text").cast("long"))
 
 
-QUERIES = {"op1_language_id": op1_language_id, "op4_quality": op4_quality,
+QUERIES = {"op1_language_id": op1_language_id, "op2_suffix_dedup": op2_suffix_dedup,
+           "op3_line_dedup": op3_line_dedup, "op4_quality": op4_quality,
            "op6_exact_dedup": op6_exact_dedup, "op7_ngram_join": op7_ngram_join, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination,
            "op10_html_extraction": op10_html_extraction}
-SQL = {"op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
+SQL = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
