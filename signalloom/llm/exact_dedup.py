@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .shared import ascii_lower, renamed
+from .shared import ascii_lower, renamed, without
 
 #: What two rows must agree in: the digest, and length and a second hash that verify it.
 SAME = ["digest", "n_bytes", "second"]
@@ -70,16 +70,14 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     F.lower(F.hex("digest")).alias("text_sha256"), "row"))
 
 
-def deduplicated(docs: DataFrame, **options) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest",
+                 fan_in: int = 8) -> DataFrame:
     """The rows that stay, with all their columns; see :func:`exact_groups` for the rules.
 
     Of rows that repeat with one identifier and equal texts, one stays.
     """
-    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    kept = exact_groups(docs, **options).where("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.unhex("text_sha256").alias("_kept_digest"))
-    own = docs.withColumn(
-        "_digest", F.unhex(F.sha2(ascii_lower(F.col(f"`{text_col}`")).cast("binary"), 256)))
-    same = F.col(f"`{id_col}`").eqNullSafe(F.col("_kept_id")) & (F.col("_digest") == F.col("_kept_digest"))
-    out = own.join(kept, same, "left_semi")
-    return out.dropDuplicates([id_col, "_digest"]).drop("_digest")
+    groups = stored(exact_groups(docs, id_col, text_col, keep, fan_in).select(
+        "doc_id", F.unhex("text_sha256").alias("digest"), "kept"), "groups")
+    gone = groups.where(~F.col("kept")).select("doc_id", "digest").distinct()
+    digest = F.unhex(F.sha2(ascii_lower(F.col(f"`{text_col}`")).cast("binary"), 256))
+    return without(docs, F.col(f"`{id_col}`"), digest, gone, groups.where("kept").select("doc_id", "digest"))

@@ -24,6 +24,7 @@ def document_sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return stored(
         renamed(docs, doc_id=id_col, text=text_col, source=source_col).select(
             F.monotonically_increasing_id().alias("row"), "doc_id", "source",
+            F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_hash"),
             word_count(F.col("text")).alias("size"), key.alias("shuffle")), "sizes")
 
 
@@ -145,7 +146,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty table gives two empty results; other columns are ignored.
 
     Returns (slot, row, doc_id, source, pass, skip, words), one row for each stretch of a
-    document in a slot, and (row, doc_id, source, size, source_size, target, taken).
+    document in a slot, and (row, doc_id, text_hash, source, size, source_size, target, taken).
     """
     spark = docs.sparkSession
     sizes = document_sizes(docs, id_col, text_col, source_col)
@@ -177,6 +178,20 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     narrow = sources.select(F.col("source").alias("of"), "source_size", "target")
     per_doc = (sizes.join(small_side(narrow, n_sources), F.col("source").eqNullSafe(F.col("of")))
                .join(taken, "row", "left")
-               .select("row", "doc_id", "source", "size", "source_size", "target",
+               .select("row", "doc_id", "text_hash", "source", "size", "source_size", "target",
                        F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
     return mixed, per_doc
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """Documents of which the mix takes something, all their columns, with size, source_size, target and taken.
+
+    Rows that agree in identifier and text show the largest share of them.
+    """
+    per_doc = mix(docs, id_col, text_col, **options)[1]
+    share = stored(per_doc.where("taken > 0").groupBy("doc_id", "text_hash").agg(
+        *[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
+        .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "shares")
+    text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
+    return docs.join(small_side(share, share.count()), F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
+                     & (text == F.col("_hash"))).drop("_id", "_hash")

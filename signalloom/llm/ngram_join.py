@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .components import components
-from .shared import renamed, small_side
+from .shared import renamed, small_side, without
 from .words import BASE, WHITE, chained, groups, mix
 
 #: Size bands: band i holds sizes from RATIO**i on, below RATIO**(i + 1).
@@ -349,15 +349,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
                 percent: int = 75) -> DataFrame:
     """The document with the least identifier of each component, all columns kept."""
-    groups_ = near_groups(docs, id_col, text_col, n, percent)
-    gone = groups_.where("row != component_row")
-    stay = groups_.where("row = component_row").select(
-        F.col("doc_id").alias("_stay_id"), F.col("text_hash").alias("_stay_hash"))
+    found = stored(near_groups(docs, id_col, text_col, n, percent), "groups")
+    gone = found.where("row != component_row").select("doc_id", "text_hash").distinct()
+    kept = found.where("row = component_row").select("doc_id", "text_hash")
     text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    # what goes is the smaller side; equal rows, of which one stays, are settled by the row kept
-    bad = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    bad = bad.join(stay, F.col("_id").eqNullSafe(F.col("_stay_id")) & (F.col("_hash") == F.col("_stay_hash")), "left_anti")
-    bad = stored(bad, "dropped")
-    out = docs.join(small_side(bad, bad.count()),
-                    F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (text == F.col("_hash")), "left_anti")
-    return out
+    return without(docs, F.col(f"`{id_col}`"), text, gone, kept)

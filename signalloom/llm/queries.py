@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, language_id, line_dedup, mixing, ngram_join, quality, repeats
+from . import decontaminate, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, ngram_join, quality, repeats
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -60,6 +60,10 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf, "documents"), keep="largest").drop("row")
 
@@ -157,7 +161,7 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {"op1_language_id": op1_language_id, "op2_suffix_dedup": op2_suffix_dedup,
            "op3_line_dedup": op3_line_dedup, "op4_quality": op4_quality,
-           "op6_exact_dedup": op6_exact_dedup, "op7_ngram_join": op7_ngram_join, "op8_mixing": op8_mixing,
+           "op5_license_scan": op5_license_scan, "op6_exact_dedup": op6_exact_dedup, "op7_ngram_join": op7_ngram_join, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination,
            "op10_html_extraction": op10_html_extraction}
 SQL = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}

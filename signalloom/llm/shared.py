@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,3 +35,23 @@ BROADCAST_ROWS = 200_000
 def small_side(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if its counted ``rows`` allow it; else Spark chooses the join."""
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def without(docs: DataFrame, doc_id: Column, digest: Column, gone: DataFrame, kept: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose identifier and digest are in ``gone``, both two-column frames.
+
+    What goes is the smaller side, so texts move only where it is too large to broadcast. Pairs also
+    in ``kept`` are of rows that repeat: one of each such pair stays.
+    """
+    names = ["_id", "_digest"]
+    gone, kept = gone.toDF(*names), kept.toDF(*names)
+    same = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & (a["_digest"] == b["_digest"])
+    twice = stored(gone.join(kept, same(gone, kept), "left_semi"), "twice")
+    gone = stored(gone, "gone")
+    own = lambda other: doc_id.eqNullSafe(other["_id"]) & (digest == other["_digest"])
+    out = docs.join(small_side(gone, gone.count()), own(gone), "left_anti")
+    n = twice.count()
+    if n:
+        again = docs.join(small_side(twice, n), own(twice), "left_semi").withColumns({"_id": doc_id, "_digest": digest})
+        out = out.unionByName(again.dropDuplicates(names).drop(*names))
+    return out
