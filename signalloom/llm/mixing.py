@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .shared import renamed, small_side, word_count
+from .shared import fresh, renamed, small_side, word_count
 
 #: 2**31 and the odd number nearest to 2**31 divided by the golden ratio.
 RANGE, STEP = 2147483648, 1327217885
@@ -189,9 +189,10 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Rows that agree in identifier and text show the largest share of them.
     """
     per_doc = mix(docs, id_col, text_col, **options)[1]
+    own_id, own_hash = fresh(docs, "_id", "_hash")
     share = stored(per_doc.where("taken > 0").groupBy("doc_id", "text_hash").agg(
         *[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
-        .withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"}), "shares")
+        .withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash}), "shares")
     text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    return docs.join(small_side(share, share.count()), F.col(f"`{id_col}`").eqNullSafe(F.col("_id"))
-                     & (text == F.col("_hash"))).drop("_id", "_hash")
+    return docs.join(small_side(share, share.count()), F.col(f"`{id_col}`").eqNullSafe(share[own_id])
+                     & (text == share[own_hash])).drop(own_id, own_hash)

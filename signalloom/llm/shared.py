@@ -37,21 +37,35 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``docs`` has such a column."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def without(docs: DataFrame, doc_id: Column, digest: Column, gone: DataFrame, kept: DataFrame) -> DataFrame:
     """``docs`` less the rows whose identifier and digest are in ``gone``, both two-column frames.
 
     What goes is the smaller side, so texts move only where it is too large to broadcast. Pairs also
     in ``kept`` are of rows that repeat: one of each such pair stays.
     """
-    names = ["_id", "_digest"]
+    names = fresh(docs, "_id", "_digest")
     gone, kept = gone.toDF(*names), kept.toDF(*names)
-    same = lambda a, b: a["_id"].eqNullSafe(b["_id"]) & (a["_digest"] == b["_digest"])
-    twice = stored(gone.join(kept, same(gone, kept), "left_semi"), "twice")
+
+    def same(other: DataFrame, a: Column, b: Column) -> Column:
+        return a.eqNullSafe(other[names[0]]) & (b == other[names[1]])
+
+    twice = stored(gone.join(kept, same(kept, *[gone[c] for c in names]), "left_semi"), "twice")
     gone = stored(gone, "gone")
-    own = lambda other: doc_id.eqNullSafe(other["_id"]) & (digest == other["_digest"])
-    out = docs.join(small_side(gone, gone.count()), own(gone), "left_anti")
+    out = docs.join(small_side(gone, gone.count()), same(gone, doc_id, digest), "left_anti")
     n = twice.count()
     if n:
-        again = docs.join(small_side(twice, n), own(twice), "left_semi").withColumns({"_id": doc_id, "_digest": digest})
-        out = out.unionByName(again.dropDuplicates(names).drop(*names))
+        again = docs.join(small_side(twice, n), same(twice, doc_id, digest), "left_semi")
+        again = again.withColumns(dict(zip(names, (doc_id, digest)))).dropDuplicates(names).drop(*names)
+        out = out.unionByName(again)
     return out
