@@ -130,29 +130,28 @@ def account_boards(landed: DataFrame, resolved: DataFrame, number: int = 13,
 def first_url_or_blank(jobs: DataFrame) -> DataFrame:
     """First row per url; rows without a url all stay."""
     from ..operators.dedup import first_wins
-    named = first_wins(jobs.where("url <> ''"), ["url"], "ingest_seq")
-    return named.unionByName(jobs.where("url = ''"))
+    own = F.when(F.col("url") == "", F.struct("ingest_seq"))  # a row without url is its own group
+    return first_wins(jobs.withColumn("_own", own), ["url", "_own"], "ingest_seq").drop("_own")
 
 
-# How each board's page links to its postings ("{slug}" is the board).
+# How each board's page links to its postings, before and after the board's slug.
 BOARD_LINKS = {
-    "greenhouse": r'href="(https://(?:boards|job-boards)\.greenhouse\.io/{slug}/jobs/\d+)"',
-    "lever": r'href="(https://jobs\.lever\.co/{slug}/[a-f0-9-]{{36}})"',
-    "ashby": r'href="(/jobs/{slug}/[^"]+)"',
+    "greenhouse": (r'href="(https://(?:boards|job-boards)\.greenhouse\.io/', r'/jobs/\d+)"'),
+    "lever": (r'href="(https://jobs\.lever\.co/', r'/[a-f0-9-]{36})"'),
+    "ashby": (r'href="(/jobs/', r'/[^"]+)"'),
 }
 BOARD_SOURCES = {"greenhouse": "Targeted-Greenhouse", "lever": "Targeted-Lever",
                  "ashby": "Targeted-Ashby"}
 
 
-def board_links(boards: DataFrame, first: int | None = 30) -> DataFrame:
+def board_links(boards: DataFrame, first: int | None = None) -> DataFrame:
     """Posting urls on board pages (ats_type, slug, company, url, payload).
 
-    The first ``first`` links of a board are followed (None for all), each url once.
+    All links of a board are followed, each url once; ``first`` limits how many.
     """
     quoted = F.concat(F.lit("\\Q"), F.col("slug"), F.lit("\\E"))
     links = F.lit(None).cast("array<string>")
-    for kind, pattern in BOARD_LINKS.items():
-        before, after = pattern.replace("{{", "{").replace("}}", "}").split("{slug}")
+    for kind, (before, after) in BOARD_LINKS.items():
         regex = F.concat(F.lit(before), quoted, F.lit(after))
         links = F.when(F.col("ats_type") == kind,
                        F.regexp_extract_all("payload", regex, F.lit(1))).otherwise(links)
@@ -165,7 +164,7 @@ def board_links(boards: DataFrame, first: int | None = 30) -> DataFrame:
 
 
 def targeted_boards(boards: DataFrame, pages: DataFrame, today: str, number: int = 20,
-                    first: int | None = 30, lexicon: Lexicon = PERK_LEXICON) -> DataFrame:
+                    first: int | None = None, lexicon: Lexicon = PERK_LEXICON) -> DataFrame:
     """Postings behind the links of board pages, joined with their landed HTML by url."""
     html = pages.groupBy("url").agg(F.max("payload").alias("html"))
     joined = board_links(boards, first).join(html, "url")
