@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import names as N, scoring as S, text as X
-from ..lexicon import PLATFORM_SLUGS, city_rules
+from ..lexicon import CITY_MARKETS, PLATFORM_SLUGS
 from ..operators import ats, liveness, markets as M
 from ..operators.rollup import with_scores
 from . import sql as Q
@@ -241,16 +241,16 @@ _WORD_MARKETS = (("A", ("license", "ungen")), ("B", ("ouble", "reau")), ("C", ("
 def city_market_rules(spark, sf):
     """The 35-market billing rules over customers placed in every rule's city in turn."""
     c = table(spark, sf, "customer")
-    cities = F.array(*[F.lit(city.title()) for city, _, _ in city_rules()])
-    states = F.array(*[F.lit((state or "Texas").title()) for _, state, _ in city_rules()])
-    n = F.lit(len(city_rules()))
+    cities = F.array(*[F.lit(city.title()) for city, _, _ in CITY_MARKETS])
+    states = F.array(*[F.lit((state or "Texas").title()) for _, state, _ in CITY_MARKETS])
+    n = F.lit(len(CITY_MARKETS))
     c = c.withColumn("city", F.get(cities, F.pmod(F.col("c_custkey"), n).cast("int")))
     c = c.withColumn("state", F.get(states, F.pmod(F.floor(F.col("c_acctbal")), n).cast("int")))
     return c.select("c_custkey", M.city_market("city", "state").alias("market"))
 
 
 def _city_sql() -> str:
-    rules = city_rules()
+    rules = CITY_MARKETS
     cities = "[" + ", ".join(Q.lit(c) for c, _, _ in rules) + "]"
     states = "[" + ", ".join(Q.lit(s or "texas") for _, s, _ in rules) + "]"
     n = len(rules)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import normalise_domain
 from ..functions.text import contains_any, sql_text
-from ..lexicon import LOCATION_MARKETS, city_rules
+from ..lexicon import CITY_MARKETS, LOCATION_MARKETS
 
 OTHER = "Other"
 
@@ -22,7 +22,7 @@ def city_market(city: str, state: str, rules=None) -> Column:
     """First rule whose city equals and whose state, if any, is part of the given state."""
     city, state = (f"lower(trim(coalesce({c}, '')))" for c in (city, state))
     cases = []
-    for rule_city, rule_state, market in (city_rules() if rules is None else rules):
+    for rule_city, rule_state, market in (CITY_MARKETS if rules is None else rules):
         match = f"{city} = {sql_text(rule_city)}"
         if rule_state is not None:
             match += f" AND contains({state}, {sql_text(rule_state)})"
