@@ -55,10 +55,16 @@ def _run(spark, sf, root: str, today: str, run_id: str, **extra) -> Run:
 
 
 def full_run(spark, sf):
-    """Verify, roll up, merge, alert and commit; returns the companies of the run."""
+    """Verify, roll up, merge, alert and commit; returns the companies of the run.
+
+    The crawl closes every seventh posting and says nothing of most others.
+    """
     run = _run(spark, sf, shared_folder(spark, "run"), "2024-02-05", "run-1",
                territories=_territories(spark, sf), channels=["SLACK_WEBHOOK_URL"])
-    crawl = spark.createDataFrame([], "url string, status int, body string, fetch_error string")
+    crawl = documents(spark, sf).where("doc_id % 7 < 2").select(
+        "url", F.when(F.col("doc_id") % 7 == 0, 404).otherwise(200).alias("status"),
+        F.lit("").alias("body"), F.lit(None).cast("string").alias("fetch_error"),
+        F.lit("2024-02-04").alias("fetched_at"))
     return run.finish(postings(spark, sf), crawl)["companies"]
 
 
@@ -74,6 +80,30 @@ def second_run(spark, sf):
         "new_this_run", "weeks"))
 
 
+def run_replay(spark, sf):
+    """History after the second run was repeated: it replaces what it did before."""
+    root = shared_folder(spark, "runs")
+    _run(spark, sf, root, "2024-01-29", "run-1").finish(postings(spark, sf))
+    for _ in range(2):
+        out = _run(spark, sf, root, "2024-02-05", "run-2").finish(postings(spark, sf))
+    total = out["velocity"].groupBy(ST.name_key("company_name").alias("_key")).agg(
+        F.sum("signal_count").alias("signals"))
+    runs = out["runs"].agg(F.count("*").alias("runs"))  # one row
+    return (out["history"].withColumn("_key", ST.name_key("name")).join(total, "_key")
+            .join(runs, how="cross").select("name", "times_seen", "signals", "runs"))
+
+
+def run_notified(spark, sf):
+    """History after a run that announced its companies: none is left to announce."""
+    root = shared_folder(spark, "runs")
+    extra = {"territories": _territories(spark, sf), "channels": ["SLACK_WEBHOOK_URL"]}
+    out = _run(spark, sf, root, "2024-01-29", "run-1", **extra).finish(postings(spark, sf))
+    left = ST.new_unnotified(out["history"]).select(ST.name_key("name").alias("_key"))
+    return (out["history"].withColumn("_key", ST.name_key("name"))
+            .join(left.withColumn("waits", F.lit(1)), "_key", "left")
+            .select("name", "is_new", "notified", F.coalesce("waits", F.lit(0)).alias("waits")))
+
+
 def targeted_run(spark, sf):
     """Report of a run over the boards and searches of supplier accounts."""
     run = _run(spark, sf, shared_folder(spark, "targeted"), "2024-02-05", "run-1")
@@ -96,7 +126,7 @@ def targeted_run(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in (weekly_stream_counts, weekly_stream_distinct, stream_dedup,
-                                   full_run, second_run, targeted_run)}
+                                   full_run, second_run, run_replay, run_notified, targeted_run)}
 
 _TEXT = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 _WEEK = "strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start"
@@ -109,7 +139,12 @@ SELECT {_WEEK}, user_id, count(DISTINCT event_type) AS signal_count FROM events
 WHERE date_trunc('week', ts) + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
 GROUP BY ALL""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
-    "full_run": ROLLUP_SQL,
+    "full_run": ROLLUP_SQL.replace("FROM matched WHERE len(kw) > 0)",
+                                   "FROM matched WHERE len(kw) > 0 AND doc_id % 7 <> 0)"),
+    "run_replay": f"""
+SELECT company AS name, 2 AS times_seen, 2 * role_count AS signals, 2 AS runs FROM ({ROLLUP_SQL})""",
+    "run_notified": f"""
+SELECT company AS name, 1 AS is_new, 1 AS notified, 0 AS waits FROM ({ROLLUP_SQL})""",
     "second_run": f"""
 SELECT company AS name, gtm_score, 2 AS times_seen, 0 AS is_new, '2024-01-29' AS first_seen,
   '2024-02-05' AS last_seen, 0 AS new_this_run, '2024-05 2024-06' AS weeks

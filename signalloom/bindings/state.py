@@ -15,19 +15,20 @@ _CUT = "2024-01-20"
 
 
 def _halves(spark, sf):
-    """Users before the cut as history, users after it as the batch."""
-    e = table(spark, sf, "events").withColumn("name", F.concat_ws("-", "event_type", "user_id"))
+    """Names before the cut as history, names after it as the batch; some are in one only."""
+    e = table(spark, sf, "events").withColumn(
+        "name", F.concat_ws("-", "event_type", "user_id", F.col("event_id") % 3))
     grouped = lambda d: d.groupBy("name").agg(
         F.sum(F.floor("value")).alias("gtm_score"), F.max("props").alias("keywords"),
         F.min("event_type").alias("first_type"), F.count("*").alias("role_count"))
     before, after = F.col("ts") < _CUT, F.col("ts") >= _CUT
-    history = grouped(e.where(before & (F.col("value") < 18))).select(
+    history = grouped(e.where(before)).select(
         "name", "gtm_score", F.col("keywords").alias("top_keywords"),
         F.col("first_type").alias("domain"), F.col("role_count").alias("times_seen"),
         F.lit("2024-01-10").alias("first_seen"), F.lit("2024-01-19").alias("last_seen"),
         F.lit(1).alias("is_new"), F.when(F.col("role_count") > 3, 1).otherwise(0)
         .alias("notified"))
-    batch = grouped(e.where(after & (F.col("value") > 3))).select(
+    batch = grouped(e.where(after)).select(
         F.upper("name").alias("company"), "gtm_score", "keywords", "first_type", "role_count")
     return history, batch
 
@@ -117,7 +118,7 @@ def location_merge(spark, sf):
                          F.col("event_type").alias("market")).agg(
             F.count("*").alias("jd_count"))
     old = signals(e.where(F.col("ts") < _CUT)).withColumn("last_seen", F.lit("2024-01-20"))
-    return ST.merge_locations(old, signals(e.where(F.col("ts") >= "2024-01-29")), "2024-01-31")
+    return ST.merge_locations(old, signals(e.where(F.col("ts") >= _CUT)), "2024-01-31")
 
 
 def confirmed_offices(spark, sf):
@@ -193,18 +194,32 @@ def velocity_table(spark, sf):
     return weekly_events(spark, sf)
 
 
+_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def _type_run(spark, sf, name, run_id, shift=0):
+    """One run's contributions: events of a type, their weeks moved by ``shift`` days."""
+    e = table(spark, sf, "events").where(F.col("event_type") == name)
+    return e.groupBy(F.col("user_id").cast("string").alias("company_name"),
+                     X.iso_week(F.date_add(F.col("ts").cast("date"), shift)).alias("week")).agg(
+        F.count("*").alias("signal_count"), F.max("props").alias("keyword_set")
+    ).withColumn("run_id", F.lit(run_id))
+
+
 def velocity_merge(spark, sf):
     """Runs by event type; the last run is replayed and must not count twice."""
-    e = table(spark, sf, "events")
-    def run(name):
-        day = e.where(F.col("event_type") == name)
-        return day.groupBy(F.col("user_id").cast("string").alias("company_name"),
-                           X.iso_week(F.col("ts")).alias("week")).agg(
-            F.count("*").alias("signal_count"), F.max("props").alias("keyword_set")
-        ).withColumn("run_id", F.lit(name))
-    log = run("click")
-    for name in ("view", "signup", "signup"):
-        log = V.add_run(log, run(name))
+    log = _type_run(spark, sf, "click", "click")
+    for name in (*_TYPES[1:], _TYPES[-1]):
+        log = V.add_run(log, _type_run(spark, sf, name, name), name)
+    return V.weekly(log)
+
+
+def velocity_replay(spark, sf):
+    """A run replayed with other companies, then in other weeks, leaves no row of before."""
+    log = _type_run(spark, sf, "click", "1")
+    for name, run_id, shift in (("error", "2", 0), ("view", "3", 0), ("purchase", "3", 0),
+                                ("signup", "2", 7)):
+        log = V.add_run(log, _type_run(spark, sf, name, run_id, shift), run_id)
     return V.weekly(log)
 
 
@@ -240,15 +255,14 @@ QUERIES = {f.__name__: f for f in (
     new_vs_existing, annotate_new, snapshot_merge, company_history, schema_evolution,
     history_scan, new_unnotified, mark_notified, location_merge, confirmed_offices, ttl_sweep,
     velocity_sweep, ats_resolution, ats_distribution, supported_boards, velocity_table,
-    velocity_merge, velocity_delta, velocity_last_n, accelerating, run_stats, run_metrics)}
+    velocity_merge, velocity_replay, velocity_delta, velocity_last_n, accelerating, run_stats, run_metrics)}
 
-_HALVES = f"""ev AS (SELECT *, event_type || '-' || user_id AS name FROM events),
+_HALVES = f"""ev AS (SELECT *, event_type || '-' || user_id || '-' || (event_id % 3) AS name FROM events),
 history AS (SELECT name, CAST(sum(floor(value)) AS BIGINT) AS gtm_score, max(props) AS kw,
-  min(event_type) AS domain, count(*) AS n FROM ev WHERE ts < '{_CUT}' AND value < 18
-  GROUP BY name),
+  min(event_type) AS domain, count(*) AS n FROM ev WHERE ts < '{_CUT}' GROUP BY name),
 batch AS (SELECT upper(name) AS company, CAST(sum(floor(value)) AS BIGINT) AS gtm_score,
   max(props) AS kw, min(event_type) AS domain, count(*) AS n FROM ev
-  WHERE ts >= '{_CUT}' AND value > 3 GROUP BY ALL)"""
+  WHERE ts >= '{_CUT}' GROUP BY ALL)"""
 _SEEN = "EXISTS (SELECT 1 FROM history h WHERE h.name = lower(b.company))"
 _CACHE = """cache AS (SELECT 'd' || o_custkey AS domain, min(o_orderpriority) AS ats_type,
   min(o_orderstatus) AS ats_slug, strftime(max(o_orderdate), '%Y-%m-%d') AS checked_at
@@ -319,7 +333,7 @@ WITH {_HALVES} SELECT name, CASE WHEN n > 3 OR EXISTS (SELECT 1 FROM batch b
 WITH o AS (SELECT CAST(user_id AS VARCHAR) AS company_name, event_type AS market,
   count(*) AS jd_count FROM events WHERE ts < '{_CUT}' GROUP BY ALL),
 n AS (SELECT CAST(user_id AS VARCHAR) AS company_name, event_type AS market,
-  count(*) AS jd_count FROM events WHERE ts >= '2024-01-29' GROUP BY ALL)
+  count(*) AS jd_count FROM events WHERE ts >= '{_CUT}' GROUP BY ALL)
 SELECT coalesce(n.company_name, o.company_name) AS company_name,
   coalesce(n.market, o.market) AS market, coalesce(n.jd_count, o.jd_count) AS jd_count,
   CASE WHEN n.market IS NULL THEN '2024-01-20' ELSE '2024-01-31' END AS last_seen
@@ -355,8 +369,17 @@ UNION ALL SELECT 'cache 2001-10-01', ats_type, domain, ats_slug FROM r WHERE NOT
     "velocity_merge": f"""
 SELECT CAST(user_id AS VARCHAR) AS company_name, {Q.iso_week('ts')} AS week,
   count(*) AS signal_count, coalesce(max(props) FILTER (event_type = 'view'),
-    max(props) FILTER (event_type = 'signup'), max(props)) AS keyword_set
-FROM events WHERE event_type IN ('click', 'view', 'signup') GROUP BY ALL""",
+    max(props) FILTER (event_type = 'signup'), max(props) FILTER (event_type = 'purchase'),
+    max(props) FILTER (event_type = 'error'), max(props)) AS keyword_set
+FROM events GROUP BY ALL""",
+    "velocity_replay": f"""
+WITH e AS (SELECT CAST(user_id AS VARCHAR) AS company_name, {Q.iso_week('ts')} AS week, event_type,
+  props FROM events WHERE event_type IN ('click', 'purchase')
+  UNION ALL SELECT CAST(user_id AS VARCHAR), {Q.iso_week('(ts + INTERVAL 7 DAY)')}, event_type, props
+  FROM events WHERE event_type = 'signup')
+SELECT company_name, week, count(*) AS signal_count,
+  coalesce(max(props) FILTER (event_type = 'purchase'), max(props) FILTER (event_type = 'signup'),
+    max(props)) AS keyword_set FROM e GROUP BY ALL""",
     "velocity_delta": f"""
 WITH {Q.WEEKLY}, latest AS (SELECT company_name, max(week) AS week FROM weekly GROUP BY ALL),
 earlier AS (SELECT w.company_name, max(w.week) AS week FROM weekly w JOIN latest l

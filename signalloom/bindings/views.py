@@ -61,7 +61,11 @@ def verified_postings(spark, sf):
     pages = crawl.withColumn("url", F.when(F.col("status") == 200, F.concat(
         F.lit("http-"), "page_id")).otherwise(F.col("url")))
     jobs = jobs.withColumn("url", F.concat(F.lit("http-"), "ingest_seq"))
-    return L.verify(jobs, pages, _PHRASES).select("ingest_seq", "company")
+    # an older crawl of every page says the opposite and must not count
+    older = pages.withColumns({"status": F.when(F.col("status") == 200, 404).otherwise(200),
+                               "body": F.lit(""), "fetched_at": F.lit("2024-01-01")})
+    both = pages.withColumn("fetched_at", F.lit("2024-02-01")).unionByName(older)
+    return L.verify(jobs, both, _PHRASES).select("ingest_seq", "company")
 
 
 # --- alerts ---------------------------------------------------------------------------------
@@ -189,12 +193,12 @@ def table_search(spark, sf):
 
 
 def card_orders(spark, sf):
-    """Place of the first 25 companies in each card order."""
-    c = _companies(spark, sf)
+    """Place of every company in each card order."""
+    c = _companies(spark, sf).select("company", "gtm_score", "role_count", "is_new")
     parts = []
     for mode in ("gtm_score", "role_count", "company", "new_first"):
-        parts.append(c.orderBy(*E.card_order(mode)).limit(25).select(
-            F.lit(mode).alias("mode"), "company"))
+        parts.append(E.with_place(c, *E.card_order(mode)).select(
+            F.lit(mode).alias("mode"), "company", "place"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -362,8 +366,8 @@ companies AS (SELECT *, {Q.confidence('gtm_score')} AS confidence, {Q.tier('gtm_
 
 
 def _ordered(mode: str, order: str) -> str:
-    return (f"(SELECT '{mode}' AS mode, company FROM companies ORDER BY {order}, company "
-            "LIMIT 25)")
+    return (f"(SELECT '{mode}' AS mode, company, row_number() OVER (ORDER BY {order}, company) "
+            "AS place FROM companies)")
 
 
 SQL = {

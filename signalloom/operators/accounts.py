@@ -45,16 +45,16 @@ def with_key(accounts: DataFrame) -> DataFrame:
     return accounts.withColumn("domain_key", key).where(F.col("domain_key") != "")
 
 
-def all_tiers(accounts: DataFrame, tier2_sample: int = 1000, tier3_sample: int = 100,
-              include_tier3: bool = False, seed: str = "",
+def all_tiers(accounts: DataFrame, tier2_sample: int | None = None,
+              tier3_sample: int | None = None, include_tier3: bool = True, seed: str = "",
               rules: TierRules = TierRules()) -> DataFrame:
-    """Tier 1 plus samples of tiers 2 and 3, first account per domain in tier order."""
+    """Tiers 1 to 3, first account per domain in tier order; a size makes its tier a sample."""
     tiered = with_tier(with_key(accounts), rules)
     parts = [tiered.where("tier = '1'")]
     samples = [("2", tier2_sample)] + ([("3", tier3_sample)] if include_tier3 else [])
     for tier, n in samples:
-        parts.append(hash_sample(tiered.where(F.col("tier") == tier), n, "domain_key", seed,
-                                 "row_no"))
+        part = tiered.where(F.col("tier") == tier)
+        parts.append(part if n is None else hash_sample(part, n, "domain_key", seed, "row_no"))
     union = reduce(lambda a, b: a.unionByName(b), parts)
     return first_wins(union, ["domain_key"], F.struct("tier", "row_no"))
 
@@ -135,13 +135,14 @@ def _signature(tokens: str) -> Column:
                         F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))))
 
 
-def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000) -> DataFrame:
+def token_matches(queries: DataFrame, names: DataFrame) -> DataFrame:
     """nn -> first account of each list whose name holds every token of nn (two at least).
 
     Equal token sets are merged on both sides first. A query then meets only the accounts
-    that share its rarest token; the containment test (a bit test before the exact one) is
-    part of the join condition, and the first row is kept by a combining aggregate, so pairs
-    are never stored. Tokens with more than ``hot_rows`` accounts are spread over salts.
+    that share its rarest token, and only accounts with an asked token are spread over
+    tokens; the containment test (a bit test before the exact one) is part of the join
+    condition, and the first row is kept by a combining aggregate, so pairs are never
+    stored. A token of very many accounts is one that adaptive execution splits.
     """
     asked = (queries.select("nn").distinct().withColumn("tokens", name_tokens(F.col("nn")))
              .where(F.size("tokens") >= 2))
@@ -155,10 +156,6 @@ def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000)
 
     tokens = known.select(F.explode("atokens").alias("token"))
     frequency = tokens.groupBy("token").agg(F.count("*").alias("n"))
-    # A token above the threshold uses up that many token rows, so this table is bounded by
-    # (token rows / hot_rows) and safe to broadcast.
-    hot = frequency.where(F.col("n") > hot_rows).select(
-        "token", F.ceil(F.col("n") / hot_rows).cast("int").alias("salts"))
 
     # Every token must be known, else no account can hold them all.
     rarest = (asked_sets.select("qkey", "qbits", "tokens", F.explode("tokens").alias("token"))
@@ -168,19 +165,15 @@ def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000)
                                             F.min(F.struct("n", "token")).alias("rarest"))
               .where(F.col("found") == F.size("tokens"))
               .select("qkey", "qbits", "tokens", F.col("rarest.token").alias("token")))
-    one = F.coalesce(F.col("salts"), F.lit(1))
-    left = (rarest.join(F.broadcast(hot), "token", "left")
-            .withColumn("salt", F.explode(F.sequence(F.lit(0), one - 1))).drop("salts"))
     right = (known.withColumn("token", F.explode("atokens"))
-             .join(F.broadcast(hot), "token", "left")
-             .withColumn("salt", F.pmod(F.hash("akey"), one)).drop("salts"))
+             .join(rarest.select("token").distinct(), "token", "left_semi"))
 
     contained = ((F.col("qbits").bitwiseAND(F.col("abits")) == F.col("qbits"))
                  & (F.size(F.array_except("tokens", "atokens")) == 0))
     first = [F.min(F.when(F.col("list") == x, F.col("first_row"))).alias(f"{x}_row")
              for x in LISTS]
-    hits = (left.alias("q").join(right.alias("a"), (F.col("q.token") == F.col("a.token"))
-                                 & (F.col("q.salt") == F.col("a.salt")) & contained)
+    hits = (rarest.alias("q").join(right.alias("a"), (F.col("q.token") == F.col("a.token"))
+                                   & contained)
             .groupBy("qkey").agg(*first))
     # Only row numbers went through the join; the winners' accounts are attached here.
     for x in LISTS:
@@ -193,12 +186,19 @@ def token_matches(queries: DataFrame, names: DataFrame, hot_rows: int = 100_000)
 
 # --- the match waterfall --------------------------------------------------------------------------
 
+def spread_blank(key: Column, *by: str) -> Column:
+    """The key, with blanks replaced by values that match nothing and fall on many tasks."""
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*by).cast("string"))
+    return F.when(F.coalesce(key, F.lit("")) == "", spread).otherwise(key)
+
+
 def match_names(companies: DataFrame, accounts: DataFrame, name: str) -> DataFrame:
     """Adds by_name and by_tokens: struct(managed, unmanaged) of candidate accounts."""
     names = name_index(accounts)
-    keyed = companies.withColumn("nn", normalise_name(F.col(name)))
+    others = [c for c, kind in companies.dtypes if kind in ("string", "bigint", "double")]
+    keyed = companies.withColumn("nn", spread_blank(normalise_name(F.col(name)), *others))
     exact = _names_by_list(names).select("nn", F.struct(*LISTS).alias("by_name"))
-    tokens = token_matches(keyed.where("nn <> ''"), names).select(
+    tokens = token_matches(keyed.where(~F.startswith("nn", F.lit("\u0000"))), names).select(
         "nn", F.struct(*LISTS).alias("by_tokens"))
     return keyed.join(exact, "nn", "left").join(tokens, "nn", "left").drop("nn")
 
@@ -206,7 +206,8 @@ def match_names(companies: DataFrame, accounts: DataFrame, name: str) -> DataFra
 def match_domains(companies: DataFrame, accounts: DataFrame, domain: str) -> DataFrame:
     """Adds by_domain."""
     index = domain_index(accounts).select("nd", F.struct(*LISTS).alias("by_domain"))
-    keyed = companies.withColumn("nd", normalise_domain(F.col(domain)))
+    others = [c for c, kind in companies.dtypes if kind in ("string", "bigint", "double")]
+    keyed = companies.withColumn("nd", spread_blank(normalise_domain(F.col(domain)), *others))
     return keyed.join(index, "nd", "left").drop("nd")
 
 

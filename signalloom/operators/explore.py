@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import any_of, split_list
 from ..schemas import EXPORT_COLUMNS
+from ..session import stored
 
 FACETS = ("segment", "market", "confidence", "best_source", "loc_signal_strength")
 
@@ -59,6 +60,25 @@ def card_order(mode: str) -> list[Column]:
             "new_first": [F.desc_nulls_last("is_new"), score, name]}[mode]
 
 
+def with_place(df: DataFrame, *order: Column) -> DataFrame:
+    """Adds ``place``, each row's number in an order, from 1.
+
+    Rows are sorted in ranges; a range starts at the number of rows in the ranges before it,
+    so no task sorts the whole table.
+    """
+    ranged = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumns({"_range": F.spark_partition_id(),
+                                  "_at": F.monotonically_increasing_id()}), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy("_at"))
+    # one row for each range
+    return (ranged.withColumn("_own", own).join(F.broadcast(starts), "_range")
+            .withColumn("place", F.col("_start") + F.col("_own"))
+            .drop("_range", "_at", "_start", "_own"))
+
+
 def sort_table(df: DataFrame, column: str, descending: bool = False,
                numeric: tuple[str, ...] = ("gtm_score", "unique_roles_with_perk")) -> DataFrame:
     """Order by one column, as numbers for the numeric ones and as text otherwise."""

@@ -66,17 +66,23 @@ def verdict(url: Column, status: Column, body: Column, fetch_error: Column,
 def check(crawl: DataFrame, phrases=CLOSED_PHRASES) -> DataFrame:
     """url, is_live, reason for each crawled page."""
     v = verdict(F.col("url"), F.col("status"), F.col("body"), F.col("fetch_error"), phrases)
-    return crawl.select("url", v.alias("v")).select("url", "v.is_live", "v.reason")
+    when = [F.col("fetched_at")] if "fetched_at" in crawl.columns else []
+    return crawl.select("url", *when, v.alias("v")).select("url", *when, "v.is_live", "v.reason")
 
 
 def verify(jobs: DataFrame, crawl: DataFrame, phrases=CLOSED_PHRASES,
            observe=None) -> DataFrame:
     """Postings not known to be closed; a posting whose page was not crawled is kept.
 
-    Pages are reduced to one verdict per url before the join. ``observe`` (an Observation)
-    receives live and removed counts while the result is written.
+    Pages are reduced to one verdict per url before the join: the newest by ``fetched_at``, if
+    the crawl has such a column, and a live one where several are equally new. ``observe`` (an
+    Observation) receives live and removed counts while the result is written.
     """
-    verdicts = check(crawl, phrases).groupBy("url").agg(F.max("is_live").alias("_live"))
+    checked = check(crawl, phrases)
+    newest = F.lit("") if "fetched_at" not in checked.columns else F.coalesce(
+        F.col("fetched_at").cast("string"), F.lit(""))
+    verdicts = checked.groupBy("url").agg(
+        F.max_by("is_live", F.struct(newest, "is_live")).alias("_live"))
     judged = jobs.join(verdicts, "url", "left").withColumn(
         "_live", F.coalesce("_live", F.lit(True)))
     if observe is not None:

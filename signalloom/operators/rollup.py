@@ -14,6 +14,7 @@ from ..functions.names import guess_domain, normalise_domain
 from ..functions.text import nonblank, split_list
 from ..lexicon import LOCATION_MARKETS, PERK_RUBRIC, Rubric
 from ..schemas import COMPANY_COLUMNS
+from ..session import stored
 from . import accounts as A
 from .markets import OTHER, fallback_market, location_market, office_index
 
@@ -169,6 +170,7 @@ def rollup(jobs: DataFrame, accounts: DataFrame, rubric: Rubric = PERK_RUBRIC,
     companies = (_company_base(scored, rubric)
                  .join(company_sets(scored, rubric), "company_norm")
                  .withColumn("company", F.trim("best.company")))
+    companies = stored(companies, "companies")  # matching reads it twice
 
     companies = A.match_names(companies, accounts, "company")
     by_name = A.pick_account("by_name", "by_tokens")

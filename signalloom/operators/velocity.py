@@ -20,10 +20,9 @@ def contributions(companies: DataFrame, day: Column, run_id: str) -> DataFrame:
                     F.col("top_keywords").alias("keyword_set")))
 
 
-def add_run(log: DataFrame, run: DataFrame) -> DataFrame:
-    """Log of contributions with one run added; replaying a run replaces its rows."""
-    keys = ["company_name", "week", "run_id"]
-    return log.join(run.select(*keys).distinct(), keys, "left_anti").unionByName(run)
+def add_run(log: DataFrame, run: DataFrame, run_id: str) -> DataFrame:
+    """Log of contributions with one run added; replaying a run replaces all its rows."""
+    return log.where(F.col("run_id") != run_id).unionByName(run)
 
 
 def weekly(log: DataFrame) -> DataFrame:
@@ -39,13 +38,13 @@ def _by_week() -> Window:
 
 def week_over_week(velocity: DataFrame, min_delta: int = 2) -> DataFrame:
     """Latest week against the latest earlier one, where it grew by ``min_delta``."""
-    rising = _by_week().orderBy("week")
-    latest = F.row_number().over(_by_week().orderBy(F.desc("week")))
+    falling = _by_week().orderBy(F.desc("week"))
     return (velocity.select(
         "company_name", F.col("week").alias("this_week"),
         F.col("signal_count").alias("this_count"),
-        F.lag("week").over(rising).alias("prev_week"),
-        F.lag("signal_count").over(rising).alias("prev_count"), latest.alias("_n"))
+        F.lead("week").over(falling).alias("prev_week"),
+        F.lead("signal_count").over(falling).alias("prev_count"),
+        F.row_number().over(falling).alias("_n"))
         .where("_n = 1").drop("_n")
         .withColumn("delta", F.col("this_count") - F.col("prev_count"))
         .where(F.col("delta") >= min_delta)
@@ -60,11 +59,10 @@ def last_weeks(velocity: DataFrame, n: int = 4) -> DataFrame:
 
 def accelerating(velocity: DataFrame) -> DataFrame:
     """Per company, whether its latest week beats the one before (1 or 0)."""
-    rising = _by_week().orderBy("week")
-    latest = F.row_number().over(_by_week().orderBy(F.desc("week")))
-    grew = F.coalesce(F.col("signal_count") > F.lag("signal_count").over(rising), F.lit(False))
+    falling = _by_week().orderBy(F.desc("week"))
+    grew = F.coalesce(F.col("signal_count") > F.lead("signal_count").over(falling), F.lit(False))
     return (velocity.select("company_name", grew.cast("int").alias("accelerating"),
-                            latest.alias("_n")).where("_n = 1").drop("_n"))
+                            F.row_number().over(falling).alias("_n")).where("_n = 1").drop("_n"))
 
 
 def recent_weeks(velocity: DataFrame, today: Column, weeks: int = 52) -> DataFrame:

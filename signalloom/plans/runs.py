@@ -45,36 +45,46 @@ class Run:
     markets: tuple = LOCATION_MARKETS
     cache_days: int = 90
     velocity_weeks: int = 52
+    board_links: int | None = None
+    alert_companies: int = 10
 
     def __post_init__(self) -> None:
         self.store = tables.Snapshots(self.spark, self.root)
-        self.base = self.store.version()
-        self.version = self.base + 1
+        self.base = self.store.base(self.run_id)
+        self.version = self.store.version() + 1
 
     def _old(self, table: str, schema: str) -> DataFrame:
         return self.store.read(table, self.base, schema)
 
     def _save(self, table: str, df: DataFrame, by: str | None = None) -> DataFrame:
-        return self.store.write(table, df, self.version, by)
+        return self.store.write(table, df, self.version, self.run_id, by)
 
     def _day(self):
         return F.lit(self.today).cast("date")
 
     def finish(self, raw: DataFrame, crawl: DataFrame | None = None,
                ats_cache: DataFrame | None = None) -> dict[str, DataFrame]:
-        """Verify, roll up, merge state, build alerts, log and commit."""
-        counts = None
+        """Verify, roll up, merge state, build alerts, mark their companies, log and commit.
+
+        A repeat of the last committed run starts from the state before it and replaces it.
+        """
+        counts = Observation("liveness")
         if crawl is not None:
-            counts = Observation("liveness")
             jobs = self._save("jobs", liveness.verify(raw, crawl, observe=counts))
         else:
-            jobs = self._save("jobs", raw)
+            jobs = self._save("jobs", raw.observe(
+                counts, F.count("*").alias("raw_count"), F.count("*").alias("live_count")))
 
         batch = self._save("batch", R.rollup(jobs, self.accounts, self.rubric, self.markets))
         old = self._old("history", _HISTORY)
-        companies = self._save("companies", state.annotate_new(batch, old))
-        history = self._save("history", state.merge_companies(
-            old.drop("new_this_run"), batch, self.today))
+        added = Observation("new companies")
+        companies = self._save("companies", state.annotate_new(batch, old).observe(
+            added, F.count_if(F.col("is_new") == 1).alias("new_count")))
+        new = companies.where("is_new = 1")
+        merged = state.merge_companies(old.drop("new_this_run"), batch, self.today)
+        if self.territories is not None:  # new companies are announced below
+            merged = state.mark_notified(merged, new)
+        history = self._save("history", merged)
 
         signals = R.market_signals(
             R.with_scores(jobs, self.rubric, self.markets), rubric=self.rubric
@@ -85,7 +95,7 @@ class Run:
         log = velocity.recent_weeks(self._old("velocity_log", _VELOCITY), self._day(),
                                     self.velocity_weeks)
         log = self._save("velocity_log", velocity.add_run(
-            log, velocity.contributions(batch, self._day(), self.run_id)), by="week")
+            log, velocity.contributions(batch, self._day(), self.run_id), self.run_id), by="week")
         weekly = velocity.weekly(log)
 
         if ats_cache is not None:
@@ -94,12 +104,8 @@ class Run:
             self._save("ats_cache", state.fresh_cache(
                 self._old("ats_cache", T.ATS_CACHE), self._day(), self.cache_days))
 
-        new = companies.where("is_new = 1")
-        if counts is not None:
-            raw_count, live_count = counts.get["raw_count"], counts.get["live_count"]
-        else:
-            raw_count = live_count = jobs.count()
-        row = state.run_row(self.spark, self.today, raw_count, live_count, new.count())
+        row = state.run_row(self.spark, self.today, counts.get["raw_count"],
+                            counts.get["live_count"], added.get["new_count"])
         runs = self._save("runs", self._old("runs", _RUNS).unionByName(
             row.withColumn("version", F.lit(self.version).cast("long"))))
         stats = state.run_stats(history, runs, F.lit(self.today), "version")
@@ -108,7 +114,7 @@ class Run:
                "locations": locations, "velocity": weekly, "runs": runs, "stats": stats}
         if self.territories is not None:
             rows = alerts.alert_rows(new, velocity.accelerating(weekly), self.territories,
-                                     self.channels)
+                                     self.channels, n=self.alert_companies)
             total = F.lit(stats.first()["total_companies"])
             out["alerts"] = self._save("alerts", alerts.payloads(rows, self.today, total))
         self.store.commit(self.today, self.version, self.run_id)
@@ -131,24 +137,28 @@ class Run:
         return self.finish(raw, crawl)
 
     def targeted(self, probes: DataFrame, board_pages: DataFrame, posting_pages: DataFrame,
-                 search: DataFrame, crawl: DataFrame | None = None, tier2_sample: int = 1000,
-                 include_tier3: bool = False) -> dict[str, DataFrame]:
+                 search: DataFrame, crawl: DataFrame | None = None,
+                 tier2_sample: int | None = None, tier3_sample: int | None = None,
+                 include_tier3: bool = True) -> dict[str, DataFrame]:
         """Boards and searches of the account tiers; adds a report of what was found.
 
+        All accounts are worked unless a size makes a tier a sample.
+
         ``board_pages`` carries ats_type, slug, payload and seq; ``search`` the landed search
         results per account domain.
         """
         cache = self._old("ats_cache", T.ATS_CACHE)
         worked = self.store.write("worked_accounts", ats.resolve(
-            A.all_tiers(self.accounts, tier2_sample, include_tier3=include_tier3,
-                        seed=self.run_id), cache, probes, self._day(), self.cache_days),
-            self.version)
+            A.all_tiers(self.accounts, tier2_sample, tier3_sample, include_tier3,
+                        self.run_id), cache, probes, self._day(), self.cache_days),
+            self.version, self.run_id)
         kept = ats.supported(worked)
         name = F.coalesce(F.col("name"), F.col("domain_key"))
         on_boards = kept.select("ats_type", F.col("ats_slug").alias("slug"),
                                 name.alias("company"))
         pages = board_pages.drop("company").join(on_boards, ["ats_type", "slug"])
-        found = boards.targeted_boards(pages, posting_pages, self.today, lexicon=self.lexicon)
+        found = boards.targeted_boards(pages, posting_pages, self.today, first=self.board_links,
+                                       lexicon=self.lexicon)
         searched = kept.where("ats_type = 'exa'").select(F.col("domain_key").alias("domain"),
                                                          name.alias("company"))
         results = search.drop("company").join(searched, "domain")

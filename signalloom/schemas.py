@@ -49,7 +49,7 @@ EXPORT_COLUMNS = (
 TERRITORIES = _struct(market="s", rep_name="s", slack_handle="s", webhook_env_var="s")
 PROBES = _struct(domain="s", ats_type="s", ats_slug="s")
 ATS_CACHE = _struct(domain="s", ats_type="s", ats_slug="s", checked_at="s")
-CRAWL = _struct(url="s", status="i", body="s", fetch_error="s")
+CRAWL = _struct(url="s", status="i", body="s", fetch_error="s", fetched_at="s")
 
 # A landed payload: one API response or page, as text.
 LANDED = _struct(slug="s", company="s", search_term="s", domain="s", url="s", payload="s")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,9 +29,13 @@ def build_session(app: str = "signalloom", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared checkpoint folder.
 
-    Only where the cluster names none (tests on one machine) a local folder stands in.
+    Only on one machine, where the session names none, a local folder stands in.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loom-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="loom-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

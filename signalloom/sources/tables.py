@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -76,9 +77,10 @@ def write_export(df: DataFrame, path: str) -> None:
 class Snapshots:
     """Versioned parquet tables below a shared folder.
 
-    A run writes ``version=N`` of each table and then appends one commit row; readers take
-    the version of the last commit. A run that dies before its commit leaves the committed
-    version untouched, and its retry overwrites the same unfinished version.
+    A run writes ``version=N/run=ID`` of each table and then appends one commit row; readers
+    take the version of the last commit. A run that dies before its commit leaves the committed
+    version untouched, and its retry overwrites the same unfinished version. Of two runs
+    that start from one version the second fails at its commit.
     """
 
     _COMMITS = "ran_at string, version long, run_id string"
@@ -98,19 +100,38 @@ class Snapshots:
         """Number of the last committed version (0: none). One value reaches the driver."""
         return self._commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
+    def base(self, run_id: str) -> int:
+        """The version a run starts from: the last one that is not its own.
+
+        A run that is repeated right after its commit starts where it started before, so it
+        replaces what it did. One that other runs followed can't be repeated.
+        """
+        own = F.col("run_id") == run_id
+        last, other, mine = self._commits().agg(
+            F.coalesce(F.max("version"), F.lit(0)),
+            F.coalesce(F.max(F.when(~own, F.col("version"))), F.lit(0)),
+            F.coalesce(F.max(F.when(own, F.col("version"))), F.lit(0))).first()
+        if 0 < mine < last:
+            raise ValueError(f"run {run_id!r} was followed by others and can't be repeated")
+        return other
+
+    def _path(self, table: str, version: int, run_id: str) -> str:
+        return f"{self.root}/{table}/version={version}/run={quote(run_id, safe='')}"
+
     def read(self, table: str, version: int, empty: str | T.T.StructType) -> DataFrame:
         """The table at a version; before the first one an empty table of that schema."""
         if version == 0:
             return self.spark.createDataFrame([], empty)
-        return self.spark.read.parquet(f"{self.root}/{table}/version={version}")
+        run_id = self._commits().where(F.col("version") == version).first()["run_id"]
+        return self.spark.read.parquet(self._path(table, version, run_id))
 
-    def write(self, table: str, df: DataFrame, version: int,
+    def write(self, table: str, df: DataFrame, version: int, run_id: str,
               by: str | None = None) -> DataFrame:
         """Write and read back; ``by`` partitions the files of the table by a column.
 
         The rebalance hint gives each value few files and splits values that are large.
         """
-        path = f"{self.root}/{table}/version={version}"
+        path = self._path(table, version, run_id)
         if by is None:
             df.write.mode("overwrite").parquet(path)
         else:
@@ -118,6 +139,8 @@ class Snapshots:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def commit(self, ran_at: str, version: int, run_id: str) -> None:
+        if self.version() >= version:
+            raise RuntimeError(f"another run has committed version {version}")
         row = self.spark.createDataFrame([(ran_at, version, run_id)], self._COMMITS)
         row.write.mode("append").parquet(f"{self.root}/commits")
 

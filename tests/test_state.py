@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from signalloom.bindings import rollup as RB, runs as RUNS
 from signalloom.bindings.data import RUBRIC, postings, supplier_accounts
+from signalloom.operators.liveness import verify
 from signalloom.operators import rollup as R, state as ST, velocity as V
 from signalloom.plans.runs import Run
 from signalloom.schemas import COMPANY_COLUMNS, HISTORY_COLUMNS
+from signalloom.session import shared_folder
 from signalloom.sources.tables import Snapshots
 
 
@@ -97,10 +99,18 @@ def test_velocity_adds_runs_and_ignores_replays(spark):
                                   "company string, role_count long, top_keywords string")
     day = F.lit("2027-01-01").cast("date")
     one = V.contributions(batch, day, "r1")
-    log = V.add_run(V.add_run(one, V.contributions(batch, day, "r2")),
-                    V.contributions(batch, day, "r2"))
+    log = V.add_run(V.add_run(one, V.contributions(batch, day, "r2"), "r2"),
+                    V.contributions(batch, day, "r2"), "r2")
     assert [(r.company_name, r.week, r.signal_count) for r in V.weekly(log).collect()] == [
         ("Acme", "2026-53", 6)]
+    # a replay whose companies or weeks differ leaves nothing of the run before
+    both = spark.createDataFrame([("Acme", 3, "a"), ("Beta", 2, "b")], batch.schema)
+    log = V.add_run(one, V.contributions(both, day, "r2"), "r2")
+    log = V.add_run(log, V.contributions(batch, F.date_add(day, 7), "r2"), "r2")
+    assert sorted((r.company_name, r.week, r.signal_count) for r in V.weekly(log).collect()) == [
+        ("Acme", "2026-53", 3), ("Acme", "2027-01", 3)]
+    assert V.add_run(log, both.limit(0).transform(lambda b: V.contributions(b, day, "r2")),
+                     "r2").count() == 1
 
 
 def test_week_over_week_equals_self_join(spark):
@@ -116,11 +126,41 @@ def test_week_over_week_equals_self_join(spark):
 def test_uncommitted_snapshots_are_ignored(spark, tmp_path):
     store = Snapshots(spark, str(tmp_path))
     assert store.version() == 0 and store.read("t", 0, "a long").count() == 0
-    store.write("t", spark.range(3), 1)
+    store.write("t", spark.range(3), 1, "r")
     assert store.version() == 0
-    store.write("t", spark.range(5), 1)
+    store.write("t", spark.range(5), 1, "r")
     store.commit("2026-05-01", 1, "r")
     assert store.version() == 1 and store.read("t", 1, "id long").count() == 5
+    # two runs from one version do not overwrite each other, and the second fails
+    store.write("t", spark.range(7), 2, "a/b")
+    store.write("t", spark.range(9), 2, "c")
+    store.commit("2026-05-02", 2, "a/b")
+    with pytest.raises(RuntimeError):
+        store.commit("2026-05-02", 2, "c")
+    assert store.read("t", 2, "id long").count() == 7
+    assert (store.base("a/b"), store.base("new")) == (1, 2)
+    with pytest.raises(ValueError):
+        store.base("r")
+
+
+def test_a_shared_folder_is_asked_for_on_a_cluster(spark):
+    class Cluster:
+        conf = {}
+        sparkContext = type("", (), {"master": "spark://host:7077"})
+    with pytest.raises(ValueError):
+        shared_folder(Cluster, "x")
+    Cluster.conf = {"spark.checkpoint.dir": "hdfs://shared/"}
+    assert shared_folder(Cluster, "x").startswith("hdfs://shared/x-")
+
+
+def test_the_newest_crawl_counts(spark):
+    crawl = spark.createDataFrame(
+        [("https://a", 200, "2024-01-01"), ("https://a", 404, "2024-01-02"), ("https://b", 404, "2024-01-01"),
+         ("https://b", 200, "2024-01-02"), ("https://c", 404, None)],
+        "url string, status int, fetched_at string").withColumn("body", F.lit("")).withColumn(
+        "fetch_error", F.lit(None).cast("string"))
+    jobs = spark.createDataFrame([(f"https://{x}",) for x in "abcd"], "url string")
+    assert sorted(r.url for r in verify(jobs, crawl).collect()) == ["https://b", "https://d"]
 
 
 def test_replayed_run_after_a_crash_gives_the_same_state(spark, sf, tmp_path, monkeypatch):
