@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as X
 from ..lexicon import PERK_LEXICON, Lexicon
-from ..operators.dedup import first_wins
+from ..operators.dedup import first_wins, last_wins
 from ..schemas import JOB_COLUMNS, LANDED
 
 
@@ -38,6 +38,13 @@ def or_blank(name: str) -> Column:
     return F.coalesce(name, F.lit(""))
 
 
+def landed_texts(pages: DataFrame) -> DataFrame:
+    """Pages looked up by url, with the order they landed in, which decides which is newest."""
+    order = F.col("fetched_at") if "fetched_at" in pages.columns else F.lit("")
+    seq = F.col("seq") if "seq" in pages.columns else F.lit(0)
+    return pages.withColumns({"seq": F.struct(order, seq), "pos": F.lit(0)})
+
+
 def items(landed: DataFrame, schema: str, *paths: str) -> DataFrame:
     """One row per array element (``job``) of the first non-empty array among ``paths``."""
     parsed = landed.withColumn("_p", F.from_json("payload", schema))
@@ -57,13 +64,17 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
             wanted: tuple[str, ...] | None = None, placed: Callable | None = None,
             searched: Callable | None = None, fallback: Callable | None = None,
             when_empty: Column | None = None, dedup: str = "first",
-            need_text: bool = False, keep: Column | None = None) -> DataFrame:
+            need_text: bool = False, keep: Column | None = None, by: tuple[str, ...] = (),
+            sift: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Clean, place, match and project one source to the posting columns.
 
     ``remote``, ``placed`` (text of the location test), ``searched`` (text of the match) and
     ``fallback`` (array of keywords if the lexicon finds none) are functions of the cleaned
-    body column. dedup: "first" keeps the first row of a url, matched or not, and drops
-    blank urls; "none" keeps all. Bodies are reduced to their excerpt before any shuffle.
+    body column. dedup: "first" and "last" keep that row of a url, matched or not, and drop
+    blank urls; "none" keeps all. Bodies are reduced to their excerpt before any shuffle:
+    what joins a source with other tables is ``sift``, a function of the narrow rows that
+    comes before the deduplication. It sees the columns ``by`` of the input too, which are
+    also part of the deduplication key.
     """
     blank = F.lit("")
     def value(c: Column | None) -> Column:
@@ -79,7 +90,8 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
         (F.lit(None).cast("string") if remote is None or callable(remote)
          else value(remote)).alias("remote"),
         (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("keep"),
-        value(when_empty).alias("empty_excerpt"), seq.alias("ingest_seq"))
+        value(when_empty).alias("empty_excerpt"), seq.alias("ingest_seq"),
+        *[F.col(c).alias(f"_by_{c}") for c in by])
     full = X.with_clean_text(raw, "body", "full_text").drop("body")
     text = F.col("full_text")
     full = full.withColumn("text_lc", F.lower(text if searched is None else searched(text)))
@@ -102,10 +114,14 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
                 "perk_excerpt": F.coalesce(snippet, blank), "remote": remote_text}
     values = [F.when(F.col("matched"), computed[c] if c in computed else F.col(c)).alias(c)
               for c in JOB_COLUMNS if c != "url"]
-    narrow = flagged.select("url", *values, "ingest_seq", "matched")
-    if dedup == "first":
-        narrow = first_wins(narrow.where(F.trim("url") != ""), ["url"],
-                            "ingest_seq").where("matched")
+    extra = [f"_by_{c}" for c in by]
+    narrow = flagged.select("url", *values, "ingest_seq", "matched", *extra)
+    if sift is not None:
+        narrow = sift(narrow)
+    if dedup != "none":
+        pick = first_wins if dedup == "first" else last_wins
+        narrow = pick(narrow.where(F.trim("url") != ""), [*extra, "url"],
+                      "ingest_seq").where("matched")
     return narrow.select(*JOB_COLUMNS, "ingest_seq")
 
 

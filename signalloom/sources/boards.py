@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schemas as T
 from ..functions import text as X
 from ..lexicon import PERK_LEXICON, Lexicon
-from .base import items, or_blank, to_jobs
+from .base import items, landed_texts, or_blank, to_jobs
 
 
 def _slug_name() -> Column:
@@ -77,20 +77,21 @@ def workday(lists: DataFrame, details: DataFrame, number: int = 4,
     """Search pages joined with the landed detail of each posting.
 
     ``lists.url`` is the public site of the board; ``details.url`` the posting's public url.
-    A posting without a landed detail has no text and so no match.
+    A posting without a landed detail has no text and so no match; of several details the one
+    that landed last counts. Texts are matched before the join, which sees none.
     """
-    listed = items(lists, T.WORKDAY_LIST, "jobPostings").withColumn(
-        "job_url", F.concat("url", or_blank("job.externalPath")))
-    texts = details.select(
-        F.col("url").alias("job_url"),
-        F.from_json("payload", T.WORKDAY_DETAIL)["jobPostingInfo"]["jobDescription"]
-        .alias("description")).groupBy("job_url").agg(
-            F.max("description").alias("description"))
-    return to_jobs(
-        listed.join(texts, "job_url", "left"), number, source="Workday",
-        company=F.col("company"), title=F.col("job.title"), body=F.col("description"),
-        url=F.col("job_url"), location=F.col("job.locationsText"),
-        remote=X.infer_remote(F.col("job.locationsText")), lexicon=lexicon, dedup="none")
+    detail = F.from_json("payload", T.WORKDAY_DETAIL)["jobPostingInfo"]["jobDescription"]
+    matched = to_jobs(landed_texts(details), number, source="Workday", company=F.lit(""),
+                      title=F.lit(""), body=detail, url=F.col("url"), lexicon=lexicon,
+                      dedup="last")
+    place = F.col("job.locationsText")
+    listed = items(lists, T.WORKDAY_LIST, "jobPostings").select(
+        F.concat("url", or_blank("job.externalPath")).alias("url"),
+        or_blank("company").alias("company"), or_blank("job.title").alias("title"),
+        F.coalesce(place, F.lit("")).alias("location"), X.infer_remote(place).alias("remote"),
+        F.struct(F.lit(number).alias("source_no"), "seq", "pos").alias("ingest_seq"))
+    return matched.drop("company", "title", "location", "remote", "ingest_seq").join(
+        listed, "url").select(*T.JOB_COLUMNS, "ingest_seq")
 
 
 def account_boards(landed: DataFrame, resolved: DataFrame, number: int = 13,
@@ -103,13 +104,10 @@ def account_boards(landed: DataFrame, resolved: DataFrame, number: int = 13,
                 .select("ats_type", F.col("ats_slug").alias("slug"),
                         X.first_nonblank("name", "domain_key").alias("account_name"),
                         F.col("domain_key").alias("account_domain")))
-    boards = landed.join(accounts, ["ats_type", "slug"])
-
     def rows(kind: str, schema: str, paths: tuple[str, ...], **columns) -> DataFrame:
-        jobs = items(boards.where(F.col("ats_type") == kind), schema, *paths)
-        return to_jobs(jobs, number, company=F.trim("account_name"),
-                       domain=F.col("account_domain"), lexicon=lexicon, dedup="none",
-                       **columns)
+        jobs = items(landed.where(F.col("ats_type") == kind), schema, *paths)
+        return to_jobs(jobs, number, company=F.col("slug"), domain=F.col("ats_type"),
+                       lexicon=lexicon, dedup="none", **columns)
 
     parts = [
         rows("greenhouse", T.GREENHOUSE, ("jobs",), source="Domain-Greenhouse",
@@ -124,7 +122,12 @@ def account_boards(landed: DataFrame, resolved: DataFrame, number: int = 13,
              title=F.col("job.title"), body=_ashby_body(), url=F.col("job.jobUrl"),
              location=F.col("job.location"), remote=_on_site_flag(),
              date_posted=X.iso_prefix(F.col("job.publishedAt")))]
-    return first_url_or_blank(reduce(lambda a, b: a.unionByName(b), parts))
+    # Only matched, narrow rows meet the accounts.
+    matched = reduce(lambda a, b: a.unionByName(b), parts).withColumnsRenamed(
+        {"company": "slug", "_domain": "ats_type"}).join(accounts, ["ats_type", "slug"])
+    return first_url_or_blank(matched.withColumns(
+        {"company": F.trim("account_name"), "_domain": F.col("account_domain")})
+        .select(*T.JOB_COLUMNS, "ingest_seq"))
 
 
 def first_url_or_blank(jobs: DataFrame) -> DataFrame:
@@ -165,12 +168,19 @@ def board_links(boards: DataFrame, first: int | None = None) -> DataFrame:
 
 def targeted_boards(boards: DataFrame, pages: DataFrame, today: str, number: int = 20,
                     first: int | None = None, lexicon: Lexicon = PERK_LEXICON) -> DataFrame:
-    """Postings behind the links of board pages, joined with their landed HTML by url."""
-    html = pages.groupBy("url").agg(F.max("payload").alias("html"))
-    joined = board_links(boards, first).join(html, "url")
+    """Postings behind the links of board pages, joined with their landed HTML by url.
+
+    The page that landed last counts; it is matched before the join, which sees no text.
+    """
+    html = F.col("payload")
+    matched = to_jobs(landed_texts(pages), number, source="", company=F.lit(""),
+                      title=X.page_title(html), body=html, url=F.col("url"),
+                      date_posted=F.lit(today), lexicon=lexicon, dedup="last")
     source = F.lit("")
     for kind, label in BOARD_SOURCES.items():
         source = F.when(F.col("ats_type") == kind, label).otherwise(source)
-    return to_jobs(joined, number, source=source, company=F.col("company"),
-                   title=X.page_title(F.col("html")), body=F.col("html"), url=F.col("url"),
-                   date_posted=F.lit(today), lexicon=lexicon, dedup="none")
+    links = board_links(boards, first).select(
+        "url", or_blank("company").alias("company"), source.alias("source"),
+        F.struct(F.lit(number).alias("source_no"), "seq", "pos").alias("ingest_seq"))
+    return matched.drop("company", "source", "ingest_seq").join(links, "url").select(
+        *T.JOB_COLUMNS, "ingest_seq")

@@ -91,6 +91,10 @@ def _cards_udf(pages: pd.Series) -> pd.Series:
     return pages.map(_cards)
 
 
+# Else Spark adds a filter on the size of the result, which parses every page again.
+_cards_udf = _cards_udf.asNondeterministic()
+
+
 def job_cards(page: Column) -> Column:
     """Array of cards (url, title, company, location) of an HTML page; null gives none."""
     return _cards_udf(page)

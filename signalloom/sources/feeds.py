@@ -84,22 +84,21 @@ def crawl_search(landed: DataFrame, number: int = 10, lexicon: Lexicon = PERK_LE
 def targeted_search(landed: DataFrame, number: int = 21,
                     lexicon: Lexicon = PERK_LEXICON) -> DataFrame:
     """Search results per account (``company``, ``domain``); urls are distinct per account."""
-    jobs = items(landed, T.EXA, "results")
-    jobs = jobs.withColumn("_o", F.struct("seq", "pos")).where(F.trim("job.url") != "")
-    once = jobs.groupBy("domain", F.col("job.url").alias("_u")).agg(
-        F.min_by(F.struct("company", "job", "seq", "pos"), "_o").alias("r")).select("r.*")
     return to_jobs(
-        once, number, source="Targeted-Exa", company=F.col("company"),
-        title=F.col("job.title"), body=F.col("job.text"), url=F.col("job.url"),
-        date_posted=X.iso_prefix(F.col("job.publishedDate")), lexicon=lexicon, dedup="none")
+        items(landed, T.EXA, "results"), number, source="Targeted-Exa",
+        company=F.col("company"), title=F.col("job.title"), body=F.col("job.text"),
+        url=F.col("job.url"), date_posted=X.iso_prefix(F.col("job.publishedDate")),
+        lexicon=lexicon, by=("domain",))
 
 
-def _of_accounts(jobs: DataFrame, domains: DataFrame | None) -> DataFrame:
-    """Only rows of the given domains; None keeps all (discovery)."""
+def _of_accounts(domains: DataFrame | None):
+    """Sifts the narrow rows of a source for the given domains; None keeps all (discovery)."""
     if domains is None:
-        return jobs
-    return jobs.join(domains.select(F.col("domain").alias("job_domain")).distinct(),
-                     "job_domain", "left_semi")
+        return None
+    wanted = domains.select(F.col("domain").alias("_by_job_domain")).distinct()
+    # the account's domain is no part of the deduplication key
+    return lambda rows: rows.join(wanted, "_by_job_domain", "left_semi").withColumn(
+        "_by_job_domain", F.lit(""))
 
 
 def _feed(jobs: DataFrame, today, max_age_days, country) -> DataFrame:
@@ -119,7 +118,7 @@ def job_feed(landed: DataFrame, domains: DataFrame | None = None, number: int =
         "job_domain": F.lower(F.trim(or_blank("job.company_domain"))),
         "day": X.first_nonblank("job.date_posted", "job.discovered_at"),
         "country": F.col("job.country_code")})
-    jobs = _of_accounts(_feed(jobs, today, max_age_days, country), domains)
+    jobs = _feed(jobs, today, max_age_days, country)
     title = F.trim(or_blank("job.job_title"))
     return to_jobs(
         jobs, number, source="TheirStack" if domains is not None else "TheirStack-Discovery",
@@ -129,7 +128,8 @@ def job_feed(landed: DataFrame, domains: DataFrame | None = None, number: int =
         date_posted=X.iso_prefix(F.col("day")),
         remote=F.when(F.col("job.remote"), "Remote"), domain=F.col("job_domain"),
         searched=lambda text: F.concat_ws(" ", "title", text),
-        fallback=lambda _: X.substring_hits("text_lc", patterns), lexicon=lexicon)
+        fallback=lambda _: X.substring_hits("text_lc", patterns), lexicon=lexicon,
+        by=("job_domain",) if domains is not None else (), sift=_of_accounts(domains))
 
 
 def organisation_feed(landed: DataFrame, domains: DataFrame | None = None, number: int = 12,
@@ -139,11 +139,12 @@ def organisation_feed(landed: DataFrame, domains: DataFrame | None = None, numbe
     jobs = items(landed, T.SUMBLE, "jobs").withColumns({
         "job_domain": F.lower(F.trim(or_blank("job.organization_domain"))),
         "day": or_blank("job.datetime_pulled"), "country": F.col("job.country_code")})
-    jobs = _of_accounts(_feed(jobs, today, max_age_days, country), domains)
+    jobs = _feed(jobs, today, max_age_days, country)
     return to_jobs(
         jobs, number, source="Sumble" if domains is not None else "Sumble-Discovery",
         company=F.trim(X.first_nonblank("job.organization_name", "job_domain")),
         title=F.trim(or_blank("job.job_title")), body=F.col("job.description"),
         url=F.trim("job.url"), location=F.trim(or_blank("job.location")),
         date_posted=X.iso_prefix(F.col("day")), domain=F.col("job_domain"),
-        searched=lambda text: F.concat_ws(" ", "title", text), lexicon=lexicon)
+        searched=lambda text: F.concat_ws(" ", "title", text), lexicon=lexicon,
+        by=("job_domain",) if domains is not None else (), sift=_of_accounts(domains))

@@ -147,8 +147,9 @@ def startup_search(landed: DataFrame, number: int = 8, lexicon: Lexicon = PERK_L
         F.array_join("job.node.locationNames", ", ").alias("location"),
         F.col("job.node.description").alias("body"),
         X.iso_prefix(F.col("job.node.postedAt")).alias("date_posted"))
-    pages = _with_state(landed, T.WELLFOUND_PAGE).join(
-        api.select("search_term").distinct(), "search_term", "left_anti")
+    answered = api.select(F.col("search_term").alias("_by_search_term")).distinct().withColumn(
+        "_answered", F.lit(True))
+    pages = _with_state(landed, T.WELLFOUND_PAGE)
     stated = explode_first(pages.where("_p.props is not null"),
                            "_p.props.pageProps.jobListings").select(
         "search_term", "seq", "pos", or_blank("job.jobUrl").alias("url"),
@@ -164,11 +165,19 @@ def startup_search(landed: DataFrame, number: int = 8, lexicon: Lexicon = PERK_L
                           F.concat(F.lit("https://wellfound.com"), "job.url").alias("url"),
                           "job.title", "job.company", F.lit("").alias("location"),
                           F.lit("").alias("body"), F.lit("").alias("date_posted"))
-    rows = api.unionByName(stated).unionByName(carded)
+    rows = api.withColumn("from_page", F.lit(False)).unionByName(
+        stated.unionByName(carded).withColumn("from_page", F.lit(True)))
+
+    def sift(narrow: DataFrame) -> DataFrame:
+        """Narrow rows without those of pages whose term the API answered."""
+        kept = narrow.join(answered, "_by_search_term", "left").where(
+            "not _by_from_page or _answered is null").drop("_answered")
+        return kept.withColumns({"_by_search_term": F.lit(""), "_by_from_page": F.lit(False)})
     return to_jobs(
         rows, number, source="Wellfound", company=F.col("company"), title=F.col("title"),
         body=F.col("body"), url=F.col("url"), location=F.col("location"),
         date_posted=F.col("date_posted"),
         remote=lambda text: X.infer_remote(F.col("location"), text),
         placed=lambda text: F.concat_ws(" ", "location", text), fallback=_term,
-        when_empty=_found_via("Wellfound"), lexicon=lexicon, wanted=wanted)
+        when_empty=_found_via("Wellfound"), lexicon=lexicon, wanted=wanted,
+        by=("search_term", "from_page"), sift=sift)
