@@ -8,37 +8,38 @@ from pyspark.sql import functions as F
 from ..session import stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One star step: links each vertex's larger (or other) neighbours to its least one.
+def _large_star(edges: DataFrame) -> DataFrame:
+    """Links each vertex's larger neighbours to the least of itself and its neighbours.
 
-    The least neighbour is a partial aggregate, and the join back is one that Spark splits where
-    a vertex has very many edges.
+    The least is a partial aggregate, and the join back is one that Spark splits where a vertex has very
+    many edges.
     """
-    if large:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        out = both.join(least, "a").where("b > a").select("b", "least")
-    else:
-        down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("least"))
-        out = down.join(least, "a").select("b", "least").unionByName(least.select(F.col("a").alias("b"), "least"))
-    return out.where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("least"))
+    return both.join(least, "a").where("b > a AND b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+
+
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Links each vertex and its smaller neighbours to the least of these; edges run from large to small."""
+    least = edges.groupBy("a").agg(F.min("b").alias("least"))
+    return (edges.join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+            .unionByName(least.select("a", F.col("least").alias("b"))).where("a != b").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node that each node of ``edges`` (a, b) reaches.
 
     Each round is written to the shared folder, which cuts the lineage; rounds grow with the
-    logarithm of the longest chain. Only a count and a checksum reach the driver. Nodes without
-    an edge are not in the result; loops, repeated edges and edges with null are harmless.
+    logarithm of the longest chain. Only counts reach the driver. Nodes without an edge are not in the
+    result; loops, repeated edges and edges with null are harmless.
     """
-    now = stored(edges.where("a IS NOT NULL AND b IS NOT NULL AND a != b").select("a", "b").distinct(), "edges")
-    mark = None
-    while True:
-        now = stored(_star(_star(now, True), False), "stars")
-        seen = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(seen) == mark:
+    now = stored(edges.where("a IS NOT NULL AND b IS NOT NULL AND a != b")
+                 .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    while not now.isEmpty():
+        now = stored(_small_star(_large_star(now)), "stars")
+        # done when every vertex has one edge, to a vertex that has none
+        per = now.groupBy("a").agg(F.count("*").alias("n"))
+        if per.where("n > 1").isEmpty() and now.join(per.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
             break
-        mark = tuple(seen)
     roots = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)

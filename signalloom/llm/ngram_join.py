@@ -94,7 +94,7 @@ class _Sender:
         self.held += len(keys)
 
     def full(self) -> bool:
-        return self.held >= GATHERED or bool(self.nodes) and self.nodes[-1] > 60_000
+        return self.held >= GATHERED
 
     def rows(self) -> list[dict]:
         if not self.nodes:
@@ -104,34 +104,38 @@ class _Sender:
         bucket = (keys >> np.uint64(32)) % np.uint64(self.buckets)
         order = np.argsort(bucket, kind="stable")
         keys, owner, bucket = keys[order], owner[order], bucket[order]
-        delta = np.array(self.nodes, np.uint16)
+        delta = np.array(self.nodes, np.uint32)
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
         out = []
         for a, b in zip(cuts[:-1], cuts[1:]):
             own, count = np.unique(owner[a:b], return_counts=True)  # owners are in order inside a bucket
-            out.append({"bucket": int(bucket[a]), "base": self.base, "owners": delta[own].tobytes(),
+            out.append({"bucket": int(bucket[a]), "home": self.base, "owners": delta[own].tobytes(),
                         "counts": count.astype(np.uint32).tobytes(),
                         "keys": (keys[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()})
         self.__init__(self.buckets)
         return out
 
 
-DOC = ["row", "doc_id", "text_hash", "n", "print1", "print2", "sketch", "band", "filled", "apart"]
-DOC_TYPES = ("row long, doc_id {id}, text_hash long, n long, print1 long, print2 long, sketch array<long>, "
-             "band int, filled array<int>, apart array<int>")
-KEY_TYPES = "bucket int, base long, owners binary, counts binary, keys binary"
+KINDS = {
+    "row": pa.int64(), "doc_id": None, "text_hash": pa.int64(), "n": pa.int64(), "print1": pa.int64(),
+    "print2": pa.int64(), "sketch": pa.list_(pa.int64()), "band": pa.int32(), "filled": pa.list_(pa.int32()),
+    "apart": pa.list_(pa.int32()), "home": pa.int64(), "bucket": pa.int32(), "owners": pa.binary(),
+    "counts": pa.binary(), "keys": pa.binary()}
+SCHEMA = ("row long, doc_id {id}, text_hash long, n long, print1 long, print2 long, sketch array<long>, band int, "
+          "filled array<int>, apart array<int>, home long, bucket int, owners binary, counts binary, keys binary")
+PACKED = ["home", "bucket", "owners", "counts", "keys"]
 
 
 def _described(buckets: int, n: int, percent: int, fine: frozenset, only_fine: bool):
-    """The pass over the texts: a row for each document, and packed rows of keys between them."""
+    """The pass over the texts: a row for each document, and rows of keys packed by bucket between them.
+
+    The keys of a stretch of documents are packed together; ``home`` is the first node of the stretch.
+    """
     def run(batches):
-        task = TaskContext.get().partitionId() << 36
-        row, sender = task, _Sender(buckets)
-        pending: list[dict] = []
+        row = TaskContext.get().partitionId() << 36
         for batch in batches:
-            size = batch.num_rows
-            out = {c: [None] * size for c in ("n", "print1", "print2", "sketch", "band", "filled", "apart")}
-            seen = set()
+            size, sender, pending, seen = batch.num_rows, _Sender(buckets), [], set()
+            out = {c: [None] * size for c in ("n", "print1", "print2", "sketch", "band", "filled", "apart", "home")}
             for d, shingles in shingle_sets(batch.column("text"), n):
                 spread = mix(shingles)
                 both = (int(spread.sum(dtype=np.uint64).astype(np.int64)),
@@ -140,9 +144,8 @@ def _described(buckets: int, n: int, percent: int, fine: frozenset, only_fine: b
                 if not len(shingles):
                     continue
                 where = bands(len(shingles), percent)
-                out["band"][d] = where[0][0]
                 keys = [parity_keys(shingles, b, b in fine) for b, _ in where]
-                out["sketch"][d] = parity_sketch(shingles).tolist()
+                out["band"][d], out["sketch"][d] = where[0][0], parity_sketch(shingles).tolist()
                 out["filled"][d], out["apart"][d] = [len(k) for k in keys], [x for _, x in where]
                 if (len(shingles), *both) in seen:
                     continue  # equal sets of one batch send their keys once
@@ -150,49 +153,78 @@ def _described(buckets: int, n: int, percent: int, fine: frozenset, only_fine: b
                 for k, (b, _) in enumerate(where):
                     if not only_fine or b in fine:
                         sender.add((row + d) * 2 + k, keys[k])
-                if sender.full():
+                        out["home"][d] = sender.base
+                if sender.held >= GATHERED:
                     pending += sender.rows()
             pending += sender.rows()
             columns = {"row": pa.array(np.arange(row, row + size)), "doc_id": batch.column("doc_id"),
-                       "text_hash": batch.column("text_hash"), "n": pa.array(out["n"], pa.int64()),
-                       "print1": pa.array(out["print1"], pa.int64()), "print2": pa.array(out["print2"], pa.int64()),
-                       "sketch": pa.array(out["sketch"], pa.list_(pa.int64())),
-                       "band": pa.array(out["band"], pa.int32()),
-                       "filled": pa.array(out["filled"], pa.list_(pa.int32())),
-                       "apart": pa.array(out["apart"], pa.list_(pa.int32()))}
+                       "text_hash": batch.column("text_hash")}
+            columns |= {c: pa.array(v, KINDS[c]) for c, v in out.items()}
+            packed = {c: pa.array([p[c] for p in pending], KINDS[c]) for c in PACKED}
             row += size
-            docs = pa.table(columns)
-            kinds = {"bucket": pa.int32(), "base": pa.int64(), "owners": pa.binary(), "counts": pa.binary(),
-                     "keys": pa.binary()}
-            packed = pa.table({c: pa.array([p[c] for p in pending], t) for c, t in kinds.items()})
-            pending = []
-            docs = docs if not only_fine else docs.slice(0, 0)
-            yield from pa.concat_tables([docs, packed], promote_options="default").select(
-                [*columns, *kinds]).to_batches(max_chunksize=2000)
+            yield from pa.concat_tables([pa.table(columns), pa.table(packed)], promote_options="default").select(
+                list(KINDS)).to_batches(max_chunksize=2000)
     return run
 
 
 def _shared_keys(table: pa.Table) -> pa.Table:
-    """Keys of one bucket that more than one node has: for each node, (nodes of the key, key)."""
-    owners, keys = [], []
+    """Keys of one bucket that more than one node has, packed by home again: node, logarithm of the
+    number of its nodes, key."""
+    home, owners, keys = [], [], []
     bucket = table.column("bucket")[0].as_py()
-    for base, own, count, key in zip(*(table.column(c).to_pylist() for c in ("base", "owners", "counts", "keys"))):
-        owners.append(np.repeat(np.frombuffer(own, np.uint16).astype(np.int64) + base, np.frombuffer(count, np.uint32)))
+    for base, own, count, key in zip(*(table.column(c).to_pylist() for c in ("home", "owners", "counts", "keys"))):
+        owners.append(np.repeat(np.frombuffer(own, np.uint32), np.frombuffer(count, np.uint32)))
         keys.append(np.frombuffer(key, np.uint32))
+        home.append(base)
+    which = np.repeat(np.arange(len(home)), [len(k) for k in keys])
     owner, key = np.concatenate(owners), np.concatenate(keys)
     order = np.argsort(key)
-    key, owner = key[order], owner[order]
+    key = key[order]
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     count = np.diff(np.append(start, len(key)))
     often = np.repeat(count > 1, count)
-    key, owner, count = key[often], owner[often], np.repeat(count, count)[often]
-    order = np.argsort(owner, kind="stable")
-    key, owner, count = key[order], owner[order], count[order]
-    start = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, np.int64)
-    pairs = pa.StructArray.from_arrays(
-        [pa.array(count, pa.int32()), pa.array(key.astype(np.int64) + (bucket << 32))], ["often", "key"])
-    lists = pa.ListArray.from_arrays(pa.array(np.append(start, len(key)).astype(np.int32)), pairs)
-    return pa.table({"node": pa.array(owner[start], pa.int64()), "found": lists})
+    mark = np.repeat(np.log2(count).astype(np.uint8), count)[often]
+    key, order = key[often], order[often]
+    back = np.argsort(order)
+    key, mark, order = key[back], mark[back], order[back]
+    cut = np.searchsorted(which[order], np.arange(len(home) + 1))
+    out = {"home": [], "owners": [], "marks": [], "keys": []}
+    for k, base in enumerate(home):
+        a, b = cut[k], cut[k + 1]
+        if b > a:
+            for c, v in zip(out, (base, owner[order[a:b]].tobytes(), mark[a:b].tobytes(), key[a:b].tobytes())):
+                out[c].append(v)
+    n = len(out["home"])
+    return pa.table({"home": pa.array(out["home"], pa.int64()), "bucket": pa.array([bucket] * n, pa.int32()),
+                     **{c: pa.array(out[c], pa.binary()) for c in ("owners", "marks", "keys")}})
+
+
+def _prefixes(sets: pa.Table, packed: pa.Table) -> pa.Table:
+    """The rarest shared keys of each set of one home, one more than may differ; ``lead`` marks the first
+    and the last. Sets with too few shared keys have no partner."""
+    node, mark, key = [], [], []
+    for home, bucket, own, m, k in zip(*(packed.column(c).to_pylist() for c in ("home", "bucket", "owners", "marks", "keys"))):
+        node.append(np.frombuffer(own, np.uint32).astype(np.int64) + home)
+        mark.append(np.frombuffer(m, np.uint8))
+        key.append(np.frombuffer(k, np.uint32).astype(np.int64) + (bucket << 32))
+    empty = [np.empty(0, np.int64)]
+    node, mark, key = (np.concatenate(x or empty) for x in (node, mark, key))
+    order = np.lexsort((key, mark, node))
+    node, key = node[order], key[order]
+    limits, rep = {}, {}
+    for row, own, filled, apart in zip(*(sets.column(c).to_pylist() for c in ("row", "rep", "filled", "apart"))):
+        rep[row] = own
+        for k in range(len(apart)):
+            limits[row * 2 + k] = apart[k] + 1 - filled[k]
+    start = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]])) if len(node) else np.empty(0, np.int64)
+    count = np.diff(np.append(start, len(node)))
+    need = np.array([limits[x] for x in node[start].tolist()], np.int64) + count
+    rank = np.arange(len(node)) - np.repeat(start, count)
+    need = np.repeat(need, count)
+    keep = rank < need
+    lead = ((rank == 0) | (rank == need - 1))[keep]
+    rows = [rep[x] for x in (node[keep] >> 1).tolist()]
+    return pa.table({"key": pa.array(key[keep], pa.int64()), "row": pa.array(rows, pa.int64()), "lead": pa.array(lead)})
 
 
 def _verified(n: int, percent: int):
@@ -207,9 +239,9 @@ def _verified(n: int, percent: int):
     return run
 
 
-def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
-          percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """Documents with their set sizes, and links enough to connect all that belong together.
+def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
+              percent: int = 75) -> tuple[DataFrame, DataFrame]:
+    """Documents with their set sizes, and the component of each set that links with another.
 
     Two documents link when 100 x the shingles they share is at least ``percent`` x those of both.
 
@@ -220,105 +252,118 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: in
     2. Keys (class and XOR) are counted in buckets, packed. A set whose shared keys are fewer than
        its filled classes less those that may differ has no partner and leaves. Others keep
        their rarest keys, one more than may differ: linked sets meet in one of these.
-    3. In each group of sets with a key, the least is compared with all others; a group whose
-       sets are connected by then is done, and others go on with twice as many to compare with. No
+    3. In each group of sets with a key, the least is compared with the others; a group whose
+       sets are connected by then is done, and others go on with four times as many to compare with. No
        group's pairs are all made. Pairs must pass sizes and the Hamming distance of sketches, which is
        at most the symmetric difference, and then the exact comparison of their sets.
 
     A band in which some set fills no more classes than may differ is done again with every
     shingle a class of its own, which always suffices, so no link is lost.
+
+    Returns the sets (row, doc_id, text_hash, n, ...) and (row, component), the least row of each component.
     """
-    spark = docs.sparkSession
     rows = renamed(docs, doc_id=id_col, text=text_col).select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = 1 + int(size) // BUCKET_BYTES
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"{DOC_TYPES.format(id=kind)}, {KEY_TYPES}"
+    schema = SCHEMA.format(id=rows.schema["doc_id"].dataType.simpleString())
     described = stored(rows.mapInArrow(_described(buckets, n, percent, frozenset(), False), schema), "described")
-    sets = described.where("row IS NOT NULL").select(*DOC)
-    packed = described.where("bucket IS NOT NULL").select("bucket", "base", "owners", "counts", "keys")
+    sets = described.where("row IS NOT NULL").drop("bucket", "owners", "counts", "keys")
+    several = stored(sets.where("n > 0").groupBy("n", "print1", "print2").agg(
+        F.min("row").alias("rep"), F.count("*").alias("m")).where("m > 1").drop("m"), "several")
+    n_several = several.count()
+    sets = sets.join(small_side(several, n_several), ["n", "print1", "print2"], "left")
+    cand = _candidates(described, sets)
     short = [r["band"] for r in sets
              .select("band", F.posexplode(F.arrays_zip("filled", "apart")).alias("k", "x"))
              .where("x.filled <= x.apart").select((F.col("band") + F.col("k")).alias("band"))
              .distinct().collect()]
-    kept_fine = None
     if short:
-        again = rows.mapInArrow(_described(buckets, n, percent, frozenset(short), True), schema)
-        kept_fine = stored(again.where("bucket IS NOT NULL"), "fine").select(*packed.columns)
-    first = _candidates(sets, packed, False)
-    cand = first if kept_fine is None else first.unionByName(_candidates(sets, kept_fine, True))
-
-    same = sets.where("n > 0").groupBy("n", "print1", "print2").agg(F.min("row").alias("rep"), F.count("*").alias("m"))
-    several = stored(same.where("m > 1"), "same").drop("m")
-    copies = (sets.where("n > 0").join(several, ["n", "print1", "print2"])
-              .select(F.col("row").alias("b"), F.col("rep").alias("a")).where("a != b"))
-    cand = stored(
-        cand.join(copies.select(F.col("b").alias("row"), F.col("a").alias("rep")), "row", "left")
-        .select("key", F.coalesce("rep", "row").alias("row")).distinct(), "candidates")
+        again = stored(rows.mapInArrow(_described(buckets, n, percent, frozenset(short), True), schema), "fine")
+        fine = again.where("row IS NOT NULL").select("row", "home", "filled", "apart").join(
+            sets.select("row", "rep"), "row")
+        cand = cand.unionByName(_candidates(again, fine))
+    cand = stored(cand, "candidates")
     about = stored(sets.join(cand.select("row").distinct(), "row", "left_semi"), "about")
-    count = about.count()
     wanted = about.select("row", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     texts = stored(
-        rows.join(small_side(wanted, count), F.col("doc_id").eqNullSafe(F.col("id"))
+        rows.join(small_side(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("id"))
                   & (F.col("text_hash") == F.col("hash"))).select("row", "text").dropDuplicates(["row"]), "texts")
-    found = stored(copies, "copies")
-    return sets, _linked(cand, about, texts, found, n, percent)
-
-
-def _candidates(sets: DataFrame, packed: DataFrame, fine: bool) -> DataFrame:
-    """(key, row): each set's rarest shared keys, one more than the classes that may differ."""
-    shared = (packed.groupBy("bucket").applyInArrow(_shared_keys, "node long, found array<struct<often:int,key:long>>")
-              .groupBy("node").agg(F.flatten(F.collect_list("found")).alias("found"))
-              .select(F.shiftright("node", 1).alias("row"), (F.col("node") % 2).cast("int").alias("k"), "found"))
-    joined = shared.join(sets.select("row", "n", "filled", "apart"), "row")
-    filled = F.col("n") if fine else F.element_at("filled", F.col("k") + 1)
-    need = F.element_at("apart", F.col("k") + 1) + 1 - (filled - F.size("found"))
-    return (joined.withColumn("need", need).where("need > 0")
-            .select("row", F.explode(F.slice(F.array_sort("found"), F.lit(1), F.col("need").cast("int"))).alias("x"))
-            .select(F.col("x.key").alias("key"), "row"))
-
-
-def _linked(cand: DataFrame, about: DataFrame, texts: DataFrame, found: DataFrame, n: int, percent: int) -> DataFrame:
-    """All verified links (a, b), as described in :func:`links`."""
-    narrow = about.select("row", "n", "sketch")
-    done, lead = None, 1
+    label = _connected(cand, about.select("row", "n", "sketch"), texts, n, percent)
+    copies = sets.where("rep IS NOT NULL").select("row", "rep")
+    label = (copies.join(label.toDF("rep", "at"), "rep", "left").select("row", F.coalesce("at", "rep").alias("component"))
+             .unionByName(label.join(copies.select("row"), "row", "left_anti").select("row", "component")))
+    return sets, label
+
+
+def _candidates(described: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, row, lead): the keys by which sets can find their partners, for one of each equal sets."""
+    shared = (described.where("bucket IS NOT NULL").select(*PACKED).groupBy("bucket")
+              .applyInArrow(_shared_keys, "home long, bucket int, owners binary, marks binary, keys binary"))
+    narrow = sets.where("home IS NOT NULL").select(
+        "home", "row", F.coalesce("rep", "row").alias("rep"), "filled", "apart")
+    return narrow.groupBy("home").cogroup(shared.groupBy("home")).applyInArrow(
+        _prefixes, "key long, row long, lead boolean")
+
+
+def _connected(cand: DataFrame, about: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """(row, component) of all sets with a link, as described in :func:`near_sets`."""
+    bits = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                       F.lit(0), lambda s, x: s + x)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        close = (pairs.join(about.toDF("a", "n_a", "sketch_a"), "a").join(about.toDF("b", "n_b", "sketch_b"), "b")
+                 .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+                 .where(bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b"))
+        return (close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+                .select("a", "b", "text_a", "text_b")
+                .mapInArrow(_verified(n, percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
+
+    def pairs_of(groups_: DataFrame, heads: DataFrame) -> DataFrame:
+        return (groups_.join(heads, "key").where("head != row")
+                .select(F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct())
+
+    # The first round looks at two keys of each set only; that connects most.
+    first = cand.where("lead").select("key", "row")
+    done = stored(pairs_of(first, first.groupBy("key").agg(F.min("row").alias("head"))), "pairs")
+    label = stored(components(verified(done)).toDF("row", "component"), "labels")
+    cand, lead = cand.select("key", "row"), 1
     while True:
+        count = label.count()
+        tagged = cand.join(small_side(label, count), "row", "left").select(
+            "key", "row", F.coalesce("component", "row").alias("component"))
+        mixed = stored(tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+                       .where("x != y").select("key"), "mixed")
+        n_mixed = mixed.count()
+        if not n_mixed:
+            return label
+        cand = stored(tagged.join(small_side(mixed, n_mixed), "key", "left_semi").distinct(), "candidates")
         if lead == 1:
-            heads = cand.groupBy("key").agg(F.min("row").alias("head"))
+            heads = cand.groupBy("key").agg(F.min(F.struct("row", "component")).alias("x")).select(
+                "key", F.col("x.row").alias("head"), F.col("x.component").alias("of"))
         else:
-            order = F.row_number().over(Window.partitionBy("key").orderBy("row"))
-            heads = cand.withColumn("nth", order).where(F.col("nth") <= lead).select("key", F.col("row").alias("head"))
-        pairs = (cand.join(heads, "key").where("head != row")
-                 .select(F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct())
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        bits = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                           F.lit(0), lambda s, x: s + x)
-        close = (pairs.join(narrow.toDF("a", "n_a", "sketch_a"), "a").join(narrow.toDF("b", "n_b", "sketch_b"), "b")
-                 .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                 .where(bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b"))
-        checked = (close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-                   .select("a", "b", "text_a", "text_b")
-                   .mapInArrow(_verified(n, percent), "a long, b long, linked boolean"))
-        fresh = stored(checked.where("linked").select("a", "b"), "links")
-        found = found.select("a", "b").unionByName(fresh)
-        done = pairs if done is None else done.unionByName(pairs)
-        # groups that still mix components go on, without the sets that met all others of the group
-        label = components(found)
-        cand = (cand.join(label, cand["row"] == label["node"], "left")
-                .select("key", "row", F.coalesce("component", "row").alias("component")))
-        mixed = (cand.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-                 .where("x != y").select("key"))
+            nth = F.row_number().over(Window.partitionBy("key").orderBy("row"))
+            heads = cand.withColumn("nth", nth).where(F.col("nth") <= lead).select(
+                "key", F.col("row").alias("head"), F.col("component").alias("of"))
+        apart = cand.join(heads, "key").where("component != of").select(
+            F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct()
+        pairs = stored(apart.join(done, ["a", "b"], "left_anti"), "pairs")
+        done = done.unionByName(pairs)
+        links = stored(verified(pairs), "links")
+        # sets that met all others of their group leave it
         met = heads.select("key", F.col("head").alias("row"))
-        cand = stored(cand.join(mixed, "key", "left_semi").select("key", "row")
-                      .join(met, ["key", "row"], "left_anti"), "candidates")
-        alone = cand.groupBy("key").count().where("count > 1").select("key")
-        cand = stored(cand.join(alone, "key", "left_semi"), "candidates")
-        if cand.isEmpty():
-            return found
-        lead *= 2
+        cand = cand.select("key", "row").join(met, ["key", "row"], "left_anti")
+        lead *= 4
+        if links.isEmpty():
+            continue
+        # components are joined by links between them
+        between = (links.join(label.toDF("a", "of_a"), "a", "left").join(label.toDF("b", "of_b"), "b", "left")
+                   .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")))
+        merged = components(between)
+        moved = merged.toDF("component", "to")
+        label = stored(
+            label.join(moved, "component", "left").select("row", F.coalesce("to", "component").alias("component"))
+            .unionByName(merged.toDF("row", "component").join(label.select("row"), "row", "left_anti")), "labels")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
@@ -331,9 +376,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links. Rows that repeat are separate rows with one component; a null identifier is
     never the least of a component with others. An empty table gives an empty result; other columns are ignored.
     """
-    sets, found = links(docs, id_col, text_col, n, percent)
-    label = components(found)
-    rows = sets.join(label, sets["row"] == label["node"], "left").select(
+    sets, label = near_sets(docs, id_col, text_col, n, percent)
+    rows = sets.join(label, "row", "left").select(
         "row", "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("component", "row").alias("at"))
     rows = stored(rows, "labelled")
     least = (rows.groupBy("at").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("m"))
