@@ -253,9 +253,9 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
        its filled classes less those that may differ has no partner and leaves. Others keep
        their rarest keys, one more than may differ: linked sets meet in one of these.
     3. In each group of sets with a key, the least is compared with the others; a group whose
-       sets are connected by then is done, and others go on with four times as many to compare with. No
-       group's pairs are all made. Pairs must pass sizes and the Hamming distance of sketches, which is
-       at most the symmetric difference, and then the exact comparison of their sets.
+       sets are connected by then is done, and others go on with sixteen times as many to compare with. Sizes
+       and the Hamming distance of sketches, which is at most the symmetric difference, are compared inside
+       the join; only pairs that pass are made and then verified by their sets.
 
     A band in which some set fills no more classes than may differ is done again with every
     shingle a class of its own, which always suffices, so no link is lost.
@@ -308,29 +308,34 @@ def _candidates(described: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _connected(cand: DataFrame, about: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(row, component) of all sets with a link, as described in :func:`near_sets`."""
+    n_about = about.count()
+
+    def with_sketch(rows: DataFrame, row: str, suffix: str) -> DataFrame:
+        side = about.toDF(row, f"n_{suffix}", f"sketch_{suffix}")
+        return rows.join(small_side(side, n_about), row)
+
     bits = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                        F.lit(0), lambda s, x: s + x)
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        close = (pairs.join(about.toDF("a", "n_a", "sketch_a"), "a").join(about.toDF("b", "n_b", "sketch_b"), "b")
-                 .where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-                 .where(bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)).select("a", "b"))
-        return (close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    near = ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+            & (bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)))
+
+    def linked(members: DataFrame, heads: DataFrame, apart) -> DataFrame:
+        """Verified links between heads and members of a group. Sizes and sketches are compared in the
+        join itself, so that pairs that can't link are never made."""
+        left, right = with_sketch(heads, "head", "a"), with_sketch(members, "row", "b")
+        pairs = (right.join(left, (right["key"] == left["key"]) & apart & near)
+                 .select(F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct())
+        return (pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
                 .select("a", "b", "text_a", "text_b")
                 .mapInArrow(_verified(n, percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
 
-    def pairs_of(groups_: DataFrame, heads: DataFrame) -> DataFrame:
-        return (groups_.join(heads, "key").where("head != row")
-                .select(F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct())
-
     # The first round looks at two keys of each set only; that connects most.
     first = cand.where("lead").select("key", "row")
-    done = stored(pairs_of(first, first.groupBy("key").agg(F.min("row").alias("head"))), "pairs")
-    label = stored(components(verified(done)).toDF("row", "component"), "labels")
+    links = linked(first, first.groupBy("key").agg(F.min("row").alias("head")), F.col("head") != F.col("row"))
+    label = stored(components(links).toDF("row", "component"), "labels")
     cand, lead = cand.select("key", "row"), 1
     while True:
-        count = label.count()
-        tagged = cand.join(small_side(label, count), "row", "left").select(
+        tagged = cand.join(small_side(label, label.count()), "row", "left").select(
             "key", "row", F.coalesce("component", "row").alias("component"))
         mixed = stored(tagged.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
                        .where("x != y").select("key"), "mixed")
@@ -345,15 +350,11 @@ def _connected(cand: DataFrame, about: DataFrame, texts: DataFrame, n: int, perc
             nth = F.row_number().over(Window.partitionBy("key").orderBy("row"))
             heads = cand.withColumn("nth", nth).where(F.col("nth") <= lead).select(
                 "key", F.col("row").alias("head"), F.col("component").alias("of"))
-        apart = cand.join(heads, "key").where("component != of").select(
-            F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct()
-        pairs = stored(apart.join(done, ["a", "b"], "left_anti"), "pairs")
-        done = done.unionByName(pairs)
-        links = stored(verified(pairs), "links")
+        links = stored(linked(cand, heads, F.col("of") != F.col("component")), "links")
         # sets that met all others of their group leave it
         met = heads.select("key", F.col("head").alias("row"))
         cand = cand.select("key", "row").join(met, ["key", "row"], "left_anti")
-        lead *= 4
+        lead *= 16
         if links.isEmpty():
             continue
         # components are joined by links between them
