@@ -1,25 +1,19 @@
 """Text expressions: cleaning, lexicon matching, excerpts, dates, page state.
 
-All are column expressions that stay in the JVM, except that rows holding an HTML entity
-outside the common set take an Arrow UDF for complete decoding.
+All are column expressions that stay in the JVM.
 """
 
 from __future__ import annotations
 
 import html
+import html.entities
 import re
-import sys
-from functools import reduce
+from functools import cache, reduce
 
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..lexicon import Lexicon
 
-# Executors need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Unicode white space as one Java character class (plain \s is ASCII only). The inner
 # intersection lets other characters fail on one range test.
 _WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -70,9 +64,50 @@ def collapse(col: Column) -> Column:
     return F.trim(F.regexp_replace(col, f"{SPACE}+", " "))
 
 
-@F.pandas_udf(T.StringType())
-def _decode_all(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+# What may be an entity, as the HTML standard reads it.
+_ENTITY = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def _texts(values) -> str:
+    """SQL text of an array of strings, written as code units."""
+    def literal(value: str) -> str:
+        return "'" + "".join(f"\\u{u:04x}" for u in memoryview(
+            value.encode("utf-16-le")).cast("H")) + "'"
+    return "array(" + ", ".join(literal(v) for v in values) + ")"
+
+
+@cache
+def _entity_sql() -> str:
+    """SQL text of one entity ``m`` decoded: by number, by whole name, or by the longest name that
+    needs no semicolon and begins it; else it stays. The tables come from the standard library."""
+    names = html.entities.html5
+    open_names = sorted((n for n in names if not n.endswith(";")), key=len, reverse=True)
+    known = f"map_from_arrays({_texts(names)}, {_texts(names.values())})"
+    begun = f"map_from_arrays({_texts(open_names)}, {_texts(names[n] for n in open_names)})"
+    low = _texts(html.unescape(f"&#{n};") for n in range(160))
+    digits = r"regexp_extract(m, r'^&#0*([0-9]*)', 1)"
+    hexes = r"regexp_extract(m, r'^&#[xX]0*([0-9a-fA-F]*)', 1)"
+    # more digits than the largest code point has count as beyond it
+    number = (f"CASE WHEN m RLIKE r'^&#[xX]' THEN CASE WHEN length({hexes}) > 6 THEN 1114112 ELSE "
+              f"CAST(conv(concat('0', {hexes}), 16, 10) AS INT) END WHEN length({digits}) > 7 THEN 1114112 "
+              f"ELSE CAST(concat('0', {digits}) AS INT) END")
+    char = "decode(unhex(lpad(hex(n), 8, '0')), 'UTF-32')"
+    numeric = (f"CASE WHEN n < 160 THEN element_at({low}, n + 1) "
+               "WHEN n BETWEEN 55296 AND 57343 OR n > 1114111 THEN '\\ufffd' "
+               f"WHEN n BETWEEN 64976 AND 65007 OR n % 65536 >= 65534 THEN '' ELSE {char} END")
+    prefix = f"regexp_extract(m, r'^&({'|'.join(open_names)})', 1)"
+    named = (f"coalesce(try_element_at({known}, substr(m, 2)), CASE WHEN {prefix} != '' THEN "
+             f"concat(element_at({begun}, {prefix}), substr(m, length({prefix}) + 2)) ELSE m END)")
+    return (f"CASE WHEN m RLIKE '^&#' THEN element_at(transform(array({number}), n -> {numeric}), 1) "
+            f"ELSE {named} END")
+
+
+def _decode_all(text: str) -> Column:
+    """All entities of the named column decoded, each once, in one pass over the text."""
+    entity = f"r'{_ENTITY}'"
+    decoded = f"transform(regexp_extract_all({text}, {entity}, 0), m -> {_entity_sql()})"
+    return F.expr(f"array_join(zip_with(split({text}, {entity}, -1), array_append({decoded}, ''), "
+                  "(a, b) -> concat(a, b)), '')")
 
 
 def strip_tags(col: Column) -> Column:
@@ -100,7 +135,7 @@ def with_clean_text(df: DataFrame, text: str, out: str, full_entities: bool = Tr
     decoded = _decode_common(t, F.col("_a"))
     if full_entities:
         df = df.withColumn("_r", F.when(~F.col("_a") & t.rlike(_UNCOMMON), t))
-        df = df.withColumn("_d", _decode_all(F.col("_r")))
+        df = df.withColumn("_d", _decode_all("_r"))
         decoded = F.when(F.col("_r").isNull(), decoded).otherwise(F.col("_d"))
     df = df.withColumn("_t", decoded)
     return df.withColumn(out, collapse(F.col("_t"))).drop("_t", "_a", "_r", "_d")

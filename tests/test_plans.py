@@ -1,5 +1,8 @@
 """What the physical plans must and must not hold."""
 
+import re
+
+import pytest
 from pyspark.sql import functions as F
 
 from signalloom.bindings import accounts as AB, catalog
@@ -44,3 +47,26 @@ def test_text_conditions_are_not_repeated(spark, sf):
 
 def test_sample_is_a_top_n(spark, sf):
     assert "TakeOrderedAndProject" in plan(catalog.QUERIES["hash_sample"](spark, sf))
+
+
+SOURCES = [n for n in catalog.QUERIES if n.endswith("_source")]
+TEXTS = {"payload", "body", "html", "description", "job", "full_text", "text_lc", "_p", "text"}
+
+
+@pytest.mark.parametrize("name", SOURCES)
+def test_no_text_of_a_source_is_shuffled(spark, sf, name):
+    df = catalog.QUERIES[name](spark, sf)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    for columns in re.findall(r"\) (?:Broadcast)?Exchange *\nInput \[\d+\]: \[([^\]]*)\]", text):
+        moved = {c.split("#")[0].strip() for c in columns.split(",")}
+        assert not moved & TEXTS, (name, moved)
+
+
+@pytest.mark.parametrize("name", [n for n in SOURCES if n not in ("search_page_source", "startup_source")])
+def test_sources_stay_in_the_jvm(spark, sf, name):
+    assert "Python" not in plan(catalog.QUERIES[name](spark, sf))
+
+
+def test_card_pages_are_parsed_once(spark, sf):
+    assert plan(catalog.QUERIES["search_page_source"](spark, sf)).count("ArrowEvalPython") == 1

@@ -1,6 +1,7 @@
 """Text expressions against brute force in Python."""
 
 import html
+import html.entities
 import random
 import re
 
@@ -186,3 +187,14 @@ def test_title_case_matches_python(spark):
     got = [r.c for r in texts(spark, values).orderBy("i").select(
         X.title_case(F.col("t")).alias("c")).collect()]
     assert got == [v.title() for v in values]
+
+
+def test_entities_decode_as_the_standard_library_does(spark):
+    rng = random.Random(3)
+    parts = ["&", "#", "x", ";", "amp", "lt", "copy", "not", "in", "1", "65", "A", " ", "é", "&#", "\n"]
+    texts = [f"a&{n}b &{n}; x" for n in sorted(html.entities.html5)[::7]]
+    texts += [f"&#{n};&#x{n:X}z" for n in (*range(0, 170), 0xD800, 0xFDD0, 0xFFFE, 0x1F600, 0x10FFFF, 0x110000, 10**20)]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("d", X._decode_all("t"))
+    for r in df.collect():
+        assert r.d == html.unescape(r.t), r.t
