@@ -21,7 +21,8 @@ HEADLINE = (
     "supplier_rollup", "account_match", "tiering", "known_and_primary_markets",
     "expansion_flag", "first_wins_dedup", "domain_batches", "snapshot_merge", "velocity_delta",
     "group_topk_more", "alert_payloads", "faceted_search", "liveness", "greenhouse_source",
-    "network_source", "feed_monitor_source", "weekly_stream_counts")
+    "network_source", "feed_monitor_source", "weekly_stream_counts", "account_board_source",
+    "startup_source", "search_page_source", "second_run", "targeted_run")
 
 
 def run(df: DataFrame) -> None:

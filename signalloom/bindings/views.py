@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import scoring as S
+from ..functions import scoring as S, text as X
 from ..lexicon import SOURCE_LABELS
 from ..operators import alerts as AL, explore as E, liveness as L, velocity as V
 from ..sources import tables
@@ -51,7 +51,7 @@ def liveness_default_phrases(spark, sf):
             " This Job is CLOSED."))).when(F.contains("text", F.lit("reau")), F.concat(
                 F.lit("Position has been filled: "), "text")).otherwise(
                 F.col("text")).alias("body"), F.lit(None).cast("string").alias("fetch_error"))
-    return L.check(d).where(~F.col("is_live")).select("url", "reason")
+    return X.keep(L.check(d), ~F.col("is_live")).select("url", "reason")
 
 
 def verified_postings(spark, sf):

@@ -249,7 +249,10 @@ def in_location(text: Column, wanted: tuple[str, ...] | None) -> Column:
     """True without a filter, else whether any wanted substring occurs."""
     if wanted is None:
         return F.lit(True)
-    return any_of([F.contains(F.lower(text), F.lit(w)) for w in wanted])
+    # the text is lower-cased once, not once per word
+    found = F.transform(F.array(F.lower(text)), lambda low: any_of(
+        [F.contains(low, F.lit(w)) for w in wanted]))
+    return F.get(found, F.lit(0))
 
 
 def excerpt(text: Column, keyword: Column, window: int = 120) -> Column:

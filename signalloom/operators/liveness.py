@@ -20,9 +20,8 @@ def closed_phrases(url: Column, phrases=CLOSED_PHRASES) -> Column:
     return F.concat(*groups)
 
 
-def first_closed_phrase(url: Column, body: Column, phrases=CLOSED_PHRASES) -> Column:
-    """First phrase of the url's host found in the body, or null."""
-    host, body = url_host(url), F.lower(F.coalesce(body, F.lit("")))
+def first_closed_phrase(host: Column, body: Column, phrases=CLOSED_PHRASES) -> Column:
+    """First phrase of the host found in the lower-case body, or null."""
     hits = []
     for part, texts in phrases:
         for text in texts:
@@ -33,16 +32,18 @@ def first_closed_phrase(url: Column, body: Column, phrases=CLOSED_PHRASES) -> Co
     return F.coalesce(*hits)
 
 
-def verdict(url: Column, status: Column, body: Column, fetch_error: Column,
-            phrases=CLOSED_PHRASES) -> Column:
-    """struct(is_live, reason) by the first rule that applies."""
+def verdict(url: Column, status: Column, body: Column, fetch_error: Column, host: Column,
+            low: Column, phrases=CLOSED_PHRASES) -> Column:
+    """struct(is_live, reason) by the first rule that applies.
+
+    ``host`` of the url and ``low``, the lower-case body, should be stored columns.
+    """
     def say(live: bool, reason: Column | str) -> Column:
         reason = F.lit(reason) if isinstance(reason, str) else reason
         return F.struct(F.lit(live).alias("is_live"), reason.alias("reason"))
 
-    host = url_host(url)
     http = F.concat(F.lit("HTTP "), status.cast("string"))
-    phrase = first_closed_phrase(url, body, phrases)
+    phrase = first_closed_phrase(host, low, phrases)
     listed = F.get_json_object(body, "$.is_listed")
     unlisted = (F.contains(host, F.lit("boards-api.greenhouse.io"))
                 & (listed.isin("false", "0", "") | body.rlike(r'"is_listed"\s*:\s*null')))
@@ -65,9 +66,13 @@ def verdict(url: Column, status: Column, body: Column, fetch_error: Column,
 
 def check(crawl: DataFrame, phrases=CLOSED_PHRASES) -> DataFrame:
     """url, is_live, reason for each crawled page."""
-    v = verdict(F.col("url"), F.col("status"), F.col("body"), F.col("fetch_error"), phrases)
     when = [F.col("fetched_at")] if "fetched_at" in crawl.columns else []
-    return crawl.select("url", *when, v.alias("v")).select("url", *when, "v.is_live", "v.reason")
+    staged = crawl.select("url", "status", "body", "fetch_error", *when,
+                          url_host(F.col("url")).alias("_host"),
+                          F.lower(F.coalesce("body", F.lit(""))).alias("_low"))
+    v = verdict(F.col("url"), F.col("status"), F.col("body"), F.col("fetch_error"),
+                F.col("_host"), F.col("_low"), phrases)
+    return staged.select("url", *when, v.alias("v")).select("url", *when, "v.is_live", "v.reason")
 
 
 def verify(jobs: DataFrame, crawl: DataFrame, phrases=CLOSED_PHRASES,
