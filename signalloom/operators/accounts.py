@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.names import name_tokens, normalise_domain, normalise_name
 from ..functions.text import any_of
 from ..lexicon import TierRules
+from ..session import stored
 from .dedup import first_wins, hash_sample
 
 ACCOUNT_FIELDS = ("name", "domain", "zoominfo_id", "vertical", "industry", "zi_industry")
@@ -152,7 +153,7 @@ def token_matches(queries: DataFrame, names: DataFrame) -> DataFrame:
     known = names.withColumn("tokens", name_tokens(F.col("nn")))
     known = known.groupBy("list", F.array_join("tokens", " ").alias("akey")).agg(
         F.first("tokens").alias("atokens"), F.min("first_row").alias("first_row"))
-    known = known.withColumn("abits", _signature("atokens"))
+    known = stored(known.withColumn("abits", _signature("atokens")), "token-sets")
 
     tokens = known.select(F.explode("atokens").alias("token"))
     frequency = tokens.groupBy("token").agg(F.count("*").alias("n"))
@@ -194,7 +195,7 @@ def spread_blank(key: Column, *by: str) -> Column:
 
 def match_names(companies: DataFrame, accounts: DataFrame, name: str) -> DataFrame:
     """Adds by_name and by_tokens: struct(managed, unmanaged) of candidate accounts."""
-    names = name_index(accounts)
+    names = stored(name_index(accounts), "names")
     others = [c for c, kind in companies.dtypes if kind in ("string", "bigint", "double")]
     keyed = companies.withColumn("nn", spread_blank(normalise_name(F.col(name)), *others))
     exact = _names_by_list(names).select("nn", F.struct(*LISTS).alias("by_name"))
