@@ -21,7 +21,9 @@ RATIO = 4
 CLASSES, FINE = 0.38, 64
 SKETCH_BITS = 512
 #: Bytes of text for each bucket of keys, and keys that a task gathers before it sends them on.
-BUCKET_BYTES, GATHERED = 16 << 20, 3_000_000
+BUCKET_BYTES, GATHERED = 16 << 20, 500_000
+#: Documents that a task holds at a time.
+SLICE = 2000
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -133,8 +135,10 @@ def _described(buckets: int, n: int, percent: int, fine: frozenset, only_fine: b
     """
     def run(batches):
         row = TaskContext.get().partitionId() << 36
-        for batch in batches:
-            size, sender, pending, seen = batch.num_rows, _Sender(buckets), [], set()
+        slices_ = ((whole.slice(at, SLICE), at) for whole in batches for at in range(0, whole.num_rows, SLICE))
+        for batch, at in slices_:
+            size, sender, pending = batch.num_rows, _Sender(buckets), []
+            seen = seen if at else set()
             out = {c: [None] * size for c in ("n", "print1", "print2", "sketch", "band", "filled", "apart", "home")}
             for d, shingles in shingle_sets(batch.column("text"), n):
                 spread = mix(shingles)
@@ -148,7 +152,7 @@ def _described(buckets: int, n: int, percent: int, fine: frozenset, only_fine: b
                 out["band"][d], out["sketch"][d] = where[0][0], parity_sketch(shingles).tolist()
                 out["filled"][d], out["apart"][d] = [len(k) for k in keys], [x for _, x in where]
                 if (len(shingles), *both) in seen:
-                    continue  # equal sets of one batch send their keys once
+                    continue  # equal sets of one Arrow batch send their keys once
                 seen.add((len(shingles), *both))
                 for k, (b, _) in enumerate(where):
                     if not only_fine or b in fine:
@@ -163,7 +167,7 @@ def _described(buckets: int, n: int, percent: int, fine: frozenset, only_fine: b
             packed = {c: pa.array([p[c] for p in pending], KINDS[c]) for c in PACKED}
             row += size
             yield from pa.concat_tables([pa.table(columns), pa.table(packed)], promote_options="default").select(
-                list(KINDS)).to_batches(max_chunksize=2000)
+                list(KINDS)).to_batches(max_chunksize=SLICE)
     return run
 
 
