@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import nonblank
@@ -10,6 +12,46 @@ from .dedup import last_wins
 from .markets import OTHER
 from .state import name_key
 
+SEGMENTS = ("managed", "unmanaged", "prospect")
+
+# The texts of a message, by segment. Names in braces are filled in.
+MESSAGES = {
+    "header": {
+        "managed": ":briefcase: {count} Managed Account{s} — {market}",
+        "unmanaged": ":dart: {count} Unmanaged Account{s} — {market}",
+        "prospect": ":fork_and_knife: {count} New Lunch Perk Prospects"},
+    "context": {
+        "managed": "{tag}{day}  •  Rep-owned accounts with active food perk hiring activity",
+        "unmanaged": "{tag}{day}  •  Unmanaged accounts with active food perk hiring activity",
+        "prospect": "{day}  •  {total} total companies in database"},
+    "left_out": {
+        "managed": "_...and {more} more managed accounts in {market}._",
+        "unmanaged": "_...and {more} more unmanaged accounts in {market}._",
+        "prospect": "_...and {more} more. Open the dashboard to see all._"},
+    "closing": {
+        "managed": ":bulb: These rep-owned accounts are actively hiring roles that mention food perks.",
+        "unmanaged": ":bulb: These unmanaged accounts are actively hiring roles that mention food perks.",
+        "prospect": ":bulb: These companies mention food perks (DoorDash, GrubHub, free lunch, catered "
+                    "meals, etc.) in job postings. All listings verified live as of today."},
+    "summary": {
+        "managed": ":briefcase: {count} managed accounts with food perk signal — {market}",
+        "unmanaged": ":dart: {count} unmanaged accounts with food perk signal — {market}",
+        "prospect": ":fork_and_knife: {count} new lunch perk prospects found"},
+}
+
+# The parts of a company's text.
+COMPANY = {
+    "managed": ":rotating_light: *MANAGED ACCT*  ",
+    "link": "*<{sample_url}|{company}>*  `score: {score}`",
+    "market": " :round_pushpin: {market}",
+    "vertical": "  `{ezcater_vertical}`",
+    "accelerating": "  :fire: *Accelerating*",
+    "signal": "\n{source}\n:pushpin: _{roles} role{s} mentioning food perks_ — `{top_keywords}`\n",
+    "confirmed": "\n:construction: *Expanding to: {confirmed}* — new office signal from JDs",
+    "possible": "\n:construction: Possible expansion: {possible} — watch list",
+    "perk": "\n> \"{perk}\"\n",
+}
+
 
 def territories(table: DataFrame) -> DataFrame:
     """One row per market, the last of duplicates (needs ``row_no``)."""
@@ -55,32 +97,30 @@ def source_label(source: Column, labels: dict[str, str] = SOURCE_LABELS) -> Colu
     return chain.otherwise(F.concat(F.lit(":white_circle: "), source))
 
 
+def filled(template: str, values: dict[str, Column]) -> Column:
+    """A text with its {names} replaced by columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[values[p] if i % 2 else F.lit(p) for i, p in enumerate(parts) if i % 2 or p])
+
+
 def company_text(c) -> Column:
     """Message text of one company. ``c`` gives a column by name."""
-    def tag(condition: Column, *parts) -> Column:
-        texts = [F.lit(p) if isinstance(p, str) else p for p in parts]
-        return F.when(condition, F.concat(*texts)).otherwise(F.lit(""))
-
-    roles = F.concat(c("role_count").cast("string"), F.lit(" role"),
-                     F.when(c("role_count") != 1, "s").otherwise(""),
-                     F.lit(" mentioning food perks"))
-    confirmed, possible = c("expansion_confirmed"), c("expansion_possible")
-    expansion = F.when(confirmed != "", F.concat(
-        F.lit("\n:construction: *Expanding to: "), confirmed,
-        F.lit("* — new office signal from JDs"))).when(possible != "", F.concat(
-            F.lit("\n:construction: Possible expansion: "), possible,
-            F.lit(" — watch list"))).otherwise(F.lit(""))
-    perk = F.substring(c("perk_excerpt"), 1, 140)
+    values = {n: c(n) for n in ("sample_url", "company", "market", "ezcater_vertical", "top_keywords")}
+    values |= {"score": c("gtm_score").cast("string"), "source": source_label(c("best_source")),
+               "roles": c("role_count").cast("string"), "perk": F.substring(c("perk_excerpt"), 1, 140),
+               "s": F.when(c("role_count") != 1, "s").otherwise(""),
+               "confirmed": c("expansion_confirmed"), "possible": c("expansion_possible")}
+
+    def tag(name: str, condition: Column) -> Column:
+        return F.when(condition, filled(COMPANY[name], values)).otherwise(F.lit(""))
+
+    confirmed = c("expansion_confirmed") != ""
     return F.concat(
-        tag(c("segment") == "managed", ":rotating_light: *MANAGED ACCT*  "),
-        F.lit("*<"), c("sample_url"), F.lit("|"), c("company"), F.lit(">*  `score: "),
-        c("gtm_score").cast("string"), F.lit("`"),
-        tag(~c("market").isin("", OTHER), " :round_pushpin: ", c("market")),
-        tag(c("ezcater_vertical") != "", "  `", c("ezcater_vertical"), "`"),
-        tag(c("accelerating") == 1, "  :fire: *Accelerating*"),
-        F.lit("\n"), source_label(c("best_source")), F.lit("\n:pushpin: _"), roles,
-        F.lit("_ — `"), c("top_keywords"), F.lit("`\n"), expansion,
-        tag(perk != "", "\n> \"", perk, "\"\n"))
+        tag("managed", c("segment") == "managed"), filled(COMPANY["link"], values),
+        tag("market", ~c("market").isin("", OTHER)), tag("vertical", c("ezcater_vertical") != ""),
+        tag("accelerating", c("accelerating") == 1), filled(COMPANY["signal"], values),
+        tag("confirmed", confirmed), tag("possible", ~confirmed & (c("expansion_possible") != "")),
+        tag("perk", values["perk"] != ""))
 
 
 def top_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int = 10) -> DataFrame:
@@ -145,35 +185,11 @@ def payloads(rows: DataFrame, day_label: str, companies_total: Column) -> DataFr
         return (F.when(F.col("segment") == "managed", managed)
                 .when(F.col("segment") == "unmanaged", unmanaged).otherwise(prospect))
 
-    def text(*parts) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-    header = by_segment(
-        text(":briefcase: ", count, " Managed Account", plural, " — ", market),
-        text(":dart: ", count, " Unmanaged Account", plural, " — ", market),
-        text(":fork_and_knife: ", count, " New Lunch Perk Prospects"))
-    context = by_segment(
-        text(F.col("rep_tag"), day_label,
-             "  •  Rep-owned accounts with active food perk hiring activity"),
-        text(F.col("rep_tag"), day_label,
-             "  •  Unmanaged accounts with active food perk hiring activity"),
-        text(day_label, "  •  ", companies_total.cast("string"),
-             " total companies in database"))
-    left_out = by_segment(
-        text("_...and ", more, " more managed accounts in ", market, "._"),
-        text("_...and ", more, " more unmanaged accounts in ", market, "._"),
-        text("_...and ", more, " more. Open the dashboard to see all._"))
-    closing = by_segment(
-        text(":bulb: These rep-owned accounts are actively hiring roles that mention food "
-             "perks."),
-        text(":bulb: These unmanaged accounts are actively hiring roles that mention food "
-             "perks."),
-        text(":bulb: These companies mention food perks (DoorDash, GrubHub, free lunch, "
-             "catered meals, etc.) in job postings. All listings verified live as of today."))
-    summary = by_segment(
-        text(":briefcase: ", count, " managed accounts with food perk signal — ", market),
-        text(":dart: ", count, " unmanaged accounts with food perk signal — ", market),
-        text(":fork_and_knife: ", count, " new lunch perk prospects found"))
+    values = {"count": count, "s": plural, "market": market, "more": more, "day": F.lit(day_label),
+              "tag": F.col("rep_tag"), "total": companies_total.cast("string")}
+    header, context, left_out, closing, summary = [
+        by_segment(*[filled(MESSAGES[part][kind], values) for kind in SEGMENTS])
+        for part in ("header", "context", "left_out", "closing", "summary")]
 
     sections = F.transform("items", lambda i: _block("section", i["text"]))
     overflow = F.when(F.col("more") > 0, F.array(_block("section", left_out))).otherwise(

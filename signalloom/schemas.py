@@ -11,6 +11,8 @@ def _struct(**cols: str) -> T.StructType:
     return T.StructType([T.StructField(n, kinds[k]) for n, k in cols.items()])
 
 
+# --- fixed values: column names, headers and payload fields of the files exchanged -------------
+
 # One job posting. `ingest_seq` orders rows inside the engine and is left out of exports.
 JOB_COLUMNS = ("source", "company", "title", "location", "remote", "food_keywords_matched",
                "keyword_count", "perk_excerpt", "date_posted", "url", "_domain")
