@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +15,9 @@ from ..session import stored
 from .shared import renamed, small_side
 from .words import WHITE, chained, groups
 
-#: Suffixes of one anchor beyond this number are compared in parts of about this size.
-PART = 5000
+#: A suffix: its anchor's hash, document and place, the words before, nearest first, and after.
+SUFFIX = {"key": pa.int64(), "row": pa.int64(), "place": pa.int32(), "left": pa.binary(), "right": pa.binary()}
+SPAN = {"row": pa.int64(), "first": pa.int32(), "last": pa.int32(), "other": pa.int64()}
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -64,35 +66,30 @@ def _anchored(gram: int, window: int):
 
 
 def _suffixes(gram: int, window: int):
-    """A suffix at each shared anchor, with the words to its left, nearest first."""
+    """A suffix at each shared anchor."""
     side = window
-    kinds = {"key": pa.int64(), "part": pa.int32(), "row": pa.int64(), "place": pa.int32(), "left": pa.binary(),
-             "right": pa.binary()}
 
     def run(batches):
         for batch in batches:
             row = batch.column("row").to_pylist()
             shared = batch.column("shared")
-            out: dict[str, list] = {c: [] for c in kinds}
+            out: dict[str, list] = {c: [] for c in SUFFIX}
             for d, hashes, grams, at in _documents(batch.column("text"), gram, window):
-                part = {x["key"]: x["part"] for x in shared[d].as_py()}
+                keys = set(shared[d].as_py())
                 # words as 32 bits; 0 stands for what is beyond an end and equals nothing
                 small = (hashes >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
                 small = np.concatenate([np.zeros(side, np.uint32), small, np.zeros(side, np.uint32)])
                 for p in at.tolist():
                     key = int(grams[p].astype(np.int64))
-                    if key in part:
-                        out["key"].append(key)
-                        out["part"].append(part[key])
-                        out["row"].append(row[d])
-                        out["place"].append(p)
-                        out["left"].append(small[p: p + side][::-1].tobytes())
-                        out["right"].append(small[p + side + gram: p + 2 * side + gram].tobytes())
-                if len(out["key"]) > 20_000:
-                    yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds[c]) for c, v in out.items()})
-                    out = {c: [] for c in kinds}
+                    if key in keys:
+                        for c, v in zip(out, (key, row[d], p, small[p: p + side][::-1].tobytes(),
+                                              small[p + side + gram: p + 2 * side + gram].tobytes())):
+                            out[c].append(v)
+                if len(out["key"]) > 5000:
+                    yield pa.RecordBatch.from_pydict({c: pa.array(v, SUFFIX[c]) for c, v in out.items()})
+                    out = {c: [] for c in SUFFIX}
             if out["key"]:
-                yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds[c]) for c, v in out.items()})
+                yield pa.RecordBatch.from_pydict({c: pa.array(v, SUFFIX[c]) for c, v in out.items()})
     return run
 
 
@@ -102,53 +99,67 @@ def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(equal.all(axis=1), a.shape[1], equal.argmin(axis=1))
 
 
-def _neighbours(gram: int, side: int, least: int):
-    """Compares neighbours in suffix order, and in order of the words to the left."""
+def _neighbours(gram: int, side: int, least: int, borders: bool):
+    """Compares sorted suffixes with the next and the last one of another document.
+
+    Rows of one anchor and document that follow each other are a run. What is held is the newest run
+    and a row of the one before, so groups of any size stream by. With ``borders`` the first and the last
+    two runs are given out too, for the comparison across tasks.
+    """
     def matched(t: dict) -> Iterator[tuple]:
-        n = len(t["group"])
+        n = len(t["key"])
         left = np.frombuffer(b"".join(t["left"]), np.uint32).reshape(n, side)
         right = np.frombuffer(b"".join(t["right"]), np.uint32).reshape(n, side)
-        for by in ("right", "left"):
-            text = np.array(t[by], f"V{4 * side}").view(f"S{4 * side}")
-            order = np.lexsort((t["row"], text, t["group"]))
-            g, row = t["group"][order], t["row"][order]
-            new = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (row[1:] != row[:-1]), [True]]))
-            run = np.repeat(np.arange(len(new) - 1), np.diff(new))
-            # the next suffix of another document in the order, and the one before
-            for other in (new[run + 1], new[run] - 1):
-                ok = (other >= 0) & (other < n)
-                ok[ok] = g[other[ok]] == g[ok]
-                i, j = order[ok], order[other[ok]]
-                l, r = _same(left[i], left[j]), _same(right[i], right[j])
-                good = l + r + gram >= least
-                yield (t["row"][i[good]], t["place"][i[good]] - l[good], t["place"][i[good]] + gram + r[good],
-                       t["row"][j[good]])
-
-    def run(batches):
-        held: list[dict] = []
-
-        def flush(keep_last: bool):
-            nonlocal held
-            t = {c: np.concatenate([h[c] for h in held]) for c in ("key", "part", "row", "place")}
-            t |= {c: [x for h in held for x in h[c]] for c in ("left", "right")}
-            new = np.concatenate([[True], (t["key"][1:] != t["key"][:-1]) | (t["part"][1:] != t["part"][:-1])])
-            t["group"] = np.cumsum(new)
-            cut = int(np.flatnonzero(new)[-1]) if keep_last else len(new)
-            held = [{c: v[cut:] for c, v in t.items() if c != "group"}] if keep_last else []
-            if cut:
-                for row, a, b, other in matched({c: v[:cut] for c, v in t.items()}):
-                    yield pa.RecordBatch.from_pydict({
-                        "row": pa.array(row, pa.int64()), "first": pa.array(a, pa.int32()),
-                        "last": pa.array(b, pa.int32()), "other": pa.array(other, pa.int64())})
-
+        key, row, place = t["key"], t["row"], t["place"]
+        new = np.append(runs(t), n)
+        run = np.repeat(np.arange(len(new) - 1), np.diff(new))
+        for other in (new[run + 1], new[run] - 1):
+            ok = (other >= 0) & (other < n)
+            ok[ok] = key[other[ok]] == key[ok]
+            i, j = np.flatnonzero(ok), other[ok]
+            l, r = _same(left[i], left[j]), _same(right[i], right[j])
+            good = l + r + gram >= least
+            yield row[i[good]], place[i[good]] - l[good], place[i[good]] + gram + r[good], row[j[good]]
+
+    def runs(t: dict) -> np.ndarray:
+        """Where runs begin."""
+        return np.flatnonzero(np.concatenate(
+            [[True], (t["key"][1:] != t["key"][:-1]) | (t["row"][1:] != t["row"][:-1])]))
+
+    def part(t: dict, a: int, b: int) -> dict:
+        return {c: v[a:b] for c, v in t.items()}
+
+    def given(spans: dict, border: dict) -> pa.RecordBatch:
+        n, m = (len(next(iter(x.values()), ())) for x in (spans, border))
+        columns = {c: pa.array([*spans.get(c, ()), *border.get(c, ())], t) if c == "row" else
+                   pa.array([*spans.get(c, ()), *[None] * m], t) for c, t in SPAN.items()}
+        columns |= {c: pa.array([*[None] * n, *border.get(c, ())], t) for c, t in SUFFIX.items() if c != "row"}
+        return pa.RecordBatch.from_pydict(columns)
+
+    def join(a: dict | None, b: dict) -> dict:
+        return b if a is None else {c: np.concatenate([a[c], b[c]]) if c in ("key", "row", "place") else a[c] + b[c]
+                                    for c in b}
+
+    def compare(batches):
+        held, head, tail = None, None, None
         for batch in batches:
-            if batch.num_rows:
-                c = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("key", "part", "row", "place")}
-                held.append(c | {k: batch.column(k).to_pylist() for k in ("left", "right")})
-                yield from flush(True)
-        if held:
-            yield from flush(False)
-    return run
+            if not batch.num_rows:
+                continue
+            now = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("key", "row", "place")}
+            now |= {k: batch.column(k).to_pylist() for k in ("left", "right")}
+            held = join(held, now)
+            begin = runs(held)
+            if borders and head is None and len(begin) > 2:
+                head = part(held, 0, begin[2])
+            for x in matched(held):
+                if len(x[0]):
+                    yield given(dict(zip(SPAN, x)), {})
+            # the last run may go on, and the next one is compared with it
+            tail = part(held, begin[max(0, len(begin) - 2)], None)
+            held = part(held, max(0, begin[-1] - 1), None)
+        if borders and tail:
+            yield given({}, tail if head is None else join(head, tail))
+    return compare
 
 
 def _merged(batches):
@@ -178,9 +189,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Words are runs of anything but ASCII white space, after lower-casing A to Z. Suffixes are kept
     only at anchors, places whose ``gram``-word hash is the least of ``least - gram + 1`` neighbours, so
     that every repeated passage keeps one. Anchors of a single document leave after a count. The others are
-    put in suffix order, and each suffix is compared with its neighbours of other documents there and in
-    the order of the words before it; matches grow left and right, word by word, and overlapping ones
-    are united. An anchor of very many documents is compared in parts by a hash of the document.
+    put in suffix order by a range sort, and again in the order of the words before them; in both orders each
+    suffix is compared with the next and the last one of another document, across task borders too. Matches
+    grow left and right, word by word, and overlapping ones are united.
 
     Null, empty and short texts have no passages. Rows that repeat are separate documents. An
     empty table gives an empty result; other columns are ignored.
@@ -195,18 +206,25 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     seen = stored(rows.mapInArrow(_anchored(gram, window),
                                   f"row long, doc_id {kind}, text_hash long, keys array<long>"), "anchors")
     keys = seen.select("row", F.explode("keys").alias("key"))
-    often = (keys.groupBy("key").agg(F.count("*").alias("often")).where("often > 1"))
-    part = F.pmod(F.xxhash64("row"), F.ceil(F.col("often") / PART)).cast("int")
-    shared = stored(keys.join(often, "key").select("row", F.struct("key", part.alias("part")).alias("x"))
-                    .groupBy("row").agg(F.collect_list("x").alias("shared")), "shared")
+    often = keys.groupBy("key").agg(F.count("*").alias("docs")).where("docs > 1").select("key")
+    shared = stored(keys.join(often, "key").groupBy("row").agg(F.collect_list("key").alias("shared")), "shared")
     about = stored(seen.drop("keys").join(shared.select("row"), "row", "left_semi"), "about")
     wanted = about.select("row", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     texts = (rows.join(small_side(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("id"))
                        & (F.col("text_hash") == F.col("hash"))).select("row", "text").dropDuplicates(["row"]))
-    suffixes = texts.join(shared, "row").mapInArrow(
-        _suffixes(gram, window), "key long, part int, row long, place int, left binary, right binary")
-    spans = (suffixes.repartition("key", "part").sortWithinPartitions("key", "part")
-             .mapInArrow(_neighbours(gram, window, least), "row long, first int, last int, other long"))
+    sources = stored(texts.join(shared, "row"), "shared-texts")
+    suffixes = sources.mapInArrow(_suffixes(gram, window), "key long, row long, place int, left binary, right binary")
+    schema = "row long, first int, last int, other long, key long, place int, left binary, right binary"
+    found = []
+    for by in ("right", "left"):
+        order = ["key", by, "row", "place"]
+        compared = stored(suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+                          .mapInArrow(_neighbours(gram, window, least, True), schema), by)
+        # a few rows for each task of the sort
+        border = (compared.where("key IS NOT NULL").select(*SUFFIX).repartition(1).sortWithinPartitions(*order)
+                  .mapInArrow(_neighbours(gram, window, least, False), schema))
+        found += [x.where("first IS NOT NULL").select(*SPAN) for x in (compared, border)]
+    spans = reduce(lambda a, b: a.unionByName(b), found)
     merged = stored(spans.groupBy("row").agg(F.collect_list(F.struct("first", "last", "other")).alias("spans"))
                     .mapInArrow(_merged, "row long, first int, last int, other long"), "passages")
     name = about.select("row", "doc_id")
