@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import renamed
-from .words import ALNUM, BASE, Words, chained, groups, mix
+from .words import ALNUM, BASE, Words, groups, mix, small_batches, text_of
 
 STATE = "n_words long, spans array<struct<first:long,last:long>>, items array<string>"
 
@@ -112,10 +112,10 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(shared, last: bool):
+def _scan(shared, last: bool, text_col: str):
     def scan(batches):
         names, patterns = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             n = batch.num_rows
             spans: list[list] = [[] for _ in range(n)]
             items: list[set] = [set() for _ in range(n)]
@@ -123,7 +123,7 @@ def _scan(shared, last: bool):
                 spans = [[(x["first"], x["last"]) for x in row] for row in batch.column("spans").to_pylist()]
                 items = [set(x) for x in batch.column("items").to_pylist()]
             count = np.zeros(n, np.int64)
-            for i, j, words in groups(batch.column("text"), ALNUM):
+            for i, j, words in groups(text_of(batch, text_col), ALNUM):
                 count[i:j] = np.diff(words.first)
                 for p in patterns:
                     for at, which in p.occurrences(words):
@@ -153,14 +153,16 @@ def _searched(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str,
         F.coalesce(F.col("item").cast("string"), F.lit("")).alias("item"), "text").where("text IS NOT NULL")
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-int(size) // block_bytes))
-    own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")] if whole else []
-    found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *own, F.col(f"`{text_col}`").alias("text"))
-    carried = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in found.columns[:-1])
+    own = (F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole") if whole
+           else F.col(f"`{text_col}`").alias("text"))
+    found = docs.select(F.col(f"`{id_col}`").alias("doc_id"), own)
+    carried = ", ".join(f"{c} {found.schema[c].dataType.simpleString()}" for c in found.columns if c != "text")
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         shared = spark.sparkContext.broadcast(build([tuple(x) for x in part.collect()], window))
         last = k == blocks - 1
-        found = found.mapInArrow(_scan(shared, last), carried + ("" if last else ", text string") + ", " + STATE)
+        text = "" if last or whole else ", text string"
+        found = found.mapInArrow(_scan(shared, last, text_col), f"{carried}{text}, {STATE}")
     return found
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .shared import renamed
-from .words import BASE, GROUP_BYTES, hashes, mix, powers, slices
+from .words import hashes, mix, powers, slices, small_batches, text_of
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Longer runs of letters are scored in stretches of so many bytes.
@@ -218,13 +218,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return {"langs": langs, "vocabulary": vocab, "prob": prob, "prior": prior}
 
 
-def _scores(shared):
+def _scores(shared, text_col: str):
     def run(batches):
         langs, vocab, prob, prior = shared.value
         lattice, base = Lattice(vocab), np.log(prior)
-        for batch in batches:
+        for batch in small_batches(batches):
             total = np.tile(base, (batch.num_rows, 1))
-            for i, j, data, start, end, first in marked(batch.column("text")):
+            for i, j, data, start, end, first in marked(text_of(batch, text_col)):
                 if not len(start):
                     continue
                 s, e, back = _distinct(data, start, end)
@@ -259,14 +259,15 @@ def predict(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
     Returns doc_id, lang_pred, score; with ``whole``, the input row as struct ``whole`` too.
     """
     own = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole")] if whole else []
+    text = [] if whole else [F.col(f"`{text_col}`").alias("text")]
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), *own, has_letter(F.col(f"`{text_col}`")).alias("letter"),
-                       F.col(f"`{text_col}`").alias("text"))
+                       *text)
     if not model["langs"]:
         return rows.drop("text", "letter").withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(
         (model["langs"], model["vocabulary"], model["prob"], model["prior"]))
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns[:-1])
-    out = rows.mapInArrow(_scores(shared), schema + ", lang_pred string, score double")
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in rows.columns if c != "text")
+    out = rows.mapInArrow(_scores(shared, text_col), schema + ", lang_pred string, score double")
     return out.select(
         *out.columns[: 1 + whole],
         F.when(F.col("letter"), F.col("lang_pred")).otherwise("und").alias("lang_pred"),

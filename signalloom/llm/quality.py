@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import renamed
-from .words import BASE, WHITE, Words, chained, hashes, mix, slices, words_of
+from .words import BASE, WHITE, Words, chained, hashes, mix, slices, small_batches, words_of
 
 #: log2 of the number of weights.
 BITS = 18
@@ -147,7 +147,7 @@ def score(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col
 
     def run(batches):
         w = shared.value
-        for batch in batches:
+        for batch in small_batches(batches):
             total = np.full(batch.num_rows, w[-1])
             for i, j, views in grams(batch.column("text")):
                 for of, number in views:

@@ -115,6 +115,18 @@ def groups(column: pa.Array, table: bytes) -> Iterator[tuple[int, int, Words]]:
         yield i, j, words_of(raw, offsets, table)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``rows`` rows at most, which bounds what is held beside them."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def text_of(batch: pa.RecordBatch, name: str) -> pa.Array:
+    """The texts of a batch, in a column of their own or inside the whole rows."""
+    return batch.column("text") if "text" in batch.schema.names else batch.column("whole").field(name)
+
+
 def chained(hash_: np.ndarray, length: int) -> np.ndarray:
     """A hash of ``length`` neighbours from each place on; those past the end are left out."""
     n = max(0, len(hash_) - length + 1)
