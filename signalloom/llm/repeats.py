@@ -13,11 +13,14 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .shared import renamed, small_side
-from .words import WHITE, chained, groups
+from .words import BASE, WHITE, chained, groups, mix
 
 #: A suffix: its anchor's hash, document and place, the words before, nearest first, and after.
 SUFFIX = {"key": pa.int64(), "row": pa.int64(), "place": pa.int32(), "left": pa.binary(), "right": pa.binary()}
 SPAN = {"row": pa.int64(), "first": pa.int32(), "last": pa.int32(), "other": pa.int64()}
+#: A passage of the least length at an anchor: its hash, the least and largest document known to have it, and
+#: whether no neighbour has it.
+WINDOW = {"hash": pa.int64(), "low": pa.int64(), "high": pa.int64(), "alone": pa.bool_()}
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -99,27 +102,103 @@ def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(equal.all(axis=1), a.shape[1], equal.argmin(axis=1))
 
 
-def _neighbours(gram: int, side: int, least: int, borders: bool):
+def _prefixes(words: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, 2, ... words of each row."""
+    out = np.zeros((words.shape[0], words.shape[1] + 1), np.uint64)
+    for k in range(words.shape[1]):
+        out[:, k + 1] = out[:, k] * np.uint64(BASE) + words[:, k]
+    return out
+
+
+def _neighbours(gram: int, side: int, least: int, borders: bool, exact: bool = False):
     """Compares sorted suffixes with the next and the last one of another document.
 
     Rows of one anchor and document that follow each other are a run. What is held is the newest run
     and a row of the one before, so groups of any size stream by. With ``borders`` the first and the last
     two runs are given out too, for the comparison across tasks.
+
+    With ``exact`` (and suffixes in the order of the words after them) passages of ``least`` words that a
+    suffix shares with neither neighbour are looked up by hash among all suffixes of the anchor. A passage that
+    goes on from a neighbour to the next is hashed at the first only. Anchors that are held whole are settled
+    here; passages of the others are given out, to be counted across batches and tasks.
     """
-    def matched(t: dict) -> Iterator[tuple]:
+    def sides(t: dict) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(np.frombuffer(b"".join(t[c]), np.uint32).reshape(len(t["key"]), side) for c in ("left", "right"))
+
+    def compared(t: dict) -> list[tuple[np.ndarray, ...]]:
+        """For the next and the last neighbour: its place or -1, how many words left and right agree, or -1."""
         n = len(t["key"])
-        left = np.frombuffer(b"".join(t["left"]), np.uint32).reshape(n, side)
-        right = np.frombuffer(b"".join(t["right"]), np.uint32).reshape(n, side)
-        key, row, place = t["key"], t["row"], t["place"]
+        left, right = sides(t)
+        key = t["key"]
         new = np.append(runs(t), n)
         run = np.repeat(np.arange(len(new) - 1), np.diff(new))
+        out = []
         for other in (new[run + 1], new[run] - 1):
             ok = (other >= 0) & (other < n)
             ok[ok] = key[other[ok]] == key[ok]
-            i, j = np.flatnonzero(ok), other[ok]
-            l, r = _same(left[i], left[j]), _same(right[i], right[j])
-            good = l + r + gram >= least
-            yield row[i[good]], place[i[good]] - l[good], place[i[good]] + gram + r[good], row[j[good]]
+            l, r = np.full(n, -1), np.full(n, -1)
+            l[ok], r[ok] = _same(left[ok], left[other[ok]]), _same(right[ok], right[other[ok]])
+            out.append((np.where(ok, other, -1), l, r))
+        return out
+
+    def matched(t: dict, near: list) -> Iterator[tuple]:
+        row, place = t["row"], t["place"]
+        for j, l, r in near:
+            i = np.flatnonzero((j >= 0) & (l + r + gram >= least))
+            yield row[i], place[i] - l[i], place[i] + gram + r[i], row[j[i]]
+
+    def looked_up(t: dict, near: list, carried: bool, ended: bool) -> Iterator[tuple[dict, dict]]:
+        """Spans and windows to give out, of the runs that ended; the first row was done before if ``carried``."""
+        key, row, place, n = t["key"], t["row"], t["place"], len(t["key"])
+        begin, need = runs(t), least - gram
+        left, right = sides(t)
+        k = np.arange(need + 1)
+        (after, ln, rn), (before, lb, rb) = near
+        by_next, by_last = ((k <= l[:, None]) & (need - k <= r[:, None]) for l, r in ((ln, rn), (lb, rb)))
+        # no other document agrees on more words to the right than the neighbours do
+        most = np.maximum(rn, rb)
+        if not carried:
+            most[: begin[1] if len(begin) > 1 else n] = need
+        if ended:
+            most[begin[-1]:] = need
+        first = np.zeros((n, 1), bool)
+        first[begin] = True
+        asked = (k <= (left != 0).sum(axis=1)[:, None]) & (need - k <= (right != 0).sum(axis=1)[:, None])
+        asked &= (need - k <= most[:, None]) & ~(first & by_last)
+        asked[: int(carried)] = False
+        if not ended:
+            asked[begin[-1]:] = False
+        alone = asked & ~by_next & ~by_last
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.append(starts, n))
+        held_whole = (starts > 0) & (starts + sizes < n)
+        open_ = (np.add.reduceat(asked, starts, axis=0, dtype=np.int64) > 1) & np.logical_or.reduceat(alone, starts, axis=0)
+        asked &= np.repeat(open_ | ~held_whole[:, None], sizes, axis=0)
+        if not asked.any():
+            return
+        i, k = np.nonzero(asked)
+        own, at = np.unique(i, return_inverse=True)
+        hashes = mix(_prefixes(left[own])[at, k] + key[i].astype(np.uint64)) * np.uint64(BASE)
+        hashes = mix(hashes + _prefixes(right[own])[at, need - k] + k.astype(np.uint64))
+        other = np.where(by_next[i, k], row[after[i]], np.where(by_last[i, k], row[before[i]], row[i]))
+        low, high = np.minimum(row[i], other), np.maximum(row[i], other)
+        start, single, here = place[i] - k, alone[i, k], np.repeat(held_whole, sizes)[i]
+        # those of anchors held whole
+        e = np.flatnonzero(here)
+        e = e[np.argsort(hashes[e], kind="stable")]
+        if len(e):
+            new = np.flatnonzero(np.concatenate([[True], hashes[e][1:] != hashes[e][:-1]]))
+            count = np.diff(np.append(new, len(e)))
+            least_row = np.repeat(np.minimum.reduceat(low[e], new), count)
+            last_row = np.repeat(np.maximum.reduceat(high[e], new), count)
+            good = single[e] & (least_row < last_row)
+            e, least_row, last_row = e[good], least_row[good], last_row[good]
+            yield dict(zip(SPAN, (row[i[e]], start[e], start[e] + least,
+                                  np.where(least_row != row[i[e]], least_row, last_row)))), {}
+        e = np.flatnonzero(~here)
+        if len(e):
+            yield {}, {"row": row[i[e]], "place": start[e], "hash": hashes[e].astype(np.int64), "low": low[e],
+                       "high": high[e], "alone": single[e]}
 
     def runs(t: dict) -> np.ndarray:
         """Where runs begin."""
@@ -129,19 +208,18 @@ def _neighbours(gram: int, side: int, least: int, borders: bool):
     def part(t: dict, a: int, b: int) -> dict:
         return {c: v[a:b] for c, v in t.items()}
 
-    def given(spans: dict, border: dict) -> pa.RecordBatch:
-        n, m = (len(next(iter(x.values()), ())) for x in (spans, border))
-        columns = {c: pa.array([*spans.get(c, ()), *border.get(c, ())], t) if c == "row" else
-                   pa.array([*spans.get(c, ()), *[None] * m], t) for c, t in SPAN.items()}
-        columns |= {c: pa.array([*[None] * n, *border.get(c, ())], t) for c, t in SUFFIX.items() if c != "row"}
-        return pa.RecordBatch.from_pydict(columns)
+    def given(columns: dict) -> pa.RecordBatch:
+        """Spans, suffixes at a border or windows; columns of the others are null."""
+        n = len(columns["row"])
+        return pa.RecordBatch.from_pydict({c: pa.array(columns[c], t) if c in columns else pa.nulls(n, t)
+                                           for c, t in (SPAN | SUFFIX | WINDOW).items()})
 
     def join(a: dict | None, b: dict) -> dict:
         return b if a is None else {c: np.concatenate([a[c], b[c]]) if c in ("key", "row", "place") else a[c] + b[c]
                                     for c in b}
 
     def compare(batches):
-        held, head, tail = None, None, None
+        held, head, tail, carried = None, None, None, False
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -151,14 +229,20 @@ def _neighbours(gram: int, side: int, least: int, borders: bool):
             begin = runs(held)
             if borders and head is None and len(begin) > 2:
                 head = part(held, 0, begin[2])
-            for x in matched(held):
+            near = compared(held)
+            for x in matched(held, near):
                 if len(x[0]):
-                    yield given(dict(zip(SPAN, x)), {})
+                    yield given(dict(zip(SPAN, x)))
+            if exact:
+                yield from (given(x) for found in looked_up(held, near, carried, False) for x in found if x)
             # the last run may go on, and the next one is compared with it
             tail = part(held, begin[max(0, len(begin) - 2)], None)
+            carried = bool(begin[-1] > 0)
             held = part(held, max(0, begin[-1] - 1), None)
+        if exact and held:
+            yield from (given(x) for found in looked_up(held, compared(held), carried, True) for x in found if x)
         if borders and tail:
-            yield given({}, tail if head is None else join(head, tail))
+            yield given(tail if head is None else join(head, tail))
     return compare
 
 
@@ -191,7 +275,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     that every repeated passage keeps one. Anchors of a single document leave after a count. The others are
     put in suffix order by a range sort, and again in the order of the words before them; in both orders each
     suffix is compared with the next and the last one of another document, across task borders too. Matches
-    grow left and right, word by word, and overlapping ones are united.
+    grow left and right, word by word. What a suffix shares with a document that is its neighbour in neither order
+    is found by hashes of the passages of ``least`` words around the anchor. Overlapping spans are united.
 
     Null, empty and short texts have no passages. Rows that repeat are separate documents. An
     empty table gives an empty result; other columns are ignored.
@@ -214,16 +299,24 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                        & (F.col("text_hash") == F.col("hash"))).select("row", "text").dropDuplicates(["row"]))
     sources = stored(texts.join(shared, "row"), "shared-texts")
     suffixes = sources.mapInArrow(_suffixes(gram, window), "key long, row long, place int, left binary, right binary")
-    schema = "row long, first int, last int, other long, key long, place int, left binary, right binary"
+    schema = ("row long, first int, last int, other long, key long, place int, left binary, right binary, "
+              "hash long, low long, high long, alone boolean")
     found = []
     for by in ("right", "left"):
-        order = ["key", by, "row", "place"]
+        order = ["key", by, "right" if by == "left" else "left", "row", "place"]
         compared = stored(suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
-                          .mapInArrow(_neighbours(gram, window, least, True), schema), by)
+                          .mapInArrow(_neighbours(gram, window, least, True, by == "right"), schema), by)
         # a few rows for each task of the sort
         border = (compared.where("key IS NOT NULL").select(*SUFFIX).repartition(1).sortWithinPartitions(*order)
                   .mapInArrow(_neighbours(gram, window, least, False), schema))
         found += [x.where("first IS NOT NULL").select(*SPAN) for x in (compared, border)]
+        if by == "right":
+            windows = compared.where("hash IS NOT NULL").select("row", "place", *WINDOW)
+            twice = stored(windows.groupBy("hash").agg(F.min("low").alias("least"), F.max("high").alias("most"))
+                           .where("least < most"), "windows")
+            found.append(windows.where("alone").join(small_side(twice, twice.count()), "hash").select(
+                "row", F.col("place").alias("first"), (F.col("place") + least).alias("last"),
+                F.when(F.col("least") != F.col("row"), F.col("least")).otherwise(F.col("most")).alias("other")))
     spans = reduce(lambda a, b: a.unionByName(b), found)
     merged = stored(spans.groupBy("row").agg(F.collect_list(F.struct("first", "last", "other")).alias("spans"))
                     .mapInArrow(_merged, "row long, first int, last int, other long"), "passages")

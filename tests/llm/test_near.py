@@ -145,6 +145,34 @@ def test_repeats_in_parts(docs, monkeypatch):
     assert want == {r["doc_id"] for r in repeats.repeated_passages(docs.repartition(2)).collect()}
 
 
+@pytest.mark.parametrize("size", [10_000, 3])
+def test_repeats_apart_in_both_orders(spark, size):
+    """Two documents share 12 words left and 13 right of a core; others share more with each on one side only."""
+    def grams(text):
+        (_, _, w), = words.groups(pa.array([" ".join(text)]), words.WHITE)
+        return words.chained(w.hash, 25)
+    core = min(([f"c{t}x{k}" for k in range(25)] for t in range(3000)), key=lambda x: int(grams(x)[0]))
+    own = lambda name, n=30: [f"{name}o{k}" for k in range(n)]
+    for t in range(1000):
+        left, right = [f"l{t}x{k}" for k in range(12)], [f"r{t}x{k}" for k in range(13)]
+        texts = [own(x) + left + core + right + own(x + "z") for x in "ab"]
+        anchors = [{int(g[p]) for p in repeats.anchors(g, 26)} for g in map(grams, texts)]
+        if anchors[0] & anchors[1] == {int(grams(core)[0])}:
+            break
+    for x in "ab":
+        for k in range(12):
+            texts.append(own(f"{x}p{k}") + core + right + own(x + "z", 1 + k % 2) + own(f"{x}q{k}"))
+            texts.append(own(f"{x}s{k}") + own(x)[-1 - k % 2:] + left + core + own(f"{x}t{k}"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+        got = repeats.repeated_passages(frame).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = {r["doc_id"]: (r["first_word"], r["end_word"], r["other_doc_id"]) for r in got}
+    assert got == {0: (30, 80, 1), 1: (30, 80, 0)}
+
+
 ITEMS = [(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12"), (2, "short item"), (3, ""), (4, None), (None, "no NUMBER"),
          (5, "x"), (6, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10"), (2, "short item"), (10, "Be be be")]
 
