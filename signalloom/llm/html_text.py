@@ -28,18 +28,28 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 SHIELDS_P = {"article", "main", "section", "div", "td", "th", "li", "body", "blockquote", "table", "dd", "figure",
              "form", "nav", "aside", "header", "footer"}
 # Fixed values of this extractor: what is never part of the article.
-DROPPED = RAW | {"nav", "header", "footer", "aside", "form", "head", "button", "select", "svg", "template", "object",
+DROPPED = RAW | {"nav", "header", "footer", "aside", "head", "button", "select", "svg", "template", "object",
                  "canvas", "audio", "video", "menu", "dialog", "fieldset", "datalist", "math"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog",
-         "form", "menu", "menubar", "toolbar", "status"}
+         "menu", "menubar", "toolbar", "status"}
 NAMES = ("nav|navbar|navigation|menu|header|masthead|footer|sidebar|aside|ad|ads|advert|adverts|advertisement|"
          "sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|popup|modal|"
          "overlay|newsletter|subscribe|subscription|signup|login|comment|comments|replies|reply|respond|disqus|"
          "share|sharing|social|related|recommended|recommendations|breadcrumb|breadcrumbs|pagination|pager|"
          "widget|toolbar|search|copyright|disclaimer|skip|paywall|form")
 MAIN_NAMES = "article|content|main|post|entry|story|text|body"
-_BAD_NAME = re.compile(rf"(?!(?:with|has|no|is|js)[-_])(?:(?:{NAMES})(?:[-_].*)?|.*[-_](?:{NAMES}))")
+#: Names of what may hold articles that are not the page's own.
+LISTS = ("sidebar|aside|ad|ads|advert|adverts|advertisement|sponsor|sponsored|promo|promotion|comment|comments|replies|"
+         "reply|respond|disqus|related|recommended|recommendations|widget")
+_BAD_NAME = re.compile(rf"(?!(?:is|js)[-_]|(?:.*[-_])?(?:with|without|has|no)[-_]|(?:{MAIN_NAMES})[-_]header)"
+                       rf"(?:(?:{NAMES})(?:[-_].*)?|.*[-_](?:{NAMES}))")
+_LIST_NAME = re.compile(rf"(?:{LISTS})(?:[-_].*)?|.*[-_](?:{LISTS})")
+#: An article of such a name is a comment or an advert.
+_BAD_ARTICLE = re.compile(rf"{NAMES}|(?:comment|reply|{LISTS.replace('comments|', '')})[-_].*")
 _MAIN_NAME = re.compile(rf"(?:{MAIN_NAMES})(?:[-_](?:{MAIN_NAMES}))*")
+PARAGRAPHS = {"p", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"}
+#: Elements that hold the article if their name says so.
+CONTAINERS = {"div", "section", "td", "center"}
 _TAG = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
@@ -47,47 +57,64 @@ _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 COPY = 0.8
 
 
-def _judge(name: str, attributes: str) -> tuple[bool, bool]:
-    """Whether an element is dropped, whether it holds the article."""
-    bad, good = name in DROPPED, name in ("article", "main")
+#: How an element is dropped: never its text, or unless it holds an article, or unless there is no other article.
+KEPT, UNLESS_HOLDS, UNLESS_ONLY, DROP = range(4)
+#: Whether an element holds the article: not, by its name, or as an article or main element.
+NAMED, REAL = 1, 2
+
+
+def _judge(name: str, attributes: str, inside: bool) -> tuple[int, int]:
+    """How an element is dropped, whether it holds the article; ``inside`` an article or main element, articles
+    are dropped like other elements."""
+    real = name in ("article", "main")
+    bad, good = DROP if name in DROPPED else UNLESS_HOLDS if name == "form" else KEPT, REAL if real else 0
     if attributes and name not in ("html", "body"):
         for key, *values in _ATTR.findall(attributes):
             key, value = key.lower(), next((v for v in values if v), "").lower()
             if key in ("class", "id"):
                 for x in value.split():
-                    bad = bad or bool(_BAD_NAME.fullmatch(x))
-                    good = good or bool(_MAIN_NAME.fullmatch(x))
+                    if real and not inside:
+                        bad = max(bad, UNLESS_ONLY if _BAD_ARTICLE.fullmatch(x) else KEPT)
+                    elif _BAD_NAME.fullmatch(x):
+                        bad = max(bad, UNLESS_ONLY if _LIST_NAME.fullmatch(x) else UNLESS_HOLDS)
+                    if name in CONTAINERS and _MAIN_NAME.fullmatch(x):
+                        good = max(good, NAMED)
             elif key == "role":
-                bad, good = bad or value in ROLES, good or value in ("main", "article")
+                bad = max(bad, DROP if value in ROLES else UNLESS_HOLDS if value == "form" else KEPT)
+                good = max(good, REAL if value in ("main", "article") else 0)
             elif key == "hidden" or key == "aria-hidden" and value == "true" or \
                     key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                bad = True
+                bad = DROP
     return bad, good
 
 
 def blocks(page: str) -> list[tuple[str, int]]:
     """Blocks of text in page order, each with 0: outside the article, 1: loose inside it,
-    2: a paragraph or heading of it. What is dropped by markup gives none."""
-    out: list[tuple[str, int]] = []
-    parts: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, dropped, inside the article
-    kind, place = 0, 0
+    2: a paragraph or heading of it. What is dropped by markup gives none.
+
+    Names and forms drop nothing that turns out to hold an article or main element, lists (comments, related
+    pages, sidebars) only what holds the page's only ones, and forms stay where the page has no other text.
+    Elements that are the article by their name count where no article or main element has text.
+    """
+    found: list[tuple[list[tuple[str, tuple[int, ...]]], int, bool]] = []
+    parts: list[tuple[str, tuple[int, ...]]] = []  # a piece of text, and what drops it
+    # name, dropped for good, how far inside the article, numbers of those that may drop it
+    stack: list[tuple[str, bool, int, tuple[int, ...]]] = []
+    how: list[tuple[int, str]] = []  # of those that may drop
+    holders: list[tuple[int, tuple[int, ...]]] = []  # elements that hold the article, and what may drop them
+    kind, paragraph, place = 0, False, 0
 
     def text(to: int) -> None:
         if to > place and not (stack and stack[-1][1]):
-            parts.append(html.unescape(page[place:to]))
+            parts.append((html.unescape(page[place:to]), stack[-1][3] if stack else ()))
 
     def flush() -> None:
-        nonlocal kind
+        nonlocal kind, paragraph
         if parts:
-            line = " ".join("".join(parts).split())
+            found.append((parts.copy(), kind, paragraph))
             parts.clear()
-            if line:
-                out.append((line, kind))
-        kind = 0
-        if stack and stack[-1][2]:
-            kind = 2 if any(x[0] in ("p", "blockquote", "pre") or re.fullmatch("h[1-6]", x[0])
-                            for x in stack[-4:]) else 1
+        kind = stack[-1][2] if stack else 0
+        paragraph = any(x[0] in PARAGRAPHS for x in stack[-4:])
 
     def close(names: set[str], shields: set[str]) -> None:
         for k in range(len(stack) - 1, -1, -1):
@@ -106,7 +133,7 @@ def blocks(page: str) -> list[tuple[str, int]]:
             continue
         name = name.lower()
         if name == "br":
-            parts.append(" ")
+            parts.append((" ", ()))
             continue
         block = name not in INLINE
         if block:
@@ -121,14 +148,48 @@ def blocks(page: str) -> list[tuple[str, int]]:
                 close({"p"}, SHIELDS_P)
             if name in ENDS:
                 close(*ENDS[name])
-            bad, good = _judge(name, m[3])
-            above = stack[-1] if stack else ("", False, False)
-            stack.append((name, above[1] or bad, above[2] or good))
+            above = stack[-1] if stack else ("", False, 0, ())
+            bad, good = _judge(name, m[3], name == "article" and any(x[0] == "article" for x in stack))
+            by = above[3]
+            if good and bad == KEPT and not above[1]:
+                holders.append((good, by))
+            if bad in (UNLESS_HOLDS, UNLESS_ONLY):
+                by = (*by, len(how))
+                how.append((bad, "article" if good == REAL else name))
+            stack.append((name, above[1] or bad == DROP, max(above[2], good), by))
         if block:
             flush()
     text(len(page))
     flush()
-    return out
+
+    lifted: set[int] = set()
+
+    def kept() -> list[tuple[str, int, bool]]:
+        out = []
+        for pieces, kind, paragraph in found:
+            line = " ".join("".join(x for x, by in pieces if lifted.issuperset(by)).split())
+            if line:
+                out.append((line, kind, paragraph))
+        return out
+
+    for good, by in holders:
+        # a form is the page's where it holds the article in any way; other names give way to real elements
+        if all(how[x][0] == UNLESS_HOLDS and (good == REAL or how[x][1] == "form") for x in by):
+            lifted.update(by)
+    out = kept()
+    if how and not any(k for _, k, _ in out):
+        held = [by for good, by in holders if good == REAL and by] or \
+            [(x,) for x, (_, name) in enumerate(how) if name == "article"]
+        fewest = min(map(len, held), default=0)
+        more = {x for by in held if len(by) == fewest for x in by}
+        if not more and not out:
+            more = {x for pieces, _, paragraph in found for _, by in pieces if paragraph
+                    and all(how[y][1] == "form" for y in by) for x in by}
+        if more:
+            lifted |= more
+            out = kept()
+    least = REAL if any(k == REAL for _, k, _ in out) else NAMED
+    return [(line, 0 if k < least else 2 if paragraph else 1) for line, k, paragraph in out]
 
 
 def common(a: list[str], b: list[str]) -> list[int]:

@@ -162,6 +162,31 @@ def test_blocks(body, want):
     assert html_text.article(lines, []) == want
 
 
+ARTICLE = "<article><h1>T</h1><p>Text</p></article>"
+
+
+@pytest.mark.parametrize("body,want", [
+    (f"<div class='page-with-sidebar'>{ARTICLE}</div>", "T\nText"),
+    (f"<div class='layout-no-sidebar'>{ARTICLE}</div>", "T\nText"),
+    (f"<div class='page-sidebar'>{ARTICLE}</div>", "T\nText"),
+    ("<div class='layout-no-sidebar'><p>Text</p></div>", "Text"),
+    ("<article class='post comments-open'><p>Text</p></article>", "Text"),
+    (f"<form action='x.aspx'><div>Search</div>{ARTICLE}</form>", "T\nText"),
+    ("<form action='x.aspx'><div class='content'><p>Text</p></div></form>", "Text"),
+    ("<form action='x.aspx'><div><p>Text</p></div></form>", "Text"),
+    (f"<main><form>{ARTICLE}</form></main>", "T\nText"),
+    ("<div class='entry-content'><div class='entry-header'><h1>Title</h1></div><p>In</p></div>", "Title\nIn"),
+    (f"<div><span class='text'>Loose</span><p class='body'>Other</p></div>{ARTICLE}", "T\nText"),
+    ("<p class='body'>One</p><p>Two</p>", "One\nTwo"),
+    (f"<div class='content'>Chrome</div>{ARTICLE}", "T\nText"),
+    (f"{ARTICLE}<div class='related'><article><p>Teaser</p></article></div>", "T\nText"),
+    (f"<div class='entry-content'><p>In</p></div><ol class='comments'><li>{ARTICLE}</ol>", "In"),
+    (f"<div id='popup-wrapper'><div>x</div>{ARTICLE}<div class='related'><article>Teaser</article></div></div>", "T\nText"),
+])
+def test_names_do_not_drop_articles(body, want):
+    assert html_text.article(html_text.blocks(PAGE.format(body=body)), []) == want
+
+
 def test_differencing():
     loose = lambda *x: [(t, 0) for t in x]
     a, b = loose("Top", "Mine is this long line", "End"), loose("Top", "Another text entirely here", "End")
