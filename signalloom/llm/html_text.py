@@ -5,8 +5,8 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,8 +53,10 @@ CONTAINERS = {"div", "section", "td", "center"}
 _TAG = re.compile(r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)"
                   r"|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|\Z)", re.S)
 _ATTR = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
-#: A page that shares more than this share of its characters with a neighbour is its copy.
+#: A page that shares more than this share of its characters with a neighbour is its copy, unless both have other
+#: long lines of their own; lines of so many characters are long.
 COPY = 0.8
+LONG = 50
 
 
 #: How an element is dropped: never its text, or unless it holds an article, or unless there is no other article.
@@ -226,20 +228,58 @@ def common(a: list[str], b: list[str]) -> list[int]:
     return out[::-1]
 
 
+def _body(page: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """The blocks inside the article, or all where none is."""
+    inside = any(k for _, k in page)
+    return [(x, k) for x, k in page if k or not inside]
+
+
+def copies(own: list[str], other: list[str], shared: set[int]) -> bool:
+    """Whether a page is a copy of another, given the places of its lines that both share.
+
+    A short article in a large template shares most of its characters with any page of the template. It is
+    told by the long lines that each page has for itself: those of a copy are missing, or edits of each other.
+    """
+    if sum(len(own[i]) for i in shared) <= COPY * sum(map(len, own)):
+        return False
+    left = Counter(other)
+    left.subtract(own[i] for i in shared)
+    mine = Counter(w for i, x in enumerate(own) if i not in shared and len(x) >= LONG for w in x.split())
+    others = Counter(w for x, n in left.items() if n > 0 and len(x) >= LONG for _ in range(n) for w in x.split())
+    return 2 * (mine & others).total() >= min(mine.total(), others.total())
+
+
 def article(own: list[tuple[str, int]], neighbours: list[list[tuple[str, int]]]) -> str:
     """The page's text without the loose lines that it shares with neighbours."""
-    inside = any(k for _, k in own)
-    kept = [(x, k) for x, k in own if k or not inside]
+    kept = _body(own)
     lines = [x for x, _ in kept]
-    size = sum(map(len, lines))
     gone: set[int] = set()
     for other in neighbours:
         shared = common(lines, [x for x, _ in other])
-        if sum(len(lines[i]) for i in shared) <= COPY * size:
+        if not copies(lines, [x for x, _ in _body(other)], set(shared)):
             gone.update(i for i in shared if kept[i][1] < 2)
     return "\n".join(x for i, x in enumerate(lines) if i not in gone)
 
 
+class Run:
+    """Neighbouring pages of equal lines: one copy of the lines, the pages' numbers and addresses, and the last
+    page before them that they are no copies of."""
+
+    def __init__(self, block: int, host: str, page: list[tuple[str, int]], names: list[tuple]):
+        self.block, self.host, self.page, self.names = block, host, page, names
+        self.before: Run | None = None
+
+    def follow(self, last: Run | None) -> None:
+        """Sets the page before from the run before."""
+        if last and last.host == self.host:
+            own, other = ([x for x, _ in _body(r.page)] for r in (self, last))
+            self.before = last.before if copies(own, other, set(common(own, other))) else last
+
+    def text(self, after: Run | None) -> str:
+        near = [r.page for r in (self.before, after) if r and r.host == self.host]
+        return article(self.page, near)
+
+
 def url_key(url: str | None) -> tuple[str, str]:
     """Host and path of an address, without query, fragment, closing slash and file ending."""
     m = re.match(r"(?:[a-zA-Z][\w+.-]*:)?//([^/?#]*)([^?#]*)", url or "")
@@ -254,10 +294,11 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     Tasks cut a page into blocks of text and drop what markup tells to be no article (menus, headers,
     footers, sidebars, notices, adverts, forms, comments, scripts, hidden parts). Pages are then put in order
     of host and URL path, in blocks of about ``pages_per_block`` neighbours whose borders come from a
-    hashed sample of at most ``sample`` addresses, so that a host of any size is spread. In a block each page
-    is aligned with the one before and the one after of its host by a longest common subsequence of lines.
-    Shared lines go; paragraphs and headings inside an article element stay, and so do all lines shared
-    with a copy of the page. Where a page has an article element, only what is inside is text.
+    hashed sample of at most ``sample`` addresses, so that a host of any size is spread. Each page is aligned
+    with the nearest page before it that is no copy of it and with the next one of other lines, of its host, by
+    a longest common subsequence of lines; pages at the borders of a block are compared with those of the next
+    block after the others. Shared lines go; paragraphs and headings inside an article element stay, and so do
+    all lines shared with a copy of the page. Where a page has an article element, only what is inside is text.
 
     Null html counts as empty and gives an empty text; a null address is an empty one. Rows that
     repeat are separate pages. An empty table gives an empty one; other columns are ignored.
@@ -285,30 +326,85 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 "lines": pa.array([[x for x, _ in b] for b in cut_up], pa.list_(pa.string())),
                 "kinds": pa.array([[k for _, k in b] for b in cut_up], pa.list_(pa.int8()))})
 
-    def compare(batches):
-        def stream() -> Iterator[tuple]:
-            for batch in batches:
-                c = batch.to_pydict()
-                yield from zip(c["page_id"], c["url"], c["block"], c["host"],
-                               ([*zip(x, k)] for x, k in zip(c["lines"], c["kinds"])))
-        done: list[tuple] = []
-        before, now = None, None
-        for after in chain(stream(), [None]):
+    def runs(batches, joined: bool) -> Iterator[Run]:
+        """Pages of equal lines that follow each other, in a block or in joined borders, are one."""
+        now = None
+        for batch in batches:
+            c = batch.to_pydict()
+            own = ([(x["page_id"], x["url"]) for x in n] for n in c["names"]) if joined else \
+                ([x] for x in zip(c["page_id"], c["url"]))
+            for block, host, lines, kinds, names in zip(c["block"], c["host"], c["lines"], c["kinds"], own):
+                page = [*zip(lines, kinds)]
+                if now and (joined or now.block == block) and (now.host, now.page) == (host, page):
+                    now.names += names
+                    continue
+                if now:
+                    yield now
+                now = Run(block, host, page, names)
+        if now:
+            yield now
+
+    def walked(batches, joined: bool) -> Iterator[tuple[Run, Run | None, bool, bool]]:
+        """Each run, the one after it, and whether it is the first and the last of its block."""
+        now, first = None, True
+        for after in runs(batches, joined):
+            new = now is None or not joined and now.block != after.block
+            after.follow(None if new else now)
             if now:
-                near = [x[4] for x in (before, after) if x and x[2:4] == now[2:4]]
-                done.append((now[0], now[1], article(now[4], near)))
-            before, now = now, after
-            if len(done) >= 500 or after is None and done:
-                yield pa.RecordBatch.from_arrays(
+                yield now, None if new else after, first, new
+                now.before = None
+            now, first = after, new
+        if now:
+            yield now, None, first, True
+
+    def texts(joined: bool):
+        def run(batches):
+            done: list[tuple] = []
+
+            def given() -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
                     [pa.array([d[0] for d in done], id_type), pa.array([d[1] for d in done], pa.string()),
                      pa.array([d[2] for d in done], pa.string())], ["page_id", "url", "text"])
-                done = []
+            for now, after, first, final in walked(batches, joined):
+                if now.names and (joined or not first and not final):
+                    text = now.text(after)
+                    for name in now.names:
+                        done.append((*name, text))
+                        if len(done) >= 500:
+                            yield given()
+                            done = []
+            if done:
+                yield given()
+        return run
+
+    def borders_of(batches):
+        """The first and the last run of each block, and, without names, what stands beside them in it."""
+        def given(place: int, r: Run, names: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([r.block], pa.int32()), pa.array([place], pa.int32()), pa.array([r.host], pa.string()),
+                 pa.array([[x for x, _ in r.page]], pa.list_(pa.string())),
+                 pa.array([[k for _, k in r.page]], pa.list_(pa.int8())),
+                 pa.array([[{"page_id": i, "url": u} for i, u in names]],
+                          pa.list_(pa.struct([("page_id", id_type), ("url", pa.string())])))],
+                ["block", "place", "host", "lines", "kinds", "names"])
+        for now, after, first, final in walked(batches, False):
+            if final and not first and now.before:
+                yield given(2, now.before, [])
+            if first or final:
+                yield given(0 if first else 3, now, now.names)
+            if first and after:
+                yield given(1, after, [])
 
     kind = rows.schema["page_id"].dataType.simpleString()
     from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(rows.schema["page_id"].dataType)
     blocked = rows.mapInArrow(cut, f"page_id {kind}, url string, block int, host string, path string, "
                                    "lines array<string>, kinds array<tinyint>")
-    return (blocked.repartition(n_blocks, "block")
-            .sortWithinPartitions("block", "host", "path", "page_id", F.xxhash64("lines"))
-            .mapInArrow(compare, f"page_id {kind}, url string, text string"))
+    ordered = (blocked.repartition(n_blocks, "block")
+               .sortWithinPartitions("block", "host", "path", "page_id", F.xxhash64("lines")))
+    out = f"page_id {kind}, url string, text string"
+    # a few rows for each block
+    border = (ordered.mapInArrow(borders_of, "block int, place int, host string, lines array<string>, "
+                                 f"kinds array<tinyint>, names array<struct<page_id: {kind}, url: string>>")
+              .repartition(1).sortWithinPartitions("block", "place"))
+    return ordered.mapInArrow(texts(False), out).unionByName(border.mapInArrow(texts(True), out))

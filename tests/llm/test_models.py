@@ -196,6 +196,37 @@ def test_differencing():
     assert html_text.article(inside, [[("Title", 2), ("Share", 1), ("Other paragraph", 2)]]) == "Title\nOwn paragraph"
 
 
+def test_short_article_in_a_large_template():
+    loose = lambda *x: [(t, 0) for t in x]
+    chrome = [f"Menu entry number {k} of the template" for k in range(40)]
+    a = loose(*chrome, "A short article about the first of all the subjects of this site", "End")
+    b = loose(*chrome, "Another one that tells of what has happened elsewhere meanwhile", "End")
+    edited = loose(*chrome, "A short article about the first of all the matters of this site", "End")
+    assert html_text.article(a, [b]) == a[40][0]
+    assert html_text.article(a, [edited]) == html_text.article(a, [a])
+
+
+def pages_of(spark, bodies, partitions=3):
+    frame = spark.createDataFrame(
+        [(k, f"https://h.example/{k:04}", "<div>Menu</div><div>Top</div>" + x + "<div>Foot</div>")
+         for k, x in enumerate(bodies)], "page_id long, url string, html string")
+    return frame.repartition(partitions)
+
+
+def test_copies_are_compared_with_others(spark):
+    texts = [f"Text {k if k < 3 or k > 7 else 'of a copy'} {'x' * 60}" for k in range(11)]
+    got = html_text.main_text(pages_of(spark, [f"<div>{x}</div>" for x in texts])).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(texts))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7])
+def test_texts_do_not_depend_on_blocks(spark, size):
+    texts = [f"Text {min(k % 10, 6)} {k // 10} {'x' * 60}" for k in range(60)]
+    frame = pages_of(spark, [f"<div>{x}</div>" for x in texts])
+    got = html_text.main_text(frame, pages_per_block=size).collect()
+    assert {r["page_id"]: r["text"] for r in got} == dict(enumerate(texts)) and len(got) == 60
+
+
 def test_common_is_a_longest_subsequence():
     rng = random.Random(1)
     for _ in range(100):
