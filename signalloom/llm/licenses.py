@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_left
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -12,37 +14,131 @@ from pyspark.sql import DataFrame
 from .shared import renamed
 from .words import ALNUM, groups
 
-# Notices and headers of public licenses.
+
+def _creative(code: str, name: str, version: str) -> list[str]:
+    return [f"{{{code} {version}}}", f"Licensed under {{{code} {version}}}", f"{{Creative Commons {name} {version}}}",
+            f"This work is licensed under a {{Creative Commons {name} {version}}} International License",
+            f"This work is licensed under the {{Creative Commons {name} {version}}} International License. To view a "
+            "copy of this license, visit http://creativecommons.org/licenses/"]
+
+
+def _gnu(code: str, name: str, version: str, date: str, work: str = "This program") -> list[str]:
+    """Short notices, the head of the whole text, the header of files."""
+    short, program = version.removesuffix(".0"), work.removeprefix("This ")
+    name = f"GNU {name} License"
+    return [f"This work is licensed under the {{{name}}}, {{version {short}}}",
+            *[f"{{{name}}} {v}" for v in (f"{{version {short}}}", f"{{v{short}}}")],
+            *[f"Licensed under the {{{x}}}" for x in (f"{code} {short}", f"{code}v{short}")],
+            f"{{{name} Version {short}, {date}}} Copyright (C) Free Software Foundation, Inc. Everyone is permitted to "
+            "copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+            f"{work} is free software: you can redistribute it and/or modify it under the terms of the "
+            f"{{{name}}} as published by the Free Software Foundation, either {{version {short}}} of the License, or (at "
+            f"your option) any later version. {work} is distributed in the hope that it will be useful, but WITHOUT ANY "
+            "WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+            f"the {name} for more details. You should have received a copy of the {name} along with this {program}.",
+            f"{work} is free software: you can redistribute it and/or modify it under the terms of the {{{name}}} "
+            f"as published by the Free Software Foundation, either {{version {short}}} of the License, or (at your "
+            "option) any later version."]
+
+
+_LIABILITY = (
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+    "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+_BSD = ("{Redistribution and use in source and binary forms, with or without modification}, are permitted provided that "
+        "the following conditions are met:")
+_CLAUSES = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+    "and the following disclaimer in the documentation and/or other materials provided with the distribution.")
+_NEITHER = (
+    "3. {Neither the name of} the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.")
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR "
+    "PURPOSE ARE DISCLAIMED.")
+_ISC = (
+    "{Permission to use, copy, modify, and/or distribute this software} for any purpose with or without fee is hereby "
+    "granted, {provided that the above copyright notice and this permission notice appear} in all copies.")
+_MIT = (
+    "{Permission is hereby granted, free of charge, to any person obtaining a copy of this software} and "
+    "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+    "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+    "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
+    "following conditions:")
+
+# Notices, headers and texts of public licenses. Words in braces tell a license from others: a text must
+# have all of them, side by side.
 TEMPLATES = {
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+        "Licensed under the {Apache} License, {Version 2.0}",
+        "{Apache License, Version 2.0}", "{Apache License 2.0}", "Licensed under {Apache 2.0}",
+        "{Apache License Version 2.0, January 2004} http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION",
+        "Licensed under the {Apache} License, {Version 2.0} (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
         "software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR "
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."],
     "MIT": [
-        "Released under the MIT License",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-        "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-        "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-        "copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the "
-        "following conditions:"],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0"],
-    "CC-BY-4.0": [
-        "This work is licensed under a Creative Commons Attribution 4.0 International License"],
-    "BSD": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
-        "that the following conditions are met:"],
+        "Released under the {MIT} License", "Licensed under the {MIT} License", "{The MIT License MIT}",
+        _MIT + " The above copyright notice and this permission notice shall be included in all copies or substantial "
+        "portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR "
+        "IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+        "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+        _MIT],
+    "GPL-2.0": _gnu("GPL", "General Public", "2.0", "June 1991"),
+    "GPL-3.0": _gnu("GPL", "General Public", "3.0", "29 June 2007"),
+    "LGPL-2.1": _gnu("LGPL", "Lesser General Public", "2.1", "February 1999", "This library"),
+    "LGPL-3.0": _gnu("LGPL", "Lesser General Public", "3.0", "29 June 2007", "This library"),
+    "AGPL-3.0": _gnu("AGPL", "Affero General Public", "3.0", "19 November 2007"),
+    "MPL-2.0": [
+        "{Mozilla Public License}, {Version 2.0}", "{Mozilla Public License 2.0}", "Licensed under {MPL 2.0}",
+        "This Source Code Form is subject to the terms of the {Mozilla Public License}, {v. 2.0}. If a copy of the MPL "
+        "was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
+    "EPL-1.0": [
+        "{Eclipse Public License}, {Version 1.0}", "{Eclipse Public License v 1.0}", "{Eclipse Public License v1.0}",
+        "{Eclipse Public License 1.0}"],
+    "EPL-2.0": [
+        "{Eclipse Public License}, {Version 2.0}", "{Eclipse Public License v 2.0}", "{Eclipse Public License v2.0}",
+        "{Eclipse Public License 2.0}",
+        "This program and the accompanying materials are made available under the terms of the {Eclipse Public License "
+        "2.0} which is available at https://www.eclipse.org/legal/epl-2.0/"],
+    **{f"{code.replace(' ', '-')}-{version}": _creative(code, name, version) for version in ("3.0", "4.0")
+       for code, name in (
+        ("CC BY-NC", "Attribution-NonCommercial"), ("CC BY", "Attribution"), ("CC BY-SA", "Attribution-ShareAlike"),
+        ("CC BY-ND", "Attribution-NoDerivatives" if version == "4.0" else "Attribution-NoDerivs"),
+        ("CC BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+        ("CC BY-NC-ND", "Attribution-NonCommercial-" + ("NoDerivatives" if version == "4.0" else "NoDerivs")))},
+    "CC0-1.0": [
+        "{CC0 1.0}", "{CC0} 1.0 {Universal}", "Released under {CC0}", "Licensed under {CC0}",
+        "To the extent possible under law, the author has {waived all copyright and related or neighboring rights} to "
+        "this work."],
+    "Unlicense": [
+        "Released under the {Unlicense}",
+        "This is {free and unencumbered software released into the public domain}. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means.",
+        "This is {free and unencumbered software released into the public domain}."],
+    "BSD": [_BSD],
+    "BSD-2-Clause": [
+        "Licensed under the {BSD 2 Clause} License", " ".join((_BSD, _CLAUSES, _AS_IS, _LIABILITY))],
+    "BSD-3-Clause": [
+        "Licensed under the {BSD 3 Clause} License", " ".join((_BSD, _CLAUSES, _NEITHER, _AS_IS, _LIABILITY))],
     "ISC": [
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+        "Released under the {ISC} License", "Licensed under the {ISC} License",
+        _ISC + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS "
+        "SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE "
+        "LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM "
+        "LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING "
+        "OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        _ISC],
 }
 
 
@@ -95,46 +191,78 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+class Template(NamedTuple):
+    license: str
+    words: list[int]
+    #: First place and end of what must be there word by word.
+    marked: list[tuple[int, int]]
+
+
 class Templates:
     """Templates as numbers of words, and which words occur in any."""
 
     def __init__(self, templates: dict[str, list[str]]):
         flat = [(name, text) for name, texts in sorted(templates.items()) for text in texts]
-        (_, _, words), = groups(pa.array([" ".join(t.split()) for _, t in flat], pa.string()), ALNUM)
+        parts = [(d, k % 2 == 1, x) for d, (_, text) in enumerate(flat) for k, x in enumerate(re.split("[{}]", text))]
+        (_, _, words), = groups(pa.array([" ".join(x.split()) for *_, x in parts], pa.string()), ALNUM)
         self.vocabulary = np.unique(words.hash)
         number = np.searchsorted(self.vocabulary, words.hash)
-        self.all = [(flat[d][0], number[words.first[d]: words.first[d + 1]].tolist()) for d in range(len(flat))]
+        self.all = [Template(name, [], []) for name, _ in flat]
+        for (d, marked, _), a, b in zip(parts, words.first, words.first[1:]):
+            own = self.all[d]
+            if marked and b > a:
+                own.marked.append((len(own.words), len(own.words) + int(b - a)))
+            own.words.extend(number[a:b].tolist())
+        self.needed = [frozenset(w for a, b in t.marked for w in t.words[a:b]) for t in self.all]
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of words, -1 for those in no template."""
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == hashes, at, -1)
 
+    def within(self, numbers: np.ndarray) -> list[Template]:
+        """Templates whose marked words are all among the numbers."""
+        there = set(np.unique(numbers).tolist())
+        return [t for t, needed in zip(self.all, self.needed) if needed <= there]
+
 
-def found(numbers: np.ndarray, template: list[int], coverage: float) -> list[tuple[float, int, int]]:
-    """(coverage, first word, end) of each stretch of a text that holds the template.
+def found(numbers: np.ndarray, template: Template, coverage: float) -> list[tuple[int, float, int, int]]:
+    """(aligned words, coverage, first word, end) of each stretch of a text that holds the template.
 
     A stretch is one and a half templates long; only stretches with enough of the template's words to reach
-    ``coverage`` are aligned, the fullest first, and stretches found do not overlap.
+    ``coverage`` and with what is marked are aligned. Of stretches that overlap the best aligned one is found.
     """
-    need = int(np.ceil(coverage * len(template)))
-    own = np.zeros(int(max(template)) + 2, bool)
-    own[template] = True
+    words = template.words
+    need = int(np.ceil(coverage * len(words)))
+    own = np.zeros(int(max(words)) + 2, bool)
+    own[words] = True
     at = np.flatnonzero(own[np.minimum(numbers, len(own) - 1)] & (numbers >= 0))
     if len(at) < need:
         return []
-    width = len(template) + len(template) // 2 + 1
-    inside = np.searchsorted(at, at + width) - np.arange(len(at))
-    out: list[tuple[float, int, int]] = []
-    for p in np.argsort(-inside, kind="stable"):
-        if inside[p] < need:
-            break
-        low, high = int(at[p]), int(at[p]) + width
-        if any(low < e and f < high for _, f, e in out):
-            continue
-        pairs = patience(numbers[low:high].tolist(), template)
-        if len(pairs) >= need:
-            out.append((len(pairs) / len(template), low + pairs[0][0], low + pairs[-1][0] + 1))
+    width = len(words) + len(words) // 2 + 1
+    good = np.searchsorted(at, at + width) - np.arange(len(at)) >= need
+    for a, b in template.marked:
+        same = np.ones(max(0, len(numbers) - (b - a) + 1), bool)
+        for k, w in enumerate(words[a:b]):
+            same &= numbers[k: k + len(same)] == w
+        begins = np.flatnonzero(same)
+        good &= np.searchsorted(begins, at) < np.searchsorted(begins, at + width - (b - a), "right")
+    hits = set()
+    for low in at[good].tolist():
+        pairs = patience(numbers[low: low + width].tolist(), words)
+        place = {y: x for x, y in pairs}
+        if len(pairs) >= need and all(place.get(y, -1) == place.get(a, -2) + y - a
+                                      for a, b in template.marked for y in range(a, b)):
+            hits.add((len(pairs), len(pairs) / len(words), low + pairs[0][0], low + pairs[-1][0] + 1))
+    return apart(hits, lambda h: (-h[0], h[3] - h[2], h[2]))
+
+
+def apart(hits, order) -> list:
+    """The hits, best first, less those that overlap a better one."""
+    out: list = []
+    for hit in sorted(hits, key=order):
+        if all(hit[3] <= h[2] or h[3] <= hit[2] for h in out):
+            out.append(hit)
     return out
 
 
@@ -149,10 +277,10 @@ def _scan(shared, coverage: float):
                 for d in range(j - i):
                     own = numbers[first[d]: first[d + 1]]
                     best: dict[str, tuple[float, int, int]] = {}
-                    for name, template in templates.all:
-                        for hit in found(own, template, coverage):
-                            if name not in best or (hit[0], -hit[1], hit[2]) > (best[name][0], -best[name][1], best[name][2]):
-                                best[name] = hit
+                    hits = [(*hit, t.license) for t in templates.within(own) for hit in found(own, t, coverage)]
+                    for _, *hit, name in apart(hits, lambda h: (-h[0], -h[1], h[2], h[4])):
+                        if name not in best or (hit[0], -hit[1], hit[2]) > (best[name][0], -best[name][1], best[name][2]):
+                            best[name] = hit
                     for name, hit in sorted(best.items()):
                         for c, v in zip(out, (i + d, name, *hit)):
                             out[c].append(v)
@@ -166,7 +294,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Licenses that whole texts hold: (doc_id, license, coverage, first_word, end_word).
 
     Words are runs of ASCII letters, digits and characters beyond ASCII, after lower-casing A to Z. A text
-    holds a license if a stretch aligns with ``coverage`` or more of the words of one of its templates;
+    holds a license if a stretch aligns with ``coverage`` or more of the words of one of its templates, and word by
+    word with what a template has in braces; of licenses whose stretches overlap the one with most words counts;
     the best such stretch is returned, the first and longest where several are equal. Null, empty and other texts
     give no row, repeated rows repeated ones, an empty table an empty result; other columns are ignored.
     Templates are a small fixed table. One pass without exchange.

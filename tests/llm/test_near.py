@@ -266,3 +266,25 @@ def test_licenses(spark, docs):
         assert (name in got[k]) if name else not got[k], (k, name, got[k])
     assert got[100]["MIT"] == 1.0
     assert licenses.scan(docs).count() == 0
+
+
+@pytest.mark.parametrize("text,want", [
+    ("Licensed under CC BY 4.0", ["CC-BY-4.0"]),
+    ("Licensed under CC BY-SA 4.0", ["CC-BY-SA-4.0"]),
+    ("Licensed under CC BY-NC-SA 4.0", ["CC-BY-NC-SA-4.0"]),
+    ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+    ("licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+    ("This work is licensed under the GNU General Public License, version 3.", ["GPL-3.0"]),
+    ("This work is licensed under the GNU General Public License, version 4.", []),
+    ("licensed under the GNU Lesser General Public License, version 2.1", ["LGPL-2.1"]),
+    ("under the GNU Affero General Public License, version 3", ["AGPL-3.0"]),
+    ("Mozilla Public License, Version 2.0", ["MPL-2.0"]), ("Mozilla Public License, Version 1.1", []),
+    ("Eclipse Public License v2.0", ["EPL-2.0"]), ("CC0 1.0 Universal", ["CC0-1.0"]),
+    ("Licensed under the Apache License, Version 1.1", []),
+    *[(t, [name]) for name, texts in licenses.TEMPLATES.items() for t in texts],
+])
+def test_licenses_are_told_apart(text, want):
+    pad = "nothing of that kind here " * 5
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [pad + text + " " + pad]})
+    out, = licenses._scan(licenses.TEMPLATES, 0.85)([batch])
+    assert out.column("license").to_pylist() == want
