@@ -276,13 +276,10 @@ def _scan(shared, coverage: float):
                 numbers, first = templates.numbers(words.hash), words.first.tolist()
                 for d in range(j - i):
                     own = numbers[first[d]: first[d + 1]]
-                    best: dict[str, tuple[float, int, int]] = {}
                     hits = [(*hit, t.license) for t in templates.within(own) for hit in found(own, t, coverage)]
-                    for _, *hit, name in apart(hits, lambda h: (-h[0], -h[1], h[2], h[4])):
-                        if name not in best or (hit[0], -hit[1], hit[2]) > (best[name][0], -best[name][1], best[name][2]):
-                            best[name] = hit
-                    for name, hit in sorted(best.items()):
-                        for c, v in zip(out, (i + d, name, *hit)):
+                    hits = apart(hits, lambda h: (-h[0], -h[1], h[2], h[4]))
+                    for _, covered, low, high, name in sorted(hits, key=lambda h: h[2]):
+                        for c, v in zip(out, (i + d, name, covered, low, high)):
                             out[c].append(v)
             ids = batch.column("doc_id").take(pa.array(out.pop("at"), pa.int64()))
             yield pa.RecordBatch.from_pydict({"doc_id": ids} | {c: pa.array(v, kinds[c]) for c, v in out.items()})
@@ -295,8 +292,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Words are runs of ASCII letters, digits and characters beyond ASCII, after lower-casing A to Z. A text
     holds a license if a stretch aligns with ``coverage`` or more of the words of one of its templates, and word by
-    word with what a template has in braces; of licenses whose stretches overlap the one with most words counts;
-    the best such stretch is returned, the first and longest where several are equal. Null, empty and other texts
+    word with what a template has in braces. All such stretches are returned, one row each; of those that overlap,
+    the one with most words. Null, empty and other texts
     give no row, repeated rows repeated ones, an empty table an empty result; other columns are ignored.
     Templates are a small fixed table. One pass without exchange.
     """

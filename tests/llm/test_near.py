@@ -288,3 +288,11 @@ def test_licenses_are_told_apart(text, want):
     batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [pad + text + " " + pad]})
     out, = licenses._scan(licenses.TEMPLATES, 0.85)([batch])
     assert out.column("license").to_pylist() == want
+
+
+def test_all_notices_are_returned():
+    text = "a Licensed under CC BY 4.0 b c Released under the MIT License d Licensed under CC BY 4.0 Licensed under CC BY 4.0"
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [text]})
+    out, = licenses._scan(licenses.TEMPLATES, 0.85)([batch])
+    got = [(r["license"], r["coverage"], r["first_word"], r["end_word"]) for r in out.to_pylist()]
+    assert got == [("CC-BY-4.0", 1.0, 1, 7), ("MIT", 1.0, 9, 14), ("CC-BY-4.0", 1.0, 15, 21), ("CC-BY-4.0", 1.0, 21, 27)]
