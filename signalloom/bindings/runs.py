@@ -54,18 +54,19 @@ def _run(spark, sf, root: str, today: str, run_id: str, **extra) -> Run:
                rubric=RUBRIC, **extra)
 
 
-def full_run(spark, sf):
-    """Verify, roll up, merge, alert and commit; returns the companies of the run.
+def _crawl(spark, sf):
+    """A page for every posting, its whole text as the body; every seventh is gone."""
+    return documents(spark, sf).select(
+        "url", F.when(F.col("doc_id") % 7 == 0, 404).otherwise(200).alias("status"),
+        F.col("text").alias("body"), F.lit(None).cast("string").alias("fetch_error"),
+        F.lit("2024-02-04").alias("fetched_at"))
+
 
-    The crawl closes every seventh posting and says nothing of most others.
-    """
+def full_run(spark, sf):
+    """Verify every posting against its page, roll up, merge, alert and commit; returns the companies of the run."""
     run = _run(spark, sf, shared_folder(spark, "run"), "2024-02-05", "run-1",
                territories=_territories(spark, sf), channels=["SLACK_WEBHOOK_URL"])
-    crawl = documents(spark, sf).where("doc_id % 7 < 2").select(
-        "url", F.when(F.col("doc_id") % 7 == 0, 404).otherwise(200).alias("status"),
-        F.lit("").alias("body"), F.lit(None).cast("string").alias("fetch_error"),
-        F.lit("2024-02-04").alias("fetched_at"))
-    return run.finish(postings(spark, sf), crawl)["companies"]
+    return run.finish(postings(spark, sf), _crawl(spark, sf))["companies"]
 
 
 def second_run(spark, sf):

@@ -40,3 +40,18 @@ def test_full_run_from_files(spark, tmp_path):
     assert back.count() == 8
     stats = json.loads(spark.read.text(f"{tmp_path}/out/dashboard/stats").first()[0])
     assert stats["total_companies"] == 1 and stats["last_run_new"] == 1
+
+
+def test_registered_full_run_verifies_every_posting(spark, sf, monkeypatch):
+    from signalloom.bindings import runs
+    seen = {}
+
+    def finish(self, jobs, crawl=None):
+        seen.update(jobs=jobs, crawl=crawl)
+        return {"companies": None}
+    monkeypatch.setattr(Run, "finish", finish)
+    runs.full_run(spark, sf)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert seen["jobs"].join(seen["crawl"], "url", "left_anti").count() == 0
+    assert seen["crawl"].select("body").exceptAll(docs.select("text")).count() == 0
+    assert seen["crawl"].count() == docs.count()
