@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, ngram_join, quality, repeats
+from . import (decontaminate, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, negatives, ngram_join,
+               quality, repeats, url_rules)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -159,9 +160,66 @@ def op10_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
         "n_chars", F.length("text").cast("long"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = _table(spark, sf, "embeddings").withColumn("label", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+OP11_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         list_inner_product(a.c, b.c)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id != b.vec_id),
+p AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.*, other AS negative_id, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+   AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+#: (host, path, verdict)
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+_RULES_SQL = "SELECT * FROM (VALUES " + ", ".join(map(str, URL_RULES)) + ") AS r(host, path, verdict)"
+
+
+def op13_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_rules.judge(_table(spark, sf, "pages"), spark.sql(_RULES_SQL)).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+OP13_SQL = fr"""
+WITH rules AS ({_RULES_SQL}),
+pages_ AS (
+  SELECT row_number() OVER () AS row, page_id,
+         translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages),
+fits AS (
+  SELECT p.row, r.host || r.path AS rule, r.verdict
+  FROM pages_ p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+  QUALIFY row_number() OVER (PARTITION BY p.row ORDER BY length(r.host || r.path) DESC, length(r.host) DESC,
+                             r.verdict DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM pages_ LEFT JOIN fits USING (row)
+"""
+
+
 QUERIES = {"op1_language_id": op1_language_id, "op2_suffix_dedup": op2_suffix_dedup,
            "op3_line_dedup": op3_line_dedup, "op4_quality": op4_quality,
            "op5_license_scan": op5_license_scan, "op6_exact_dedup": op6_exact_dedup, "op7_ngram_join": op7_ngram_join, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination,
-           "op10_html_extraction": op10_html_extraction}
-SQL = {"op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
+           "op10_html_extraction": op10_html_extraction, "op11_hard_negatives": op11_hard_negatives,
+           "op13_url_filter": op13_url_filter}
+SQL = {"op11_hard_negatives": OP11_SQL, "op13_url_filter": OP13_SQL, "op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
