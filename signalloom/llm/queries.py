@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (decontaminate, exact_dedup, html_text, language_id, licenses, line_dedup, mixing, negatives, ngram_join,
-               quality, repeats, url_rules)
+               phrases, quality, repeats, url_rules)
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -189,6 +189,43 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 """
 
 
+def op12_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
+OP12_SQL = fr"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1),
+         lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3)) AS s(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k AS len, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND f >= 10),
+cuts AS (
+  SELECT c.*, u.j, l.f AS l, r.f AS r, (1000000 * a::HUGEINT * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM c, unnest(generate_series(1, 2)) AS u(j)
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1 : j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1 :], ' ')
+  WHERE j < len),
+best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_ AS (
+  SELECT lang, a, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) AS phrase
+  FROM c WHERE len = 3),
+most AS (SELECT lang, phrase, max(a) AS most FROM inner_ GROUP BY ALL),
+kept AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN most m ON m.lang = b.lang AND m.phrase = b.phrase
+  WHERE m.most IS NULL OR 100 * m.most < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score FROM kept JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 #: (host, path, verdict)
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -221,5 +258,6 @@ QUERIES = {"op1_language_id": op1_language_id, "op2_suffix_dedup": op2_suffix_de
            "op5_license_scan": op5_license_scan, "op6_exact_dedup": op6_exact_dedup, "op7_ngram_join": op7_ngram_join, "op8_mixing": op8_mixing,
            "op9_decontamination": op9_decontamination,
            "op10_html_extraction": op10_html_extraction, "op11_hard_negatives": op11_hard_negatives,
+           "op12_phrases": op12_phrases,
            "op13_url_filter": op13_url_filter}
-SQL = {"op11_hard_negatives": OP11_SQL, "op13_url_filter": OP13_SQL, "op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
+SQL = {"op11_hard_negatives": OP11_SQL, "op12_phrases": OP12_SQL, "op13_url_filter": OP13_SQL, "op3_line_dedup": OP3_SQL, "op6_exact_dedup": OP6_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}

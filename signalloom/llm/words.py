@@ -94,7 +94,7 @@ def words_of(raw: bytes, offsets: np.ndarray, table: bytes) -> Words:
     return Words(text, start, end, np.searchsorted(start, offsets), hashes(data, start, end))
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+def slices(column: pa.Array, size: int = GROUP_BYTES) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     """Groups of neighbouring documents: first, last + 1, their bytes, offsets into these."""
     column = column.cast(pa.large_string()).fill_null("")
     n = len(column)
@@ -104,7 +104,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
     data = column.buffers()[2] or pa.py_buffer(b"")
     i = 0
     while i < n:
-        j = max(i + 1, int(np.searchsorted(off, off[i] + GROUP_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(off, off[i] + size, "right")) - 1)
         yield i, j, data[int(off[i]): int(off[j])].to_pybytes(), off[i: j + 1] - off[i]
         i = j
 
