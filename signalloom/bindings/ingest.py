@@ -8,7 +8,8 @@ from ..operators import accounts as A
 from ..schemas import JOB_COLUMNS
 from ..sources import boards, feeds, pages
 from ..sources.base import preview
-from ..sources.registry import read_sources
+from ..sources.registry import SOURCES, read_sources
+from ..sources.rejects import reject_report
 from . import sql as Q
 from .data import LEXICON, documents, landed, supplier_accounts
 
@@ -295,8 +296,8 @@ def organisation_discovery_source(spark, sf):
         max_age_days=20))
 
 
-def account_board_source(spark, sf):
-    """The three board shapes under supplier accounts known to use them."""
+def _account_boards_input(spark, sf):
+    """The three board shapes and supplier accounts known to use them."""
     kinds = (("greenhouse", _greenhouse), ("lever", _lever), ("ashby", _ashby))
     parts = [make(spark, sf).withColumn("ats_type", F.lit(kind))
              .withColumn("slug", F.regexp_replace("slug", "^(acme-|b-)", ""))
@@ -307,7 +308,12 @@ def account_board_source(spark, sf):
         F.col("vertical") == "Pharma", "ashby").otherwise("lever")
     resolved = s.select("name", "domain_key", kind.alias("ats_type"), F.concat(
         F.lit("src"), "zoominfo_id").alias("ats_slug"))
-    return _jobs(boards.account_boards(payloads, resolved, lexicon=LEXICON))
+    return payloads, resolved
+
+
+def account_board_source(spark, sf):
+    """Boards of supplier accounts, under the accounts' names."""
+    return _jobs(boards.account_boards(*_account_boards_input(spark, sf), lexicon=LEXICON))
 
 
 def _boards(spark, sf):
@@ -356,13 +362,89 @@ def _inputs(spark, sf):
             "ex": one(_by_url(spark, sf, False)), "sb": one(_organisation(spark, sf))}
 
 
-def all_sources(spark, sf):
-    """Selected registry sources in one union."""
-    jobs = read_sources(_inputs(spark, sf), ["gh", "ab", "js", "sb", "wd"], lexicon=LEXICON)
+def _totals(jobs):
     return jobs.groupBy("source", "location").agg(
         F.count("*").alias("postings"), F.sum("keyword_count").alias("keywords"))
 
 
+def all_sources(spark, sf):
+    """Selected registry sources in one union."""
+    return _totals(read_sources(_inputs(spark, sf), ["gh", "ab", "js", "sb", "wd"], lexicon=LEXICON))
+
+
+def _every_input(spark, sf):
+    """Inputs of all fourteen registry keys."""
+    one = lambda df: {"landed": df}
+    lists, details = _workday(spark, sf)
+    boards_, resolved = _account_boards_input(spark, sf)
+    return {**_inputs(spark, sf), "bn": one(_search_pages(spark, sf)), "wd": {"lists": lists, "details": details},
+            "gd": {"employers": pages.benefit_employers(_benefit_pages(spark, sf)), **one(_employer_pages(spark, sf))},
+            "ap": one(_network(spark, sf)), "wf": one(_startup(spark, sf)), "fc": one(_by_url(spark, sf, True)),
+            "ts": one(_feed(spark, sf)), "da": {"landed": boards_, "resolved": resolved}}
+
+
+def every_source(spark, sf):
+    """All registry sources in one union; the two feeds with monitors run as discovery."""
+    jobs = read_sources(_every_input(spark, sf), lexicon=LEXICON, options={
+        "ts": {"patterns": ("erly", "ange"), "today": F.lit("2024-03-15").cast("date"), "max_age_days": 60,
+               "country": "US"},
+        "sb": {"today": F.lit("2024-02-05").cast("date"), "max_age_days": 20}})
+    return _totals(jobs)
+
+
+# How a list of postings is named in the payloads that get damaged below; "" is a list at the top.
+_DAMAGED = {("gh", "landed"): "jobs", ("lv", "landed"): "", ("ab", "landed"): "jobs", ("bn", "landed"): "state",
+            ("wd", "lists"): "jobPostings", ("ex", "landed"): "results", ("fc", "landed"): "data",
+            ("ts", "landed"): "data", ("sb", "landed"): "jobs"}
+#: Kinds of damage by the first digit of a text's hash.
+_KINDS = {"0": "truncated", "1": "blank", "2": "null", "3": "mistyped", "4": "error"}
+
+
+def _broken(root: str, kind: str, id_: str) -> str:
+    """SQL text, for either engine, of a damaged payload."""
+    if kind in ("blank", "null"):
+        return "'  '" if kind == "blank" else "CAST(NULL AS {string})"
+    cut, wrong, error = {
+        "": ("""'[{"text":"'""", """'[{"createdAt":"soon","text":"'""", """'{"error":"'"""),
+        "state": ("""'{"props":{"pageProps":{"jobs":[{"title":"'""", """'{"props":{"pageProps":{"jobs":"'""",
+                  """'{"props":{"pageProps":{"error":"'"""),
+    }.get(root, ("'{\"%s\":[{\"title\":\"'" % root, "'{\"%s\":\"'" % root, """'{"error":"'"""))
+    ends = {"": ("''", "'\"}]'", "'\"}'"), "state": ("''", "'\"}}}'", "'\"}}}'")}.get(root, ("''", "'\"}'", "'\"}'"))
+    k = ("truncated", "mistyped", "error").index(kind)
+    text = f"concat({(cut, wrong, error)[k]}, {id_}, {ends[k]})"
+    if root == "state":
+        text = f"""concat('<script id="__NEXT_DATA__">', {text}, '</script>')"""
+    return text
+
+
+def _damage(spark, sf, inputs):
+    """The inputs with payloads of some documents replaced by damaged ones."""
+    ids = documents(spark, sf).select(F.col("doc_id").alias("_doc"), F.md5("text").alias("_md5"))
+    out = {key: dict(tables) for key, tables in inputs.items()}
+    for (key, name), root in _DAMAGED.items():
+        if key not in inputs:
+            continue
+        cases = " ".join("WHEN '%s' THEN %s" % (digit, _broken(root, kind, "substring(_md5, 1, 10)").replace(
+            "{string}", "STRING")) for digit, kind in _KINDS.items())
+        landed_ = out[key][name]
+        out[key][name] = landed_.join(ids, F.col("seq") == F.col("_doc")).withColumn(
+            "payload", F.expr(f"CASE substring(_md5, 1, 1) {cases} ELSE payload END")).drop("_doc", "_md5")
+    return out
+
+
+def rejected_payloads(spark, sf):
+    """Payloads that can't be used, of nine inputs with damaged ones among them."""
+    inputs = _damage(spark, sf, {k: v for k, v in _every_input(spark, sf).items() if any(k == d[0] for d in _DAMAGED)})
+    inputs["wd"].pop("details")
+    return reject_report(inputs, {key: source.label for key, source in SOURCES.items()})
+
+
+def isolated_sources(spark, sf):
+    """Postings of sources with damaged payloads among theirs, counted as they pass."""
+    inputs = _damage(spark, sf, _inputs(spark, sf))
+    return _totals(read_sources(inputs, ["gh", "ab", "js", "sb"], lexicon=LEXICON, seen={}, failed={}))
+
+
 def source_preview(spark, sf):
     """Dry run: five rows per source, fifteen in all."""
     jobs = read_sources(_inputs(spark, sf), lexicon=LEXICON)
@@ -374,7 +456,8 @@ QUERIES = {f.__name__: f for f in (
     benefit_source, search_page_source, job_board_source, network_source, startup_source,
     web_search_source, crawl_search_source, feed_discovery_source, feed_monitor_source,
     organisation_monitor_source, organisation_discovery_source, account_board_source,
-    board_links, targeted_board_source, targeted_search_source, all_sources, source_preview)}
+    board_links, targeted_board_source, targeted_search_source, all_sources, source_preview, every_source, rejected_payloads,
+    isolated_sources)}
 
 
 # --- check SQL ------------------------------------------------------------------------------
@@ -562,3 +645,34 @@ FROM d JOIN employers ON employer_id = '7' || substring(slug, 4)""",
     + " SELECT u.source, u.company, u.title, u.url, u.food_keywords_matched FROM u JOIN d "
       "ON d.url = u.url QUALIFY row_number() OVER (PARTITION BY source_no ORDER BY doc_id) <= 5",
 }
+
+
+def _rejects_sql() -> str:
+    parts = []
+    for (key, name), root in _DAMAGED.items():
+        label = SOURCES[key].label
+        reason = {"truncated": "unparseable", "blank": "empty", "null": "empty", "mistyped": "mistyped",
+                  "error": "mistyped" if root == "" else "missing"}
+        why = " ".join(f"WHEN '{digit}' THEN '{reason[kind]}'" for digit, kind in _KINDS.items())
+        text = " ".join("WHEN '%s' THEN %s" % (digit, _broken(root, kind, "id").replace("{string}", "VARCHAR"))
+                        for digit, kind in _KINDS.items())
+        parts.append(f"SELECT '{label}' AS source, '{name}' AS input, CASE md5(text)[1] {why} END AS reason, "
+                     f"CASE md5(text)[1] {text} END AS payload, doc_id FROM d WHERE md5(text)[1] <= '4'")
+    return (f"WITH {_BASE}, r AS ({' UNION ALL '.join(parts)}) SELECT source, input, reason, count(*) AS payloads, "
+            "arg_min(md5(coalesce(payload, '')), doc_id) AS first_payload FROM r GROUP BY ALL")
+
+
+_SOUND = "(SELECT * FROM d WHERE md5(text)[1] > '4')"
+SQL |= {
+    "every_source": "SELECT source, location, count(*) AS postings, CAST(sum(keyword_count) AS BIGINT) AS keywords "
+    "FROM (" + " UNION ALL ".join(f"SELECT source, location, keyword_count FROM ({SQL[name]})" for name in (
+        "greenhouse_source", "lever_source", "ashby_source", "search_page_source", "workday_source", "benefit_source",
+        "job_board_source", "network_source", "startup_source", "web_search_source", "crawl_search_source",
+        "feed_discovery_source", "organisation_discovery_source", "account_board_source")) + ") GROUP BY ALL",
+    "rejected_payloads": _rejects_sql(),
+    "isolated_sources": _union([(n, name, {**cols, **({} if name == "j" else {"from_": _SOUND})})
+                                for n, name, cols in _PREVIEW_PARTS if n in (0, 2, 6, 12)],
+                               "source, location, keyword_count")
+    + " SELECT source, location, count(*) AS postings, CAST(sum(keyword_count) AS BIGINT) AS keywords "
+      "FROM u GROUP BY ALL",
+}

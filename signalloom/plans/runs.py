@@ -14,8 +14,8 @@ from .. import schemas as T
 from ..functions import scoring as S
 from ..lexicon import LOCATION_MARKETS, PERK_LEXICON, PERK_RUBRIC, Lexicon, Rubric
 from ..operators import accounts as A, alerts, ats, liveness, rollup as R, state, velocity
-from ..sources import boards, feeds, tables
-from ..sources.registry import read_sources, union_all
+from ..sources import boards, feeds, rejects, tables
+from ..sources.registry import SOURCES, read_sources, union_all
 
 _VELOCITY = ("company_name string, week string, run_id string, signal_count long, "
              "keyword_set string")
@@ -63,10 +63,11 @@ class Run:
         return F.lit(self.today).cast("date")
 
     def finish(self, raw: DataFrame, crawl: DataFrame | None = None,
-               ats_cache: DataFrame | None = None) -> dict[str, DataFrame]:
+               ats_cache: DataFrame | None = None, rejected=None) -> dict[str, DataFrame]:
         """Verify, roll up, merge state, build alerts, mark their companies, log and commit.
 
         A repeat of the last committed run starts from the state before it and replaces it.
+        ``rejected`` gives the table of unusable payloads once the postings are written.
         """
         counts = Observation("liveness")
         if crawl is not None:
@@ -75,6 +76,7 @@ class Run:
             jobs = self._save("jobs", raw.observe(
                 counts, F.count("*").alias("raw_count"), F.count("*").alias("live_count")))
 
+        refused = None if rejected is None else self._save("rejects", rejected())
         batch = self._save("batch", R.rollup(jobs, self.accounts, self.rubric, self.markets))
         old = self._old("history", _HISTORY)
         added = Observation("new companies")
@@ -117,9 +119,24 @@ class Run:
                                      self.channels, n=self.alert_companies)
             total = F.lit(stats.first()["total_companies"])
             out["alerts"] = self._save("alerts", alerts.payloads(rows, self.today, total))
+        if refused is not None:
+            out["rejects"] = refused
         self.store.commit(self.today, self.version, self.run_id)
         return out
 
+    def _rejects(self, inputs: dict, seen: dict, failed: dict) -> DataFrame:
+        """Unusable payloads, read again only from inputs whose observation counted some or could not
+        count, and failed sources."""
+        bad: dict[str, dict[str, DataFrame]] = {}
+        for (key, name), observed in seen.items():
+            counts = rejects.counts(observed)
+            if counts is None or any(counts[r] for r in rejects.REASONS):
+                bad.setdefault(key, {})[name] = inputs[key][name]
+        labels = {key: source.label for key, source in SOURCES.items()}
+        rows = self.spark.createDataFrame(
+            [(labels[key], "", "failed", "", error[:1000]) for key, error in failed.items()], rejects.REJECTED)
+        return rows.unionByName(rejects.rejected_payloads(bad, labels)) if bad else rows
+
     def export(self, out: dict[str, DataFrame], folder: str) -> None:
         """The files of a run: posting CSV, company CSV, dashboard records and stats."""
         tables.write_jobs(out["jobs"], f"{folder}/jobs_csv")
@@ -132,9 +149,14 @@ class Run:
     def full(self, inputs: dict[str, dict[str, DataFrame]], crawl: DataFrame | None = None,
              selected: list[str] | None = None,
              options: dict[str, dict] | None = None) -> dict[str, DataFrame]:
-        """All selected sources."""
-        raw = read_sources(inputs, selected, options, self.lexicon)
-        return self.finish(raw, crawl)
+        """All selected sources.
+
+        Payloads that can't be used are counted as they pass and kept in the table ``rejects``; a source
+        whose tables can't be read at all is noted there too, and the others go on.
+        """
+        seen, failed = {}, {}
+        raw = read_sources(inputs, selected, options, self.lexicon, seen, failed)
+        return self.finish(raw, crawl, rejected=lambda: self._rejects(inputs, seen, failed))
 
     def targeted(self, probes: DataFrame, board_pages: DataFrame, posting_pages: DataFrame,
                  search: DataFrame, crawl: DataFrame | None = None,

@@ -2,7 +2,7 @@
 
 A landed table has one row per API response or page: slug, company, search_term, domain,
 url, payload (text) and ``seq``, its place in reading order. Payloads that do not parse give
-no rows, so one bad response never fails a run.
+no rows, so one bad response never fails a run; :mod:`rejects` counts and keeps them.
 """
 
 from __future__ import annotations
@@ -46,7 +46,12 @@ def landed_texts(pages: DataFrame) -> DataFrame:
 
 
 def items(landed: DataFrame, schema: str, *paths: str) -> DataFrame:
-    """One row per array element (``job``) of the first non-empty array among ``paths``."""
+    """One row per array element (``job``) of the first non-empty array among ``paths``.
+
+    A table that was parsed before, to count its rejects, has ``_p`` already.
+    """
+    if "_p" in landed.columns:
+        return explode_first(landed, *[f"_p.{p or 'items'}" for p in paths]).drop("_p")
     parsed = landed.withColumn("_p", F.from_json("payload", schema))
     return explode_first(parsed, *[f"_p.{p}" if p else "_p" for p in paths]).drop("_p")
 

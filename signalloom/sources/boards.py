@@ -80,7 +80,8 @@ def workday(lists: DataFrame, details: DataFrame, number: int = 4,
     A posting without a landed detail has no text and so no match; of several details the one
     that landed last counts. Texts are matched before the join, which sees none.
     """
-    detail = F.from_json("payload", T.WORKDAY_DETAIL)["jobPostingInfo"]["jobDescription"]
+    read = F.col("_p") if "_p" in details.columns else F.from_json("payload", T.WORKDAY_DETAIL)
+    detail = read["jobPostingInfo"]["jobDescription"]
     matched = to_jobs(landed_texts(details), number, source="Workday", company=F.lit(""),
                       title=F.lit(""), body=detail, url=F.col("url"), lexicon=lexicon,
                       dedup="last")

@@ -16,6 +16,8 @@ _REVIEWS = "https://www.glassdoor.com"
 
 
 def _with_state(landed: DataFrame, schema: str) -> DataFrame:
+    if "_p" in landed.columns:  # parsed before, to count its rejects
+        return landed
     return landed.withColumn("_p", F.from_json(X.page_state(F.col("payload")), schema))
 
 
