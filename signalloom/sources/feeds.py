@@ -9,6 +9,8 @@ from ..functions import text as X
 from ..functions.names import employer_from_url
 from ..lexicon import (FEED_PATTERNS, PERK_LEXICON, PLATFORM_SLUGS, PLATFORM_SLUGS_CRAWL,
                        Lexicon)
+from ..operators import bloom
+from ..session import stored
 from .base import items, or_blank, recent, to_jobs
 
 
@@ -91,13 +93,16 @@ def targeted_search(landed: DataFrame, number: int = 21,
         lexicon=lexicon, by=("domain",))
 
 
-def _of_accounts(domains: DataFrame | None):
-    """Sifts the narrow rows of a source for the given domains; None keeps all (discovery)."""
+def _of_accounts(jobs: DataFrame, domains: DataFrame | None):
+    """Jobs that may be of the given domains, told by a filter before any text is read, and the sift
+    that keeps those that are among their narrow rows. No domains keep all (discovery)."""
     if domains is None:
-        return None
-    wanted = domains.select(F.col("domain").alias("_by_job_domain")).distinct()
+        return jobs, None
+    wanted = stored(domains.select(F.col("domain").alias("_by_job_domain")).distinct(), "domains")
+    n = wanted.count()
+    jobs = bloom.may_hold(jobs, "job_domain", bloom.build(wanted, "_by_job_domain", n), n)
     # the account's domain is no part of the deduplication key
-    return lambda rows: rows.join(wanted, "_by_job_domain", "left_semi").withColumn(
+    return jobs, lambda rows: rows.join(wanted, "_by_job_domain", "left_semi").withColumn(
         "_by_job_domain", F.lit(""))
 
 
@@ -118,7 +123,7 @@ def job_feed(landed: DataFrame, domains: DataFrame | None = None, number: int =
         "job_domain": F.lower(F.trim(or_blank("job.company_domain"))),
         "day": X.first_nonblank("job.date_posted", "job.discovered_at"),
         "country": F.col("job.country_code")})
-    jobs = _feed(jobs, today, max_age_days, country)
+    jobs, sift = _of_accounts(_feed(jobs, today, max_age_days, country), domains)
     title = F.trim(or_blank("job.job_title"))
     return to_jobs(
         jobs, number, source="TheirStack" if domains is not None else "TheirStack-Discovery",
@@ -129,7 +134,7 @@ def job_feed(landed: DataFrame, domains: DataFrame | None = None, number: int =
         remote=F.when(F.col("job.remote"), "Remote"), domain=F.col("job_domain"),
         searched=lambda text: F.concat_ws(" ", "title", text),
         fallback=lambda _: X.substring_hits("text_lc", patterns), lexicon=lexicon,
-        by=("job_domain",) if domains is not None else (), sift=_of_accounts(domains))
+        by=("job_domain",) if domains is not None else (), sift=sift)
 
 
 def organisation_feed(landed: DataFrame, domains: DataFrame | None = None, number: int = 12,
@@ -139,7 +144,7 @@ def organisation_feed(landed: DataFrame, domains: DataFrame | None = None, numbe
     jobs = items(landed, T.SUMBLE, "jobs").withColumns({
         "job_domain": F.lower(F.trim(or_blank("job.organization_domain"))),
         "day": or_blank("job.datetime_pulled"), "country": F.col("job.country_code")})
-    jobs = _feed(jobs, today, max_age_days, country)
+    jobs, sift = _of_accounts(_feed(jobs, today, max_age_days, country), domains)
     return to_jobs(
         jobs, number, source="Sumble" if domains is not None else "Sumble-Discovery",
         company=F.trim(X.first_nonblank("job.organization_name", "job_domain")),
@@ -147,4 +152,4 @@ def organisation_feed(landed: DataFrame, domains: DataFrame | None = None, numbe
         url=F.trim("job.url"), location=F.trim(or_blank("job.location")),
         date_posted=X.iso_prefix(F.col("day")), domain=F.col("job_domain"),
         searched=lambda text: F.concat_ws(" ", "title", text), lexicon=lexicon,
-        by=("job_domain",) if domains is not None else (), sift=_of_accounts(domains))
+        by=("job_domain",) if domains is not None else (), sift=sift)

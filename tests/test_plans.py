@@ -63,10 +63,19 @@ def test_no_text_of_a_source_is_shuffled(spark, sf, name):
         assert not moved & TEXTS, (name, moved)
 
 
-@pytest.mark.parametrize("name", [n for n in SOURCES if n not in ("search_page_source", "startup_source")])
+@pytest.mark.parametrize("name", [n for n in SOURCES if n not in ("search_page_source", "startup_source", "every_source")])
 def test_sources_stay_in_the_jvm(spark, sf, name):
     assert "Python" not in plan(catalog.QUERIES[name](spark, sf))
 
 
 def test_card_pages_are_parsed_once(spark, sf):
     assert plan(catalog.QUERIES["search_page_source"](spark, sf)).count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("name", ["feed_monitor_source", "organisation_monitor_source"])
+def test_accounts_are_told_before_texts_are_read(spark, sf, name):
+    text = plan(catalog.QUERIES[name](spark, sf))
+    # lines further down run earlier
+    last_text = max(text.rindex("full_text"), text.rindex("text_lc"))
+    assert text.count("BroadcastNestedLoopJoin") == 1 and text.index("BroadcastNestedLoopJoin") > last_text
+    assert text.index("LeftSemi") < text.index("BroadcastNestedLoopJoin")  # the exact one, of narrow rows
