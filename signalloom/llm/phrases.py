@@ -12,8 +12,10 @@ from ..session import shared_folder
 from .shared import renamed
 from .words import BASE, hashes, mix, slices, small_batches, words_of
 
-#: Bits of a filter of phrases at most; with more phrases it lets more through, which the join sorts out.
-FILTER_BITS = 1 << 24
+#: Slots of the table of reached phrases of one length. A task holds a byte for each.
+SLOTS = 1 << 24
+#: What an empty slot holds.
+NEVER = 255
 BREAK, BLANK = 10, 32
 #: A to Z become lower case, bytes that end a piece line feeds, bytes between words blanks.
 _BYTES = bytes(BREAK if b in b".,;:!?" or 10 <= b <= 13 else BLANK if b in (9, 32) else b + 32 if 65 <= b <= 90 else b
@@ -57,72 +59,73 @@ def _longer(shorter: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(shorter * np.uint64(BASE) + word)
 
 
-def _holds(bits: np.ndarray | None, hash_: np.ndarray) -> np.ndarray:
-    """Which hashes a filter may hold; none without a filter."""
-    if bits is None:
-        return np.zeros(len(hash_), bool)
-    size = np.uint64(len(bits) * 64 - 1)
-    out = np.ones(len(hash_), bool)
-    for slot in (hash_ & size, (hash_ >> np.uint64(32)) & size):
-        out &= (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
-    return out
+def _slots(hash_: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    low = np.uint64(size - 1)
+    return (hash_ & low).astype(np.int64), ((hash_ >> np.uint64(32)) & low).astype(np.int64)
 
 
-def _counted(shared, longest: int, single: bool):
-    """Occurrences in each group of documents of one language: of words where ``single``, and of phrases
-    whose first and last words but one are both in the filter of reached phrases and one in that of late ones."""
-    def rows(lang: str, n: int, phrase: pa.Array, count: np.ndarray) -> pa.RecordBatch:
+def _reached_in(table: np.ndarray | None, hash_: np.ndarray) -> np.ndarray:
+    """The scan in which each hash was reached, by its two slots: the later of what they hold, or NEVER."""
+    if table is None:
+        return np.full(len(hash_), NEVER, np.int64)
+    one, other = _slots(hash_, len(table))
+    return np.maximum(table[one], table[other]).astype(np.int64)
+
+
+def _counted(shared, longest: int, step: int, shards: int):
+    """Occurrences in each group of documents of one language: of words in the first cycle, and of phrases
+    both of whose parts (without the last word, without the first) were reached, for a cycle from then on."""
+    single = step < shards
+
+    def rows(lang: str, n: int, phrase: pa.Array, count: np.ndarray, since: np.ndarray) -> pa.RecordBatch:
         size = len(count)
         return pa.RecordBatch.from_pydict({
             "lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64))),
             "phrase": phrase.cast(pa.binary()).cast(pa.string()), "n": pa.array(np.full(size, n, np.int32)),
-            "count": pa.array(count.astype(np.int64))})
+            "since": pa.array(since.astype(np.int32)), "count": pa.array(count.astype(np.int64))})
 
-    def group(lang: str, raw: bytes, offsets: np.ndarray, reached: dict, late: dict):
+    def group(lang: str, raw: bytes, offsets: np.ndarray, tables: dict):
         word, piece, names = _tokens(raw, offsets)
         if not len(word):
             return
         if single:
-            yield rows(lang, 0, pa.array([b""], pa.large_binary()), np.array([len(word)]))
-            yield rows(lang, 1, names, np.bincount(word, minlength=len(names)))
+            yield rows(lang, 0, pa.array([b""], pa.large_binary()), np.array([len(word)]), np.zeros(1))
+            yield rows(lang, 1, names, np.bincount(word, minlength=len(names)), np.zeros(len(names)))
         own = _word_hashes(names)
         gram, hash_, phrase = word, mix(own ^ _salt([lang])[0]), names
         at = np.arange(len(word))  # where phrases of the present length begin, whose numbers gram holds
         for n in range(2, longest + 1):
-            near = _holds(reached.get(n - 1), hash_)
-            if not near.any():
-                return
-            fresh = near & _holds(late.get(n - 1, reached.get(n - 1)), hash_)
+            reached = _reached_in(tables.get(n - 1), hash_)
+            near = reached < NEVER
             # a phrase of n words begins where two of n - 1 words begin side by side in a piece
             two = np.flatnonzero((at[1:] == at[:-1] + 1) & (piece[at[:-1]] == piece[at[1:] + n - 2])
                                  & near[gram[:-1]] & near[gram[1:]])
             if not len(two):
                 return
             last = word[at[two] + n - 1]
-            counts = fresh[gram[two]] | fresh[gram[two + 1]]
             key, place, inverse = np.unique(gram[two] * len(names) + last, return_index=True, return_inverse=True)
             before, after = gram[two][place], last[place]
+            since = np.maximum(reached[before], reached[gram[two + 1][place]]) + 1
             phrase = pc.binary_join_element_wise(phrase.take(pa.array(before)), names.take(pa.array(after)),
                                                  pa.scalar(b" ", pa.large_binary()))
             hash_ = _longer(hash_[before], own[after])
             at, gram = at[two], inverse
-            some = np.flatnonzero(counts[place])  # alike at every occurrence
+            some = np.flatnonzero(step < since + shards)
             if len(some):
-                yield rows(lang, n, phrase.take(pa.array(some)), np.bincount(gram, minlength=len(key))[some])
+                yield rows(lang, n, phrase.take(pa.array(some)), np.bincount(gram, minlength=len(key))[some], since[some])
 
     def run(batches):
-        reached, late = shared.value
+        tables = shared.value
         for batch in small_batches(batches):
             langs, text = batch.column("lang"), batch.column("text")
             for lang in langs.unique().to_pylist():
                 for _, _, raw, offsets in slices(text.filter(pc.equal(langs, lang)), 8 << 20):
-                    yield from group(lang, raw, offsets, reached, late)
+                    yield from group(lang, raw, offsets, tables)
     return run
 
 
-def _filter_bits(size: int, late: int):
-    """Rows (kind, place, bits) of the filters of a table of reached phrases: kind is 2n, and 2n + 1 for those
-    reached in step ``late`` or after it."""
+def _slots_of(size: int):
+    """Rows (n, slot) of both slots of each phrase."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
@@ -133,44 +136,28 @@ def _filter_bits(size: int, late: int):
             words = words_of(raw, at - at[0], bytes(range(256)))
             langs = batch.column("lang").dictionary_encode()
             salt = _salt(langs.dictionary.to_pylist())[np.asarray(langs.indices, np.int64)]
-            n, step = (np.asarray(batch.column(c), np.int64) for c in ("n", "reached"))
+            n = np.asarray(batch.column("n"), np.int64)
             hash_ = mix(words.hash[words.first[:-1]] ^ salt)
             for k in range(1, int(n.max())):
                 long = np.flatnonzero(n > k)
                 hash_[long] = _longer(hash_[long], words.hash[words.first[long] + k])
-            kind = np.concatenate([2 * n, 2 * n[step >= late] + 1])
-            hash_ = np.concatenate([hash_, hash_[step >= late]])
-            slot = np.concatenate([hash_ & np.uint64(size - 1), (hash_ >> np.uint64(32)) & np.uint64(size - 1)])
-            kind = np.concatenate([kind, kind])
-            order = np.lexsort((slot, kind))
-            slot, kind = slot[order], kind[order]
-            place = (slot >> np.uint64(6)).astype(np.int64)
-            start = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (kind[1:] != kind[:-1])]))
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (slot & np.uint64(63)), start)
-            yield pa.RecordBatch.from_pydict({"kind": pa.array(kind[start].astype(np.int32)), "place": pa.array(place[start]),
-                                              "bits": pa.array(bits.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"n": pa.array(np.concatenate([n, n]).astype(np.int32)),
+                                              "slot": pa.array(np.concatenate(_slots(hash_, size)))})
     return run
 
 
-def _filters(state: DataFrame, rows: int, step: int, shards: int, longest: int):
-    """Filters by length of the reached phrases, and of those whose longer phrases are still counted in ``step``."""
-    size = 1 << min(FILTER_BITS, max(1024, 16 * rows)).bit_length() - 1
-    found = state.where("reached IS NOT NULL").where(F.col("n").between(1, longest - 1)).select(
-        "lang", "phrase", "n", "reached")
-    late = step - shards
-    if late <= 0:
-        late = step + 1  # all are
-    bits = found.mapInArrow(_filter_bits(size, late), "kind int, place long, bits long").groupBy("kind", "place").agg(
-        F.bit_or("bits").alias("bits")).toArrow()
-    kind, place, bits = (np.asarray(bits.column(c), np.int64) for c in ("kind", "place", "bits"))
-    out: tuple[dict, dict] = ({}, {})
-    for n in range(1, longest):
-        for k, filters in enumerate(out):
-            own = kind == 2 * n + k
-            if own.any() or (k and late <= step):
-                filters[n] = np.zeros(size // 64, np.uint64)
-                filters[n][place[own]] = bits[own].view(np.uint64)
-    return out
+def _note(tables: dict[int, np.ndarray], reached: DataFrame, step: int, size: int) -> None:
+    """Fills the slots of phrases reached in ``step``; what a slot holds never changes.
+
+    They come as bitmaps of 32,768 slots, so the driver gets a bit for each slot at most.
+    """
+    slots = reached.mapInArrow(_slots_of(size), "n int, slot long").withColumn("slot", F.col("slot") + 1)
+    maps = slots.groupBy("n", F.bitmap_bucket_number("slot").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")).toArrow()
+    for n, part, bits in zip(*(maps.column(c).to_pylist() for c in ("n", "part", "bits"))):
+        table = tables.setdefault(n, np.full(size, NEVER, np.uint8))
+        own = (part - 1) * 32768 + np.flatnonzero(np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little"))
+        table[own] = np.minimum(table[own], step)
 
 
 def _drop(spark: SparkSession, path: str) -> None:
@@ -189,10 +176,17 @@ def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lo
     ``least``, beside the shorter ones that are still counted, and for one full cycle, so that every shard counts once.
     The scans end when the last phrase has completed its cycle, after ``longest`` cycles at most.
 
-    Tasks count phrases whose parts pass filters of a bounded size (two bits of 2 MB at most for a phrase); their sums
-    meet the table of reached phrases in a join, which decides. The row with n = 0 has the number of words of a
-    language. The state is written once each scan, and what it replaces is removed.
+    Tasks know in which scan a phrase was reached from a table of a fixed size for each length, by two
+    slots of its hash. A slot keeps the first scan that was noted in it, so what a task reads never changes
+    after it was set, and every phrase whose parts were reached has one full cycle. Phrases whose slots others
+    filled are counted too, for a full cycle of theirs; that is work for nothing as soon as they stay
+    below ``least``, and right if they don't. The row with n = 0 has the number of words of a language.
+
+    Each scan's counts and the state (what is reached, or still counted) are summed in one shuffle and
+    written; the state before is removed.
     """
+    if longest * shards >= NEVER:
+        raise ValueError("too many scans: longest times shards must be less than 255")
     spark = docs.sparkSession
     parts = shared_folder(spark, "shards")
     renamed(docs, text=text_col, lang=lang_col).select(
@@ -200,41 +194,29 @@ def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lo
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard")
     ).where("text != ''").write.partitionBy("shard").parquet(parts)
     texts = spark.read.schema("lang string, text string, shard int").parquet(parts)
-    state, path, step, rows, last = spark.createDataFrame([], STATE), None, 0, 0, -1
+    state, path, step, last = None, None, 0, -1
+    tables: dict[int, np.ndarray] = {}
     while step < shards or step <= last + shards:
-        filters = _filters(state, rows, step, shards, longest) if rows else ({}, {})
-        shared = spark.sparkContext.broadcast(filters)
-        single = step < shards
-        seen_path = shared_folder(spark, "counted")
-        (texts.where(F.col("shard") == step % shards).select("lang", "text")
-         .mapInArrow(_counted(shared, longest, single), "lang string, phrase string, n int, count long")
-         .groupBy("lang", "phrase", "n").agg(F.sum("count").alias("count")).write.parquet(seen_path))
-        seen = spark.read.schema("lang string, phrase string, n int, count long").parquet(seen_path)
-        new = seen.where("n < 2").withColumn("since", F.lit(0))
-        if rows:
-            known = state.where("reached IS NOT NULL AND n >= 1").where(F.col("n") < longest).select("lang", "phrase", "reached")
-            long = seen.where("n >= 2").withColumns({
-                "head": F.expr("substring_index(phrase, ' ', n - 1)"), "tail": F.expr("substring_index(phrase, ' ', 1 - n)")})
-            long = (long.join(known.toDF("lang", "head", "head_reached"), ["lang", "head"])
-                    .join(known.toDF("lang", "tail", "tail_reached"), ["lang", "tail"])
-                    .withColumn("since", F.greatest("head_reached", "tail_reached") + 1)
-                    .where((F.col("since") <= step) & (F.col("since") + shards > step)))
-            new = new.unionByName(long.select("lang", "phrase", "n", "count", "since"))
-        total = state.unionByName(new.withColumn("reached", F.lit(None).cast("int"))).groupBy(
-            "lang", "phrase", "n", "since").agg(F.sum("count").alias("count"), F.max("reached").alias("reached"))
-        total = total.withColumn("reached", F.when(F.col("n") == 0, F.lit(None)).otherwise(
-            F.coalesce("reached", F.when(F.col("count") >= least, step))).cast("int"))
-        open_ = (F.col("since") + shards > step + 1) | F.col("reached").isNotNull() | (F.col("n") == 0)
+        shared = spark.sparkContext.broadcast(tables)
+        seen = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(
+            _counted(shared, longest, step, shards), "lang string, phrase string, n int, since int, count long"
+        ).withColumn("reached", F.lit(None).cast("int"))
+        total = (seen if state is None else seen.unionByName(state)).groupBy("lang", "phrase", "n", "since").agg(
+            F.sum("count").alias("count"), F.max("reached").alias("reached"))
+        total = total.withColumn("reached", F.when(F.col("n") > 0, F.coalesce(
+            "reached", F.when(F.col("count") >= least, step))).cast("int"))
+        needed = (F.col("since") + shards > step + 1) | F.col("reached").isNotNull() | (F.col("n") == 0)
         newer = shared_folder(spark, "phrases")
-        total.where(open_).select("lang", "phrase", "n", "since", "count", "reached").write.parquet(newer)
-        for old in (seen_path, path):
-            if old:
-                _drop(spark, old)
+        total.where(needed).select("lang", "phrase", "n", "since", "count", "reached").write.parquet(newer)
+        shared.destroy()
+        if path:
+            _drop(spark, path)
         path = newer
         state = spark.read.schema(STATE).parquet(path)
-        about = state.where("reached IS NOT NULL").where(F.col("n") < longest).agg(
-            F.count("*").alias("rows"), F.max("reached").alias("last")).first()
-        rows, last = about["rows"], about["last"] if about["last"] is not None else -1
+        fresh = state.where(F.col("reached") == step).where(F.col("n") < longest).select("lang", "phrase", "n")
+        if not fresh.isEmpty():
+            _note(tables, fresh, step, SLOTS)
+            last = step
         step += 1
     _drop(spark, parts)
     return state.where("n = 0 OR reached IS NOT NULL").select("lang", "phrase", "n", "count")

@@ -65,11 +65,12 @@ def test_brute_force(spark, more):
     assert got == expected(rows, **{k: v for k, v in more.items() if k != "shards"}) and len(got) > 10
 
 
-def test_filters_only_spare_work(spark, monkeypatch):
-    # filters of 1,024 bits hold nearly everything; the join alone decides then
+@pytest.mark.parametrize("slots", [1, 64, 4096])
+def test_full_tables_only_cost_work(spark, monkeypatch, slots):
+    # with few slots phrases whose parts were not reached are counted too, or from an earlier scan on
     rows = texts(2) + [(i, f"u{i % 700} v{i % 611} w{i % 13} {i}", "en") for i in range(3000)]
     want = expected(rows, least=2)
-    monkeypatch.setattr(phrases, "FILTER_BITS", 1024)
+    monkeypatch.setattr(phrases, "SLOTS", slots)
     assert mined(spark, rows, least=2) == want
 
 
