@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..lexicon import TierRules
 from ..operators import accounts as A, dedup, markets as M
+from ..session import shared_folder
 from . import sql as Q
 from .data import customer_accounts, part_accounts, table
 
@@ -108,12 +109,25 @@ def account_match(spark, sf):
 
 def account_match_exact(spark, sf):
     """Domain and exact-name candidates of both lists side by side."""
-    accounts = part_accounts(spark, sf)
-    companies = A.match_domains(_companies(spark, sf), accounts, "domain")
-    companies = A.match_names(companies, accounts, "company")
-    pick = A.pick_account("by_domain", "by_name")
-    return companies.select("company", "domain", pick["segment"].alias("segment"),
-                            F.coalesce(pick["account"]["zoominfo_id"], F.lit("")).alias("id"))
+    index = A.build_index(part_accounts(spark, sf))
+    companies = A.match_domains(_companies(spark, sf), index, "domain")
+    companies = A.match_names(companies, index, "company")
+    companies = A.with_account(companies, index, A.pick_row("by_domain", "by_name"))
+    return companies.select("company", "domain", F.col("pick.segment").alias("segment"),
+                            F.coalesce("pick.account.zoominfo_id", F.lit("")).alias("id"))
+
+
+def account_index_reuse(spark, sf):
+    """Matches through an index opened twice: the second time it is read, and a changed list gets its own."""
+    root, accounts = shared_folder(spark, "indexes"), part_accounts(spark, sf)
+    A.open_index(accounts, root)
+    A.open_index(accounts.where("list = 'managed'"), root)
+    companies = _companies(spark, sf)
+    found = []
+    for lists in (accounts, accounts.where("list = 'managed'")):
+        matched = A.match_accounts(companies, A.open_index(lists, root), "company", "domain")
+        found.append(matched.groupBy("segment").agg(F.count("*").alias("companies"), F.count("account").alias("matched")))
+    return found[0].withColumn("lists", F.lit("both")).unionByName(found[1].withColumn("lists", F.lit("managed")))
 
 
 def office_index(spark, sf):
@@ -172,7 +186,7 @@ def expansion_markets(spark, sf):
 QUERIES = {f.__name__: f for f in (
     tiering, coverage_stats, account_counts, tier_union_dedup, domain_universe,
     unclassified_accounts, hash_sample, domain_batches, first_wins_dedup, last_wins_dedup,
-    account_index, account_match_tokens, account_match, account_match_exact, office_index,
+    account_index, account_match_tokens, account_match, account_match_exact, account_index_reuse, office_index,
     known_and_primary_markets, office_cities, expansion_flag, expansion_markets)}
 
 _SUPPRESSED = ("(vertical = 'AUTOMOBILE' OR zi_industry IN ('industry 7', 'industry 21') OR "
@@ -322,3 +336,9 @@ WITH {_SIGNALS} SELECT s.supplier, s.market, CASE WHEN EXISTS (SELECT 1 FROM kno
   WHERE k.supplier = s.supplier AND k.market = s.market) THEN 'old' ELSE 'new' END AS kind
 FROM signals s""",
 }
+_MATCHED = SQL["account_match"][:SQL["account_match"].index("\nSELECT company, domain, CASE")]
+SQL["account_index_reuse"] = _MATCHED + """
+SELECT 'both' AS lists, CASE WHEN m IS NOT NULL THEN 'managed' WHEN u IS NOT NULL THEN 'unmanaged'
+  ELSE 'prospect' END AS segment, count(*) AS companies, count(coalesce(m, u)) AS matched FROM ids GROUP BY ALL
+UNION ALL SELECT 'managed', CASE WHEN m IS NOT NULL THEN 'managed' ELSE 'prospect' END, count(*), count(m)
+FROM ids GROUP BY ALL"""

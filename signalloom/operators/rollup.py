@@ -16,7 +16,7 @@ from ..lexicon import LOCATION_MARKETS, PERK_RUBRIC, Rubric
 from ..schemas import COMPANY_COLUMNS
 from ..session import stored
 from . import accounts as A
-from .markets import OTHER, fallback_market, location_market, office_index
+from .markets import OTHER, fallback_market, location_market
 
 
 def with_scores(jobs: DataFrame, rubric: Rubric = PERK_RUBRIC,
@@ -160,30 +160,30 @@ def _with_locations(df: DataFrame, rubric: Rubric) -> DataFrame:
         "location_detail": F.to_json(ordered)})
 
 
-def rollup(jobs: DataFrame, accounts: DataFrame, rubric: Rubric = PERK_RUBRIC,
+def rollup(jobs: DataFrame, accounts: DataFrame | A.AccountIndex, rubric: Rubric = PERK_RUBRIC,
            markets=LOCATION_MARKETS, city_rules=None) -> DataFrame:
     """One row per company with the 30 company columns.
 
-    ``jobs`` should be a stored table (it is scanned twice); order by score when presenting.
+    ``jobs`` should be a stored table (it is scanned twice); order by score when presenting. An index of
+    the accounts spares building one.
     """
+    index = accounts if isinstance(accounts, A.AccountIndex) else A.build_index(accounts, city_rules)
     scored = with_scores(jobs, rubric, markets)
     companies = (_company_base(scored, rubric)
                  .join(company_sets(scored, rubric), "company_norm")
                  .withColumn("company", F.trim("best.company")))
     companies = stored(companies, "companies")  # matching reads it twice
 
-    companies = A.match_names(companies, accounts, "company")
-    by_name = A.pick_account("by_name", "by_tokens")
-    listed = nonblank(F.lower(F.trim(by_name["account"]["domain"])))
+    companies = A.match_names(companies, index, "company")
+    companies = A.with_account(companies, index, A.pick_row("by_name", "by_tokens"), "listed")
+    listed = nonblank(F.lower(F.trim("listed.account.domain")))
     companies = companies.withColumn("inferred_domain", F.coalesce(
         "verified", listed, guess_domain(F.col("company"))))
-    companies = A.match_domains(companies, accounts, "inferred_domain")
-    companies = companies.withColumn("pick", A.pick_account(
-        "by_domain", "by_name", "by_tokens"))
+    companies = A.match_domains(companies, index, "inferred_domain")
+    companies = A.with_account(companies, index, A.pick_row("by_domain", "by_name", "by_tokens"))
 
-    offices = office_index(accounts, city_rules).withColumnRenamed("domain", "nd")
     companies = (companies.withColumn("nd", normalise_domain(F.col("inferred_domain")))
-                 .join(offices, "nd", "left")
+                 .join(index.offices, "nd", "left")
                  .withColumn("known_markets", F.coalesce("known_markets", F.array())))
     companies = _with_locations(companies, rubric)
 

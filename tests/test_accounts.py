@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from signalloom import files
 from signalloom.operators import accounts as A, dedup
 
 COLUMNS = ("list string, row_no long, name string, domain string, zoominfo_id string, "
@@ -113,3 +114,31 @@ def test_sample_is_repeatable_and_seeded(spark):
     def one(seed):
         return [r.d for r in dedup.hash_sample(df, 50, "d", seed).collect()]
     assert one("a") == one("a") != one("b") and len(set(one("a"))) == 50
+
+
+def test_an_index_is_built_once_for_each_list(spark, tmp_path):
+    table = accounts(spark, [("managed", "Acme Inc", "a.com"), ("unmanaged", "Beta North Labs", "b.com")])
+    company = spark.createDataFrame([("labs beta", "x.com"), ("acme", "")], "company string, domain string")
+    root = str(tmp_path / "index")
+    for _ in range(2):
+        found = A.match_accounts(company, A.open_index(table, root), "company", "domain").collect()
+        assert {(r.company, r.account.domain) for r in found} == {("labs beta", "b.com"), ("acme", "a.com")}
+    built = lambda: len([f for f in (tmp_path / "index").iterdir() if f.name.startswith("tables-")])
+    assert built() == 1
+    A.open_index(table, root, (("boston", None, "Boston"),))
+    A.open_index(table.where("list = 'managed'"), root)
+    A.open_index(table.limit(0), root)
+    assert built() == 4
+    nobody = A.match_accounts(company, A.open_index(table.limit(0), root), "company", "domain").collect()
+    assert {r.segment for r in nobody} == {"prospect"}
+
+
+def test_of_two_writers_of_a_name_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    path = str(tmp_path / "some" / "name")
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda k: files.create(spark, path, f"text {k}"), range(8)))
+    assert won.count(True) == 1 and files.read_text(spark, path) == f"text {won.index(True)}"
+    assert files.names(spark, str(tmp_path / "some")) == ["name"] and files.names(spark, str(tmp_path / "none")) == []
+    files.delete(spark, path)
+    assert files.read_text(spark, path) is None

@@ -79,3 +79,12 @@ def test_accounts_are_told_before_texts_are_read(spark, sf, name):
     last_text = max(text.rindex("full_text"), text.rindex("text_lc"))
     assert text.count("BroadcastNestedLoopJoin") == 1 and text.index("BroadcastNestedLoopJoin") > last_text
     assert text.index("LeftSemi") < text.index("BroadcastNestedLoopJoin")  # the exact one, of narrow rows
+
+
+def exchanges(df):
+    return len(re.findall(r"(?:Broadcast|\+- |:- )Exchange|BroadcastExchange", plan(df)))
+
+
+def test_matching_reads_a_stored_index(spark, sf):
+    assert exchanges(catalog.QUERIES["account_match"](spark, sf)) <= 8
+    assert exchanges(catalog.QUERIES["company_rollup"](spark, sf)) <= 12
