@@ -20,7 +20,8 @@ BREAK, BLANK = 10, 32
 #: A to Z become lower case, bytes that end a piece line feeds, bytes between words blanks.
 _BYTES = bytes(BREAK if b in b".,;:!?" or 10 <= b <= 13 else BLANK if b in (9, 32) else b + 32 if 65 <= b <= 90 else b
                for b in range(256))
-STATE = "lang string, phrase string, n int, since int, count long, reached int"
+#: A language and a phrase, a tab between them (no phrase holds one), are one key: narrow rows make up the work.
+STATE = "key string, since int, count long, reached int"
 
 
 def _tokens(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -35,13 +36,14 @@ def _tokens(raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa
     ends[cut - 1] |= solid[1:-1][cut - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     first = np.searchsorted(start, offsets)
-    piece = np.cumsum(data == BREAK)[start] + np.repeat(np.arange(len(first) - 1), np.diff(first))
+    piece = (np.cumsum(data == BREAK, dtype=np.int32)[start]
+             + np.repeat(np.arange(len(first) - 1, dtype=np.int32), np.diff(first)))
     places = np.empty(2 * len(start), np.int64)
     places[::2], places[1::2] = start, end
     # every other of the ranges between these places is a word
     ranges = pa.Array.from_buffers(pa.large_binary(), max(0, len(places) - 1), [None, pa.py_buffer(places), pa.py_buffer(text)])
     coded = ranges.take(pa.array(np.arange(0, len(ranges), 2))).dictionary_encode()
-    return np.asarray(coded.indices, np.int64), piece, coded.dictionary
+    return np.asarray(coded.indices, np.int32), piece, coded.dictionary
 
 
 def _word_hashes(words: pa.Array) -> np.ndarray:
@@ -77,23 +79,23 @@ def _counted(shared, longest: int, step: int, shards: int):
     both of whose parts (without the last word, without the first) were reached, for a cycle from then on."""
     single = step < shards
 
-    def rows(lang: str, n: int, phrase: pa.Array, count: np.ndarray, since: np.ndarray) -> pa.RecordBatch:
-        size = len(count)
+    def rows(lang: str, phrase: pa.Array, count: np.ndarray, since: np.ndarray) -> pa.RecordBatch:
+        key = pc.binary_join_element_wise(pa.scalar(lang.encode(), pa.large_binary()), phrase,
+                                          pa.scalar(b"\t", pa.large_binary()))
         return pa.RecordBatch.from_pydict({
-            "lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(size, np.int64))),
-            "phrase": phrase.cast(pa.binary()).cast(pa.string()), "n": pa.array(np.full(size, n, np.int32)),
-            "since": pa.array(since.astype(np.int32)), "count": pa.array(count.astype(np.int64))})
+            "key": key.cast(pa.binary()).cast(pa.string()), "since": pa.array(since.astype(np.int32)),
+            "count": pa.array(count.astype(np.int64))})
 
     def group(lang: str, raw: bytes, offsets: np.ndarray, tables: dict):
         word, piece, names = _tokens(raw, offsets)
         if not len(word):
             return
         if single:
-            yield rows(lang, 0, pa.array([b""], pa.large_binary()), np.array([len(word)]), np.zeros(1))
-            yield rows(lang, 1, names, np.bincount(word, minlength=len(names)), np.zeros(len(names)))
+            yield rows(lang, pa.array([b""], pa.large_binary()), np.array([len(word)]), np.zeros(1))
+            yield rows(lang, names, np.bincount(word, minlength=len(names)), np.zeros(len(names)))
         own = _word_hashes(names)
         gram, hash_, phrase = word, mix(own ^ _salt([lang])[0]), names
-        at = np.arange(len(word))  # where phrases of the present length begin, whose numbers gram holds
+        at = np.arange(len(word), dtype=np.int32)  # where phrases of the present length begin, whose numbers gram holds
         for n in range(2, longest + 1):
             reached = _reached_in(tables.get(n - 1), hash_)
             near = reached < NEVER
@@ -103,23 +105,24 @@ def _counted(shared, longest: int, step: int, shards: int):
             if not len(two):
                 return
             last = word[at[two] + n - 1]
-            key, place, inverse = np.unique(gram[two] * len(names) + last, return_index=True, return_inverse=True)
+            key, place, inverse = np.unique(gram[two].astype(np.int64) * len(names) + last,
+                                            return_index=True, return_inverse=True)
             before, after = gram[two][place], last[place]
             since = np.maximum(reached[before], reached[gram[two + 1][place]]) + 1
             phrase = pc.binary_join_element_wise(phrase.take(pa.array(before)), names.take(pa.array(after)),
                                                  pa.scalar(b" ", pa.large_binary()))
             hash_ = _longer(hash_[before], own[after])
-            at, gram = at[two], inverse
+            at, gram = at[two], inverse.astype(np.int32)
             some = np.flatnonzero(step < since + shards)
             if len(some):
-                yield rows(lang, n, phrase.take(pa.array(some)), np.bincount(gram, minlength=len(key))[some], since[some])
+                yield rows(lang, phrase.take(pa.array(some)), np.bincount(gram, minlength=len(key))[some], since[some])
 
     def run(batches):
         tables = shared.value
-        for batch in small_batches(batches):
+        for batch in small_batches(batches, 1000):
             langs, text = batch.column("lang"), batch.column("text")
             for lang in langs.unique().to_pylist():
-                for _, _, raw, offsets in slices(text.filter(pc.equal(langs, lang)), 8 << 20):
+                for _, _, raw, offsets in slices(text.filter(pc.equal(langs, lang)), 4 << 20):
                     yield from group(lang, raw, offsets, tables)
     return run
 
@@ -167,7 +170,7 @@ def _drop(spark: SparkSession, path: str) -> None:
 
 
 def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 3, least: int = 10,
-             shards: int = 4) -> DataFrame:
+             shards: int = 2) -> DataFrame:
     """(lang, phrase, n, count): all phrases of up to ``longest`` words with ``least`` occurrences or more.
 
     Dynamic itemset counting: documents are dealt to ``shards``, which are scanned one after the other in a
@@ -196,34 +199,40 @@ def frequent(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", lo
     texts = spark.read.schema("lang string, text string, shard int").parquet(parts)
     state, path, step, last = None, None, 0, -1
     tables: dict[int, np.ndarray] = {}
+    phrase = F.substring_index("key", "\t", -1)
+    lang = F.expr("left(key, char_length(key) - char_length(phrase) - 1)")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " "))).cast("int")
     while step < shards or step <= last + shards:
         shared = spark.sparkContext.broadcast(tables)
         seen = texts.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(
-            _counted(shared, longest, step, shards), "lang string, phrase string, n int, since int, count long"
+            _counted(shared, longest, step, shards), "key string, since int, count long"
         ).withColumn("reached", F.lit(None).cast("int"))
-        total = (seen if state is None else seen.unionByName(state)).groupBy("lang", "phrase", "n", "since").agg(
+        total = (seen if state is None else seen.unionByName(state)).groupBy("key", "since").agg(
             F.sum("count").alias("count"), F.max("reached").alias("reached"))
-        total = total.withColumn("reached", F.when(F.col("n") > 0, F.coalesce(
+        whole = F.endswith("key", F.lit("\t"))  # all words of a language
+        total = total.withColumn("reached", F.when(~whole, F.coalesce(
             "reached", F.when(F.col("count") >= least, step))).cast("int"))
-        needed = (F.col("since") + shards > step + 1) | F.col("reached").isNotNull() | (F.col("n") == 0)
+        needed = (F.col("since") + shards > step + 1) | F.col("reached").isNotNull() | whole
         newer = shared_folder(spark, "phrases")
-        total.where(needed).select("lang", "phrase", "n", "since", "count", "reached").write.parquet(newer)
+        total.where(needed).select("key", "since", "count", "reached").write.parquet(newer)
         shared.destroy()
         if path:
             _drop(spark, path)
         path = newer
         state = spark.read.schema(STATE).parquet(path)
-        fresh = state.where(F.col("reached") == step).where(F.col("n") < longest).select("lang", "phrase", "n")
+        fresh = state.where(F.col("reached") == step).withColumn("phrase", phrase).select(
+            lang.alias("lang"), "phrase", words.alias("n")).where(F.col("n") < longest)
         if not fresh.isEmpty():
             _note(tables, fresh, step, SLOTS)
             last = step
         step += 1
     _drop(spark, parts)
-    return state.where("n = 0 OR reached IS NOT NULL").select("lang", "phrase", "n", "count")
+    return state.withColumn("phrase", phrase).where("phrase = '' OR reached IS NOT NULL").select(
+        lang.alias("lang"), "phrase", words.alias("n"), "count")
 
 
 def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = 3, least: int = 10,
-                 top: int = 2000, inside: int = 50, shards: int = 4) -> DataFrame:
+                 top: int = 2000, inside: int = 50, shards: int = 2) -> DataFrame:
     """The best ``top`` phrases of 2 to ``longest`` words of each language.
 
     Texts are lower-cased (A to Z) and split at ``.,;:!?`` and line ends into pieces, and pieces at blanks and
