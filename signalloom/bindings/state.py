@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import ats, state as ST, velocity as V
+from ..session import shared_folder
+from ..sources.tables import Snapshots
 from . import sql as Q
 from .data import TODAY, table, weekly_events
 
@@ -190,6 +193,36 @@ def supported_boards(spark, sf):
         "domain", "ats_type")
 
 
+def incremental_merge(spark, sf):
+    """The merge of one batch into a stored history, by buckets of which only the touched are written."""
+    history, batch = _halves(spark, sf)
+    store = Snapshots(spark, shared_folder(spark, "history"))
+    key, n = ST.name_key("name"), 64
+    store.replace("history", history.withColumn("bucket", ST.bucket_of(key, n)), 1, "first", "bucket", ())
+    store.commit("2024-01-19", 1, "first")
+    touched = ST.touched_parts(store.parts("history", 1), batch, ST.name_key("company"), n)
+    merged = ST.upsert(store.load(touched, history.schema), batch, key, ST.name_key("company"),
+                       {"keywords": "top_keywords"}, {"company": "name", "first_type": "domain"},
+                       F.lit("2024-01-31"), best="gtm_score").drop("new_this_run")
+    store.replace("history", merged.withColumn("bucket", ST.bucket_of(key, n)), 2, "second", "bucket", touched)
+    store.commit("2024-01-31", 2, "second")
+    return store.read("history", 2, history.schema)
+
+
+def velocity_manifest(spark, sf):
+    """A log of one run a week; the run of the last week drops weeks that are too old from the list of parts."""
+    weekly = weekly_events(spark, sf)
+    store, version = Snapshots(spark, shared_folder(spark, "log")), 0
+    oldest = V.first_kept_week(date(2024, 2, 5), 2)
+    weeks = sorted(r["week"] for r in weekly.select("week").distinct().collect())
+    for week in weeks:
+        version += 1
+        store.add("log", weekly.where(F.col("week") == week), version, week, f"{week} {week}",
+                  keep=lambda part: week != weeks[-1] or part.split(" ")[0] >= oldest)
+        store.commit(week, version, week)
+    return store.read("log", version, weekly.schema).select("company_name", "week", "signal_count")
+
+
 def velocity_table(spark, sf):
     return weekly_events(spark, sf)
 
@@ -254,7 +287,7 @@ def run_metrics(spark, sf):
 QUERIES = {f.__name__: f for f in (
     new_vs_existing, annotate_new, snapshot_merge, company_history, schema_evolution,
     history_scan, new_unnotified, mark_notified, location_merge, confirmed_offices, ttl_sweep,
-    velocity_sweep, ats_resolution, ats_distribution, supported_boards, velocity_table,
+    velocity_sweep, incremental_merge, velocity_manifest, ats_resolution, ats_distribution, supported_boards, velocity_table,
     velocity_merge, velocity_replay, velocity_delta, velocity_last_n, accelerating, run_stats, run_metrics)}
 
 _HALVES = f"""ev AS (SELECT *, event_type || '-' || user_id || '-' || (event_id % 3) AS name FROM events),
@@ -409,3 +442,5 @@ SELECT count(*) AS raw_count, count(*) FILTER (l_linestatus = 'O') AS live_count
   (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS new_count,
   count(*) FILTER (l_linestatus <> 'O') AS removed_count FROM lineitem""",
 }
+SQL["incremental_merge"] = f"SELECT * EXCLUDE (new_this_run) FROM ({SQL['snapshot_merge']})"
+SQL["velocity_manifest"] = SQL["velocity_sweep"]

@@ -167,12 +167,20 @@ def rollup(jobs: DataFrame, accounts: DataFrame | A.AccountIndex, rubric: Rubric
     ``jobs`` should be a stored table (it is scanned twice); order by score when presenting. An index of
     the accounts spares building one.
     """
+    return rollup_parts(jobs, accounts, rubric, markets, city_rules)[0]
+
+
+def rollup_parts(jobs: DataFrame, accounts: DataFrame | A.AccountIndex, rubric: Rubric = PERK_RUBRIC,
+                 markets=LOCATION_MARKETS, city_rules=None) -> tuple[DataFrame, DataFrame]:
+    """The rollup and, from the same pass over the postings, the signals by company_name and market."""
     index = accounts if isinstance(accounts, A.AccountIndex) else A.build_index(accounts, city_rules)
     scored = with_scores(jobs, rubric, markets)
     companies = (_company_base(scored, rubric)
                  .join(company_sets(scored, rubric), "company_norm")
                  .withColumn("company", F.trim("best.company")))
     companies = stored(companies, "companies")  # matching reads it twice
+    signals = companies.select(F.col("company_norm").alias("company_name"), F.inline("stats")).withColumn(
+        "signal_strength", S.signal_strength(F.col("jd_count"), rubric))
 
     companies = A.match_names(companies, index, "company")
     companies = A.with_account(companies, index, A.pick_row("by_name", "by_tokens"), "listed")
@@ -212,7 +220,7 @@ def rollup(jobs: DataFrame, accounts: DataFrame | A.AccountIndex, rubric: Rubric
         "perk_excerpt": F.substring(F.coalesce("best.perk_excerpt", blank), 1, 200),
         "date_first_seen": F.coalesce("best.date_posted", blank), "is_new": F.lit(1)}
     return companies.select(*[shown[c].alias(c) if c in shown else F.col(c)
-                              for c in COMPANY_COLUMNS])
+                              for c in COMPANY_COLUMNS]), signals
 
 
 def by_score(companies: DataFrame) -> DataFrame:

@@ -16,11 +16,17 @@ def name_key(col: Column | str) -> Column:
 # --- company history ------------------------------------------------------------------------------
 
 def add_missing(history: DataFrame, defaults: dict = HISTORY_DEFAULTS) -> DataFrame:
-    """Add columns an older table lacks, filled with their default."""
+    """Add columns an older table lacks, filled with their default.
+
+    Where older and newer parts meet, rows of the older ones have null in such a column and get it too.
+    """
     for column, value in defaults.items():
+        kind = "long" if isinstance(value, int) else "string"
+        filled = F.lit(value).cast(kind)
         if column not in history.columns:
-            kind = "long" if isinstance(value, int) else "string"
-            history = history.withColumn(column, F.lit(value).cast(kind))
+            history = history.withColumn(column, filled)
+        elif value is not None:
+            history = history.withColumn(column, F.coalesce(column, filled))
     return history
 
 
@@ -68,15 +74,18 @@ _KEPT = {"company": "name", "inferred_domain": "domain", "location": "location"}
 def upsert(history: DataFrame, batch: DataFrame, history_key: Column, batch_key: Column,
            refreshed: dict[str, str], kept: dict[str, str], today: Column,
            best: str | None = None) -> DataFrame:
-    """Snapshot after one batch: a full outer join on the key.
+    """Snapshot after one batch.
 
-    New keys start at times_seen 1, is_new 1, notified 0; known keys count up, lose is_new,
+    Known rows meet the batch in a left join and new keys are told by the few known ones that the batch
+    holds, so a history of any size is not shuffled where Spark can broadcast the batch. New keys start at times_seen 1, is_new 1, notified 0; known keys count up, lose is_new,
     take the refreshed columns and the greater of both ``best`` values. ``new_this_run``
     marks the rows this batch added.
     """
     h = history.select(F.struct("*").alias("h"), history_key.alias("_key"))
     b = batch.select(F.struct("*").alias("b"), batch_key.alias("_key")).where("_key <> ''")
-    both = h.join(b, "_key", "full_outer")
+    seen = h.select("_key").join(b.select("_key"), "_key", "left_semi").distinct()
+    fresh = b.join(seen, "_key", "left_anti").select(F.lit(None).cast(h.schema["h"].dataType).alias("h"), "_key", "b")
+    both = h.join(b, "_key", "left").select("h", "_key", "b").unionByName(fresh)
     in_batch, known = F.col("b").isNotNull(), F.col("h").isNotNull()
 
     out = {dst: F.when(known, F.col(f"h.{dst}")).otherwise(F.col(f"b.{src}"))
@@ -96,13 +105,38 @@ def upsert(history: DataFrame, batch: DataFrame, history_key: Column, batch_key:
                        F.when(known, 0).otherwise(1).alias("new_this_run"))
 
 
-def merge_companies(history: DataFrame, batch: DataFrame, today: str) -> DataFrame:
-    """Company history after one run's rollup."""
+def merge_companies(history: DataFrame, batch: DataFrame, today: str, run_id: str | None = None) -> DataFrame:
+    """Company history after one run's rollup; with ``run_id`` also which run added a company."""
+    columns, kept = [*HISTORY_COLUMNS, "new_this_run"], _KEPT
+    if run_id is not None:
+        batch, kept = batch.withColumn("_run", F.lit(run_id)), {**_KEPT, "_run": "added_by"}
+        columns.append("added_by")
     batch = last_wins(batch.withColumn("_key", name_key("company")), ["_key"],
                       F.struct("gtm_score", "company")).drop("_key")
     merged = upsert(add_missing(history), batch, name_key("name"), name_key("company"),
-                    _REFRESHED, _KEPT, F.lit(today), best="gtm_score")
-    return merged.select(*HISTORY_COLUMNS, "new_this_run")
+                    _REFRESHED, kept, F.lit(today), best="gtm_score")
+    return merged.select(*columns)
+
+
+#: Buckets of a table that is merged by key.
+BUCKETS = 256
+
+
+def bucket_of(key: Column, n: int = BUCKETS) -> Column:
+    """The part of a table that holds a key: its number and how many there are, so that tables with
+    another number of parts are told apart."""
+    return F.concat(F.pmod(F.xxhash64(key), F.lit(n)).cast("string"), F.lit(f"-{n}"))
+
+
+def touched_parts(parts: dict[str, str], keys: DataFrame, key: Column, n: int = BUCKETS) -> dict[str, str]:
+    """Those of a table's parts where some of the keys are; all, if the table has other buckets.
+
+    ``n`` bucket names at most reach the driver.
+    """
+    if any(not p.endswith(f"-{n}") for p in parts):
+        return parts
+    found = {r["bucket"] for r in keys.select(bucket_of(key, n).alias("bucket")).distinct().collect()}
+    return {p: path for p, path in parts.items() if p in found}
 
 
 def mark_notified(history: DataFrame, names: DataFrame, name: str = "company") -> DataFrame:

@@ -6,6 +6,8 @@ window over one company holds a few dozen rows at most.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import iso_week
@@ -65,6 +67,17 @@ def accelerating(velocity: DataFrame) -> DataFrame:
                             F.row_number().over(falling).alias("_n")).where("_n = 1").drop("_n"))
 
 
+def week_label(day: date) -> str:
+    """The ISO week of a day as the tables name it."""
+    year, week, _ = day.isocalendar()
+    return f"{year}-{week:02d}"
+
+
+def first_kept_week(day: date, weeks: int = 52) -> str:
+    """The oldest week that is kept on a day; older parts of a log end."""
+    return week_label(day - timedelta(weeks=weeks))
+
+
 def recent_weeks(velocity: DataFrame, today: Column, weeks: int = 52) -> DataFrame:
     """Rows not older than ``weeks`` weeks; week labels sort as text."""
     return velocity.where(F.col("week") >= iso_week(F.date_sub(today, weeks * 7)))

@@ -7,6 +7,7 @@ recomputing texts, and a lost executor costs only its own tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -17,16 +18,12 @@ from ..operators import accounts as A, alerts, ats, liveness, rollup as R, state
 from ..sources import boards, feeds, rejects, tables
 from ..sources.registry import SOURCES, read_sources, union_all
 
-_VELOCITY = ("company_name string, week string, run_id string, signal_count long, "
-             "keyword_set string")
 _LOCATIONS = ("company_name string, market string, jd_count long, max_kw_score long, "
               "signal_strength string, last_seen string")
-_RUNS = "ran_at string, raw_count long, live_count long, new_count long, version long"
 _LONGS = {"times_seen", "gtm_score", "role_count", "location_jd_count"}
 _HISTORY = ", ".join(
     f"{c} {'int' if c in ('is_new', 'notified') else 'long' if c in _LONGS else 'string'}"
-    for c in (*T.HISTORY_COLUMNS, "new_this_run")
-).replace("new_this_run string", "new_this_run int")
+    for c in (*T.HISTORY_COLUMNS, "added_by"))
 
 
 @dataclass
@@ -56,8 +53,35 @@ class Run:
     def _old(self, table: str, schema: str) -> DataFrame:
         return self.store.read(table, self.base, schema)
 
-    def _save(self, table: str, df: DataFrame, by: str | None = None) -> DataFrame:
-        return self.store.write(table, df, self.version, self.run_id, by)
+    def _save(self, table: str, df: DataFrame) -> DataFrame:
+        return self.store.write(table, df, self.version, self.run_id)
+
+    def _merge_history(self, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The batch with is_new, and the history after it.
+
+        Only the buckets where the batch has companies are read and written; others are named again.
+        """
+        parts = self.store.parts("history", self.base)
+        touched = state.touched_parts(parts, batch, state.name_key("company"))
+        old = self.store.load(touched, _HISTORY)
+        added = Observation("new companies")
+        companies = self._save("companies", state.annotate_new(batch, old).observe(
+            added, F.count_if(F.col("is_new") == 1).alias("new_count")))
+        self.new_count = added.get["new_count"]
+        merged = state.merge_companies(old, batch, self.today, self.run_id).drop("new_this_run")
+        if self.territories is not None:  # new companies are announced below
+            merged = state.mark_notified(merged, companies.where("is_new = 1"))
+        merged = merged.withColumn("bucket", state.bucket_of(state.name_key("name")))
+        history = self.store.replace("history", merged, self.version, self.run_id, "bucket", touched)
+        this_run = F.coalesce(F.col("added_by") == self.run_id, F.lit(False)).cast("int")
+        return companies, state.add_missing(history).withColumn("new_this_run", this_run).select(
+            *T.HISTORY_COLUMNS, "new_this_run")
+
+    def _merge_locations(self, signals: DataFrame) -> DataFrame:
+        touched = state.touched_parts(self.store.parts("locations", self.base), signals, F.col("company_name"))
+        merged = state.merge_locations(self.store.load(touched, _LOCATIONS), signals, self.today)
+        return self.store.replace("locations", merged.withColumn("bucket", state.bucket_of(F.col("company_name"))),
+                                  self.version, self.run_id, "bucket", touched)
 
     def _day(self):
         return F.lit(self.today).cast("date")
@@ -77,27 +101,22 @@ class Run:
                 counts, F.count("*").alias("raw_count"), F.count("*").alias("live_count")))
 
         refused = None if rejected is None else self._save("rejects", rejected())
-        batch = self._save("batch", R.rollup(jobs, self.accounts, self.rubric, self.markets))
-        old = self._old("history", _HISTORY)
-        added = Observation("new companies")
-        companies = self._save("companies", state.annotate_new(batch, old).observe(
-            added, F.count_if(F.col("is_new") == 1).alias("new_count")))
+        index = A.open_index(self.accounts, f"{self.root}/account_index")
+        rolled, signals = R.rollup_parts(jobs, index, self.rubric, self.markets)
+        batch = self._save("batch", rolled)
+        companies, history = self._merge_history(batch)
         new = companies.where("is_new = 1")
-        merged = state.merge_companies(old.drop("new_this_run"), batch, self.today)
-        if self.territories is not None:  # new companies are announced below
-            merged = state.mark_notified(merged, new)
-        history = self._save("history", merged)
-
-        signals = R.market_signals(
-            R.with_scores(jobs, self.rubric, self.markets), rubric=self.rubric
-        ).withColumnRenamed("company_norm", "company_name")
-        locations = self._save("locations", state.merge_locations(
-            self._old("locations", _LOCATIONS), signals, self.today))
-
-        log = velocity.recent_weeks(self._old("velocity_log", _VELOCITY), self._day(),
-                                    self.velocity_weeks)
-        log = self._save("velocity_log", velocity.add_run(
-            log, velocity.contributions(batch, self._day(), self.run_id), self.run_id), by="week")
+
+        signals = self._save("signals", signals)
+        locations = self._merge_locations(signals)
+
+        # Each run is a part of the log under its week; parts of weeks that are too old end.
+        day = date.fromisoformat(self.today)
+        oldest = velocity.first_kept_week(day, self.velocity_weeks)
+        log = self.store.add(
+            "velocity_log", velocity.contributions(batch, self._day(), self.run_id), self.version, self.run_id,
+            f"{velocity.week_label(day)} {self.run_id}",
+            keep=lambda part: part.split(" ", 1)[0] >= oldest and part.split(" ", 1)[1] != self.run_id)
         weekly = velocity.weekly(log)
 
         if ats_cache is not None:
@@ -107,9 +126,9 @@ class Run:
                 self._old("ats_cache", T.ATS_CACHE), self._day(), self.cache_days))
 
         row = state.run_row(self.spark, self.today, counts.get["raw_count"],
-                            counts.get["live_count"], added.get["new_count"])
-        runs = self._save("runs", self._old("runs", _RUNS).unionByName(
-            row.withColumn("version", F.lit(self.version).cast("long"))))
+                            counts.get["live_count"], self.new_count)
+        runs = self.store.add("runs", row.withColumn("version", F.lit(self.version).cast("long")),
+                              self.version, self.run_id, self.run_id)
         stats = state.run_stats(history, runs, F.lit(self.today), "version")
 
         out = {"jobs": jobs, "companies": companies, "history": history,

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterable
 from functools import reduce
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .. import schemas as T
+from .. import files, schemas as T
 from .base import with_seq
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "multiLine": True}
@@ -75,30 +77,35 @@ def write_export(df: DataFrame, path: str) -> None:
 
 
 class Snapshots:
-    """Versioned parquet tables below a shared folder.
-
-    A run writes ``version=N/run=ID`` of each table and then appends one commit row; readers
-    take the version of the last commit. A run that dies before its commit leaves the committed
-    version untouched, and its retry overwrites the same unfinished version. Of two runs
-    that start from one version the second fails at its commit.
+    """Versioned tables below a shared folder, made of parts that versions share.
+
+    A run writes the parts that it changes below ``TABLE/version=N/run=ID`` and then commits: one file,
+    ``_commits/N.json``, names the paths of all parts of all tables. Parts that the run did not touch are
+    named again, not written again; one that is out of date is no longer named. The commit file is
+    created only if it is absent, so of two runs that start from one version exactly one wins, at
+    whatever moment they commit. A run that dies before its commit leaves the committed version as it was.
+    Repeating the last committed run starts from the version before it and replaces what it did.
     """
 
-    _COMMITS = "ran_at string, version long, run_id string"
-
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._staged: dict[tuple[int, str], dict[str, dict[str, str]]] = {}
+
+    # -- commits -------------------------------------------------------------------------------
 
-    def _commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self._COMMITS).parquet(f"{self.root}/commits")
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            return self.spark.createDataFrame([], self._COMMITS)
+    def _commit_path(self, version: int) -> str:
+        return f"{self.root}/_commits/{version:010d}.json"
+
+    def _commit(self, version: int) -> dict:
+        """What version ``version`` holds; version 0 holds nothing."""
+        if version == 0:
+            return {"runs": [], "tables": {}}
+        return json.loads(files.read_text(self.spark, self._commit_path(version)))
 
     def version(self) -> int:
-        """Number of the last committed version (0: none). One value reaches the driver."""
-        return self._commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        """Number of the last committed version (0: none)."""
+        found = files.names(self.spark, f"{self.root}/_commits")
+        return max([int(n.split(".")[0]) for n in found if n.endswith(".json")], default=0)
 
     def base(self, run_id: str) -> int:
         """The version a run starts from: the last one that is not its own.
@@ -106,42 +113,79 @@ class Snapshots:
         A run that is repeated right after its commit starts where it started before, so it
         replaces what it did. One that other runs followed can't be repeated.
         """
-        own = F.col("run_id") == run_id
-        last, other, mine = self._commits().agg(
-            F.coalesce(F.max("version"), F.lit(0)),
-            F.coalesce(F.max(F.when(~own, F.col("version"))), F.lit(0)),
-            F.coalesce(F.max(F.when(own, F.col("version"))), F.lit(0))).first()
-        if 0 < mine < last:
+        runs = self._commit(self.version())["runs"]
+        other = max([v for v, r in runs if r != run_id], default=0)
+        mine = max([v for v, r in runs if r == run_id], default=0)
+        if 0 < mine < other:
             raise ValueError(f"run {run_id!r} was followed by others and can't be repeated")
         return other
 
+    def commit(self, ran_at: str, version: int, run_id: str) -> None:
+        """Makes what the run wrote, and all else of its base, the version ``version``."""
+        last = self.version()
+        if last >= version:
+            raise RuntimeError(f"another run has committed version {version}")
+        tables = self._commit(self.base(run_id))["tables"] | self._staged.pop((version, run_id), {})
+        runs = [*self._commit(last)["runs"], [version, run_id]]
+        text = json.dumps({"ran_at": ran_at, "version": version, "run_id": run_id, "runs": runs, "tables": tables})
+        if not files.create(self.spark, self._commit_path(version), text):
+            raise RuntimeError(f"another run has committed version {version}")
+
+    # -- tables --------------------------------------------------------------------------------
+
     def _path(self, table: str, version: int, run_id: str) -> str:
         return f"{self.root}/{table}/version={version}/run={quote(run_id, safe='')}"
 
-    def read(self, table: str, version: int, empty: str | T.T.StructType) -> DataFrame:
+    def parts(self, table: str, version: int) -> dict[str, str]:
+        """Paths of a table's parts at a version, below the root."""
+        return self._commit(version)["tables"].get(table, {})
+
+    def load(self, parts: dict[str, str], schema: str | T.T.StructType) -> DataFrame:
+        """The rows of some parts; columns that an older part lacks read as null there."""
+        if not parts:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{path}" for path in parts.values()])
+
+    def read(self, table: str, version: int, schema: str | T.T.StructType) -> DataFrame:
         """The table at a version; before the first one an empty table of that schema."""
-        if version == 0:
-            return self.spark.createDataFrame([], empty)
-        run_id = self._commits().where(F.col("version") == version).first()["run_id"]
-        return self.spark.read.parquet(self._path(table, version, run_id))
+        return self.load(self.parts(table, version), schema)
 
-    def write(self, table: str, df: DataFrame, version: int, run_id: str,
-              by: str | None = None) -> DataFrame:
-        """Write and read back; ``by`` partitions the files of the table by a column.
+    def _stage(self, table: str, version: int, run_id: str, parts: dict[str, str]) -> None:
+        self._staged.setdefault((version, run_id), {})[table] = parts
 
-        The rebalance hint gives each value few files and splits values that are large.
-        """
+    def write(self, table: str, df: DataFrame, version: int, run_id: str) -> DataFrame:
+        """Write a table anew, as one part, and read it back."""
         path = self._path(table, version, run_id)
-        if by is None:
-            df.write.mode("overwrite").parquet(path)
-        else:
-            df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        self._stage(table, version, run_id, {"": path[len(self.root) + 1:]})
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def commit(self, ran_at: str, version: int, run_id: str) -> None:
-        if self.version() >= version:
-            raise RuntimeError(f"another run has committed version {version}")
-        row = self.spark.createDataFrame([(ran_at, version, run_id)], self._COMMITS)
-        row.write.mode("append").parquet(f"{self.root}/commits")
-
+    def add(self, table: str, df: DataFrame, version: int, run_id: str, part: str,
+            keep: Callable[[str], bool] = lambda part: True) -> DataFrame:
+        """Write one part beside those of the run's base that ``keep`` keeps; the whole table is returned.
 
+        A part of the same name is replaced. Nothing else is read or written.
+        """
+        path = self._path(table, version, run_id)
+        df.write.mode("overwrite").parquet(path)
+        old = self.parts(table, self.base(run_id))
+        parts = {p: at for p, at in old.items() if keep(p) and p != part} | {part: path[len(self.root) + 1:]}
+        self._stage(table, version, run_id, parts)
+        return self.load(parts, df.schema)
+
+    def replace(self, table: str, df: DataFrame, version: int, run_id: str, by: str,
+                gone: Iterable[str]) -> DataFrame:
+        """Write the values of column ``by`` as a part each; parts of the base named in ``gone`` end.
+
+        The rebalance hint gives each value few files and splits values that are large. Returns the whole table,
+        without the column.
+        """
+        path = self._path(table, version, run_id)
+        df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+        old = self.parts(table, self.base(run_id))
+        gone, short = set(gone), path[len(self.root) + 1:]
+        written = [n for n in files.names(self.spark, path) if n.startswith(f"{by}=")]
+        parts = {p: at for p, at in old.items() if p not in gone}
+        parts |= {unquote(n[len(by) + 1:]): f"{short}/{n}" for n in written}
+        self._stage(table, version, run_id, parts)
+        return self.load(parts, df.drop(by).schema)

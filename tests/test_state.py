@@ -201,3 +201,75 @@ def test_stream_in_small_steps_equals_batch(spark, sf, tmp_path):
     assert got == want
     assert RUNS.stream_dedup(spark, sf).count() == events.select(
         "user_id", "event_type").distinct().count()
+
+
+def _files(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_untouched_buckets_and_weeks_keep_their_files(spark, tmp_path):
+    accounts = spark.createDataFrame([("managed", 1, "Acme", "acme.com", "1", "", "", "", "", "")],
+                                     "list string, row_no long, name string, domain string, zoominfo_id string, vertical "
+                                     "string, industry string, zi_industry string, city string, state string")
+    def jobs(*names):
+        rows = [("Greenhouse", n, "Cook", "Austin", "", "catered lunch", 1, "x", "2026-05-01", f"u{n}{k}", "", k)
+                for n in names for k in range(3)]
+        return spark.createDataFrame(rows, "source string, company string, title string, location string, remote string, "
+                                     "food_keywords_matched string, keyword_count int, perk_excerpt string, date_posted "
+                                     "string, url string, _domain string, ingest_seq long")
+    def run(day, run_id, *names):
+        return Run(spark, str(tmp_path), day, run_id, accounts, velocity_weeks=2).finish(jobs(*names))
+    first = run("2026-05-04", "r1", *[f"Company {i}" for i in range(40)])
+    before, parts = _files(tmp_path), Snapshots(spark, str(tmp_path)).parts("history", 1)
+    assert first["history"].where("new_this_run = 1").count() == 40 and len(parts) > 20
+    second = run("2026-05-11", "r2", "Company 7", "Fresh")
+    after, now = _files(tmp_path), Snapshots(spark, str(tmp_path)).parts("history", 2)
+    assert all(after[f] == t for f, t in before.items())
+    assert sum(now.get(p) != at for p, at in parts.items()) == 1 and len(set(now) - set(parts)) <= 1
+    got = {r.name: r for r in second["history"].collect()}
+    assert len(got) == 41 and {n for n, r in got.items() if r.new_this_run} == {"Fresh"}
+    assert got["Company 7"].times_seen == 2 and got["Company 8"].times_seen == 1
+    assert second["locations"].count() == 41 and second["runs"].count() == 2
+    # the log names parts of the last weeks only, and a replay replaces its own
+    run("2026-05-18", "r3", "Company 7")
+    third = run("2026-05-18", "r3", "Company 8")
+    store = Snapshots(spark, str(tmp_path))
+    assert sorted(store.parts("velocity_log", store.version())) == ["2026-19 r1", "2026-20 r2", "2026-21 r3"]
+    assert {r.company_name for r in third["velocity"].where("week = '2026-21'").collect()} == {"Company 8"}
+    run("2026-06-01", "r4", "Company 1")
+    assert sorted(store.parts("velocity_log", store.version())) == ["2026-21 r3", "2026-23 r4"]
+    # a table with other buckets is written anew as a whole
+    again = ST.touched_parts(now, spark.range(1), F.lit("x"), 8)
+    assert again == now
+
+
+def test_of_two_commits_from_one_base_one_wins(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+    stores = [Snapshots(spark, str(tmp_path)) for _ in range(6)]
+    for k, store in enumerate(stores):
+        store.write("t", spark.range(k + 1), 1, f"r{k}")
+
+    def commit(k):
+        try:
+            stores[k].commit("2026-05-01", 1, f"r{k}")
+            return True
+        except RuntimeError:
+            return False
+    with ThreadPoolExecutor(6) as pool:
+        won = list(pool.map(commit, range(6)))
+    assert won.count(True) == 1 and stores[0].version() == 1
+    assert stores[0].read("t", 1, "id long").count() == won.index(True) + 1
+
+
+def test_a_merge_does_not_shuffle_a_large_history_for_a_small_batch(spark, tmp_path):
+    spark.range(200_000).select(F.concat(F.lit("c"), "id").alias("name"), F.lit(1).cast("long").alias("gtm_score"),
+                                F.lit("x").alias("first_seen"), F.lit("x").alias("last_seen"), F.lit(1).cast("long").alias(
+        "times_seen"), F.lit(1).alias("is_new"), F.lit(0).alias("notified")).write.parquet(f"{tmp_path}/h")
+    history = spark.read.parquet(f"{tmp_path}/h")
+    spark.createDataFrame([("C7", 5), ("new", 6)], "company string, gtm_score long").write.parquet(f"{tmp_path}/b")
+    merged = ST.upsert(history, spark.read.parquet(f"{tmp_path}/b"), ST.name_key("name"), ST.name_key("company"), {},
+                       {"company": "name"}, F.lit("today"), best="gtm_score")
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") >= 2
+    got = {r.name: r for r in merged.where("last_seen = 'today'").collect()}
+    assert merged.count() == 200_001 and got["c7"].gtm_score == 5 and got["new"].new_this_run == 1
