@@ -4,20 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import iso_week
 from ..operators import accounts as A, state as ST
 from ..plans.runs import Run
 from ..session import shared_folder
 from ..sources import boards
+from ..sources.tables import Snapshots
 from ..streaming import ingest as I, velocity as SV
+from ..streaming.history import into_history
 from .data import LEXICON, RUBRIC, documents, postings, supplier_accounts, table
 from .ingest import _boards, _json, _landed, _list, _select, _BASE, _BOARD_KIND, _BOARD_URL
 from .rollup import ROLLUP_SQL
+from .state import SQL as STATE_SQL
 from .views import _territories
 
 
-def _events(spark, sf):
-    schema = table(spark, sf, "events").schema
-    stream = I.read_stream(spark, sf, schema, glob="events.parquet")
+def _land(spark, rows, file) -> str:
+    """Rows written as files that land one after the other, in the order of the number ``file``."""
+    folder = shared_folder(spark, "landed")
+    numbered = rows.withColumn("_file", file)
+    for k in sorted(r["_file"] for r in numbered.select("_file").distinct().collect()):
+        numbered.where(F.col("_file") == k).drop("_file").coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def _week_no():
+    """Weeks since the first of 2024, a Monday; the tables begin in it."""
+    return F.floor(F.datediff("ts", F.lit("2024-01-01")) / 7)
+
+
+def _late():
+    return F.when(F.col("event_id") % 41 == 0, 1).otherwise(0)
+
+
+def _events(spark, sf, late: bool = True):
+    """Events as a stream of weekly files; some events come with the file of the week after."""
+    events = table(spark, sf, "events")
+    folder = _land(spark, events, _week_no() + (_late() if late else F.lit(0)))
+    stream = I.read_stream(spark, folder, events.schema, files_per_trigger=1)
     return stream.withColumn("at", I.as_instant("ts"))
 
 
@@ -37,7 +61,7 @@ def weekly_stream_counts(spark, sf):
 
 def weekly_stream_distinct(spark, sf):
     """Distinct event types per user and closed week, in append mode."""
-    counts = SV.weekly_distinct(_events(spark, sf), "user_id", "event_type", "at", "1 day")
+    counts = SV.weekly_distinct(_events(spark, sf, late=False), "user_id", "event_type", "at", "1 day")
     rows = counts.select(SV.week_start().alias("week_start"), "user_id", "signal_count")
     return spark.read.parquet(_run_stream(spark, rows, "distinct", "append")).drop("batch_id")
 
@@ -49,6 +73,64 @@ def stream_dedup(spark, sf):
     return spark.read.parquet(path).drop("batch_id")
 
 
+def _company(events):
+    return events.withColumn("name", F.concat_ws("-", "event_type", "user_id"))
+
+
+_STREAMED = ("name string, domain string, top_keywords string, first_seen string, last_seen string, times_seen long, "
+             "is_new int, notified int, gtm_score long")
+
+
+def stream_upsert(spark, sf):
+    """History after a stream of weekly files was merged into it, one micro-batch after the other.
+
+    Every fifth event lands twice and counts once; some come a week late; some of the first week come in the
+    last one, which is too late.
+    """
+    events = table(spark, sf, "events")
+    too_late = (F.col("event_id") % 43 == 0) & (_week_no() == 0)
+    once = events.withColumn("_f", F.when(too_late, 4).otherwise(_week_no() + _late()))
+    again = once.where((F.col("event_id") % 5 == 0) & ~too_late).withColumn("_f", F.col("_f") + 1)
+    both = once.unionByName(again)
+    folder = _land(spark, both.select(*events.columns, F.col("_f").alias("_file_no")), F.col("_file_no"))
+    stream = I.read_stream(spark, folder, events.schema, files_per_trigger=1).withColumn("at", I.as_instant("ts"))
+    root = shared_folder(spark, "streamed")
+    store = Snapshots(spark, f"{root}/tables")
+
+    def merge(history, batch, _):
+        day = batch.agg(F.max(F.date_trunc("week", "ts")).cast("date").cast("string")).first()[0]
+        found = _company(batch).groupBy(F.upper("name").alias("company")).agg(
+            F.max(F.floor("value")).alias("gtm_score"), F.max("props").alias("keywords"),
+            F.min("event_type").alias("first_type"))
+        return ST.upsert(history, found, ST.name_key("name"), ST.name_key("company"), {"keywords": "top_keywords"},
+                         {"company": "name", "first_type": "domain"}, F.lit(day), best="gtm_score").drop("new_this_run")
+    write = into_history(store, "history", _STREAMED, merge, ST.name_key(F.concat_ws("-", "event_type", "user_id")),
+                         ST.name_key("name"), 16)
+    I.run_available(I.first_seen(stream, ["event_id"], "at", "10 days"), write, f"{root}/state")
+    return store.read("history", store.version(), _STREAMED).withColumn("name", ST.name_key("name"))
+
+
+def stream_acceleration(spark, sf):
+    """Companies whose last week grew, from state that compares weeks as they close.
+
+    Events are moved two days back, so that they end with a whole week; a row without a user lands last
+    and closes it.
+    """
+    events = table(spark, sf, "events").withColumn("ts", F.expr("ts - INTERVAL 2 DAYS"))
+    end = spark.range(1).select(F.lit("2024-04-01").cast("timestamp_ntz").alias("ts")).withColumns(
+        {c: F.lit(None).cast(events.schema[c].dataType) for c in events.columns if c != "ts"}).select(*events.columns)
+    file = F.when(F.col("user_id").isNull(), 99).otherwise(_week_no() + _late())
+    folder = _land(spark, events.unionByName(end), file)
+    stream = I.read_stream(spark, folder, events.schema, files_per_trigger=1).withColumn("at", I.as_instant("ts"))
+    with SV.timers(spark):
+        path = _run_stream(spark, SV.closed_weeks(stream, "user_id", "at", "10 days"), "growth", "append")
+    closed = spark.read.parquet(path).drop("batch_id")
+    week = lambda c: iso_week(F.col(c))
+    return SV.growing(closed).select(
+        F.col("company_name").cast("long").alias("company_name"), week("week_start").alias("this_week"),
+        F.col("signal_count").alias("this_count"), week("prev_week").alias("prev_week"), "prev_count", "delta")
+
+
 def _run(spark, sf, root: str, today: str, run_id: str, **extra) -> Run:
     return Run(spark, root, today, run_id, supplier_accounts(spark, sf), lexicon=LEXICON,
                rubric=RUBRIC, **extra)
@@ -126,7 +208,8 @@ def targeted_run(spark, sf):
     return run.targeted(probes, pages, html, found)["report"]
 
 
-QUERIES = {f.__name__: f for f in (weekly_stream_counts, weekly_stream_distinct, stream_dedup,
+QUERIES = {f.__name__: f for f in (weekly_stream_counts, weekly_stream_distinct, stream_dedup, stream_upsert,
+                                   stream_acceleration,
                                    full_run, second_run, run_replay, run_notified, targeted_run)}
 
 _TEXT = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
@@ -140,6 +223,19 @@ SELECT {_WEEK}, user_id, count(DISTINCT event_type) AS signal_count FROM events
 WHERE date_trunc('week', ts) + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
 GROUP BY ALL""",
     "stream_dedup": "SELECT DISTINCT user_id, event_type FROM events",
+    "stream_upsert": """
+WITH e AS (SELECT *, lower(event_type || '-' || user_id) AS name, floor(date_diff('day', DATE '2024-01-01',
+    CAST(ts AS DATE)) / 7) AS week FROM events),
+kept AS (SELECT *, week + CASE WHEN event_id % 41 = 0 THEN 1 ELSE 0 END AS file FROM e
+  WHERE NOT (event_id % 43 = 0 AND week = 0)),
+b AS (SELECT name, file, CAST(max(floor(value)) AS BIGINT) AS score, max(props) AS kw, min(event_type) AS type,
+    max(week) AS own FROM kept GROUP BY name, file),
+days AS (SELECT file, CAST(DATE '2024-01-01' + CAST(max(own) AS INTEGER) * 7 AS VARCHAR) AS day FROM b GROUP BY file)
+SELECT name, arg_min(type, b.file) AS domain, arg_max(kw, b.file) AS top_keywords, arg_min(day, b.file) AS first_seen,
+  arg_max(day, b.file) AS last_seen, count(*) AS times_seen, CASE WHEN count(*) = 1 THEN 1 ELSE 0 END AS is_new,
+  0 AS notified, max(score) AS gtm_score
+FROM b JOIN days ON b.file = days.file GROUP BY name""",
+    "stream_acceleration": STATE_SQL["velocity_delta"],
     "full_run": ROLLUP_SQL.replace("FROM matched WHERE len(kw) > 0)",
                                    "FROM matched WHERE len(kw) > 0 AND doc_id % 7 <> 0)"),
     "run_replay": f"""

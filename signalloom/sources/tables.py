@@ -107,6 +107,10 @@ class Snapshots:
         found = files.names(self.spark, f"{self.root}/_commits")
         return max([int(n.split(".")[0]) for n in found if n.endswith(".json")], default=0)
 
+    def has(self, run_id: str) -> bool:
+        """Whether a run was committed."""
+        return any(r == run_id for _, r in self._commit(self.version())["runs"])
+
     def base(self, run_id: str) -> int:
         """The version a run starts from: the last one that is not its own.
 

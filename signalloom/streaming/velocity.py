@@ -1,8 +1,18 @@
-"""Weekly counts over a stream of postings."""
+"""Weekly counts over a stream of postings, and their growth as weeks close."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Windows count from 1970-01-01, a Thursday; four days on is a Monday.
 MONDAY = "4 days"
@@ -31,3 +41,82 @@ def week_start(window: str = "week") -> Column:
     """First day of a window as text, independent of the session's time zone."""
     days = F.floor(F.unix_seconds(F.col(f"{window}.start")) / 86400).cast("int")
     return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
+
+
+_DAY, _WEEK = 86_400_000, 7 * 86_400_000
+CLOSED = ("company_name string, week_start date, signal_count long, prev_week date, prev_count long, delta long")
+
+
+class _Growth(StatefulProcessor):
+    """Counts a company's open weeks; when the watermark closes one, compares it with the one closed before.
+
+    State is a count for each open week (a few at a time, as far as the watermark trails) and the last closed week.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._handle = handle
+        number = T.StructType([T.StructField("n", T.LongType())])
+        self._open = handle.getMapState("open", T.StructType([T.StructField("week", T.LongType())]), number)
+        self._closed = handle.getValueState("closed", T.StructType(
+            [T.StructField("week", T.LongType()), T.StructField("n", T.LongType())]))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for chunk in rows:
+            for week, n in chunk.groupby("week_ms").size().items():
+                if week + _WEEK <= timerValues.getCurrentWatermarkInMs():
+                    continue  # closed already
+                before = self._open.getValue((int(week),)) if self._open.containsKey((int(week),)) else None
+                if before is None:
+                    self._handle.registerTimer(int(week) + _WEEK)
+                self._open.updateValue((int(week),), (int(n) + (before[0] if before else 0),))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        week = expiredTimerInfo.getExpiryTimeInMs() - _WEEK
+        n = self._open.getValue((week,))[0]
+        last = self._closed.get() if self._closed.exists() else None
+        self._open.removeKey((week,))
+        self._closed.update((week, n))
+        day = lambda ms: pd.Timestamp(ms, unit="ms").date()
+        yield pd.DataFrame({
+            "company_name": [key[0]], "week_start": [day(week)], "signal_count": [n],
+            "prev_week": [day(last[0]) if last else None], "prev_count": pd.array([last[1] if last else None], "Int64"),
+            "delta": pd.array([n - last[1] if last else None], "Int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def closed_weeks(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+    """One row per key and Monday-aligned week as it closes, with the week closed before it and the growth.
+
+    Rows without a key move the watermark and are not counted. Each key's weeks close in order, each
+    once; rows later than ``delay`` are dropped. The state is kept in RocksDB (see :func:`timers`).
+    """
+    ms = F.unix_millis(event_time)
+    monday = ms - F.pmod(ms - F.lit(4 * _DAY), F.lit(_WEEK))  # 1970-01-05 was a Monday
+    # a condition on the key alone would be pushed below the watermark, which then missed those rows
+    known = F.when(F.col(event_time).isNull(), False).otherwise(F.col(key).isNotNull())
+    rows = stream.withWatermark(event_time, delay).where(known).select(
+        F.col(key).cast("string").alias("company_name"), event_time, monday.alias("week_ms"))
+    return rows.groupBy("company_name").transformWithStateInPandas(
+        _Growth(), CLOSED, "append", "EventTime")
+
+
+@contextmanager
+def timers(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, which keyed state with timers needs."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def growing(closed: DataFrame, min_delta: int = 2) -> DataFrame:
+    """Of closed weeks the last of each company, where it grew by ``min_delta``."""
+    last = closed.groupBy("company_name").agg(F.max_by(
+        F.struct("week_start", "signal_count", "prev_week", "prev_count", "delta"), "week_start").alias("w"))
+    return last.select("company_name", "w.*").where(F.col("delta") >= min_delta)
