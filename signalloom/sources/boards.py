@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as T
@@ -20,19 +18,19 @@ def _location_and(text: Column) -> Column:
     return F.concat_ws(" ", F.col("location"), text)
 
 
-def _lever_body() -> Column:
-    lists = F.array_join(F.transform("job.lists", lambda x: x["content"]), " ")
-    return F.concat_ws(" ", "job.descriptionPlain", lists, "job.additional")
+def _lever_body(job: Column) -> Column:
+    lists = F.array_join(F.transform(job["lists"], lambda x: x["content"]), " ")
+    return F.concat_ws(" ", job["descriptionPlain"], lists, job["additional"])
 
 
-def _ashby_body() -> Column:
-    sections = F.array_join(F.transform("job.descriptionSections", lambda x: x["content"]), " ")
-    html = X.first_nonblank("job.descriptionHtml", "job.descriptionPlain")
+def _ashby_body(job: Column) -> Column:
+    sections = F.array_join(F.transform(job["descriptionSections"], lambda x: x["content"]), " ")
+    html = X.first_nonblank(job["descriptionHtml"], job["descriptionPlain"])
     return F.concat_ws(" ", html, sections)
 
 
-def _on_site_flag() -> Column:
-    return F.when(F.col("job.isRemote"), "Remote").otherwise("On-site")
+def _on_site_flag(job: Column) -> Column:
+    return F.when(job["isRemote"], "Remote").otherwise("On-site")
 
 
 def greenhouse(landed: DataFrame, number: int = 0, lexicon: Lexicon = PERK_LEXICON,
@@ -53,7 +51,7 @@ def lever(landed: DataFrame, number: int = 1, lexicon: Lexicon = PERK_LEXICON,
     return to_jobs(
         items(landed, T.LEVER, ""), number, source="Lever",
         company=F.coalesce("job.company", _slug_name()), title=F.col("job.text"),
-        body=_lever_body(), url=F.col("job.hostedUrl"),
+        body=_lever_body(F.col("job")), url=F.col("job.hostedUrl"),
         location=F.col("job.categories.location"),
         date_posted=X.millis_to_date(F.col("job.createdAt")),
         remote=X.infer_remote(F.col("job.categories.location"),
@@ -67,8 +65,8 @@ def ashby(landed: DataFrame, number: int = 2, lexicon: Lexicon = PERK_LEXICON,
     return to_jobs(
         items(landed, T.ASHBY, "jobs", "jobPostings"), number, source="Ashby",
         company=F.coalesce("job.companyName", _slug_name()), title=F.col("job.title"),
-        body=_ashby_body(), url=F.col("job.jobUrl"), location=F.col("job.location"),
-        date_posted=X.iso_prefix(F.col("job.publishedAt")), remote=_on_site_flag(),
+        body=_ashby_body(F.col("job")), url=F.col("job.jobUrl"), location=F.col("job.location"),
+        date_posted=X.iso_prefix(F.col("job.publishedAt")), remote=_on_site_flag(F.col("job")),
         placed=_location_and, lexicon=lexicon, wanted=wanted, dedup="none")
 
 
@@ -105,27 +103,34 @@ def account_boards(landed: DataFrame, resolved: DataFrame, number: int = 13,
                 .select("ats_type", F.col("ats_slug").alias("slug"),
                         X.first_nonblank("name", "domain_key").alias("account_name"),
                         F.col("domain_key").alias("account_domain")))
-    def rows(kind: str, schema: str, paths: tuple[str, ...], **columns) -> DataFrame:
-        jobs = items(landed.where(F.col("ats_type") == kind), schema, *paths)
-        return to_jobs(jobs, number, company=F.col("slug"), domain=F.col("ats_type"),
-                       lexicon=lexicon, dedup="none", **columns)
-
-    parts = [
-        rows("greenhouse", T.GREENHOUSE, ("jobs",), source="Domain-Greenhouse",
-             title=F.col("job.title"), body=F.col("job.content"),
-             url=F.col("job.absolute_url"), location=F.col("job.location.name"),
-             date_posted=X.iso_prefix(F.col("job.updated_at"))),
-        rows("lever", T.LEVER, ("",), source="Domain-Lever", title=F.col("job.text"),
-             body=_lever_body(), url=F.col("job.hostedUrl"),
-             location=F.col("job.categories.location"),
-             date_posted=X.millis_to_date(F.col("job.createdAt"))),
-        rows("ashby", T.ASHBY, ("jobs", "jobPostings"), source="Domain-Ashby",
-             title=F.col("job.title"), body=_ashby_body(), url=F.col("job.jobUrl"),
-             location=F.col("job.location"), remote=_on_site_flag(),
-             date_posted=X.iso_prefix(F.col("job.publishedAt")))]
+    def entries(kind: str, schema: str, paths: tuple[str, ...], **fields) -> Column:
+        """A board's postings with the fields that all kinds share; null for boards of other kinds."""
+        read = F.from_json(F.when(F.col("ats_type") == kind, F.col("payload")), schema)
+        lists = F.coalesce(*[F.when(F.size(x) > 0, x) for x in (read[p] if p else read for p in paths)])
+        return F.transform(lists, lambda job: F.struct(*[
+            F.coalesce(fields[n](job) if n in fields else F.lit(""), F.lit("")).alias(n)
+            for n in ("title", "body", "url", "location", "date_posted", "remote")]))
+
+    greenhouse_ = entries(
+        "greenhouse", T.GREENHOUSE, ("jobs",), title=lambda j: j["title"], body=lambda j: j["content"],
+        url=lambda j: j["absolute_url"], location=lambda j: j["location"]["name"],
+        date_posted=lambda j: X.iso_prefix(j["updated_at"]))
+    lever_ = entries(
+        "lever", T.LEVER, ("",), title=lambda j: j["text"], body=_lever_body, url=lambda j: j["hostedUrl"],
+        location=lambda j: j["categories"]["location"], date_posted=lambda j: X.millis_to_date(j["createdAt"]))
+    ashby_ = entries(
+        "ashby", T.ASHBY, ("jobs", "jobPostings"), title=lambda j: j["title"], body=_ashby_body,
+        url=lambda j: j["jobUrl"], location=lambda j: j["location"],
+        date_posted=lambda j: X.iso_prefix(j["publishedAt"]), remote=_on_site_flag)
+    # One scan: each payload is parsed as the kind it is.
+    jobs = landed.select("ats_type", "slug", "seq", F.posexplode(F.coalesce(greenhouse_, lever_, ashby_)).alias("pos", "job"))
+    matched = to_jobs(
+        jobs, number, source=F.concat(F.lit("Domain-"), F.initcap("ats_type")), company=F.col("slug"),
+        title=F.col("job.title"), body=F.col("job.body"), url=F.col("job.url"), location=F.col("job.location"),
+        date_posted=F.col("job.date_posted"), remote=F.col("job.remote"), domain=F.col("ats_type"), lexicon=lexicon,
+        dedup="none")
     # Only matched, narrow rows meet the accounts.
-    matched = reduce(lambda a, b: a.unionByName(b), parts).withColumnsRenamed(
-        {"company": "slug", "_domain": "ats_type"}).join(accounts, ["ats_type", "slug"])
+    matched = matched.withColumnsRenamed({"company": "slug", "_domain": "ats_type"}).join(accounts, ["ats_type", "slug"])
     return first_url_or_blank(matched.withColumns(
         {"company": F.trim("account_name"), "_domain": F.col("account_domain")})
         .select(*T.JOB_COLUMNS, "ingest_seq"))

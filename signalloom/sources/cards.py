@@ -1,20 +1,19 @@
-"""Job cards of search pages that embed no state: a small HTML helper inside an Arrow UDF."""
+"""Job cards of search pages that embed no state: a small HTML helper inside an Arrow table function."""
 
 from __future__ import annotations
 
 import sys
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _VOID = {"br", "img", "input", "hr", "meta", "link", "source", "wbr"}
 _FIELDS = ("url", "title", "company", "location")
-_CARDS = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in _FIELDS]))
+_CARDS = "card_pos int, " + ", ".join(f"card_{f} string" for f in _FIELDS)
 
 
 def _is_card(tag: str, attrs: dict[str, str]) -> bool:
@@ -86,15 +85,20 @@ def _cards(page: str | None) -> list[dict[str, str]]:
             for c in reader.cards]
 
 
-@F.pandas_udf(_CARDS)
-def _cards_udf(pages: pd.Series) -> pd.Series:
-    return pages.map(_cards)
+class _JobCards:
+    def eval(self, page: str | None):
+        found = _cards(page)
+        for pos, card in enumerate(found):
+            yield (pos, *card.values())
+        if not found:  # keeps the row; an outer lateral join with a table function would drop it
+            yield (None,) * (1 + len(_FIELDS))
 
 
-# Else Spark adds a filter on the size of the result, which parses every page again.
-_cards_udf = _cards_udf.asNondeterministic()
+def with_job_cards(pages: DataFrame, page: str) -> DataFrame:
+    """Joins every row with the job cards in its named page: card_pos, card_url, card_title, card_company and
+    card_location. Rows whose page is null or holds no card stay once, with nulls.
 
-
-def job_cards(page: Column) -> Column:
-    """Array of cards (url, title, company, location) of an HTML page; null gives none."""
-    return _cards_udf(page)
+    A table function beside the rows, so that a page's cards never are one value.
+    """
+    cards = F.udtf(_JobCards, returnType=_CARDS, useArrow=True)
+    return pages.lateralJoin(cards(F.col(page).outer()))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as T
 from ..functions import text as X
@@ -10,7 +10,7 @@ from ..lexicon import BENEFIT_LABELS, PERK_LEXICON, Lexicon
 from ..operators.dedup import first_wins
 from ..schemas import JOB_COLUMNS
 from .base import explode_first, or_blank, to_jobs
-from .cards import job_cards
+from .cards import with_job_cards
 
 _REVIEWS = "https://www.glassdoor.com"
 
@@ -98,6 +98,40 @@ def _term(_text):
     return F.array("term")
 
 
+# What a posting on a search page has, wherever on it it stands.
+_FOUND = ("url", "title", "company", "location", "body", "date_posted")
+
+
+def _first_list(*paths: str) -> Column:
+    """The first of the lists that has entries."""
+    return F.coalesce(*[F.when(F.size(p) > 0, F.col(p)) for p in paths])
+
+
+def _listed(jobs: Column, **fields) -> Column:
+    """A list of postings with the fields of _FOUND, each a function of the entry."""
+    return F.transform(jobs, lambda job: F.struct(*[
+        F.coalesce(fields[name](job), F.lit("")).alias(name) for name in _FOUND]))
+
+
+def _first(job: Column, *names: str) -> Column:
+    return X.first_nonblank(*[job[n] for n in names])
+
+
+def _found(pages: DataFrame, listed: Column, page: Column, *kept: str) -> DataFrame:
+    """One row (kept columns, seq, pos, and those of _FOUND) per posting of ``listed``, or else per card of ``page``.
+
+    The table is read once: pages that list postings pass the card reader as nulls.
+    """
+    rows = with_job_cards(pages.select(*kept, "seq", listed.alias("_listed"), page.alias("_page")), "_page")
+    rows = rows.drop("_page").select("*", F.posexplode_outer("_listed").alias("_pos", "job")).drop("_listed")
+    card = {name: F.col(f"card_{name}") if name in ("url", "title", "company", "location") else F.lit("")
+            for name in _FOUND}
+    by_card = F.col("job").isNull()
+    return rows.where("job is not null or card_url <> ''").select(
+        *kept, "seq", F.coalesce("_pos", "card_pos").alias("pos"), by_card.alias("by_card"),
+        *[F.when(by_card, card[n]).otherwise(F.col(f"job.{n}")).alias(n) for n in _FOUND])
+
+
 def search_pages(landed: DataFrame, number: int = 3, lexicon: Lexicon = PERK_LEXICON,
                  wanted=None, site: str = "https://builtin.com") -> DataFrame:
     """Search pages: state jobs[] or jobListings[], else job cards.
@@ -105,30 +139,19 @@ def search_pages(landed: DataFrame, number: int = 3, lexicon: Lexicon = PERK_LEX
     The search term stands in where the text holds no lexicon term.
     """
     state = _with_state(landed, T.SEARCH_PAGE)
-    jobs = explode_first(state.where("_p.props is not null"), "_p.props.pageProps.jobs",
-                         "_p.props.pageProps.jobListings").drop("_p")
-    company = F.when(F.startswith("job.company", F.lit("{")),
-                     F.get_json_object("job.company", "$.name")).otherwise(
-                         F.col("job.company"))
-    stated = jobs.select(
-        "search_term", "seq", "pos",
-        X.first_nonblank("job.url", "job.jobUrl", "job.applyUrl").alias("url"),
-        X.first_nonblank("job.title", "job.jobTitle").alias("title"),
-        company.alias("company"),
-        X.first_nonblank("job.location", "job.locationName").alias("location"),
-        X.first_nonblank("job.description", "job.body").alias("body"),
-        X.iso_prefix(F.col("job.datePosted")).alias("date_posted"))
-    cards = (state.where("_p.props is null")
-             .withColumn("_c", job_cards(F.col("payload")))
-             .select("search_term", "seq", F.posexplode("_c").alias("pos", "job"))
-             .where("job.url <> ''"))
-    url = F.when(F.startswith("job.url", F.lit("http")), F.col("job.url")).otherwise(
-        F.concat(F.lit(site), "job.url"))
-    carded = cards.select("search_term", "seq", "pos", url.alias("url"), "job.title",
-                          "job.company", "job.location", F.lit("").alias("body"),
-                          F.lit("").alias("date_posted"))
+    listed = _listed(
+        _first_list("_p.props.pageProps.jobs", "_p.props.pageProps.jobListings"),
+        url=lambda j: _first(j, "url", "jobUrl", "applyUrl"), title=lambda j: _first(j, "title", "jobTitle"),
+        company=lambda j: F.when(F.startswith(j["company"], F.lit("{")),
+                                 F.get_json_object(j["company"], "$.name")).otherwise(j["company"]),
+        location=lambda j: _first(j, "location", "locationName"),
+        body=lambda j: _first(j, "description", "body"), date_posted=lambda j: X.iso_prefix(j["datePosted"]))
+    page = F.when(F.col("_p.props").isNull(), F.col("payload"))
+    found = _found(state, listed, page, "search_term")
+    whole = F.startswith("url", F.lit("http")) | ~F.col("by_card")
+    found = found.withColumn("url", F.when(whole, F.col("url")).otherwise(F.concat(F.lit(site), "url")))
     return to_jobs(
-        stated.unionByName(carded), number, source="Built In", company=F.col("company"),
+        found, number, source="Built In", company=F.col("company"),
         title=F.col("title"), body=F.col("body"), url=F.col("url"),
         location=F.col("location"), date_posted=F.col("date_posted"),
         placed=lambda text: F.concat_ws(" ", "location", text), fallback=_term,
@@ -141,34 +164,29 @@ def startup_search(landed: DataFrame, number: int = 8, lexicon: Lexicon = PERK_L
 
     Pages are read from their state, else from job cards. The search term is always trusted.
     """
-    api = explode_first(
-        landed.withColumn("_p", F.from_json("payload", T.WELLFOUND)),
-        "_p.data.talent.jobListings.edges").select(
-        "search_term", "seq", "pos", or_blank("job.node.jobUrl").alias("url"),
-        F.col("job.node.title").alias("title"), F.col("job.node.startup.name").alias("company"),
-        F.array_join("job.node.locationNames", ", ").alias("location"),
-        F.col("job.node.description").alias("body"),
-        X.iso_prefix(F.col("job.node.postedAt")).alias("date_posted"))
-    answered = api.select(F.col("search_term").alias("_by_search_term")).distinct().withColumn(
-        "_answered", F.lit(True))
-    pages = _with_state(landed, T.WELLFOUND_PAGE)
-    stated = explode_first(pages.where("_p.props is not null"),
-                           "_p.props.pageProps.jobListings").select(
-        "search_term", "seq", "pos", or_blank("job.jobUrl").alias("url"),
-        F.col("job.title").alias("title"), F.col("job.companyName").alias("company"),
-        F.col("job.locationName").alias("location"), F.col("job.description").alias("body"),
-        F.lit("").alias("date_posted"))
-    is_page = ~F.startswith(F.trim("payload"), F.lit("{"))
-    cards = (pages.where(F.col("_p.props").isNull() & is_page)
-             .withColumn("_c", job_cards(F.col("payload")))
-             .select("search_term", "seq", F.posexplode("_c").alias("pos", "job"))
-             .where("job.url <> '' and job.title <> ''"))
-    carded = cards.select("search_term", "seq", "pos",
-                          F.concat(F.lit("https://wellfound.com"), "job.url").alias("url"),
-                          "job.title", "job.company", F.lit("").alias("location"),
-                          F.lit("").alias("body"), F.lit("").alias("date_posted"))
-    rows = api.withColumn("from_page", F.lit(False)).unionByName(
-        stated.unionByName(carded).withColumn("from_page", F.lit(True)))
+    is_api = F.startswith(F.trim("payload"), F.lit("{"))
+    edges = F.from_json(F.when(is_api, F.col("payload")), T.WELLFOUND)["data"]["talent"]["jobListings"]["edges"]
+    # Terms that the API answered: a narrow scan of its own, before any text is looked at.
+    answered = landed.select(F.col("search_term").alias("_by_search_term"), edges.alias("e")).where(
+        F.size("e") > 0).select("_by_search_term", F.lit(True).alias("_answered")).distinct()
+
+    pages = _with_state(landed, T.WELLFOUND_PAGE).withColumn("_edges", edges)
+    of_api = _listed(
+        _first_list("_edges"), url=lambda j: j["node"]["jobUrl"], title=lambda j: j["node"]["title"],
+        company=lambda j: j["node"]["startup"]["name"],
+        location=lambda j: F.array_join(j["node"]["locationNames"], ", "), body=lambda j: j["node"]["description"],
+        date_posted=lambda j: X.iso_prefix(j["node"]["postedAt"]))
+    of_page = _listed(
+        _first_list("_p.props.pageProps.jobListings"), url=lambda j: j["jobUrl"], title=lambda j: j["title"],
+        company=lambda j: j["companyName"], location=lambda j: j["locationName"], body=lambda j: j["description"],
+        date_posted=lambda j: F.lit(""))
+    page = F.when(F.col("_p.props").isNull() & ~is_api, F.col("payload"))
+    pages = pages.withColumn("from_page", of_api.isNull())
+    rows = _found(pages, F.coalesce(of_api, of_page), page, "search_term", "from_page").where(
+        "not by_card or title <> ''")
+    rows = rows.withColumns({
+        "url": F.when(F.col("by_card"), F.concat(F.lit("https://wellfound.com"), "url")).otherwise(F.col("url")),
+        "location": F.when(F.col("by_card"), "").otherwise(F.col("location"))})
 
     def sift(narrow: DataFrame) -> DataFrame:
         """Narrow rows without those of pages whose term the API answered."""
