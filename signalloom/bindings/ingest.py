@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..operators import accounts as A
 from ..schemas import JOB_COLUMNS
 from ..sources import boards, feeds, pages
-from ..sources.base import preview
+from ..session import shared_folder
+from ..sources.base import preview, read_days, write_landed
 from ..sources.registry import SOURCES, read_sources
 from ..sources.rejects import reject_report
 from . import sql as Q
@@ -432,6 +435,28 @@ def _damage(spark, sf, inputs):
     return out
 
 
+def _landed_days(spark, sf):
+    """Two feeds, landed on the day of their posting or the day after."""
+    path = shared_folder(spark, "landed-days")
+    for source, landed_ in (("ts", _feed(spark, sf)), ("sb", _organisation(spark, sf))):
+        days = documents(spark, sf).select(F.col("doc_id").alias("_doc"), F.date_add(
+            F.col("day").cast("date"), (F.col("doc_id") % 2).cast("int")).alias("landed_on"))
+        write_landed(landed_.join(days, F.col("seq") == F.col("_doc")).drop("seq", "_doc").withColumn(
+            "source", F.lit(source)), path)
+    return path
+
+
+def recent_feed(spark, sf):
+    """Postings of the last three days of a feed, from the folders of those days.
+
+    Of copies with one url the first in a folder counts, so what tells them apart is left out.
+    """
+    today = date(2024, 1, 20)
+    landed_ = read_days(spark, _landed_days(spark, sf), "ts", today, 3)
+    return _jobs(feeds.job_feed(landed_, lexicon=LEXICON, patterns=("erly", "ange"), today=F.lit(today),
+                                max_age_days=3)).drop("url", "company", "_domain")
+
+
 def rejected_payloads(spark, sf):
     """Payloads that can't be used, of nine inputs with damaged ones among them."""
     inputs = _damage(spark, sf, {k: v for k, v in _every_input(spark, sf).items() if any(k == d[0] for d in _DAMAGED)})
@@ -457,7 +482,7 @@ QUERIES = {f.__name__: f for f in (
     web_search_source, crawl_search_source, feed_discovery_source, feed_monitor_source,
     organisation_monitor_source, organisation_discovery_source, account_board_source,
     board_links, targeted_board_source, targeted_search_source, all_sources, source_preview, every_source, rejected_payloads,
-    isolated_sources)}
+    isolated_sources, recent_feed)}
 
 
 # --- check SQL ------------------------------------------------------------------------------
@@ -676,3 +701,5 @@ SQL |= {
     + " SELECT source, location, count(*) AS postings, CAST(sum(keyword_count) AS BIGINT) AS keywords "
       "FROM u GROUP BY ALL",
 }
+SQL["recent_feed"] = "SELECT * EXCLUDE (url, company, _domain) FROM (" + _only(**{
+    **_TS, "from_": "(SELECT * FROM d WHERE CAST(day AS DATE) >= DATE '2024-01-20' - 3)"}) + ")"

@@ -8,8 +8,9 @@ no rows, so one bad response never fails a run; :mod:`rejects` counts and keeps
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..functions import text as X
 from ..lexicon import PERK_LEXICON, Lexicon
@@ -17,7 +18,6 @@ from ..operators.dedup import first_wins, last_wins
 from ..schemas import JOB_COLUMNS, LANDED
 
 
-
 def with_seq(df: DataFrame, out: str = "seq") -> DataFrame:
     """Number file rows in reading order (file, block, row); gaps are fine, order is not lost.
 
@@ -34,6 +34,26 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
     return with_seq(spark.read.schema(LANDED).json(path))
 
 
+def write_landed(landed: DataFrame, path: str) -> None:
+    """Adds payloads with columns ``source`` and ``landed_on`` to a table with a folder for each source and day.
+
+    The rebalance hint gives a folder few files and splits those of large days.
+    """
+    landed.hint("rebalance", "source", "landed_on").write.mode("append").partitionBy("source", "landed_on").parquet(path)
+
+
+def read_days(spark: SparkSession, path: str, source: str, today: date, max_age_days: int) -> DataFrame:
+    """Payloads of a source that landed within ``max_age_days``; other sources' and older folders are not read.
+
+    What was posted within that time can't have landed before it, so a feed restricted by :func:`recent`
+    finds all of its postings here.
+    """
+    table = spark.read.schema(T.StructType([*LANDED, T.StructField("source", T.StringType()),
+                                            T.StructField("landed_on", T.DateType())])).parquet(path)
+    first = F.lit(today - timedelta(days=max_age_days))
+    return with_seq(table.where((F.col("source") == source) & (F.col("landed_on") >= first))).drop("source", "landed_on")
+
+
 def or_blank(name: str) -> Column:
     return F.coalesce(name, F.lit(""))
 

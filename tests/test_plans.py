@@ -88,3 +88,18 @@ def exchanges(df):
 def test_matching_reads_a_stored_index(spark, sf):
     assert exchanges(catalog.QUERIES["account_match"](spark, sf)) <= 8
     assert exchanges(catalog.QUERIES["company_rollup"](spark, sf)) <= 12
+
+
+def test_recent_days_are_the_only_folders_read(spark, sf):
+    text = plan(catalog.QUERIES["recent_feed"](spark, sf))
+    filters = re.search(r"PartitionFilters: \[([^\]]*)\]", text)[1]
+    assert "source" in filters and "landed_on" in filters and "2024-01-17" in filters
+
+
+@pytest.mark.parametrize("name", ["search_page_source", "account_board_source"])
+def test_sources_are_read_in_one_scan(spark, sf, name):
+    text = plan(catalog.QUERIES[name](spark, sf))
+    scans = re.findall(r"Scan parquet [^\n]*documents\.parquet|FileScan parquet [^\n]*documents\.parquet", text)
+    # the bindings build the payloads of the three boards of accounts from a scan each
+    assert len(scans) == (3 if name == "account_board_source" else 1) and text.count("full_text") > 0
+    assert text.count("ArrowEvalPythonUDTF") == (name == "search_page_source")
