@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .components import components
-from .shared import renamed, small_side, without
+from .shared import BROADCAST_ROWS, renamed, small_side, without
 from .words import BASE, WHITE, chained, groups, mix
 
 #: Size bands: band i holds sizes from RATIO**i on, below RATIO**(i + 1).
@@ -290,9 +290,8 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     cand = stored(cand, "candidates")
     about = stored(sets.join(cand.select("row").distinct(), "row", "left_semi"), "about")
     wanted = about.select("row", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    texts = stored(
-        rows.join(small_side(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("id"))
-                  & (F.col("text_hash") == F.col("hash"))).select("row", "text").dropDuplicates(["row"]), "texts")
+    texts = stored(_once(rows.join(small_side(wanted, wanted.count()), F.col("doc_id").eqNullSafe(F.col("id"))
+                                   & (F.col("text_hash") == F.col("hash"))), sets), "texts")
     label = _connected(cand, about.select("row", "n", "sketch"), texts, n, percent)
     copies = sets.where("rep IS NOT NULL").select("row", "rep")
     label = (copies.join(label.toDF("rep", "at"), "rep", "left").select("row", F.coalesce("at", "rep").alias("component"))
@@ -300,6 +299,27 @@ def near_sets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n
     return sets, label
 
 
+def _once(found: DataFrame, sets: DataFrame) -> DataFrame:
+    """(row, text) of joined texts, each once: only texts of rows that repeat are shuffled to drop the rest."""
+    repeated = stored(sets.groupBy("doc_id", "text_hash").agg(F.count("*").alias("m")).where("m > 1").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "repeated")
+    n = repeated.count()
+    if not n:
+        return found.select("row", "text")
+    repeated = small_side(repeated, n)
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    return found.join(repeated, same, "left_anti").select("row", "text").unionByName(
+        found.join(repeated, same, "left_semi").select("row", "text").dropDuplicates(["row"]))
+
+
+def _needed(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of some rows, so that a join with them moves no others."""
+    rows = stored(rows.distinct(), "needed")
+    n = rows.count()
+    # beyond this a semi-join would move every text to spare some of them a move
+    return texts.join(small_side(rows, n), "row", "left_semi") if n <= BROADCAST_ROWS else texts
+
+
 def _candidates(described: DataFrame, sets: DataFrame) -> DataFrame:
     """(key, row, lead): the keys by which sets can find their partners, for one of each equal sets."""
     shared = (described.where("bucket IS NOT NULL").select(*PACKED).groupBy("bucket")
@@ -329,7 +349,9 @@ def _connected(cand: DataFrame, about: DataFrame, texts: DataFrame, n: int, perc
         left, right = with_sketch(heads, "head", "a"), with_sketch(members, "row", "b")
         pairs = (right.join(left, (right["key"] == left["key"]) & apart & near)
                  .select(F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct())
-        return (pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+        pairs = stored(pairs, "pairs")
+        one, other = (_needed(texts, pairs.select(F.col(c).alias("row"))).toDF(c, f"text_{c}") for c in "ab")
+        return (pairs.join(other, "b").join(one, "a")
                 .select("a", "b", "text_a", "text_b")
                 .mapInArrow(_verified(n, percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
 
