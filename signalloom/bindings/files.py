@@ -9,7 +9,7 @@ from ..session import shared_folder
 from ..sources import tables
 from . import sql as Q, views
 from .data import customer_accounts, postings
-from .rollup import ROLLUP_SQL
+from .rollup import ROLLUP_SQL, company_rollup
 from .runs import _run
 
 _ACCOUNT = ("name", "domain", "vertical", "zi_industry", "city", "state")
@@ -69,7 +69,17 @@ def run_log(spark, sf):
     return out["runs"]
 
 
-QUERIES = {f.__name__: f for f in (jobs_csv, accounts_csv, territories_csv, export_csv, run_log)}
+def company_csv(spark, sf):
+    """The companies of the rollup through the company table and its CSV."""
+    folder = shared_folder(spark, "files")
+    tables.write_companies(company_rollup(spark, sf), f"{folder}/companies", f"{folder}/companies_csv")
+    back = spark.read.csv(f"{folder}/companies_csv", header=True, quote='"', escape='"', multiLine=True)
+    numbers = ("gtm_score", "unique_roles_with_perk", "role_count", "is_new", "location_jd_count")
+    return back.select(*[F.col(c).cast("long").alias(c) if c in numbers else F.coalesce(c, F.lit("")).alias(c)
+                         for c in T.COMPANY_COLUMNS])
+
+
+QUERIES = {f.__name__: f for f in (jobs_csv, accounts_csv, company_csv, territories_csv, export_csv, run_log)}
 
 SQL = {
     "jobs_csv": f"""
@@ -79,6 +89,7 @@ WITH {Q.POSTINGS} SELECT source, company, title, location, 'On-site' AS remote,
     "accounts_csv": f"""
 WITH {Q.CUSTOMERS} SELECT list, name, replace(domain, 'www.', 'WWW.') AS domain, vertical,
   zi_industry, city, state FROM accounts""",
+    "company_csv": ROLLUP_SQL,
     "territories_csv": f"""
 WITH {views._TERRITORY} SELECT market, rep AS rep_name, handle AS slack_handle,
   env AS webhook_env_var FROM t""",

@@ -13,7 +13,8 @@ from ..sources.tables import Snapshots
 from ..streaming import ingest as I, velocity as SV
 from ..streaming.history import into_history
 from .data import LEXICON, RUBRIC, documents, postings, supplier_accounts, table
-from .ingest import _boards, _json, _landed, _list, _select, _BASE, _BOARD_KIND, _BOARD_URL
+from .ingest import (_boards, _damage, _greenhouse, _json, _landed, _lever, _list, _select, _totals, _union, _BASE,
+                     _BOARD_KIND, _BOARD_URL, _GH, _LV)
 from .rollup import ROLLUP_SQL
 from .state import SQL as STATE_SQL
 from .views import _territories
@@ -151,6 +152,24 @@ def full_run(spark, sf):
     return run.finish(postings(spark, sf), _crawl(spark, sf))["companies"]
 
 
+def full_run_sources(spark, sf):
+    """Postings of a run from landed payloads of two sources, verified against pages whose status and closing
+    phrase follow from their content; some payloads are damaged."""
+    d = documents(spark, sf)
+    digit = F.substring(F.md5("text"), 1, 1)
+    crawl = d.select("url", F.when(digit == "a", 404).when(digit == "b", 500).otherwise(200).alias("status"),
+                     F.when(digit == "c", F.concat("text", F.lit(" This Position Has Been Filled."))).otherwise(
+                         F.col("text")).alias("body"),
+                     F.when(digit == "d", "connection").when(digit == "e", "timeout").alias("fetch_error"))
+    run = _run(spark, sf, shared_folder(spark, "run"), "2024-02-05", "run-1")
+    inputs = _damage(spark, sf, {"gh": {"landed": _greenhouse(spark, sf)}, "lv": {"landed": _lever(spark, sf)}})
+    out = run.full(inputs, crawl)
+    jobs = _totals(out["jobs"]).withColumn("kind", F.lit("postings"))
+    rejects = out["rejects"].groupBy("source", F.col("reason").alias("location")).agg(
+        F.count("*").alias("postings")).withColumns({"keywords": F.lit(0).cast("long"), "kind": F.lit("rejects")})
+    return jobs.unionByName(rejects)
+
+
 def second_run(spark, sf):
     """History after the same postings came in twice, a week apart."""
     root = shared_folder(spark, "runs")
@@ -210,7 +229,7 @@ def targeted_run(spark, sf):
 
 QUERIES = {f.__name__: f for f in (weekly_stream_counts, weekly_stream_distinct, stream_dedup, stream_upsert,
                                    stream_acceleration,
-                                   full_run, second_run, run_replay, run_notified, targeted_run)}
+                                   full_run, full_run_sources, second_run, run_replay, run_notified, targeted_run)}
 
 _TEXT = "trim(regexp_replace(text, '\\s+', ' ', 'g'))"
 _WEEK = "strftime(date_trunc('week', ts), '%Y-%m-%d') AS week_start"
@@ -263,3 +282,11 @@ t AS (SELECT (SELECT count(*) FROM worked) AS accounts_checked,
 SELECT *, CASE WHEN accounts_checked > 0 THEN round(companies_with_signal * 100.0 /
   accounts_checked, 1) ELSE 0.0 END AS match_rate FROM t""",
 }
+_LIVE = "(SELECT * FROM d WHERE md5(text)[1] > '4' AND md5(text)[1] NOT IN ('a', 'b', 'c', 'd'))"
+SQL["full_run_sources"] = _union(
+    [(0, "g", {**_GH, "from_": _LIVE}), (1, "l", {**_LV, "from_": _LIVE})], "source, location, keyword_count") + """
+SELECT 'postings' AS kind, source, location, count(*) AS postings, CAST(sum(keyword_count) AS BIGINT) AS keywords
+FROM u GROUP BY ALL
+UNION ALL SELECT 'rejects', s.source, CASE WHEN md5(text)[1] = '0' THEN 'unparseable' WHEN md5(text)[1] IN ('1', '2')
+  THEN 'empty' WHEN md5(text)[1] = '3' OR s.source = 'Lever' THEN 'mistyped' ELSE 'missing' END AS location,
+  count(*), 0 FROM d, (VALUES ('Greenhouse'), ('Lever')) AS s(source) WHERE md5(text)[1] <= '4' GROUP BY ALL"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, functions as F
 
 from ..lexicon import (ATS_PATTERNS, CORPORATE_WORDS, EMPLOYER_URL_PATTERNS, PLATFORM_SLUGS)
@@ -41,16 +43,27 @@ def slug_variants(domain: Column) -> Column:
     return F.array(F.regexp_replace(base, r"^www\.", ""))
 
 
+def _literal(pattern: str) -> str:
+    """The longest run of plain characters that every match of a pattern holds, in lower case."""
+    plain = re.split(r"\((?:[^()]|\([^()]*\))*\)\??|\[[^\]]*\][+*?]?|\\d[+*]?", pattern)
+    return max((p.replace("\\", "") for p in plain), key=len).lower()
+
+
 def ats_fingerprint(text: Column, patterns=ATS_PATTERNS) -> Column:
-    """struct(ats_type, ats_slug) of the first pattern found, or null."""
-    found = []
-    for kind, pattern in patterns:
-        slug = (F.regexp_extract(text, "(?i)" + pattern, 1) if "/(" in pattern
-                or pattern.startswith("(") and not pattern.startswith("(?:")
-                else F.lit(""))
-        found.append(F.when(text.rlike("(?i)" + pattern),
-                            F.struct(F.lit(kind).alias("ats_type"), slug.alias("ats_slug"))))
-    return F.coalesce(*found)
+    """struct(ats_type, ats_slug) of the first pattern found, or null.
+
+    The text is lower-cased once, and a pattern is tried only where the text holds its host.
+    """
+    def first(low: Column) -> Column:
+        found = []
+        for kind, pattern in patterns:
+            slug = (F.regexp_extract(text, "(?i)" + pattern, 1) if "/(" in pattern
+                    or pattern.startswith("(") and not pattern.startswith("(?:")
+                    else F.lit(""))
+            found.append(F.when(F.contains(low, F.lit(_literal(pattern))) & text.rlike("(?i)" + pattern),
+                                F.struct(F.lit(kind).alias("ats_type"), slug.alias("ats_slug"))))
+        return F.coalesce(*found)
+    return F.get(F.transform(F.array(F.lower(text)), first), F.lit(0))
 
 
 def employer_from_url(url: Column, reject: tuple[str, ...] = PLATFORM_SLUGS,

@@ -28,29 +28,28 @@ def benefit_employers(landed: DataFrame, labels=BENEFIT_LABELS) -> DataFrame:
     the form ...-E<id>.htm. An employer on several pages takes the first label of ``labels``.
     """
     state = _with_state(landed, T.BENEFIT_PAGE)
-    read = explode_first(state.where("_p.props is not null"),
-                         "_p.props.pageProps.employers",
-                         "_p.props.pageProps.benefitsData.employers")
-    stated = read.select(
-        X.first_nonblank("job.employerId", "job.id").alias("employer_id"),
-        X.first_nonblank("job.employerName", "job.name").alias("name"),
-        F.col("search_term").alias("benefit_label"),
-        or_blank("job.detailUrl").alias("detail_url"), "seq", "pos")
+    stated = F.transform(
+        _first_list("_p.props.pageProps.employers", "_p.props.pageProps.benefitsData.employers"),
+        lambda j: F.struct(_first(j, "employerId", "id").alias("employer_id"),
+                           _first(j, "employerName", "name").alias("name"),
+                           F.coalesce(j["detailUrl"], F.lit("")).alias("detail_url"), F.lit(None).cast("string").alias("link")))
     anchor = r'(?s)<a\b[^>]*href="[^"]*/Benefits/[^"]*-E\d+\.htm[^"]*"[^>]*>.*?</a>'
-    links = state.where("_p.props is null").select(
-        "search_term", "seq",
-        F.posexplode(F.regexp_extract_all("payload", F.lit(anchor), F.lit(0)))
-        .alias("pos", "a"))
-    href = F.regexp_extract("a", 'href="([^"]*)"', 1)
-    linked = links.select(
-        F.regexp_extract(href, r"-E(\d+)\.htm", 1).alias("employer_id"),
-        F.col("a").alias("name"), F.col("search_term").alias("benefit_label"),
-        F.concat(F.lit(_REVIEWS), href).alias("detail_url"), "seq", "pos")
-    linked = X.with_clean_text(linked, "name", "name")
+
+    def from_link(a: Column) -> Column:
+        href = F.regexp_extract(a, 'href="([^"]*)"', 1)
+        return F.struct(F.regexp_extract(href, r"-E(\d+)\.htm", 1).alias("employer_id"), F.lit("").alias("name"),
+                        F.concat(F.lit(_REVIEWS), href).alias("detail_url"), a.alias("link"))
+    links = F.transform(F.regexp_extract_all(
+        F.when(F.col("_p.props").isNull(), F.col("payload")), F.lit(anchor), F.lit(0)), from_link)
+    # One scan: a page gives what its state lists, or else its links.
+    read = state.select("search_term", "seq", F.posexplode(F.coalesce(stated, links)).alias("pos", "e"))
+    read = X.with_clean_text(read.withColumn("link", F.col("e.link")), F.col("link"), "linked")
+    found = read.select(
+        "e.employer_id", F.when(F.col("link").isNull(), F.col("e.name")).otherwise(F.col("linked")).alias("name"),
+        F.col("search_term").alias("benefit_label"), "e.detail_url", "seq", "pos")
     rank = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in labels]),
                                        F.col("benefit_label")), F.lit(0))
-    found = (stated.unionByName(linked).where("employer_id <> ''")
-             .withColumn("_o", F.struct(rank, "seq", "pos")))
+    found = found.where("employer_id <> ''").withColumn("_o", F.struct(rank, "seq", "pos"))
     return first_wins(found, ["employer_id"], "_o").drop("_o", "seq", "pos")
 
 
