@@ -183,16 +183,49 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return mixed, per_doc
 
 
+def stretch(text: Column, size: Column, skip: Column, words: Column) -> Column:
+    """``words`` words of a text after the first ``skip``, with the white space between them as it is.
+
+    The whole text, if these are all its words.
+    """
+    spaced = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    cut = F.array_join(F.slice(spaced, skip.cast("int") + 1, words.cast("int")), "")
+    return F.when(words == size, text).otherwise(F.regexp_replace(cut, r"^[\x20\x09-\x0D]+", ""))
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Documents of which the mix takes something, all their columns, with size, source_size, target and taken.
+    """What the mix takes, in rows that hold their words: one for each stretch of a document in a slot.
+
+    All columns of the document, its text cut to the stretch, and slot, pass, skip, words, source_size and target
+    (under names with underscores added where the documents have such columns). A document that is taken
+    twice has rows of both passes; one that the mix takes nothing of has none. So the words of a source's rows are its
+    target, and ordering by slot gives the schedule.
 
-    Rows that agree in identifier and text show the largest share of them.
+    Stretches are gathered by document before its text is joined, which moves a text once. Rows that
+    agree in identifier and text lend each other their other columns.
     """
-    per_doc = mix(docs, id_col, text_col, **options)[1]
-    own_id, own_hash = fresh(docs, "_id", "_hash")
-    share = stored(per_doc.where("taken > 0").groupBy("doc_id", "text_hash").agg(
-        *[F.max(c).alias(c) for c in ("size", "source_size", "target", "taken")])
-        .withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash}), "shares")
-    text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))
-    return docs.join(small_side(share, share.count()), F.col(f"`{id_col}`").eqNullSafe(share[own_id])
-                     & (text == share[own_hash])).drop(own_id, own_hash)
+    mixed, per_doc = mix(docs, id_col, text_col, **options)
+    about = per_doc.select("row", F.col("doc_id").alias("of"), "text_hash", "size", "source_size", "target")
+    own_id, own_hash, own_list, size = fresh(docs, "_id", "_hash", "_list", "_size")
+    fields = ["slot", "pass", "skip", "words", "source_size", "target"]
+    lists = stored(
+        mixed.select("row", *fields[:4]).join(about, "row").groupBy("of", "text_hash", "size").agg(
+            F.collect_list(F.struct(*fields)).alias(own_list))
+        .toDF(own_id, own_hash, size, own_list), "stretches")
+    twice = stored(per_doc.where("size > 0").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias(own_id), F.col("text_hash").alias(own_hash)), "twice")
+    text = F.col(f"`{text_col}`")
+
+    def same(other: DataFrame) -> Column:
+        return F.col(f"`{id_col}`").eqNullSafe(other[own_id]) & (F.xxhash64(F.coalesce(text, F.lit(""))) == other[own_hash])
+    n = twice.count()
+    if n:
+        again = docs.join(small_side(twice, n), same(twice)).dropDuplicates([own_id, own_hash]).drop(own_id, own_hash)
+        docs = docs.join(small_side(twice, n), same(twice), "left_anti").unionByName(again)
+    columns, names = docs.columns, fresh(docs, *fields)
+    found = docs.join(small_side(lists, lists.count()), same(lists)).select(
+        *[F.col(f"`{c}`") for c in columns], size, F.explode(own_list).alias(own_list))
+    part = {name: F.col(f"{own_list}.{field}") for field, name in zip(fields, names)}
+    cut = stretch(text, F.col(size), F.col(f"{own_list}.skip"), F.col(f"{own_list}.words"))
+    return found.select(*[cut.alias(c) if c == text_col else F.col(f"`{c}`") for c in columns],
+                        *[value.alias(name) for name, value in part.items()])

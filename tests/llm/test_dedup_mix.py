@@ -133,7 +133,28 @@ def test_mix_odd(spark, nothing):
     assert mixing.mixed_documents(blank).count() == 0
 
 
-def test_mixed_documents(docs):
-    got = mixing.mixed_documents(docs.drop("size"))
-    assert got.columns == docs.drop("size").columns + ["size", "source_size", "target", "taken"]
-    assert got.where("taken = 0").count() == 0
+@pytest.mark.parametrize("block_words", [50, 4096])
+def test_mixed_documents(docs, rows, block_words):
+    split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    got = mixing.mixed_documents(docs.withColumnRenamed("size", "skip"), block_words=block_words)
+    assert got.columns == docs.withColumnRenamed("size", "skip").columns + [
+        "slot", "pass", "skip_", "words", "source_size", "target"]
+    pieces = mixing.mix(docs, block_words=block_words)[0].collect()
+    got = got.collect()
+    assert len(got) == len(pieces)
+    assert sorted((repr(r["doc_id"]), r["slot"], r["pass"], r["skip_"], r["words"]) for r in got) == sorted(
+        (repr(p["doc_id"]), p["slot"], p["pass"], p["skip"], p["words"]) for p in pieces)
+    texts = collections.defaultdict(list)
+    for doc_id, text, _, _ in rows:
+        texts[doc_id].append(text)
+    words, target = collections.Counter(), {}
+    for r in got:
+        own = split(r["text"])
+        assert len(own) == r["words"] and any(split(t)[r["skip_"]:r["skip_"] + r["words"]] == own for t in texts[r["doc_id"]])
+        if r["skip_"] == 0 and any(len(split(t)) == r["words"] for t in texts[r["doc_id"]]):
+            assert r["text"] in texts[r["doc_id"]]
+        words[r["target"], r["source_size"]] += r["words"]
+        target[r["target"], r["source_size"]] = r["target"]
+    once = collections.Counter(r["target"] for r in mixing.mix(docs)[1].select("source", "target").distinct().collect())
+    for key, total in words.items():
+        assert total == once[key[0]] * math.floor(key[0] + 0.5)

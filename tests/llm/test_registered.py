@@ -2,6 +2,7 @@
 
 import pytest
 from compare import compare, duck
+from pyspark.sql import functions as F
 
 from signalloom.llm import queries
 
@@ -43,6 +44,10 @@ def test_pipeline(spark, sf):
     assert clean.count() == found.where("NOT contaminated").count()
     got = corpus_pipeline.STAGES[-1][1](spark, clean, sf)
     share = mixing.mix(clean)[1].where("taken > 0").select("doc_id", "taken")
-    assert got.select("doc_id", "taken").exceptAll(share).count() == 0 and got.count() == share.count()
+    words = got.groupBy("doc_id").agg(F.sum(mixing.word_count(F.col("text"))).alias("taken"))
+    assert words.exceptAll(share).count() == 0 and words.count() == share.count()
+    for r in got.groupBy("source", "target").agg(F.sum("words").alias("words")).collect():
+        assert abs(r["words"] - r["target"]) <= 1
+    assert got.where("n_chars != length(text)").count() == 0
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, sf).select("doc_id").collect()) == sorted(
         r["doc_id"] for r in got.select("doc_id").collect())
