@@ -32,8 +32,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix of sources takes, with the words taken of each document."""
-    return mixing.mixed_documents(docs)
+    """What the mix of sources takes: a row for each stretch of a document, its text cut to it."""
+    return mixing.mixed_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 STAGES = [
