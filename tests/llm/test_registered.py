@@ -23,6 +23,26 @@ def test_held_out_accuracy(spark, sf):
     assert scored.where("quality = predicted").count() >= 0.85 * scored.count() > 0
 
 
+def test_quality_ranks_what_it_has_not_seen(spark, sf):
+    sf = sf.replace("sf0.001", "sf0.1")  # hundreds of held-out labels of either kind
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality IS NOT NULL")
+    rows = queries.op4_quality(spark, sf).join(labels, "doc_id").where("held_out").select("score", "quality", "predicted").collect()
+    ranked = sorted(rows, key=lambda r: r["score"])
+    good = sum(r["quality"] for r in rows)
+    bad = len(rows) - good
+    assert min(good, bad) > 50
+    # the share of pairs of a good and a bad document that are in the right order; ties count half by their mean rank
+    ranks, k = {}, 0
+    while k < len(ranked):
+        j = k
+        while j < len(ranked) and ranked[j]["score"] == ranked[k]["score"]:
+            j += 1
+        ranks[ranked[k]["score"]], k = (k + 1 + j) / 2, j
+    auc = (sum(ranks[r["score"]] for r in rows if r["quality"]) - good * (good + 1) / 2) / (good * bad)
+    right = [sum(r["predicted"] == q for r in rows if r["quality"] == q) / n for q, n in ((0, bad), (1, good))]
+    assert auc >= 0.97 and sum(right) / 2 >= 0.9, (auc, right)
+
+
 def test_pipeline(spark, sf):
     import corpus_pipeline
     from signalloom.llm import decontaminate, exact_dedup, mixing, ngram_join
