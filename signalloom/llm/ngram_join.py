@@ -81,6 +81,24 @@ def parity_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(bool)).view(np.int64)
 
 
+def _steps(owners: np.ndarray) -> bytes:
+    """Ascending node offsets as differences of two bytes: a stretch of a slice has 2 * SLICE nodes at most."""
+    return np.diff(owners.astype(np.int64), prepend=0).astype(np.uint16).tobytes()
+
+
+def _offsets(steps: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, np.uint16), dtype=np.uint32)
+
+
+def _runs(owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Owners in order and how often each stands there, in runs of 255 at most, so that a byte holds it."""
+    own, count = np.unique(owners, return_counts=True)
+    parts = (count - 1) // 255 + 1
+    out = np.full(parts.sum(), 255, np.uint8)
+    out[np.cumsum(parts) - 1] = count - (parts - 1) * 255
+    return np.repeat(own, parts), out
+
+
 class _Sender:
     """Gathers keys of nodes and packs them by bucket."""
 
@@ -110,9 +128,9 @@ class _Sender:
         cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
         out = []
         for a, b in zip(cuts[:-1], cuts[1:]):
-            own, count = np.unique(owner[a:b], return_counts=True)  # owners are in order inside a bucket
-            out.append({"bucket": int(bucket[a]), "home": self.base, "owners": delta[own].tobytes(),
-                        "counts": count.astype(np.uint32).tobytes(),
+            own, count = _runs(owner[a:b])  # owners are in order inside a bucket
+            out.append({"bucket": int(bucket[a]), "home": self.base, "owners": _steps(delta[own]),
+                        "counts": count.tobytes(),
                         "keys": (keys[a:b] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes()})
         self.__init__(self.buckets)
         return out
@@ -177,7 +195,7 @@ def _shared_keys(table: pa.Table) -> pa.Table:
     home, owners, keys = [], [], []
     bucket = table.column("bucket")[0].as_py()
     for base, own, count, key in zip(*(table.column(c).to_pylist() for c in ("home", "owners", "counts", "keys"))):
-        owners.append(np.repeat(np.frombuffer(own, np.uint32), np.frombuffer(count, np.uint32)))
+        owners.append(np.repeat(_offsets(own), np.frombuffer(count, np.uint8)))
         keys.append(np.frombuffer(key, np.uint32))
         home.append(base)
     which = np.repeat(np.arange(len(home)), [len(k) for k in keys])
@@ -196,7 +214,7 @@ def _shared_keys(table: pa.Table) -> pa.Table:
     for k, base in enumerate(home):
         a, b = cut[k], cut[k + 1]
         if b > a:
-            for c, v in zip(out, (base, owner[order[a:b]].tobytes(), mark[a:b].tobytes(), key[a:b].tobytes())):
+            for c, v in zip(out, (base, _steps(owner[order[a:b]]), mark[a:b].tobytes(), key[a:b].tobytes())):
                 out[c].append(v)
     n = len(out["home"])
     return pa.table({"home": pa.array(out["home"], pa.int64()), "bucket": pa.array([bucket] * n, pa.int32()),
@@ -208,7 +226,7 @@ def _prefixes(sets: pa.Table, packed: pa.Table) -> pa.Table:
     and the last. Sets with too few shared keys have no partner."""
     node, mark, key = [], [], []
     for home, bucket, own, m, k in zip(*(packed.column(c).to_pylist() for c in ("home", "bucket", "owners", "marks", "keys"))):
-        node.append(np.frombuffer(own, np.uint32).astype(np.int64) + home)
+        node.append(_offsets(own).astype(np.int64) + home)
         mark.append(np.frombuffer(m, np.uint8))
         key.append(np.frombuffer(k, np.uint32).astype(np.int64) + (bucket << 32))
     empty = [np.empty(0, np.int64)]

@@ -67,6 +67,15 @@ def test_near_groups(docs, rows, percent):
     assert len(pairs) > 20
 
 
+def test_owners_are_packed_and_read_back():
+    rng = np.random.default_rng(3)
+    for n in (1, 7, 255, 256, 3000):
+        owners = np.sort(np.concatenate([np.full(n, 5), rng.integers(0, 2 * ngram_join.SLICE, 400)]))
+        own, count = ngram_join._runs(owners)
+        back = np.repeat(ngram_join._offsets(ngram_join._steps(own)), np.frombuffer(count.tobytes(), np.uint8))
+        assert back.tolist() == owners.tolist()
+
+
 def test_fine_classes_give_the_same(docs, monkeypatch):
     want = sorted(map(repr, ngram_join.near_groups(docs).select("doc_id", "component_id").collect()))
     made = ngram_join._described
