@@ -194,3 +194,22 @@ def test_csv_round_trips(spark, tmp_path):
     assert [(r["list"], r["name"], r["domain"], r["vertical"]) for r in got.collect()] == [
         ("managed", "One", "one.com", "Pharma"), ("managed", "Two", None, "Other"),
         ("unmanaged", "Three", "three.com", None)]
+
+
+def test_a_field_of_another_type_loses_only_itself(spark):
+    def node(**changed):
+        return {"node": {"jobUrl": "u", "title": "Cook", "description": "free lunch", "locationNames": ["NYC"],
+                         "postedAt": "2024-01-01", "startup": {"name": "Acme"}, **changed}}
+    nodes = [node(jobUrl="a", locationNames="NYC"), node(jobUrl="b"), node(jobUrl="c", startup="Acme"), node(jobUrl="d", postedAt=17)]
+    table = landed(spark, {"payload": {"data": {"talent": {"jobListings": {"edges": nodes}}}}, "search_term": "x"})
+    got = [(r.url, r.company, r.location, r.date_posted) for r in rows(pages.startup_search(table))]
+    assert got == [("a", "Acme", "", "2024-01-01"), ("b", "Acme", "NYC", "2024-01-01"), ("c", "", "NYC", "2024-01-01"),
+                   ("d", "Acme", "NYC", "17")]
+    page = state({"props": {"pageProps": {"benefitsData": "none", "employers": [
+        {"employerId": 7, "employerName": "A", "detailUrl": {"x": 1}}, {"employerId": "8", "employerName": "B"}]}}})
+    found = pages.benefit_employers(landed(spark, {"payload": page, "search_term": "Stocked Kitchen"})).collect()
+    assert {(r.employer_id, r.name) for r in found} == {("7", "A"), ("8", "B")}
+    jobs = [{"text": "T", "descriptionPlain": "free lunch", "hostedUrl": "u", "createdAt": "x", "lists": "none", "categories": ["a"]},
+            {"text": "T", "descriptionPlain": "free lunch", "hostedUrl": "v", "createdAt": 1704067200000}]
+    got = [(r.url, r.date_posted) for r in rows(boards.lever(landed(spark, {"slug": "a", "payload": jobs})))]
+    assert got == [("u", ""), ("v", "2024-01-01")]
