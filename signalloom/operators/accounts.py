@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from typing import NamedTuple
 
@@ -224,19 +225,22 @@ def build_index(accounts: DataFrame, city_rules=None, root: str | None = None) -
 
     raw = F.trim(F.coalesce("name", F.lit("")))
     given = F.when((raw != "") & (F.lower(raw) != "not provided"), normalise_name(F.col("name")))
-    rows = saved(accounts.select(
-        F.col("row_no").alias("row"), "list", given.alias("nn"), normalise_domain(F.col("domain")).alias("nd"),
-        _account().alias("account")), "rows")
-
-    def in_list(x: str) -> Column:
-        return F.when(F.col("list") == x, F.col("row"))
-    names = saved(rows.where("nn <> ''").groupBy("nn").agg(
-        *[F.max(in_list(x)).alias(f"{x}_row") for x in LISTS], *[F.min(in_list(x)).alias(f"{x}_first") for x in LISTS]),
-        "names")
-    domains = saved(rows.where("nd <> ''").groupBy("nd").agg(*[F.max(in_list(x)).alias(x) for x in LISTS]), "domains")
-    postings = saved(token_postings(names), "postings")
-    frequency = saved(token_frequency(postings), "frequency")
-    offices = saved(office_index(accounts, city_rules).withColumnRenamed("domain", "nd"), "offices")
+    with ThreadPoolExecutor(2) as pool:  # tables that do not wait for each other are written side by side
+        offices = pool.submit(saved, office_index(accounts, city_rules).withColumnRenamed("domain", "nd"), "offices")
+        rows = saved(accounts.select(
+            F.col("row_no").alias("row"), "list", given.alias("nn"), normalise_domain(F.col("domain")).alias("nd"),
+            _account().alias("account")), "rows")
+
+        def in_list(x: str) -> Column:
+            return F.when(F.col("list") == x, F.col("row"))
+        domains = pool.submit(saved, rows.where("nd <> ''").groupBy("nd").agg(
+            *[F.max(in_list(x)).alias(x) for x in LISTS]), "domains")
+        names = saved(rows.where("nn <> ''").groupBy("nn").agg(
+            *[F.max(in_list(x)).alias(f"{x}_row") for x in LISTS],
+            *[F.min(in_list(x)).alias(f"{x}_first") for x in LISTS]), "names")
+        postings = saved(token_postings(names), "postings")
+        frequency = saved(token_frequency(postings), "frequency")
+        domains, offices = domains.result(), offices.result()
     return AccountIndex(rows.select("row", "account"),
                         names.select("nn", *[F.col(f"{x}_row").alias(x) for x in LISTS]),
                         domains, postings, frequency, offices)
