@@ -330,9 +330,9 @@ def _once(found: DataFrame, sets: DataFrame) -> DataFrame:
         found.join(repeated, same, "left_semi").select("row", "text").dropDuplicates(["row"]))
 
 
-def _needed(texts: DataFrame, rows: DataFrame) -> DataFrame:
-    """The texts of some rows, so that a join with them moves no others."""
-    rows = stored(rows.distinct(), "needed")
+def _needed(texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The texts of the rows of some pairs, so that a join with them moves no others."""
+    rows = stored(pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "needed")
     n = rows.count()
     # beyond this a semi-join would move every text to spare some of them a move
     return texts.join(small_side(rows, n), "row", "left_semi") if n <= BROADCAST_ROWS else texts
@@ -361,21 +361,23 @@ def _connected(cand: DataFrame, about: DataFrame, texts: DataFrame, n: int, perc
     near = ((F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
             & (bits * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)))
 
-    def linked(members: DataFrame, heads: DataFrame, apart) -> DataFrame:
+    def linked(members: DataFrame, heads: DataFrame, apart, some: bool) -> DataFrame:
         """Verified links between heads and members of a group. Sizes and sketches are compared in the
-        join itself, so that pairs that can't link are never made."""
+        join itself, so that pairs that can't link are never made; ``some``: pairs are of few of the texts."""
         left, right = with_sketch(heads, "head", "a"), with_sketch(members, "row", "b")
         pairs = (right.join(left, (right["key"] == left["key"]) & apart & near)
                  .select(F.least("head", "row").alias("a"), F.greatest("head", "row").alias("b")).distinct())
-        pairs = stored(pairs, "pairs")
-        one, other = (_needed(texts, pairs.select(F.col(c).alias("row"))).toDF(c, f"text_{c}") for c in "ab")
-        return (pairs.join(other, "b").join(one, "a")
+        own = texts
+        if some:
+            pairs = stored(pairs, "pairs")
+            own = _needed(texts, pairs)
+        return (pairs.join(own.toDF("b", "text_b"), "b").join(own.toDF("a", "text_a"), "a")
                 .select("a", "b", "text_a", "text_b")
                 .mapInArrow(_verified(n, percent), "a long, b long, linked boolean").where("linked").select("a", "b"))
 
     # The first round looks at two keys of each set only; that connects most.
     first = cand.where("lead").select("key", "row")
-    links = linked(first, first.groupBy("key").agg(F.min("row").alias("head")), F.col("head") != F.col("row"))
+    links = linked(first, first.groupBy("key").agg(F.min("row").alias("head")), F.col("head") != F.col("row"), False)
     label = stored(components(links).toDF("row", "component"), "labels")
     cand, lead = cand.select("key", "row"), 1
     while True:
@@ -394,7 +396,7 @@ def _connected(cand: DataFrame, about: DataFrame, texts: DataFrame, n: int, perc
             nth = F.row_number().over(Window.partitionBy("key").orderBy("row"))
             heads = cand.withColumn("nth", nth).where(F.col("nth") <= lead).select(
                 "key", F.col("row").alias("head"), F.col("component").alias("of"))
-        links = stored(linked(cand, heads, F.col("of") != F.col("component")), "links")
+        links = stored(linked(cand, heads, F.col("of") != F.col("component"), True), "links")
         # sets that met all others of their group leave it
         met = heads.select("key", F.col("head").alias("row"))
         cand = cand.select("key", "row").join(met, ["key", "row"], "left_anti")
