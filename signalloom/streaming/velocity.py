@@ -48,58 +48,76 @@ CLOSED = ("company_name string, week_start date, signal_count long, prev_week da
 
 
 class _Growth(StatefulProcessor):
-    """Counts a company's open weeks; when the watermark closes one, compares it with the one closed before.
+    """Counts the open weeks of a bucket of companies; when the watermark closes one, compares each company's count
+    with the one of its week closed before.
 
-    State is a count for each open week (a few at a time, as far as the watermark trails) and the last closed week.
+    State is, for each open week (a few at a time, as far as the watermark trails), the companies with a row in it
+    and their counts, and the last closed week of each company. A bucket's companies are worked on as columns: what is
+    asked of the state store does not grow with their number.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        number = T.StructType([T.StructField("n", T.LongType())])
-        self._open = handle.getMapState("open", T.StructType([T.StructField("week", T.LongType())]), number)
+        names = T.StructField("company", T.ArrayType(T.StringType()))
+        counts = T.StructField("n", T.ArrayType(T.LongType()))
+        self._open = handle.getMapState("open", T.StructType([T.StructField("week", T.LongType())]),
+                                        T.StructType([names, counts]))
         self._closed = handle.getValueState("closed", T.StructType(
-            [T.StructField("week", T.LongType()), T.StructField("n", T.LongType())]))
+            [names, T.StructField("week", T.ArrayType(T.LongType())), counts]))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        added: dict[int, pd.Series] = {}
         for chunk in rows:
-            for week, n in chunk.groupby("week_ms").size().items():
+            for week, of_week in chunk.groupby("week_ms")["company_name"]:
                 if week + _WEEK <= timerValues.getCurrentWatermarkInMs():
                     continue  # closed already
-                before = self._open.getValue((int(week),)) if self._open.containsKey((int(week),)) else None
-                if before is None:
-                    self._handle.registerTimer(int(week) + _WEEK)
-                self._open.updateValue((int(week),), (int(n) + (before[0] if before else 0),))
+                n = of_week.value_counts()
+                added[int(week)] = added[int(week)].add(n, fill_value=0) if int(week) in added else n
+        for week, n in added.items():
+            if self._open.containsKey((week,)):
+                company, before = self._open.getValue((week,))
+                n = n.add(pd.Series(list(before), index=list(company)), fill_value=0)
+            else:
+                self._handle.registerTimer(week + _WEEK)
+            self._open.updateValue((week,), (n.index.tolist(), n.astype("int64").tolist()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         week = expiredTimerInfo.getExpiryTimeInMs() - _WEEK
-        n = self._open.getValue((week,))[0]
-        last = self._closed.get() if self._closed.exists() else None
+        company, n = self._open.getValue((week,))
+        now = pd.DataFrame({"week": week, "n": list(n)}, index=list(company))
+        company, weeks, n = self._closed.get() if self._closed.exists() else ([], [], [])
+        last = pd.DataFrame({"week": pd.array(list(weeks), "Int64"), "n": pd.array(list(n), "Int64")}, index=list(company))
         self._open.removeKey((week,))
-        self._closed.update((week, n))
+        kept = pd.concat([last[~last.index.isin(now.index)], now])
+        self._closed.update((kept.index.tolist(), [int(w) for w in kept["week"]], [int(c) for c in kept["n"]]))
+        last = last.reindex(now.index)
         day = lambda ms: pd.Timestamp(ms, unit="ms").date()
         yield pd.DataFrame({
-            "company_name": [key[0]], "week_start": [day(week)], "signal_count": [n],
-            "prev_week": [day(last[0]) if last else None], "prev_count": pd.array([last[1] if last else None], "Int64"),
-            "delta": pd.array([n - last[1] if last else None], "Int64")})
+            "company_name": now.index, "week_start": day(week), "signal_count": now["n"].array,
+            "prev_week": [None if pd.isna(w) else day(int(w)) for w in last["week"]], "prev_count": last["n"].array,
+            "delta": now["n"].array - last["n"].array})
 
     def close(self) -> None:
         pass
 
 
-def closed_weeks(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+def closed_weeks(stream: DataFrame, key: str, event_time: str, delay: str, buckets: int = 256) -> DataFrame:
     """One row per key and Monday-aligned week as it closes, with the week closed before it and the growth.
 
     Rows without a key move the watermark and are not counted. Each key's weeks close in order, each
-    once; rows later than ``delay`` are dropped. The state is kept in RocksDB (see :func:`timers`).
+    once; rows later than ``delay`` are dropped. The state is kept in RocksDB (see :func:`timers`). Keys are
+    dealt to ``buckets``, whose open and last weeks are one state each; it stays the same for a checkpoint.
     """
     ms = F.unix_millis(event_time)
     monday = ms - F.pmod(ms - F.lit(4 * _DAY), F.lit(_WEEK))  # 1970-01-05 was a Monday
     # a condition on the key alone would be pushed below the watermark, which then missed those rows
     known = F.when(F.col(event_time).isNull(), False).otherwise(F.col(key).isNotNull())
+    name = F.col(key).cast("string")
     rows = stream.withWatermark(event_time, delay).where(known).select(
-        F.col(key).cast("string").alias("company_name"), event_time, monday.alias("week_ms"))
-    return rows.groupBy("company_name").transformWithStateInPandas(
+        F.pmod(F.hash(name), F.lit(buckets)).alias("bucket"), name.alias("company_name"), event_time,
+        monday.alias("week_ms"))
+    return rows.groupBy("bucket").transformWithStateInPandas(
         _Growth(), CLOSED, "append", "EventTime")
 
 

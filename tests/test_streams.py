@@ -85,3 +85,25 @@ def test_weeks_close_in_order_with_late_rows(spark, tmp_path):
         assert (r.prev_count, r.delta) == ((None, None) if before is None else (
             want[user, before], want[user, week] - want[user, before]))
     assert not spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
+
+
+def test_state_does_not_grow_a_row_per_company(spark, tmp_path):
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    names = [f"c{k}" for k in range(300)]
+    files = [[(c, start + dt.timedelta(weeks=w, minutes=k)) for k, c in enumerate(names) for _ in range(1 + w * (k % 3))]
+             for w in range(2)]
+    files[1] += [("late", start + dt.timedelta(days=6)), ("c0", start + dt.timedelta(days=6))]
+    stream = land(spark, str(tmp_path / "in"), *files, [(None, start + dt.timedelta(weeks=9))])
+    with SV.timers(spark):
+        query = I.run_available(SV.closed_weeks(stream, "user", "at", "8 days", buckets=4),
+                                I.to_batches(str(tmp_path / "out")), str(tmp_path / "state"))
+    got = {(r.company_name, (r.week_start - start.date()).days // 7): r
+           for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert len(got) == 601 and got["late", 0].signal_count == 1 and got["c0", 0].signal_count == 2
+    for k, c in enumerate(names):
+        first, then = (2 if k == 0 else 1), 1 + k % 3
+        assert (got[c, 0].signal_count, got[c, 0].prev_count, got[c, 0].delta) == (first, None, None)
+        assert (got[c, 1].signal_count, got[c, 1].prev_count, got[c, 1].delta) == (then, first, then - first)
+        assert got[c, 1].prev_week == start.date() and got[c, 0].prev_week is None
+    rows = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert rows and max(rows) <= 40
