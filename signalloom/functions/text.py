@@ -18,6 +18,7 @@ from ..lexicon import Lexicon
 # intersection lets other characters fail on one range test.
 _WIDE = r"\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE = r"[\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0[\x{1680}-\x{3000}&&[" + _WIDE + "]]]"
+_NO_BLANK = SPACE.replace(r"\x20", "")
 
 # Entities decoded without leaving the JVM. '&amp;' is handled last and in one pass, so
 # that doubly escaped text is decoded once.
@@ -119,10 +120,19 @@ def _decode_common(col: Column, only_amp: Column) -> Column:
     common = col
     for name in COMMON_ENTITIES:
         common = F.replace(common, F.lit(f"&{name};"), F.lit(html.unescape(f"&{name};")))
-    return (F.when(only_amp, F.replace(col, F.lit("&amp;"), F.lit("&")))
+    return (F.when(~F.contains(col, F.lit("&")), col)
+            .when(only_amp, F.replace(col, F.lit("&amp;"), F.lit("&")))
             .otherwise(F.regexp_replace(common, _AMP, "&")))
 
 
+def _with_collapsed(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``, the named column as :func:`collapse` gives it, replacing only what is no single blank."""
+    s = F.col("_s")
+    df = df.withColumn("_s", F.regexp_replace(text, f"{_NO_BLANK}{SPACE}*", " "))
+    return df.withColumn(out, F.trim(F.when(F.contains(s, F.lit("  ")), F.regexp_replace(s, "  +", " "))
+                                     .otherwise(s))).drop("_s")
+
+
 def with_clean_text(df: DataFrame, text: str, out: str, full_entities: bool = True) -> DataFrame:
     """Add ``out``: tags dropped, then entities decoded, then white space collapsed.
 
@@ -138,7 +148,7 @@ def with_clean_text(df: DataFrame, text: str, out: str, full_entities: bool = Tr
         df = df.withColumn("_d", _decode_all("_r"))
         decoded = F.when(F.col("_r").isNull(), decoded).otherwise(F.col("_d"))
     df = df.withColumn("_t", decoded)
-    return df.withColumn(out, collapse(F.col("_t"))).drop("_t", "_a", "_r", "_d")
+    return _with_collapsed(df, "_t", out).drop("_t", "_a", "_r", "_d")
 
 
 def display_excerpt(col: Column, length: int = 160) -> Column:
@@ -154,6 +164,20 @@ def _gap(chars: int) -> str:
     return r"[\s\S]{0,%d}" % chars
 
 
+def _joined(term: str, context: tuple[str, ...]) -> list[str]:
+    """The texts in which a context word overlaps ``term``."""
+    joined = []
+    for word in context:
+        if term in word:
+            joined.append(word)
+        for n in range(1, min(len(word), len(term))):
+            if word.endswith(term[:n]):
+                joined.append(word + term[n:])
+            if term.endswith(word[:n]):
+                joined.append(term + word[n:])
+    return joined
+
+
 def context_pattern(term: str, context: tuple[str, ...], window: int) -> str | None:
     """A regex that holds where a context word lies inside the window around ``term``.
 
@@ -163,18 +187,11 @@ def context_pattern(term: str, context: tuple[str, ...], window: int) -> str | N
         return None
     quoted = re.escape(term)
     before: dict[int, list[str]] = {}
-    joined = []
     for word in context:
         if len(word) > window:
             raise ValueError(f"context word longer than the window: {word!r}")
         before.setdefault(window - len(word), []).append(re.escape(word))
-        if term in word:
-            joined.append(re.escape(word))
-        for n in range(1, min(len(word), len(term))):
-            if word.endswith(term[:n]):
-                joined.append(re.escape(word + term[n:]))
-            if term.endswith(word[:n]):
-                joined.append(re.escape(term + word[n:]))
+    joined = [re.escape(j) for j in _joined(term, context)]
     parts = []
     for gap, words in before.items():
         group = "(?:" + "|".join(words) + ")"
@@ -184,14 +201,30 @@ def context_pattern(term: str, context: tuple[str, ...], window: int) -> str | N
     return f"(?=[{heads}])(?:{'|'.join(parts + joined)})"
 
 
+def near_condition(text_lc: str, term: str, context: tuple[str, ...], window: int) -> str:
+    """SQL text of :func:`context_pattern` for a term that can't overlap itself.
+
+    The text is cut at the term. A context word inside the window of one occurrence but beyond the next is
+    inside the window of that one too, so the two ends of what lies between occurrences tell.
+    """
+    ends = (f"concat(transform(slice(p, 2, size(p)), s -> left(s, {window})), "
+            f"transform(slice(p, 1, size(p) - 1), s -> right(s, {window})))")
+    near = (f"exists(array(split({text_lc}, {sql_text(re.escape(term))}, -1)), "
+            f"p -> exists({ends}, w -> {contains_any('w', context)}))")
+    joined = tuple(dict.fromkeys(_joined(term, context)))
+    return f"({near} OR {contains_any(text_lc, joined)})" if joined else near
+
+
 def term_condition(text_lc: str, term: str, lexicon: Lexicon) -> str:
     """SQL text of the test of one term on the named lower-cased column."""
     hit = f"contains({text_lc}, {sql_text(term)})"
     if term in lexicon.needs_context:
         pattern = context_pattern(term, lexicon.context, lexicon.window)
-        if pattern:
+        if pattern and any(term.endswith(term[:n]) for n in range(1, len(term))):
             hit += (f" AND {contains_any(text_lc, lexicon.context)} "
                     f"AND {text_lc} RLIKE {sql_text(pattern)}")
+        elif pattern:
+            hit += f" AND {near_condition(text_lc, term, lexicon.context, lexicon.window)}"
     return hit
 
 
@@ -255,9 +288,12 @@ def in_location(text: Column, wanted: tuple[str, ...] | None) -> Column:
     return F.get(found, F.lit(0))
 
 
-def excerpt(text: Column, keyword: Column, window: int = 120) -> Column:
-    """Half a window of characters on each side of the first hit, between ellipses."""
-    at = F.instr(F.lower(text), F.lower(keyword))
+def excerpt(text: Column, keyword: Column, window: int = 120, low: Column | None = None) -> Column:
+    """Half a window of characters on each side of the first hit, between ellipses.
+
+    ``low`` is the text in lower case, where that is known already.
+    """
+    at = F.instr(F.lower(text) if low is None else low, F.lower(keyword))
     start = F.greatest(at - window // 2, F.lit(1))
     end = at + F.length(keyword) + window // 2
     snippet = F.substring(text, start, end - start)

@@ -111,7 +111,8 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
         value(location).alias("location"), value(date_posted).alias("date_posted"),
         value(url).alias("url"), value(domain).alias("_domain"),
         value(F.col("search_term") if "search_term" in df.columns else None).alias("term"),
-        value(body).alias("body"),
+        # what is not kept can't match, so its text is not looked at
+        value(body if keep is None else F.when(keep, body)).alias("body"),
         (F.lit(None).cast("string") if remote is None or callable(remote)
          else value(remote)).alias("remote"),
         (F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))).alias("keep"),
@@ -127,14 +128,16 @@ def to_jobs(df: DataFrame, number: int, *, source: Column | str, company: Column
     where = text if placed is None else placed(text)
     matched = (F.col("keep") & (F.size("kw") > 0) & X.in_location(where, wanted)
                & ((text != "") if need_text else F.lit(True)))
-    flagged = full.drop("text_lc").withColumn("matched", F.coalesce(matched, F.lit(False)))
+    flagged = full.withColumn("matched", F.coalesce(matched, F.lit(False)))
+    low = F.col("text_lc") if searched is None else None
+    flagged = flagged.drop("text_lc") if low is None else flagged
     if dedup == "none":
         flagged = X.keep(flagged, F.col("matched"))
 
     # Rows without a match only hold their url's place: nothing else of them is computed.
     remote_text = remote(text) if callable(remote) else F.coalesce("remote", blank)
     snippet = F.when(text == "", F.col("empty_excerpt")).otherwise(
-        X.excerpt(text, F.get("kw", F.lit(0))))
+        X.excerpt(text, F.get("kw", F.lit(0)), low=low))
     computed = {"food_keywords_matched": X.join_list(F.col("kw")), "keyword_count": F.size("kw"),
                 "perk_excerpt": F.coalesce(snippet, blank), "remote": remote_text}
     values = [F.when(F.col("matched"), computed[c] if c in computed else F.col(c)).alias(c)
